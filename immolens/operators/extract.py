@@ -169,15 +169,17 @@ def page_links(pages: DataFrame, html_col: str = "html", keep: Sequence[str] = (
 
     def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = {c: [] for c in keep + names}
-            kept_values = [pdf[c].tolist() for c in keep]
+            page_index, links = [], []
             for i, html in enumerate(pdf[html_col].tolist()):
                 for link in parse_listing_links(html, href_prefix, require_title):
-                    for c, values in zip(keep, kept_values):
-                        out[c].append(values[i])
-                    for c in names:
-                        out[c].append(link[c])
-            yield pd.DataFrame(out, columns=keep + names).astype({"position": "Int32"})
+                    page_index.append(i)
+                    links.append(link)
+            # selecting rows of the input keeps its column types, even when empty
+            out = pdf[keep].iloc[page_index].reset_index(drop=True)
+            for c in names:
+                out[c] = pd.Series([link[c] for link in links], dtype=object)
+            out["position"] = out["position"].astype("Int32")
+            yield out
 
     return pages.select(*keep, html_col).mapInPandas(parse_batches, out_schema)
 

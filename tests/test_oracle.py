@@ -1,0 +1,37 @@
+"""Every registered query against its DuckDB oracle on the smallest tables,
+plus the driver entry points."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_mod
+from immolens.plans.catalog import ORACLE_SQL, QUERIES
+from tools.oracle_check import TABLES, compare
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return c
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, con, name):
+    _, n_spark, n_oracle, status, _ = compare(spark, con, SF, name)
+    assert status == "ok", status
+    assert n_spark == n_oracle
+
+
+def test_entry_smoke(spark):
+    df = entry_mod.entry(spark)
+    assert df.columns == ["date_scraping", "avg_price_m2", "avg_price", "nb_annonces"]
+    assert df.count() > 0
