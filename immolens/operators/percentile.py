@@ -27,8 +27,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MIN_BUCKETS, MAX_BUCKETS = 64, 4096
+
+
+def default_buckets(df: DataFrame) -> int:
+    """One range per shuffle partition, kept within [64, 4096]: the ranges
+    grow with the cluster while the offset table stays a few thousand rows."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, n))
+
+
 def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p",
-                     buckets: int = 64) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """Discrete percentile (SQL percentile_disc): the smallest value whose
     cumulative count reaches ceil(n * p).
 
@@ -36,6 +46,7 @@ def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p",
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
+    buckets = buckets or default_buckets(df)
     x = F.col(column)
     counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
     ranged = counts.repartitionByRange(buckets, "v").withColumn("g", F.spark_partition_id())

@@ -22,12 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def observations_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem joined with its part and its supplier's nation (all rows).
-
-    Joins are left to the planner: ``part`` and ``supplier`` grow with the
-    data, so AQE picks broadcast or sort-merge from runtime sizes and splits
-    skewed ``l_partkey`` partitions. ``nation`` is joined to ``supplier``
-    first so the big side meets one combined dimension.
+    """lineitem joined with its part, its supplier and the supplier's nation
+    (all rows).
+
+    A left-deep chain from the big table: each dimension is judged on its
+    own scan size, so one that fits under the broadcast threshold is
+    broadcast and a large one is sort-merge joined (AQE re-checks at run
+    time and splits skewed ``l_partkey``/``l_suppkey`` partitions). Joining
+    ``supplier`` to ``nation`` first would hide the supplier size behind a
+    join estimate and shuffle ``lineitem`` for nothing.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
@@ -35,10 +38,16 @@ def observations_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    supp_city = supp.join(nation, supp.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_name")
     return (li.join(part, li.l_partkey == part.p_partkey)
-              .join(supp_city, li.l_suppkey == supp_city.s_suppkey)
-              .drop("p_partkey", "s_suppkey"))
+              .join(supp, li.l_suppkey == supp.s_suppkey)
+              .join(nation, supp.s_nationkey == nation.n_nationkey)
+              .drop("p_partkey", "s_suppkey", "s_nationkey", "n_nationkey"))
+
+
+def snapshot_week(ts_col: str):
+    """Monday of the week of a timestamp, computed on dates only (no time
+    zone enters: the tables hold zone-less timestamps)."""
+    return F.trunc(F.to_date(ts_col), "week")
 
 
 def history_columns() -> list:
@@ -56,7 +65,7 @@ def history_columns() -> list:
         F.col("p_type").alias("description"),
         F.concat(F.lit(LISTING_URL_BASE), F.col("l_partkey").cast("string"),
                  F.lit("/")).alias("url"),
-        F.to_date(F.date_trunc("week", "l_shipdate")).alias("date_scraping"),
+        snapshot_week("l_shipdate").alias("date_scraping"),
     ]
 
 
@@ -88,10 +97,10 @@ def silver_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ln == 7, F.concat(F.lit("ftp://listings.example/"), key))
          .when(ln % 2 == 0, F.concat(F.lit(LISTING_URL_BASE), key))
          .otherwise(F.concat(F.lit(LISTING_URL_BASE), key, F.lit("/"))).alias("url"),
-        F.concat(F.lit("raw/"), F.to_date(F.date_trunc("week", "l_shipdate")).cast("string"),
+        F.concat(F.lit("raw/"), snapshot_week("l_shipdate").cast("string"),
                  F.lit("/page_"), (F.col("l_orderkey") % 10).cast("string"), F.lit(".html")).alias("source_file"),
         (F.col("l_orderkey") * 8 + ln).alias("position"),
-        F.to_date(F.date_trunc("week", "l_shipdate")).alias("snapshot_date"),
+        snapshot_week("l_shipdate").alias("snapshot_date"),
     )
 
 
