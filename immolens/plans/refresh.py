@@ -143,3 +143,33 @@ def staging_from(spark: SparkSession, layout: Layout) -> DataFrame:
     stg = to_staging(read_history(spark, layout.history))
     stg.createOrReplaceTempView("stg_listings")
     return stg
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: ``python -m immolens.plans.refresh --root <uri> --origin <url>
+    [--date yyyy-MM-dd]``; on a cluster, ``spark-submit`` this module with the
+    package shipped through ``--py-files``."""
+    import argparse
+    import json
+
+    parser = argparse.ArgumentParser(description="Refresh listing layers and market tables.")
+    parser.add_argument("--root", required=True, help="folder holding raw/ silver/ gold/ history/ marts/")
+    parser.add_argument("--origin", required=True, help="scheme and host prefixed to listing links")
+    parser.add_argument("--date", default=None, help="snapshot date yyyy-MM-dd (default: every date)")
+    parser.add_argument("--as-of", default=None, help="freshness reference time (default: now, UTC)")
+    parser.add_argument("--number-style", default="reference", choices=["reference", "fr"])
+    parser.add_argument("--fail-on-checks", action="store_true")
+    args = parser.parse_args(argv)
+
+    spark = SparkSession.builder.appName("immolens-refresh").getOrCreate()
+    root = args.root.rstrip("/")
+    layout = Layout(raw=f"{root}/raw", silver=f"{root}/silver", gold=f"{root}/gold",
+                    history=f"{root}/history", marts=f"{root}/marts")
+    result = refresh(spark, layout, args.date, args.origin, args.as_of, args.number_style,
+                     args.fail_on_checks)
+    print(json.dumps({"freshness": result.freshness, "checks": result.checks,
+                      "marts": result.marts}, default=str))
+
+
+if __name__ == "__main__":
+    main()
