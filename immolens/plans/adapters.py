@@ -12,13 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from immolens.functions import price_per_m2
+from immolens.session import spread
 
 
 LISTING_URL_BASE = "https://listings.example/annonce/"
 
 
+# Tables that grow with the data, with their unique key; the others are
+# small dimensions.
+FACT_KEYS = {
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "orders": ["o_orderkey"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+    "pages": ["page_id"],
+    "conversations": ["conv_id", "turn"],
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. A fact table arriving in fewer splits than the cluster
+    has cores (the test files are one row group each) is spread on its
+    unique key; on large inputs this is a no-op."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, FACT_KEYS[name]) if name in FACT_KEYS else df
 
 
 def observations_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,3 +162,76 @@ stg AS (
   FROM history
   WHERE price_eur IS NOT NULL AND surface_m2 > 0
 )"""
+
+
+# Fixed values of the generated result pages (test data only).
+PAGE_ORIGIN = "https://listings.example"
+ORDERS_PER_PAGE = 4096
+END_PAGE_NO = 1 << 40
+
+
+def _html_escape(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def _page(week, page_no, header, body):
+    return (week.alias("snapshot_date"), page_no.alias("page_no"),
+            F.concat(F.lit("<html><body><h1>"), F.lit(header), F.lit("</h1>"), body,
+                     F.lit("</body></html>")).alias("html"),
+            F.concat(F.lit("raw/"), week.cast("string"), F.lit("/page_"), page_no.cast("string"),
+                     F.lit(".html")).alias("source_file"),
+            F.lit(None).cast("int").alias("status_code"))
+
+
+def listing_pages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw result pages built from the tables.
+
+    Page ``n`` of a week holds one ``<article>`` per line item shipped that
+    week whose order falls in the ``n``-th block of 4096 orders, in order
+    and line-number order: about 40 listings a page at any scale and never
+    more than 7 * 4096, so the grouping that assembles a page stays bounded.
+    Real pages say "10 annonces", which is not an end marker. After its
+    last page every week has an end page ("Aucune annonce") and then one
+    more page with a sentinel listing that the cut-off must drop.
+
+    Variants by line number: no title attribute (7), no price (multiples of
+    5), no description paragraph (multiples of 6), no city (multiples of
+    4), no trailing slash on the link (even).
+    """
+    obs = observations_from_tables(spark, sf_dir)
+    ln = F.col("l_linenumber")
+    city_word = F.concat(F.substring("n_name", 1, 1),
+                         F.lower(F.translate(F.substring("n_name", 2, 64), "0123456789_", "abcdefghij ")))
+    title = (F.when(ln % 3 == 0, F.concat(F.lit("Studio "), F.col("p_name")))
+              .otherwise(F.concat(F.lit("Appartement "), (F.col("p_size") % 8).cast("string"),
+                                  F.lit(" Pièces "), F.upper("p_name"))))
+    details = F.concat(F.col("p_type"), F.lit(" "), F.floor("l_quantity").cast("string"), F.lit(" m² - "),
+                       city_word, F.when(ln % 4 == 0, F.lit("")).otherwise(F.lit(" (76)")))
+    price = F.when(ln % 5 != 0, F.concat(F.floor("l_extendedprice").cast("string"), F.lit(" €")))
+    desc = F.when(ln % 6 != 0, F.concat(F.col("p_type"), F.lit("\r\n"), F.col("p_name"),
+                                        F.lit("\n\nBel appartement")))
+    href = F.concat(F.lit("/immobilier/annonce/"), F.col("l_partkey").cast("string"),
+                    F.when(ln % 2 == 0, F.lit("")).otherwise(F.lit("/")))
+    title_attr = F.when(ln != 7, F.concat(F.lit(' title="'), _html_escape(title), F.lit('"')))
+    article = F.concat(
+        F.lit('<article><a href="'), href, F.lit('"'), F.coalesce(title_attr, F.lit("")), F.lit(">"),
+        _html_escape(title), F.lit("</a><span>"), _html_escape(details), F.lit("</span>"),
+        F.coalesce(F.concat(F.lit("<p>"), _html_escape(desc), F.lit("</p>")), F.lit("")),
+        F.coalesce(F.concat(F.lit("<div>"), _html_escape(price), F.lit("</div>")), F.lit("")),
+        F.lit("</article>"))
+    items = obs.select(
+        snapshot_week("l_shipdate").alias("week"),
+        F.floor(F.col("l_orderkey") / ORDERS_PER_PAGE).alias("page_no"),
+        F.struct("l_orderkey", ln.alias("ln"), article.alias("html")).alias("item"))
+    pages = (items.groupBy("week", "page_no")
+             .agg(F.array_sort(F.collect_list("item")).alias("items"))
+             .select(*_page(F.col("week"), F.col("page_no"), "10 annonces",
+                            F.array_join(F.transform("items", lambda x: x["html"]), ""))))
+    # the week list comes from one column of lineitem, not from the joined rows
+    weeks = table(spark, sf_dir, "lineitem").select(snapshot_week("l_shipdate").alias("week")).distinct()
+    sentinel = F.concat(F.lit('<article><a href="/immobilier/annonce/after-end-'), F.col("week").cast("string"),
+                        F.lit('/" title="Appartement 1 pièce">x</a><p>after the end</p><div>1 €</div></article>'))
+    end_pages = weeks.select(*_page(F.col("week"), F.lit(END_PAGE_NO), "Aucune annonce", F.lit("")))
+    after_end = weeks.select(*_page(F.col("week"), F.lit(END_PAGE_NO + 1), "10 annonces", sentinel))
+    return pages.unionByName(end_pages).unionByName(after_end)

@@ -26,9 +26,12 @@ from immolens.operators.quality import (
     SOURCE_CHECKS, STAGING_CHECKS, freshness as q_freshness, null_counts, profile, run_checks,
 )
 from immolens.operators.staging import to_staging
+from immolens.operators.extract import extract_listings
 from immolens.plans.adapters import (
-    HISTORY_SQL, STAGING_SQL, history_from_tables, silver_from_tables, sql_round2, table,
+    HISTORY_SQL, PAGE_ORIGIN, STAGING_SQL, history_from_tables, listing_pages_from_tables,
+    silver_from_tables, sql_round2, table,
 )
+from immolens.sources.pages import take_until_end
 from immolens.schema import GOLD_COLUMNS
 from immolens.sources.seed import TYPOLOGY_ROWS, typology_seed
 
@@ -126,6 +129,13 @@ def gold_from_text(spark, sf_dir):
     return to_gold(silver, F.col("snapshot_date"))
 
 
+def gold_from_html(spark, sf_dir):
+    """Pages -> cut-off -> listing extraction -> Gold, end to end."""
+    pages = take_until_end(listing_pages_from_tables(spark, sf_dir))
+    silver = extract_listings(pages, PAGE_ORIGIN, keep=["snapshot_date"])
+    return to_gold(silver, F.col("snapshot_date"))
+
+
 # ------------------------------------------------------------- quality ----
 
 def quality_checks(spark, sf_dir):
@@ -214,6 +224,7 @@ QUERIES: dict[str, Query] = {
     "price_per_m2": price_per_m2_rows,
     "dedupe_in_snapshot": dedupe_in_snapshot,
     "gold_from_text": gold_from_text,
+    "gold_from_html": gold_from_html,
     "quality_checks": quality_checks,
     "freshness": freshness,
     "tolerant_date": tolerant_date_text,
@@ -269,6 +280,64 @@ silver AS (
   JOIN nation n ON s.s_nationkey = n.n_nationkey
 )"""
 
+_HTML_SILVER_SQL = r"""
+obs AS (
+  SELECT CAST(date_trunc('week', l.l_shipdate) AS DATE) AS week, l.l_orderkey, l.l_linenumber AS ln,
+         CASE WHEN l.l_linenumber % 3 = 0 THEN 'Studio ' || p.p_name
+              ELSE 'Appartement ' || CAST(p.p_size % 8 AS VARCHAR) || ' Pièces ' || upper(p.p_name) END AS title,
+         p.p_type || ' ' || CAST(CAST(floor(l.l_quantity) AS BIGINT) AS VARCHAR) || ' m² - '
+           || substr(n.n_name, 1, 1) || lower(translate(substr(n.n_name, 2, 64), '0123456789_', 'abcdefghij '))
+           || CASE WHEN l.l_linenumber % 4 = 0 THEN '' ELSE ' (76)' END AS details,
+         CASE WHEN l.l_linenumber % 5 <> 0
+              THEN CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR) || ' €' END AS price,
+         CASE WHEN l.l_linenumber % 6 <> 0
+              THEN p.p_type || chr(13) || chr(10) || p.p_name || chr(10) || chr(10) || 'Bel appartement' END AS description,
+         '/immobilier/annonce/' || CAST(l.l_partkey AS VARCHAR)
+           || CASE WHEN l.l_linenumber % 2 = 0 THEN '' ELSE '/' END AS href
+  FROM lineitem l
+  JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+),
+kept AS (
+  SELECT o.*, CAST(floor(l_orderkey / 4096) AS BIGINT) AS page_no,
+         row_number() OVER (PARTITION BY week, floor(l_orderkey / 4096) ORDER BY l_orderkey, ln) AS position
+  FROM obs o
+),
+silver AS (
+  SELECT {clean_title} AS title,
+         {clean_details} AS details,
+         {clean_price} AS price,
+         {clean_desc} AS description,
+         'https://listings.example' || href AS url,
+         'raw/' || CAST(week AS VARCHAR) || '/page_' || CAST(page_no AS VARCHAR) || '.html' AS source_file,
+         position,
+         week AS snapshot_date
+  FROM kept
+  WHERE ln <> 7 AND (price IS NOT NULL OR description IS NOT NULL)
+)"""
+
+
+def _gold_from_silver_sql(silver_cte: str) -> str:
+    return f"""WITH {silver_cte},
+typed AS (
+  SELECT regexp_extract(regexp_replace(url, '/$', ''), '([^/]+)$', 1) AS id_annonce,
+         trim(title) AS title,
+         TRY_CAST(regexp_extract(price, '(\\d+)\\s*€', 1) AS INTEGER) AS price_eur,
+         TRY_CAST(regexp_extract(details, '(\\d+)\\s*m²', 1) AS INTEGER) AS surface_m2,
+         TRY_CAST(regexp_extract(lower(title), '(\\d+)\\s*pièce', 1) AS INTEGER) AS nb_pieces,
+         coalesce(nullif(trim(regexp_extract(details, '{_CITY}', 1)), ''), 'Rouen') AS city,
+         regexp_replace(description, '[\\r\\n]+', ' ', 'g') AS description,
+         url, snapshot_date AS date_scraping, source_file, position
+  FROM silver WHERE regexp_matches(url, '^https?://'))
+SELECT id_annonce, title, price_eur, surface_m2, nb_pieces,
+       CASE WHEN price_eur IS NOT NULL AND surface_m2 > 0
+            THEN {_r2('CAST(price_eur AS DOUBLE) / CAST(surface_m2 AS DOUBLE)')} END AS price_m2,
+       city, description, url, date_scraping
+FROM typed
+QUALIFY row_number() OVER (PARTITION BY date_scraping, id_annonce ORDER BY source_file, position) = 1"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "price_evolution": f"""WITH {STAGING_SQL}
 SELECT date_scraping, {_r2('avg(price_m2)')} AS avg_price_m2, {_r2('avg(price_eur)')} AS avg_price,
@@ -382,6 +451,12 @@ SELECT id_annonce, title, price_eur, surface_m2, nb_pieces,
 FROM typed
 QUALIFY row_number() OVER (PARTITION BY date_scraping, id_annonce ORDER BY source_file, position) = 1""",
 
+    "gold_from_html": _gold_from_silver_sql(_HTML_SILVER_SQL.format(
+        clean_title=_sql_clean_text("title"),
+        clean_details=_sql_clean_text("concat_ws(' ', title, details, description, price)"),
+        clean_price=_sql_clean_text("price"),
+        clean_desc=_sql_clean_text("description"))),
+
     "quality_checks": f"""WITH {STAGING_SQL},
 c AS (SELECT count_if(id_annonce IS NULL) AS c0, count_if(price_eur IS NULL) AS c1,
              count_if(price_eur IS NOT NULL AND NOT (price_eur >= 0)) AS c2,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE stays on so shuffle partition counts,
 # skewed joins and small-side broadcasts are re-planned from runtime sizes.
@@ -54,6 +54,26 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if not current:
         current = fallback or tempfile.mkdtemp(prefix="immolens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # no SparkContext handle (Spark Connect)
+        pass
     return current
+
+
+def spread(df: DataFrame, key: list[str], min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition an input that arrives in fewer splits than the cluster
+    has cores (a small single-file table) on its unique ``key``, so
+    CPU-heavy steps after the scan use every core. A unique key cannot be
+    skewed and hashing needs no sort. Large inputs already have many splits
+    and are returned unchanged: no shuffle is added at scale.
+    """
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
+        return df
+    if splits >= target:
+        return df
+    return df.repartition(target, *key)
