@@ -7,6 +7,7 @@ plain SQL over the same Parquet tables. Column names and types match.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,10 @@ from immolens.plans.adapters import (
     HISTORY_SQL, PAGE_ORIGIN, STAGING_SQL, history_from_tables, listing_pages_from_tables,
     silver_from_tables, sql_round2, table,
 )
+from immolens.session import ensure_checkpoint_dir
+from immolens.sources.files import (
+    read_gold, read_silver, register_history, write_gold, write_history, write_silver,
+)
 from immolens.sources.pages import take_until_end
 from immolens.schema import GOLD_COLUMNS
 from immolens.sources.seed import TYPOLOGY_ROWS, typology_seed
@@ -136,6 +141,32 @@ def gold_from_html(spark, sf_dir):
     return to_gold(silver, F.col("snapshot_date"))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/immolens-queries/{name}-{uuid.uuid4().hex}"
+
+
+def silver_csv_roundtrip(spark, sf_dir):
+    """Silver written as date-partitioned CSV (quotes, line breaks inside
+    fields), read back with the fixed schema, then typed to Gold."""
+    path = _scratch(spark, "silver")
+    write_silver(silver_from_tables(spark, sf_dir), path)
+    return to_gold(read_silver(spark, path), F.col("snapshot_date"))
+
+
+def history_files_roundtrip(spark, sf_dir):
+    """History written as date-partitioned Parquet twice (a rerun replaces
+    the same partitions), bound to a name, read back, staged and
+    aggregated."""
+    root = _scratch(spark, "layers")
+    gold = history_from_tables(spark, sf_dir)
+    write_gold(gold, f"{root}/gold")
+    for _ in range(2):
+        write_history(read_gold(spark, f"{root}/gold"), f"{root}/history")
+    history = register_history(spark, f"{root}/history", name="listing_history_roundtrip")
+    return marts.price_evolution(to_staging(history))
+
+
 # ------------------------------------------------------------- quality ----
 
 def quality_checks(spark, sf_dir):
@@ -225,6 +256,8 @@ QUERIES: dict[str, Query] = {
     "dedupe_in_snapshot": dedupe_in_snapshot,
     "gold_from_text": gold_from_text,
     "gold_from_html": gold_from_html,
+    "silver_csv_roundtrip": silver_csv_roundtrip,
+    "history_files_roundtrip": history_files_roundtrip,
     "quality_checks": quality_checks,
     "freshness": freshness,
     "tolerant_date": tolerant_date_text,
@@ -533,3 +566,6 @@ FROM l""",
     "page_slug": """SELECT page_id, url, regexp_extract(regexp_replace(url, '/$', ''), '([^/]+)$', 1) AS id_annonce
 FROM pages WHERE regexp_matches(url, '^https?://')""",
 }
+
+ORACLE_SQL["silver_csv_roundtrip"] = ORACLE_SQL["gold_from_text"]
+ORACLE_SQL["history_files_roundtrip"] = ORACLE_SQL["price_evolution"]

@@ -17,7 +17,14 @@ SILVER_DATE = "snapshot_date"
 
 
 def _partitioned_overwrite(df: DataFrame, partition_col: str):
-    return (df.write.mode("overwrite")
+    """Dynamic-overwrite writer partitioned by ``partition_col``.
+
+    The rows are first rebalanced on the partition column (AQE's REBALANCE):
+    each date lands in a few tasks instead of every task writing a small
+    file for every date, a date holding most rows is split into several
+    files, and small dates are merged.
+    """
+    return (df.hint("rebalance", partition_col).write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic")
               .partitionBy(partition_col))
 
