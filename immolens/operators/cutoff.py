@@ -22,29 +22,25 @@ def cut_at_first(df: DataFrame, group: Sequence[str], order: Sequence[str],
     """
     group, order = list(group), list(order)
     key = F.struct(*[F.col(c) for c in order])
-    aggs = []
-    if stop_after is not None:
-        aggs.append(F.min(F.when(stop_after, key)).alias("_after"))
-    if stop_before is not None:
-        aggs.append(F.min(F.when(stop_before, key)).alias("_before"))
-    if not aggs:
+    stops = {name: cond for name, cond in (("_after", stop_after), ("_before", stop_before))
+             if cond is not None}
+    if not stops:
         return df
-    stop_cols = [a for a in ("_after", "_before")
-                 if (a == "_after" and stop_after is not None)
-                 or (a == "_before" and stop_before is not None)]
-    # Only groups that have a stop are joined back.
-    has_stop = F.greatest(*[F.col(c).isNotNull() for c in stop_cols]) if len(stop_cols) > 1 \
-        else F.col(stop_cols[0]).isNotNull()
-    stops = (df.groupBy(*group).agg(*aggs).where(has_stop)
-               .select(*[F.col(g).alias(f"_g_{g}") for g in group], *stop_cols))
-    cond = None
+
+    # One row per group that has a stop: the smallest order key of each kind.
+    firsts = df.groupBy(*group).agg(*[F.min(F.when(cond, key)).alias(name)
+                                      for name, cond in stops.items()])
+    any_stop = F.lit(False)
+    for name in stops:
+        any_stop = any_stop | F.col(name).isNotNull()
+    firsts = firsts.where(any_stop).select(*[F.col(g).alias(f"_g_{g}") for g in group], *stops)
+
+    same_group = F.lit(True)
     for g in group:
-        eq = F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        cond = eq if cond is None else cond & eq
-    joined = df.join(stops, cond, "left")
+        same_group = same_group & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
     keep = F.lit(True)
-    if stop_after is not None:
+    if "_after" in stops:
         keep = keep & (F.col("_after").isNull() | (key <= F.col("_after")))
-    if stop_before is not None:
+    if "_before" in stops:
         keep = keep & (F.col("_before").isNull() | (key < F.col("_before")))
-    return joined.where(keep).select(*df.columns)
+    return df.join(firsts, same_group, "left").where(keep).select(*df.columns)
