@@ -15,10 +15,12 @@ elements still open at the end are closed there. Text of ``script`` and
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,10 @@ RAW_TEXT_ELEMENTS = frozenset({"script", "style"})
 DEFAULT_HREF_PREFIX = "/immobilier/"
 EURO = "€"
 
+# The parser runs in Python workers. Shipping this module's code by value
+# with each task means workers do not need the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class _Node:
     __slots__ = ("tag", "attrs", "children", "parent")
