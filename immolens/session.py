@@ -47,18 +47,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` is read from the session; a folder is set only
-    when the setting is missing, which happens in local tests.
+    Read from ``spark.checkpoint.dir``, else from the context's checkpoint
+    directory. Only when neither is set (local tests) is a folder created
+    and registered on the context; the setting itself cannot be changed on a
+    running session.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = fallback or tempfile.mkdtemp(prefix="immolens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+    if current:
+        return current
+    context = None
     try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        context = spark.sparkContext
+        current = context.getCheckpointDir()
     except Exception:  # no SparkContext handle (Spark Connect)
-        pass
+        current = None
+    if current:
+        return current
+    current = fallback or tempfile.mkdtemp(prefix="immolens-ckpt-")
+    if context is not None:
+        context.setCheckpointDir(current)
     return current
 
 

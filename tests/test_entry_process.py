@@ -14,15 +14,19 @@ from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
 spec = importlib.util.spec_from_file_location("entry", "{REPO}/__spark_entry__.py")
 m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
-print("ROWS", m.entry(spark).count(), m.queries()["page_links"](spark, "/root/testdata/sf0.001").count())
+q = m.queries()
+print("ROWS", m.entry(spark).count(), q["page_links"](spark, "/root/testdata/sf0.001").count(),
+      q["history_files_roundtrip"](spark, "/root/testdata/sf0.001").count())
 """
 
 
 def test_entry_runs_from_another_folder():
+    # no PYTHONPATH, and no Spark defaults (so no spark.checkpoint.dir either)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    env["SPARK_CONF_DIR"] = tempfile.mkdtemp()
     out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=tempfile.mkdtemp(), env=env,
                          capture_output=True, text=True, timeout=600)
     line = [l for l in out.stdout.splitlines() if l.startswith("ROWS")]
     assert line, out.stderr[-2000:]
-    _, evolution, links = line[0].split()
-    assert int(evolution) > 0 and int(links) > 0
+    _, evolution, links, roundtrip = line[0].split()
+    assert int(evolution) > 0 and int(links) > 0 and int(roundtrip) == int(evolution)
