@@ -107,7 +107,8 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
     A link counts when its ``href`` starts with ``href_prefix`` and both
     ``href`` and (unless ``require_title`` is False) ``title`` are non-empty.
     Its container is the nearest ``<article>`` ancestor, else its parent.
-    A link whose fields cannot be read is skipped (X8); ``errors`` counts them.
+    A link whose fields cannot be read gets an ``error`` text instead (X8)
+    and the page goes on.
     """
     if not html:
         return []
