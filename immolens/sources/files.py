@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from immolens.functions import tolerant_date
 from immolens.schema import GOLD, GOLD_COLUMNS, SILVER
 
 SILVER_DATE = "snapshot_date"
@@ -50,6 +51,22 @@ def read_silver(spark: SparkSession, path: str, snapshot_date: str | None = None
     return df
 
 
+def read_dated_silver_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """S4 + G7 for Silver kept one CSV per date (``<yyyy-MM-dd>.csv``, as
+    written by pandas: BOM, doubled quotes, no position column): the
+    snapshot date comes from each file's name, the position from the row's
+    place in its file is unknown and left null."""
+    schema = T.StructType([f for f in SILVER.fields if f.name != "position"])
+    df = (spark.read.schema(schema).option("header", True).option("escape", '"')
+          .option("multiLine", True).option("encoding", "UTF-8").csv(pattern))
+    name = F.col("_metadata.file_name")
+    return df.select(
+        *schema.fieldNames(),
+        F.lit(None).cast("int").alias("position"),
+        F.to_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd").alias(SILVER_DATE),
+    )
+
+
 def write_gold(gold: DataFrame, path: str) -> None:
     """Gold Parquet, one partition per snapshot date, dynamic overwrite."""
     _partitioned_overwrite(gold.select(*GOLD_COLUMNS), "date_scraping").parquet(path)
@@ -63,6 +80,17 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def read_text_dated_gold_files(spark: SparkSession, pattern: str = "*_clean.parquet") -> DataFrame:
+    """S6 + H2 for Gold kept one Parquet file per date with the date stored as
+    text (``yyyy-MM-dd`` or ``dd-MM-yyyy``); no file at all is an error."""
+    schema = T.StructType([f if f.name != "date_scraping" else T.StructField(f.name, T.StringType())
+                           for f in GOLD.fields])
+    df = spark.read.schema(schema).parquet(pattern)
+    if not df.inputFiles():
+        raise FileNotFoundError(f"no Gold file matches {pattern}")
+    return df.withColumn("date_scraping", tolerant_date("date_scraping"))
+
+
 def write_history(history: DataFrame, path: str, single_file: bool = False) -> None:
     """History Parquet partitioned by date. ``single_file`` is an opt-in
     export for small outputs (it funnels the data through one task)."""

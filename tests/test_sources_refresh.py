@@ -137,3 +137,35 @@ def test_backfill_all_dates_then_stale_history(spark, tmp_dir):
     assert read_history(spark, lay.history).count() == 4
     with pytest.raises(FreshnessError):
         refresh(spark, lay, None, ORIGIN, as_of=dt.datetime(2025, 3, 1))
+
+
+def test_silver_one_csv_per_date(spark, tmp_dir):
+    from immolens.operators.gold import to_gold
+    from immolens.sources.files import read_dated_silver_files
+    for date, price in (("2025-02-01", 600), ("2025-02-08", 610)):
+        text = ('title,details,price,description,url,source_file\n'
+                f'"Appart ""cosy"", 2 pièces","T2 40 m² Rouen (76)",{price} €,"ligne 1\nligne 2",'
+                f'https://x/immobilier/a/1/,raw/{date}/page_1.html\n')
+        with open(os.path.join(tmp_dir, f"{date}.csv"), "wb") as fh:
+            fh.write(text.encode("utf-8-sig"))
+    silver = read_dated_silver_files(spark, os.path.join(tmp_dir, "*.csv"))
+    got = sorted((str(r["snapshot_date"]), r["title"], r["description"]) for r in silver.collect())
+    assert got == [("2025-02-01", 'Appart "cosy", 2 pièces', "ligne 1\nligne 2"),
+                   ("2025-02-08", 'Appart "cosy", 2 pièces', "ligne 1\nligne 2")]
+    gold = to_gold(silver, F.col("snapshot_date")).orderBy("date_scraping").collect()
+    assert [(r["price_eur"], r["price_m2"], r["nb_pieces"]) for r in gold] == [(600, 15.0, 2), (610, 15.25, 2)]
+
+
+def test_gold_files_with_text_dates(spark, tmp_dir):
+    from immolens.sources.files import read_text_dated_gold_files
+    from immolens.schema import GOLD
+    import pyspark.sql.types as T
+    schema = T.StructType([f if f.name != "date_scraping" else T.StructField(f.name, T.StringType())
+                           for f in GOLD.fields])
+    for name, date in (("2025-02-01_clean.parquet", "2025-02-01"), ("2025-02-08_clean.parquet", "08-02-2025")):
+        spark.createDataFrame([("1", "t", 600, 40, 2, 15.0, "Rouen", "d", "https://x/1/", date)], schema) \
+            .coalesce(1).write.mode("overwrite").parquet(os.path.join(tmp_dir, name))
+    g = read_text_dated_gold_files(spark, os.path.join(tmp_dir, "*_clean.parquet"))
+    assert sorted(str(r["date_scraping"]) for r in g.collect()) == ["2025-02-01", "2025-02-08"]
+    with pytest.raises(Exception):
+        read_text_dated_gold_files(spark, os.path.join(tmp_dir, "nothing_*.parquet")).count()
