@@ -155,14 +155,15 @@ def silver_csv_roundtrip(spark, sf_dir):
 
 
 def history_files_roundtrip(spark, sf_dir):
-    """History written as date-partitioned Parquet twice (a rerun replaces
-    the same partitions), bound to a name, read back, staged and
-    aggregated."""
+    """Gold and History written as date-partitioned Parquet, the first
+    snapshot written again (a rerun replaces its partition only), the
+    history bound to a name, read back, staged and aggregated."""
     root = _scratch(spark, "layers")
-    gold = history_from_tables(spark, sf_dir)
-    write_gold(gold, f"{root}/gold")
-    for _ in range(2):
-        write_history(read_gold(spark, f"{root}/gold"), f"{root}/history")
+    write_gold(history_from_tables(spark, sf_dir), f"{root}/gold")
+    gold = read_gold(spark, f"{root}/gold")
+    write_history(gold, f"{root}/history")
+    first = gold.agg(F.min("date_scraping").alias("date_scraping"))
+    write_history(gold.join(F.broadcast(first), "date_scraping", "left_semi"), f"{root}/history")
     history = register_history(spark, f"{root}/history", name="listing_history_roundtrip")
     return marts.price_evolution(to_staging(history))
 
