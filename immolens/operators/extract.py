@@ -1,7 +1,7 @@
 """Listing links of raw HTML pages -> Silver rows.
 
 Parsing HTML is the one step built-in SQL functions cannot express, so it
-runs as a ``mapInPandas`` over the page table: each Python worker receives
+runs as a ``mapInArrow`` over the page table: each Python worker receives
 Arrow batches of pages and emits one row per listing link. There is no
 shuffle; pages stay where the scan put them. Everything after the parse
 (cleaning, filters) is JVM-side column expressions.
@@ -19,11 +19,12 @@ import sys
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from immolens.functions import clean_text
 
@@ -172,23 +173,24 @@ def page_links(pages: DataFrame, html_col: str = "html", keep: Sequence[str] = (
     keep = list(keep)
     in_schema = pages.select(*keep, html_col).schema
     out_schema = T.StructType([in_schema[c] for c in keep] + LINK_FIELDS)
-    names = [f.name for f in LINK_FIELDS]
+    arrow_schema = to_arrow_schema(out_schema)
+    arrow_fields = [arrow_schema.field(f.name) for f in LINK_FIELDS]
 
-    def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             page_index, links = [], []
-            for i, html in enumerate(pdf[html_col].tolist()):
+            for i, html in enumerate(batch.column(html_col).to_pylist()):
                 for link in parse_listing_links(html, href_prefix, require_title):
                     page_index.append(i)
                     links.append(link)
-            # selecting rows of the input keeps its column types, even when empty
-            out = pdf[keep].iloc[page_index].reset_index(drop=True)
-            for c in names:
-                out[c] = pd.Series([link[c] for link in links], dtype=object)
-            out["position"] = out["position"].astype("Int32")
-            yield out
-
-    return pages.select(*keep, html_col).mapInPandas(parse_batches, out_schema)
+            # taking rows of the input keeps its column types, even when empty
+            taken = batch.select(keep).take(pa.array(page_index, type=pa.int64()))
+            columns = {c: taken.column(c) for c in keep}
+            for f in arrow_fields:
+                columns[f.name] = pa.array([link[f.name] for link in links], type=f.type)
+            yield pa.RecordBatch.from_pydict(columns, schema=arrow_schema)
+
+    return pages.select(*keep, html_col).mapInArrow(parse_batches, out_schema)
 
 
 def extract_listings(pages: DataFrame, origin, html_col: str = "html",

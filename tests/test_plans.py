@@ -79,7 +79,7 @@ def test_extraction_is_a_map_without_shuffle(spark):
     from immolens.operators.extract import page_links
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     plan = final_plan(page_links(pages, keep=["page_id"], href_prefix="/", require_title=False))
-    assert "MapInPandas" in plan
+    assert "MapInArrow" in plan
     assert "Exchange" not in plan
 
 
