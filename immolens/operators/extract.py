@@ -9,8 +9,10 @@ shuffle; pages stay where the scan put them. Everything after the parse
 The parser is the standard library's ``html.parser`` with an explicit
 open-element stack: void elements are never opened, an end tag closes the
 nearest open element of that name (unmatched end tags are ignored) and
-elements still open at the end are closed there. Text of ``script`` and
-``style`` and comments never counts as text.
+elements still open at the end are closed there. The visible text of an
+element (description, details) leaves out comments and the strings of
+``script``, ``style``, ``template``, ``rt`` and ``rp``; the price search
+looks at every string node in document order, comments included.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from immolens.functions import clean_text
 # Elements that never have content or an end tag.
 VOID_ELEMENTS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
-RAW_TEXT_ELEMENTS = frozenset({"script", "style"})
+NON_TEXT_ELEMENTS = frozenset({"script", "style", "template", "rt", "rp"})
 DEFAULT_HREF_PREFIX = "/immobilier/"
 EURO = "€"
 
@@ -40,6 +42,10 @@ EURO = "€"
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+class _Comment(str):
+    """A comment's text: a string node, but not visible text."""
+
+
 class _Node:
     __slots__ = ("tag", "attrs", "children", "parent")
 
@@ -47,14 +53,16 @@ class _Node:
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list = []          # _Node or str (text)
 
-    def texts(self) -> Iterator[str]:
-        """Text nodes of the subtree in document order."""
+    def strings(self, visible_only: bool = True) -> Iterator[str]:
+        """String nodes of the subtree in document order; ``visible_only``
+        leaves out comments and the content of non-text elements."""
         stack = [iter(self.children)]
         while stack:
             for child in stack[-1]:
                 if isinstance(child, str):
-                    yield child
-                elif child.tag not in RAW_TEXT_ELEMENTS:
+                    if not (visible_only and isinstance(child, _Comment)):
+                        yield child
+                elif not (visible_only and child.tag in NON_TEXT_ELEMENTS):
                     stack.append(iter(child.children))
                     break
             else:
@@ -73,7 +81,7 @@ class _Node:
                 stack.pop()
 
     def joined_text(self) -> str:
-        return " ".join(t.strip() for t in self.texts() if t.strip())
+        return " ".join(t.strip() for t in self.strings() if t.strip())
 
 
 class _TreeBuilder(HTMLParser):
@@ -100,6 +108,9 @@ class _TreeBuilder(HTMLParser):
     def handle_data(self, data):
         self.open[-1].children.append(data)
 
+    def handle_comment(self, data):
+        self.open[-1].children.append(_Comment(data))
+
 
 def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX,
                         require_title: bool = True) -> list[dict]:
@@ -136,7 +147,7 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
                     container = node
                     break
                 node = node.parent
-            price = next((t for t in container.texts() if EURO in t), None)
+            price = next((t for t in container.strings(visible_only=False) if EURO in t), None)
             first_p = next((e for e in container.elements() if e.tag == "p"), None)
             rows.append({
                 "position": position,

