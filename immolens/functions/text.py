@@ -28,7 +28,7 @@ def clean_text(c: Column | str) -> Column:
     """Empty -> null; CR/LF -> space; m2 -> m²; whitespace collapsed.
 
     A string of blanks only stays an empty string (it is not empty before
-    cleaning), as in the reference.
+    cleaning), as the original Python cleaning did.
     """
     s = _col(c)
     out = F.translate(s, "\r\n", "  ")

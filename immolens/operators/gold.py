@@ -42,11 +42,11 @@ def _date_value(snapshot_date) -> Column:
     return F.lit(snapshot_date).cast("date")
 
 
-def typed_listing_columns(number_style: str = "reference",
+def typed_listing_columns(number_style: str = "plain",
                           city_pattern: str = CITY_PATTERN,
                           default_city: str = DEFAULT_CITY) -> dict[str, Column]:
     """G1-G4 and G9-G10 as named expressions over Silver columns."""
-    if number_style == "reference":
+    if number_style == "plain":
         price = extract_int("price", PRICE_PATTERN)
         surface = extract_int("details", SURFACE_PATTERN)
     elif number_style == "fr":
@@ -64,7 +64,7 @@ def typed_listing_columns(number_style: str = "reference",
     }
 
 
-def to_gold(silver: DataFrame, snapshot_date, number_style: str = "reference",
+def to_gold(silver: DataFrame, snapshot_date, number_style: str = "plain",
             city_pattern: str = CITY_PATTERN, default_city: str = DEFAULT_CITY,
             order: Sequence[str] = ("source_file", "position"),
             dedupe: bool = True) -> DataFrame:

@@ -14,8 +14,11 @@ method here stays distributed instead:
 4. the answer is the smallest value whose cumulative count reaches the
    target rank.
 
-Everything stays lazy: the result is a one-row DataFrame, nothing is
-collected. The approximate method is Spark's ``percentile_approx`` (a
+Both branches (range totals and running counts) read the same range
+exchange, which Spark plans once and reuses, so a value's range is the
+same in both (``tests/test_plans.py`` checks the ``ReusedExchange``); a
+retried task keeps the range bounds of its shuffle. Everything stays lazy:
+the result is a one-row DataFrame, nothing is collected. The approximate method is Spark's ``percentile_approx`` (a
 mergeable sketch, rank error at most ``n / accuracy``).
 """
 
@@ -77,7 +80,7 @@ def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p",
 
 def percentile_approx(df: DataFrame, column: str, p: float, alias: str = "p",
                       accuracy: int = 10000) -> DataFrame:
-    """Sketch-based percentile (the reference's approx_percentile)."""
+    """Sketch-based percentile (approx_percentile, as the original market models used)."""
     return df.agg(F.percentile_approx(column, p, accuracy).alias(alias))
 
 

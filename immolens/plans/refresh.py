@@ -61,7 +61,7 @@ class RefreshResult:
 
 
 def ingest(spark: SparkSession, layout: Layout, snapshot_date: str | None, origin: str,
-           number_style: str = "reference") -> None:
+           number_style: str = "plain") -> None:
     """Raw pages -> Silver -> Gold -> History for one date (None: every date
     found under ``layout.raw``, processed in one job)."""
     meta = read_page_metadata(spark, layout.page_metadata) if layout.page_metadata else None
@@ -121,7 +121,7 @@ def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool
 
 
 def refresh(spark: SparkSession, layout: Layout, snapshot_date: str | dt.date | None,
-            origin: str, as_of=None, number_style: str = "reference",
+            origin: str, as_of=None, number_style: str = "plain",
             fail_on_checks: bool = False) -> RefreshResult:
     """R1 (one date) and R2 (backfill: any past date, or None for all)."""
     if isinstance(snapshot_date, dt.date):
@@ -133,7 +133,7 @@ def refresh(spark: SparkSession, layout: Layout, snapshot_date: str | dt.date |
 
 
 def backfill(spark: SparkSession, layout: Layout, origin: str, as_of=None,
-             number_style: str = "reference") -> RefreshResult:
+             number_style: str = "plain") -> RefreshResult:
     """R2: rebuild every date found in the raw layer in one distributed job."""
     return refresh(spark, layout, None, origin, as_of, number_style)
 
@@ -157,7 +157,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--origin", required=True, help="scheme and host prefixed to listing links")
     parser.add_argument("--date", default=None, help="snapshot date yyyy-MM-dd (default: every date)")
     parser.add_argument("--as-of", default=None, help="freshness reference time (default: now, UTC)")
-    parser.add_argument("--number-style", default="reference", choices=["reference", "fr"])
+    parser.add_argument("--number-style", default="plain", choices=["plain", "fr"])
     parser.add_argument("--fail-on-checks", action="store_true")
     args = parser.parse_args(argv)
 
