@@ -1,0 +1,106 @@
+"""The market models as Spark SQL over named views.
+
+Users who query the staging view and the marts with SQL can keep doing so:
+``register_models`` binds the history, creates the staging view and one
+view per model, in dependency order, and returns them as DataFrames. The
+SQL is the Spark dialect of the same computations as ``operators.marts``
+(same rounding, same null ordering, same tie-breaks), and Catalyst plans it
+the same way. The 20th-percentile cut is the one piece not written in SQL:
+``percentile_disc`` would merge all distinct values of the history in one
+task, so the cut comes from the distributed ``percentile_exact`` as a
+one-row view.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from immolens.operators.percentile import percentile_exact
+
+# ROUND(x, 2) through a decimal, as ``functions.round2``.
+_R2 = "CAST(ROUND(CAST({} AS DECIMAL(18,6)), 2) AS DOUBLE)"
+
+
+def _r2(expr: str) -> str:
+    return _R2.format(expr)
+
+
+STAGING_SQL = f"""
+SELECT CAST(id_annonce AS STRING) AS id_annonce,
+       CONCAT(UPPER(SUBSTR(title, 1, 1)), LOWER(SUBSTR(title, 2))) AS title,
+       CAST(price_eur AS DOUBLE) AS price_eur,
+       CAST(surface_m2 AS DOUBLE) AS surface_m2,
+       CAST(nb_pieces AS INT) AS nb_pieces,
+       CASE WHEN price_eur IS NOT NULL AND surface_m2 > 0
+            THEN {_r2("CAST(price_eur AS DOUBLE) / CAST(surface_m2 AS DOUBLE)")} END AS price_m2,
+       CONCAT(UPPER(SUBSTR(city, 1, 1)), LOWER(SUBSTR(city, 2))) AS city,
+       TRIM(description) AS description,
+       {{date_expr}} AS date_scraping
+FROM {{history}}
+WHERE price_eur IS NOT NULL AND surface_m2 > 0
+"""
+
+MODEL_SQL = {
+    "mart_evolution_prix": f"""
+SELECT date_scraping, {_r2("AVG(price_m2)")} AS avg_price_m2, {_r2("AVG(price_eur)")} AS avg_price,
+       COUNT(*) AS nb_annonces
+FROM stg_listings GROUP BY date_scraping ORDER BY date_scraping ASC NULLS LAST""",
+
+    "mart_typologie_logement": f"""
+SELECT nb_pieces, COUNT(*) AS nb_annonces, {_r2("AVG(price_m2)")} AS avg_price_m2,
+       {_r2("AVG(price_eur)")} AS avg_rent, {_r2("AVG(surface_m2)")} AS avg_surface
+FROM stg_listings GROUP BY nb_pieces ORDER BY nb_pieces ASC NULLS LAST""",
+
+    "mart_prix_moyen": f"""
+WITH daily_avg AS (
+  SELECT city, date_scraping, AVG(price_m2) AS avg_price_m2_daily, AVG(surface_m2) AS avg_surface_m2_daily
+  FROM stg_listings GROUP BY city, date_scraping)
+SELECT city, {_r2("AVG(avg_price_m2_daily)")} AS avg_price_m2,
+       {_r2("AVG(avg_surface_m2_daily)")} AS avg_surface_m2, COUNT(*) AS nb_weeks
+FROM daily_avg GROUP BY city ORDER BY avg_price_m2 DESC NULLS LAST, city ASC NULLS LAST""",
+
+    "mart_top_annonces": """
+SELECT /*+ BROADCAST(c) */ s.id_annonce, s.title, s.city, s.price_eur, s.surface_m2, s.price_m2,
+       s.date_scraping, s.description
+FROM stg_listings s CROSS JOIN price_cut_p20 c
+WHERE s.price_m2 <= c.p20
+ORDER BY s.price_m2 ASC NULLS LAST, s.id_annonce ASC NULLS LAST, s.date_scraping ASC NULLS LAST,
+         s.price_eur ASC NULLS LAST, s.surface_m2 ASC NULLS LAST, s.title ASC NULLS LAST,
+         s.city ASC NULLS LAST, s.description ASC NULLS LAST
+LIMIT 20""",
+
+    "kpi_marche": f"""
+SELECT MAX(date_scraping) AS last_scraping, COUNT(*) AS total_annonces,
+       {_r2("AVG(price_m2)")} AS avg_price_m2, {_r2("MIN(price_m2)")} AS min_price_m2,
+       {_r2("MAX(price_m2)")} AS max_price_m2, {_r2("AVG(surface_m2)")} AS avg_surface,
+       {_r2("AVG(price_eur)")} AS avg_rent
+FROM stg_listings""",
+
+    "persistence_annonces": f"""
+WITH presence AS (
+  SELECT id_annonce, MIN(date_scraping) AS first_seen, MAX(date_scraping) AS last_seen,
+         COUNT(DISTINCT date_scraping) AS nb_weeks_visible, AVG(price_m2) AS avg_price_m2,
+         AVG(price_eur) AS avg_rent, AVG(surface_m2) AS avg_surface
+  FROM stg_listings GROUP BY id_annonce)
+SELECT id_annonce, first_seen, last_seen, nb_weeks_visible, {_r2("avg_price_m2")} AS avg_price_m2,
+       {_r2("avg_rent")} AS avg_rent, {_r2("avg_surface")} AS avg_surface
+FROM presence ORDER BY nb_weeks_visible DESC, id_annonce ASC NULLS LAST LIMIT 20""",
+}
+
+
+def register_models(spark: SparkSession, history: DataFrame,
+                    history_view: str = "listing_history") -> dict[str, DataFrame]:
+    """Create the views ``listing_history``, ``stg_listings``,
+    ``price_cut_p20`` and one per model; return the models by name."""
+    history.createOrReplaceTempView(history_view)
+    dtype = history.schema["date_scraping"].dataType.simpleString()
+    date_expr = ("DATE_FROM_UNIX_DATE(CAST(date_scraping AS INT))"
+                 if dtype in ("int", "bigint", "smallint", "tinyint") else "CAST(date_scraping AS DATE)")
+    stg = spark.sql(STAGING_SQL.format(history=history_view, date_expr=date_expr))
+    stg.createOrReplaceTempView("stg_listings")
+    percentile_exact(stg, "price_m2", 0.2, alias="p20").createOrReplaceTempView("price_cut_p20")
+    models = {}
+    for name, sql in MODEL_SQL.items():
+        models[name] = spark.sql(sql)
+        models[name].createOrReplaceTempView(name)
+    return models

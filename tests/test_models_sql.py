@@ -1,0 +1,39 @@
+"""The SQL models give the same tables as the DataFrame marts."""
+
+import pytest
+
+from immolens.operators import marts
+from immolens.operators.staging import to_staging
+from immolens.plans.adapters import history_from_tables
+from immolens.plans.models import register_models
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def models_and_staging(spark):
+    history = history_from_tables(spark, SF)
+    return register_models(spark, history), to_staging(history)
+
+
+@pytest.mark.parametrize("name,build", [
+    ("mart_evolution_prix", lambda s: marts.price_evolution(s)),
+    ("mart_typologie_logement", lambda s: marts.typology(s)),
+    ("mart_prix_moyen", lambda s: marts.mean_of_snapshot_means(s)),
+    ("mart_top_annonces", lambda s: marts.best_deals(s)),
+    ("kpi_marche", lambda s: marts.market_kpi(s)),
+    ("persistence_annonces", lambda s: marts.persistence(s, limit=20)),
+])
+def test_sql_model_equals_dataframe_mart(spark, models_and_staging, name, build):
+    models, stg = models_and_staging
+    sql_rows = [tuple(r) for r in models[name].collect()]
+    df_rows = [tuple(r) for r in build(stg).collect()]
+    assert models[name].columns == build(stg).columns
+    assert sql_rows == df_rows            # same order too
+    assert len(sql_rows) > 0
+
+
+def test_views_are_registered(spark, models_and_staging):
+    names = {t.name for t in spark.catalog.listTables()}
+    assert {"stg_listings", "price_cut_p20", "kpi_marche", "mart_top_annonces"} <= names
+    assert spark.table("stg_listings").count() == models_and_staging[1].count()
