@@ -7,7 +7,7 @@ plain SQL over the same Parquet tables. Column names and types match.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -141,15 +141,18 @@ def gold_from_html(spark, sf_dir):
     return to_gold(silver, F.col("snapshot_date"))
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/immolens-queries/{name}-{uuid.uuid4().hex}"
+def _scratch(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """A folder under the cluster's shared checkpoint folder, fixed per query
+    and input: every sink overwrites partitions dynamically, so running the
+    query again replaces what the last run wrote instead of piling up."""
+    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/immolens-queries/{name}-{tag}"
 
 
 def silver_csv_roundtrip(spark, sf_dir):
     """Silver written as date-partitioned CSV (quotes, line breaks inside
     fields), read back with the fixed schema, then typed to Gold."""
-    path = _scratch(spark, "silver")
+    path = _scratch(spark, "silver", sf_dir)
     write_silver(silver_from_tables(spark, sf_dir), path)
     return to_gold(read_silver(spark, path), F.col("snapshot_date"))
 
@@ -158,7 +161,7 @@ def history_files_roundtrip(spark, sf_dir):
     """Gold and History written as date-partitioned Parquet, the first
     snapshot written again (a rerun replaces its partition only), the
     history bound to a name, read back, staged and aggregated."""
-    root = _scratch(spark, "layers")
+    root = _scratch(spark, "layers", sf_dir)
     write_gold(history_from_tables(spark, sf_dir), f"{root}/gold")
     gold = read_gold(spark, f"{root}/gold")
     write_history(gold, f"{root}/history")
