@@ -36,7 +36,8 @@ def read_pages(spark: SparkSession, root: str, snapshot_date: str | None = None,
     Date and page number come from the path; the metadata table, when
     given, is joined on (snapshot_date, page_no). No page -> empty result.
     """
-    pattern = f"{root.rstrip('/')}/{snapshot_date or '*'}"
+    date_glob = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"   # only yyyy-MM-dd folders
+    pattern = f"{root.rstrip('/')}/{snapshot_date or date_glob}"
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.html")
                  .load(pattern).select("path", "content"))

@@ -39,6 +39,8 @@ def test_read_pages_decodes_and_numbers(spark, tmp_dir):
     assert pages[0]["html"] == "<p>café  ok</p>"
     assert pages[0]["snapshot_date"] == dt.date(2025, 2, 1)
     assert read_pages(spark, tmp_dir, "2030-01-01").count() == 0
+    write_page(tmp_dir, "not-a-date", 1, "x")
+    assert read_pages(spark, tmp_dir).count() == 3
 
 
 def test_take_until_end(spark, tmp_dir):
