@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 
@@ -20,6 +21,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+def parquet_glob(sf_dir: str, table: str) -> str:
+    """A table is one Parquet file or a folder of them."""
+    path = os.path.realpath(f"{sf_dir}/{table}.parquet")
+    return f"{path}/*.parquet" if os.path.isdir(path) else path
+
+
 def norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 9)
@@ -59,7 +66,7 @@ def main():
     spark = local_session(8)
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{parquet_glob(sf_dir, t)}')")
     bad = 0
     for n in names:
         try:
