@@ -114,3 +114,21 @@ def test_bad_link_is_isolated(monkeypatch):
     links = ex.parse_listing_links(html)
     assert links[0]["error"] is not None
     assert links[1]["error"] is None and links[1]["description"] == "two"
+
+
+def test_image_and_title_links_two_silver_rows_one_gold_row(spark):
+    from pyspark.sql import functions as F
+    from immolens.operators.gold import to_gold
+    html = ('<article><a href="/immobilier/a/42/" title="Appartement 2 pièces"><img src="x.jpg"></a>'
+            '<a href="/immobilier/a/42/" title="Appartement 2 pièces">Appartement 2 pièces</a>'
+            '<span>Rouen (76) 45 m<sup>2</sup></span><p>Calme</p><b>650 €</b></article>')
+    pages = spark.createDataFrame([("raw/2025-02-01/page_1.html", html)], "source_file string, html string")
+    silver = extract_listings(pages, ORIGIN)
+    rows = silver.orderBy("position").collect()
+    assert [r["position"] for r in rows] == [1, 2]
+    assert "45 m²" in rows[0]["details"]
+    gold = to_gold(silver, "2025-02-01").collect()
+    assert len(gold) == 1
+    g = gold[0]
+    assert (g["id_annonce"], g["price_eur"], g["surface_m2"], g["nb_pieces"], g["city"], g["price_m2"]) == \
+        ("42", 650, 45, 2, "Rouen", 14.44)
