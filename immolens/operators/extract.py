@@ -129,6 +129,10 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
     builder.close()
     rows = []
     position = 0
+    # price, description and details depend on the container only: links
+    # sharing a container (a list of links in one block) reuse them, so a
+    # page costs linear time in its size.
+    fields_of: dict[int, tuple] = {}
     for a in builder.root.elements():
         if a.tag != "a":
             continue
@@ -147,15 +151,22 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
                     container = node
                     break
                 node = node.parent
-            price = next((t for t in container.strings(visible_only=False) if EURO in t), None)
-            first_p = next((e for e in container.elements() if e.tag == "p"), None)
+            if id(container) not in fields_of:
+                price = next((t for t in container.strings(visible_only=False) if EURO in t), None)
+                first_p = next((e for e in container.elements() if e.tag == "p"), None)
+                fields_of[id(container)] = (
+                    price,
+                    first_p.joined_text() if first_p is not None else None,
+                    container.joined_text(),
+                )
+            price, description, details = fields_of[id(container)]
             rows.append({
                 "position": position,
                 "href": href,
                 "title": title,
                 "price": price,
-                "description": first_p.joined_text() if first_p is not None else None,
-                "details": container.joined_text(),
+                "description": description,
+                "details": details,
                 "error": None,
             })
         except Exception as exc:  # X8: a bad link is skipped, the page goes on

@@ -132,3 +132,13 @@ def test_image_and_title_links_two_silver_rows_one_gold_row(spark):
     g = gold[0]
     assert (g["id_annonce"], g["price_eur"], g["surface_m2"], g["nb_pieces"], g["city"], g["price_m2"]) == \
         ("42", 650, 45, 2, "Rouen", 14.44)
+
+
+def test_many_links_in_one_container_is_linear():
+    import time
+    links = "".join(f'<li><a href="/immobilier/{i}" title="t{i}">x</a></li>' for i in range(4000))
+    html = f"<article><ul>{links}</ul><p>desc</p><div>500 €</div></article>"
+    t0 = time.perf_counter()
+    out = parse_listing_links(html)
+    assert time.perf_counter() - t0 < 5
+    assert len(out) == 4000 and out[-1]["price"] == "500 €" and out[0]["description"] == "desc"
