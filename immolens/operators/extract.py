@@ -47,11 +47,13 @@ class _Comment(str):
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "article")
 
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list = []          # _Node or str (text)
+        # nearest <article> at or above this node, fixed when it is created
+        self.article = self if tag == "article" else (parent.article if parent is not None else None)
 
     def strings(self, visible_only: bool = True) -> Iterator[str]:
         """String nodes of the subtree in document order; ``visible_only``
@@ -89,20 +91,28 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root", {}, None)
         self.open = [self.root]
+        self.open_count: dict[str, int] = {}   # open elements per tag name
 
     def handle_starttag(self, tag, attrs):
         node = _Node(tag, dict(attrs), self.open[-1])
         self.open[-1].children.append(node)
         if tag not in VOID_ELEMENTS:
             self.open.append(node)
+            self.open_count[tag] = self.open_count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         self.open[-1].children.append(_Node(tag, dict(attrs), self.open[-1]))
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
+        # An end tag with no open element of its name is ignored at once;
+        # otherwise the scan stops at that element and everything it passes
+        # is closed, so the total work stays linear in the page size.
+        if not self.open_count.get(tag):
+            return
+        while True:
+            node = self.open.pop()
+            self.open_count[node.tag] -= 1
+            if node.tag == tag:
                 return
 
     def handle_data(self, data):
@@ -144,13 +154,7 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
             title = a.attrs.get("title")
             if not href or (require_title and not title):
                 continue
-            container = a.parent
-            node = a.parent
-            while node is not None:
-                if node.tag == "article":
-                    container = node
-                    break
-                node = node.parent
+            container = a.parent.article or a.parent
             if id(container) not in fields_of:
                 price = next((t for t in container.strings(visible_only=False) if EURO in t), None)
                 first_p = next((e for e in container.elements() if e.tag == "p"), None)

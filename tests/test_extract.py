@@ -142,3 +142,13 @@ def test_many_links_in_one_container_is_linear():
     out = parse_listing_links(html)
     assert time.perf_counter() - t0 < 5
     assert len(out) == 4000 and out[-1]["price"] == "500 €" and out[0]["description"] == "desc"
+
+
+def test_unclosed_and_unmatched_tags_stay_linear():
+    import time
+    html = ("<div>" * 20000) + ("</b>" * 20000) + \
+        '<article><a href="/immobilier/1" title="t">t</a><p>d</p></article>' * 2000
+    t0 = time.perf_counter()
+    out = parse_listing_links(html)
+    assert time.perf_counter() - t0 < 10
+    assert len(out) == 2000 and out[0]["details"] == "t d"
