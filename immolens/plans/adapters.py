@@ -100,7 +100,7 @@ def silver_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = observations_from_tables(spark, sf_dir)
     ln = F.col("l_linenumber")
     city_word = F.concat(F.substring("n_name", 1, 1),
-                         F.lower(F.translate(F.substring("n_name", 2, 64), "0123456789_", "abcdefghij ")))
+                         F.lower(F.translate(F.substring("n_name", 2, 2147483647), "0123456789_", "abcdefghij ")))
     key = F.col("l_partkey").cast("string")
     return obs.select(
         F.when(ln % 3 == 0, F.concat(F.lit("Studio "), F.col("p_name")))
@@ -202,7 +202,7 @@ def listing_pages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = observations_from_tables(spark, sf_dir)
     ln = F.col("l_linenumber")
     city_word = F.concat(F.substring("n_name", 1, 1),
-                         F.lower(F.translate(F.substring("n_name", 2, 64), "0123456789_", "abcdefghij ")))
+                         F.lower(F.translate(F.substring("n_name", 2, 2147483647), "0123456789_", "abcdefghij ")))
     title = (F.when(ln % 3 == 0, F.concat(F.lit("Studio "), F.col("p_name")))
               .otherwise(F.concat(F.lit("Appartement "), (F.col("p_size") % 8).cast("string"),
                                   F.lit(" Pièces "), F.upper("p_name"))))

@@ -299,7 +299,7 @@ silver AS (
   SELECT CASE WHEN l.l_linenumber % 3 = 0 THEN 'Studio ' || p.p_name
               ELSE 'Appartement ' || CAST(p.p_size % 8 AS VARCHAR) || ' Pièces ' || upper(p.p_name) END AS title,
          p.p_type || ' ' || CAST(CAST(floor(l.l_quantity) AS BIGINT) AS VARCHAR) || ' m² - '
-           || substr(n.n_name, 1, 1) || lower(translate(substr(n.n_name, 2, 64), '0123456789_', 'abcdefghij '))
+           || substr(n.n_name, 1, 1) || lower(translate(substr(n.n_name, 2), '0123456789_', 'abcdefghij '))
            || CASE WHEN l.l_linenumber % 4 = 0 THEN '' ELSE ' (76)' END AS details,
          CASE WHEN l.l_linenumber % 5 = 0 THEN 'Prix sur demande'
               ELSE CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR) || ' €' END AS price,
@@ -323,7 +323,7 @@ obs AS (
          CASE WHEN l.l_linenumber % 3 = 0 THEN 'Studio ' || p.p_name
               ELSE 'Appartement ' || CAST(p.p_size % 8 AS VARCHAR) || ' Pièces ' || upper(p.p_name) END AS title,
          p.p_type || ' ' || CAST(CAST(floor(l.l_quantity) AS BIGINT) AS VARCHAR) || ' m² - '
-           || substr(n.n_name, 1, 1) || lower(translate(substr(n.n_name, 2, 64), '0123456789_', 'abcdefghij '))
+           || substr(n.n_name, 1, 1) || lower(translate(substr(n.n_name, 2), '0123456789_', 'abcdefghij '))
            || CASE WHEN l.l_linenumber % 4 = 0 THEN '' ELSE ' (76)' END AS details,
          CASE WHEN l.l_linenumber % 5 <> 0
               THEN CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR) || ' €' END AS price,
