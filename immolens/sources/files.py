@@ -110,8 +110,11 @@ def register_history(spark: SparkSession, path: str, name: str = "listing_histor
     """Bind the history files to a name: a temp view, or an external
     (metastore) table over the same location."""
     if external:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in GOLD.fields)
+        location = path.replace("'", "\\'")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, path=path, source="parquet", schema=GOLD)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet "
+                  f"PARTITIONED BY (date_scraping) LOCATION '{location}'")
         spark.catalog.recoverPartitions(name)
         return spark.table(name)
     df = read_history(spark, path)

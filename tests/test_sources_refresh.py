@@ -171,3 +171,32 @@ def test_gold_files_with_text_dates(spark, tmp_dir):
     assert sorted(str(r["date_scraping"]) for r in g.collect()) == ["2025-02-01", "2025-02-08"]
     with pytest.raises(Exception):
         read_text_dated_gold_files(spark, os.path.join(tmp_dir, "nothing_*.parquet")).count()
+
+
+def test_history_as_external_table(spark, tmp_dir):
+    from immolens.operators.gold import to_gold
+    from immolens.sources.files import register_history
+    s = spark.createDataFrame([("A", "30 m²", "600 €", "d", "https://x/a/1/", "p", 1)], SILVER)
+    for d in ("2025-02-01", "2025-02-08"):
+        write_gold(to_gold(s, d), tmp_dir)
+    t = register_history(spark, tmp_dir, name="listing_history_ext", external=True)
+    assert t.count() == 2
+    assert spark.sql("SELECT count(DISTINCT date_scraping) FROM listing_history_ext").collect()[0][0] == 2
+
+
+def test_cut_at_first_with_a_hot_group(spark):
+    import random
+    from immolens.operators.cutoff import cut_at_first
+    rng = random.Random(3)
+    rows = [(0 if i % 3 == 0 else rng.randint(1, 50), i, rng.choice(["view", "view", "error"]))
+            for i in range(6000)]
+    df = spark.createDataFrame(rows, "user_id long, ts long, event_type string")
+    got = sorted(tuple(r) for r in cut_at_first(df, ["user_id"], ["ts"], F.col("event_type") == "error").collect())
+    want, stopped = [], set()
+    for u, t, e in sorted(rows, key=lambda r: (r[0], r[1])):
+        if u in stopped:
+            continue
+        want.append((u, t, e))
+        if e == "error":
+            stopped.add(u)
+    assert got == sorted(want)
