@@ -35,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.ansi.enabled", "true")
+        # local runs keep catalog tables out of the working folder
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="immolens-warehouse-"))
     )
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
