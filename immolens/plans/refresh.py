@@ -28,7 +28,7 @@ from immolens.operators.quality import (
 )
 from immolens.operators.staging import to_staging
 from immolens.sources.files import (
-    read_history, read_silver, save_table, write_gold, write_history, write_silver,
+    read_gold, read_history, read_silver, save_table, write_gold, write_history, write_silver,
 )
 from immolens.sources.pages import read_page_metadata, read_pages, take_until_end
 from immolens.sources.seed import typology_seed
@@ -75,7 +75,7 @@ def ingest(spark: SparkSession, layout: Layout, snapshot_date: str | None, origi
 
     # History gets the snapshot's partition only; a backfill of every date
     # rewrites the partitions present in Gold.
-    history_rows = spark.read.parquet(layout.gold)
+    history_rows = read_gold(spark, layout.gold, required=False)
     if snapshot_date is not None:
         history_rows = history_rows.where(F.col("date_scraping") == F.lit(snapshot_date).cast("date"))
     write_history(history_rows, layout.history)

@@ -17,6 +17,21 @@ from immolens.schema import GOLD, GOLD_COLUMNS, SILVER
 SILVER_DATE = "snapshot_date"
 
 
+def _missing(exc: Exception) -> bool:
+    text = str(exc)
+    return "PATH_NOT_FOUND" in text or "Path does not exist" in text
+
+
+def _read_or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
+    """A layer that was never written reads as an empty table."""
+    try:
+        return read()
+    except Exception as exc:
+        if _missing(exc):
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def _partitioned_overwrite(df: DataFrame, partition_col: str):
     """Dynamic-overwrite writer partitioned by ``partition_col``.
 
@@ -44,8 +59,9 @@ def read_silver(spark: SparkSession, path: str, snapshot_date: str | None = None
     without a byte-order mark) is skipped, columns are taken by position.
     """
     schema = T.StructType(SILVER.fields + [T.StructField(SILVER_DATE, T.DateType())])
-    df = (spark.read.schema(schema).option("header", True).option("escape", '"')
-          .option("multiLine", True).option("encoding", "UTF-8").csv(path))
+    df = _read_or_empty(spark, schema, lambda: (
+        spark.read.schema(schema).option("header", True).option("escape", '"')
+        .option("multiLine", True).option("encoding", "UTF-8").csv(path)))
     if snapshot_date is not None:
         df = df.where(F.col(SILVER_DATE) == F.lit(snapshot_date).cast("date"))
     return df
@@ -72,10 +88,11 @@ def write_gold(gold: DataFrame, path: str) -> None:
     _partitioned_overwrite(gold.select(*GOLD_COLUMNS), "date_scraping").parquet(path)
 
 
-def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    """Every Gold snapshot under ``path``; no snapshot at all is an error."""
-    df = spark.read.schema(GOLD).parquet(path)
-    if not df.inputFiles():
+def read_gold(spark: SparkSession, path: str, required: bool = True) -> DataFrame:
+    """Every Gold snapshot under ``path``; no snapshot at all is an
+    error unless ``required`` is False (then an empty table)."""
+    df = _read_or_empty(spark, GOLD, lambda: spark.read.schema(GOLD).parquet(path))
+    if required and not df.inputFiles():
         raise FileNotFoundError(f"no Gold snapshot under {path}")
     return df
 
@@ -101,8 +118,8 @@ def write_history(history: DataFrame, path: str, single_file: bool = False) -> N
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """History as written by ``write_history``."""
-    return spark.read.schema(GOLD).parquet(path)
+    """History as written by ``write_history`` (empty if never written)."""
+    return _read_or_empty(spark, GOLD, lambda: spark.read.schema(GOLD).parquet(path))
 
 
 def register_history(spark: SparkSession, path: str, name: str = "listing_history",

@@ -200,3 +200,9 @@ def test_cut_at_first_with_a_hot_group(spark):
         if e == "error":
             stopped.add(u)
     assert got == sorted(want)
+
+
+def test_first_run_without_pages_fails_on_freshness(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/raw")
+    with pytest.raises(FreshnessError):
+        refresh(spark, layout(tmp_dir), "2025-02-02", ORIGIN, as_of=dt.datetime(2025, 2, 3))
