@@ -21,15 +21,18 @@ def cut_at_first(df: DataFrame, group: Sequence[str], order: Sequence[str],
     the first row where ``stop_before`` holds. Groups with no stop keep all.
     """
     group, order = list(group), list(order)
-    key = F.struct(*[F.col(c) for c in order])
+    # A single fixed-width order column is compared as is (hash aggregation);
+    # several columns are compared as a struct.
+    key = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     stops = {name: cond for name, cond in (("_after", stop_after), ("_before", stop_before))
              if cond is not None}
     if not stops:
         return df
 
-    # One row per group that has a stop: the smallest order key of each kind.
-    firsts = df.groupBy(*group).agg(*[F.min(F.when(cond, key)).alias(name)
-                                      for name, cond in stops.items()])
+    # The stop keys are projected first, so the aggregation (and any sort it
+    # needs) sees narrow rows, not the wide rows the conditions read.
+    marks = df.select(*group, *[F.when(cond, key).alias(name) for name, cond in stops.items()])
+    firsts = marks.groupBy(*group).agg(*[F.min(name).alias(name) for name in stops])
     any_stop = F.lit(False)
     for name in stops:
         any_stop = any_stop | F.col(name).isNotNull()
