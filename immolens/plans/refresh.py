@@ -82,18 +82,22 @@ def ingest(spark: SparkSession, layout: Layout, snapshot_date: str | None, origi
 
 
 MART_BUILDERS = {
-    "mart_evolution_prix": lambda stg, seed: marts.price_evolution(stg),
-    "mart_typologie_logement": lambda stg, seed: marts.typology(stg),
-    "mart_typologie_libelle": lambda stg, seed: marts.typology_labelled(stg, seed),
-    "mart_prix_moyen": lambda stg, seed: marts.mean_of_snapshot_means(stg),
-    "mart_top_annonces": lambda stg, seed: marts.best_deals(stg),
-    "kpi_marche": lambda stg, seed: marts.market_kpi(stg),
-    "persistence_annonces": lambda stg, seed: marts.persistence(stg, limit=20),
+    "mart_evolution_prix": lambda stg, seed, pm: marts.price_evolution(stg),
+    "mart_typologie_logement": lambda stg, seed, pm: marts.typology(stg),
+    "mart_typologie_libelle": lambda stg, seed, pm: marts.typology_labelled(stg, seed),
+    "mart_prix_moyen": lambda stg, seed, pm: marts.mean_of_snapshot_means(stg),
+    "mart_top_annonces": lambda stg, seed, pm: marts.best_deals(stg, method=pm),
+    "kpi_marche": lambda stg, seed, pm: marts.market_kpi(stg),
+    "persistence_annonces": lambda stg, seed, pm: marts.persistence(stg, limit=20),
 }
 
 
-def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool = False) -> RefreshResult:
-    """History -> freshness gate -> staging -> marts -> checks."""
+def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool = False,
+                percentile_method: str = "exact") -> RefreshResult:
+    """History -> freshness gate -> staging -> marts -> checks.
+
+    ``percentile_method="approx"`` takes the best-deals cut from the sketch
+    (``percentile_approx``) instead of the exact distributed percentile."""
     history = read_history(spark, layout.history)
     fresh = freshness(history, snapshot_loaded_at(), as_of).first().asDict()
     if fresh["status"] == "error":
@@ -107,7 +111,7 @@ def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool
         written = {}
         for name, build in MART_BUILDERS.items():
             path = f"{layout.marts.rstrip('/')}/{name}"
-            save_table(build(stg, seed), path)
+            save_table(build(stg, seed, percentile_method), path)
             written[name] = path
         checks = (run_checks(stg, "stg_listings", STAGING_CHECKS)
                   .unionByName(run_checks(history, "listing_history", SOURCE_CHECKS)))
@@ -122,14 +126,14 @@ def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool
 
 def refresh(spark: SparkSession, layout: Layout, snapshot_date: str | dt.date | None,
             origin: str, as_of=None, number_style: str = "plain",
-            fail_on_checks: bool = False) -> RefreshResult:
+            fail_on_checks: bool = False, percentile_method: str = "exact") -> RefreshResult:
     """R1 (one date) and R2 (backfill: any past date, or None for all)."""
     if isinstance(snapshot_date, dt.date):
         snapshot_date = snapshot_date.isoformat()
     ingest(spark, layout, snapshot_date, origin, number_style)
     if as_of is None:
         as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return build_marts(spark, layout, as_of, fail_on_checks)
+    return build_marts(spark, layout, as_of, fail_on_checks, percentile_method)
 
 
 def backfill(spark: SparkSession, layout: Layout, origin: str, as_of=None,
@@ -159,6 +163,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of", default=None, help="freshness reference time (default: now, UTC)")
     parser.add_argument("--number-style", default="plain", choices=["plain", "fr"])
     parser.add_argument("--fail-on-checks", action="store_true")
+    parser.add_argument("--percentile", default="exact", choices=["exact", "approx"])
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("immolens-refresh").getOrCreate()
@@ -166,7 +171,7 @@ def main(argv: list[str] | None = None) -> None:
     layout = Layout(raw=f"{root}/raw", silver=f"{root}/silver", gold=f"{root}/gold",
                     history=f"{root}/history", marts=f"{root}/marts")
     result = refresh(spark, layout, args.date, args.origin, args.as_of, args.number_style,
-                     args.fail_on_checks)
+                     args.fail_on_checks, args.percentile)
     print(json.dumps({"freshness": result.freshness, "checks": result.checks,
                       "marts": result.marts}, default=str))
 
