@@ -206,3 +206,14 @@ def test_first_run_without_pages_fails_on_freshness(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/raw")
     with pytest.raises(FreshnessError):
         refresh(spark, layout(tmp_dir), "2025-02-02", ORIGIN, as_of=dt.datetime(2025, 2, 3))
+
+
+def test_command_line_entry(spark, tmp_dir, capsys):
+    import json as _json
+    from immolens.plans.refresh import main
+    build_raw(f"{tmp_dir}/raw")
+    main(["--root", tmp_dir, "--origin", ORIGIN, "--as-of", "2025-02-10 00:00:00", "--percentile", "approx"])
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["freshness"]["status"] == "pass"
+    assert set(out["marts"]) >= {"mart_prix_moyen", "kpi_marche", "mart_top_annonces"}
+    assert spark.read.parquet(out["marts"]["kpi_marche"]).collect()[0]["total_annonces"] == 4
