@@ -1,0 +1,63 @@
+"""Operators against plain-Python brute force on random inputs."""
+
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from immolens.operators.gold import dedupe_first
+from immolens.operators.history import history_stats
+from immolens.sources.pages import take_until_end
+
+PAGE = st.tuples(st.integers(0, 3),                       # date index
+                 st.integers(1, 12),                      # page number
+                 st.sampled_from(["10 annonces", "Aucune annonce", "0 annonce", "x 20 annonces", "ok"]),
+                 st.sampled_from([200, 200, 200, 404, 503, None]))
+
+
+def brute_cut(pages):
+    kept = []
+    by_date = {}
+    for p in pages:
+        by_date.setdefault(p[0], []).append(p)
+    for rows in by_date.values():
+        for d, n, text, status in sorted(rows, key=lambda r: r[1]):
+            if status is not None and status >= 400:
+                break
+            kept.append((d, n, text, status))
+            if "Aucune annonce" in text or text.startswith("0 annonce") or " 0 annonce" in text:
+                break
+    return sorted(kept)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(PAGE, max_size=40, unique_by=lambda p: (p[0], p[1])))
+def test_take_until_end_matches_brute_force(spark, pages):
+    rows = [(dt.date(2025, 1, 5) + dt.timedelta(days=7 * d), n, text, status) for d, n, text, status in pages]
+    df = spark.createDataFrame(rows, "snapshot_date date, page_no int, html string, status_code int")
+    got = sorted(tuple(r) for r in take_until_end(df).collect())
+    want = brute_cut(rows)
+    assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.integers(0, 50), st.text(max_size=3)),
+                max_size=60, unique_by=lambda r: (r[0], r[1], r[2])))
+def test_dedupe_first_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k1 int, k2 int, o int, v string")
+    got = sorted(tuple(r) for r in dedupe_first(df, ["k1", "k2"], ["o"]).collect())
+    best = {}
+    for r in rows:
+        if (r[0], r[1]) not in best or r[2] < best[(r[0], r[1])][2]:
+            best[(r[0], r[1])] = r
+    assert got == sorted(best.values())
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("abcde")),
+                          st.one_of(st.none(), st.integers(0, 4))), max_size=50))
+def test_history_stats_matches_brute_force(spark, rows):
+    data = [(i, None if d is None else dt.date(2025, 1, 1) + dt.timedelta(days=d)) for i, d in rows]
+    df = spark.createDataFrame(data, "id_annonce string, date_scraping date")
+    got = tuple(history_stats(df).collect()[0])
+    assert got == (len(data), len({r[0] for r in data}), len({r[1] for r in data}))
