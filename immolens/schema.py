@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 # Raw page table: one row per fetched result page.
 RAW_PAGE = T.StructType([
     T.StructField("snapshot_date", T.DateType()),
-    T.StructField("page_no", T.IntegerType()),
+    T.StructField("page_no", T.LongType()),
     T.StructField("html", T.StringType()),
     T.StructField("source_url", T.StringType()),
     T.StructField("scraped_at", T.TimestampType()),

@@ -16,7 +16,7 @@ MAX_USER_AGENT_CHARS = 250
 
 PAGE_METADATA = T.StructType([
     T.StructField("snapshot_date", T.DateType()),
-    T.StructField("page_no", T.IntegerType()),
+    T.StructField("page_no", T.LongType()),
     T.StructField("source_url", T.StringType()),
     T.StructField("scraped_at", T.TimestampType()),
     T.StructField("user_agent", T.StringType()),
@@ -47,7 +47,7 @@ def read_pages(spark: SparkSession, root: str, snapshot_date: str | None = None,
         raise
     pages = files.select(
         F.to_date(F.regexp_extract("path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)).alias("snapshot_date"),
-        F.regexp_extract("path", r"page_(\d+)\.html$", 1).try_cast("int").alias("page_no"),
+        F.regexp_extract("path", r"page_(\d+)\.html$", 1).try_cast("bigint").alias("page_no"),
         decode_utf8(F.col("content")).alias("html"),
         F.col("path").alias("source_file"),
     )
