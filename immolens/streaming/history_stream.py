@@ -12,36 +12,47 @@ Progress lives in a checkpoint under the cluster's shared
 picks up where it stopped; ``availableNow`` processes what is there and
 stops, which suits a weekly schedule.
 
-A Gold date must be written in one job (``write_gold`` does that), so one
-micro-batch sees all files of a date write: ``maxFilesPerTrigger`` is not
-set for that reason.
+A micro-batch only says which dates changed: each of those dates is then
+re-read whole from Gold (a semi-join on the partition column, so only
+those folders are scanned) and replaces its History partition. A date
+whose files arrive over several micro-batches (``maxFilesPerTrigger``, or
+a listing taken while a Gold write is still committing) therefore never
+loses the rows of the earlier batches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from immolens.schema import GOLD, GOLD_COLUMNS
 from immolens.session import ensure_checkpoint_dir
-from immolens.sources.files import write_history
+from immolens.sources.files import read_gold, write_history
 
 
-def gold_stream(spark: SparkSession, gold_root: str) -> DataFrame:
+def gold_stream(spark: SparkSession, gold_root: str,
+                max_files_per_trigger: int | None = None) -> DataFrame:
     """Gold files as a stream (fixed schema, date from the folder names)."""
-    return spark.readStream.schema(GOLD).option("basePath", gold_root).parquet(gold_root)
+    reader = spark.readStream.schema(GOLD).option("basePath", gold_root)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(gold_root)
 
 
 def start_history_stream(spark: SparkSession, gold_root: str, history_root: str,
-                         checkpoint: str | None = None,
-                         available_now: bool = True) -> StreamingQuery:
+                         checkpoint: str | None = None, available_now: bool = True,
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start copying new Gold snapshots into History; returns the query."""
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/history_stream"
 
     def replace_dates(batch: DataFrame, _batch_id: int) -> None:
-        write_history(batch.select(*GOLD_COLUMNS), history_root)
+        changed = batch.select("date_scraping").distinct()      # a few dates
+        whole = read_gold(batch.sparkSession, gold_root, required=False) \
+            .join(F.broadcast(changed), "date_scraping", "left_semi")
+        write_history(whole.select(*GOLD_COLUMNS), history_root)
 
-    writer = (gold_stream(spark, gold_root).writeStream
+    writer = (gold_stream(spark, gold_root, max_files_per_trigger).writeStream
               .foreachBatch(replace_dates)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer
@@ -49,7 +60,9 @@ def start_history_stream(spark: SparkSession, gold_root: str, history_root: str,
 
 
 def historize_available(spark: SparkSession, gold_root: str, history_root: str,
-                        checkpoint: str | None = None) -> None:
+                        checkpoint: str | None = None,
+                        max_files_per_trigger: int | None = None) -> None:
     """Process every Gold file not yet historised, then return."""
-    query = start_history_stream(spark, gold_root, history_root, checkpoint, available_now=True)
+    query = start_history_stream(spark, gold_root, history_root, checkpoint, available_now=True,
+                                 max_files_per_trigger=max_files_per_trigger)
     query.awaitTermination()

@@ -33,3 +33,12 @@ def test_stream_appends_new_dates_and_replaces_reruns(spark, tmp_dir):
     # nothing new: no change
     historize_available(spark, gold, hist, ckpt)
     assert read_history(spark, hist).count() == 7
+
+
+def test_a_date_split_over_micro_batches_keeps_all_rows(spark, tmp_dir):
+    gold, hist, ckpt = (os.path.join(tmp_dir, n) for n in ("gold", "history", "ckpt"))
+    rows = snapshot(spark, "2025-03-02", [600 + i for i in range(12)])
+    # three files for one date, then one micro-batch per file
+    rows.repartition(3).write.mode("append").partitionBy("date_scraping").parquet(gold)
+    historize_available(spark, gold, hist, ckpt, max_files_per_trigger=1)
+    assert read_history(spark, hist).count() == 12
