@@ -234,3 +234,13 @@ def test_refresh_from_files_equals_in_memory_path(spark, tmp_dir):
     got = [tuple(r) for r in spark.read.parquet(res.marts["mart_evolution_prix"]).orderBy("date_scraping").collect()]
     want = [tuple(r) for r in M.price_evolution(to_staging(QUERIES["gold_from_html"](spark, sf))).collect()]
     assert got == want and len(got) > 100
+
+
+def test_seed_csv_source(spark, tmp_dir):
+    from immolens.sources.seed import TYPOLOGY_ROWS, read_seed
+    path = os.path.join(tmp_dir, "seed.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("nb_pieces,label_typologie,description\n")
+        for n, label, desc in TYPOLOGY_ROWS:
+            fh.write(f'{n},{label},"{desc}"\n')
+    assert sorted(tuple(r) for r in read_seed(spark, path).collect()) == sorted(TYPOLOGY_ROWS)
