@@ -92,16 +92,24 @@ class _TreeBuilder(HTMLParser):
         self.root = _Node("#root", {}, None)
         self.open = [self.root]
         self.open_count: dict[str, int] = {}   # open elements per tag name
+        self.links: list[_Node] = []           # <a> elements in document order
 
-    def handle_starttag(self, tag, attrs):
-        node = _Node(tag, dict(attrs), self.open[-1])
+    def _add(self, tag, attrs) -> _Node:
+        # attributes are only read on links
+        node = _Node(tag, dict(attrs) if tag == "a" else None, self.open[-1])
         self.open[-1].children.append(node)
+        if tag == "a":
+            self.links.append(node)
+        return node
+
+    def handle_starttag(self, tag, attrs):
+        node = self._add(tag, attrs)
         if tag not in VOID_ELEMENTS:
             self.open.append(node)
             self.open_count[tag] = self.open_count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(_Node(tag, dict(attrs), self.open[-1]))
+        self._add(tag, attrs)
 
     def handle_endtag(self, tag):
         # An end tag with no open element of its name is ignored at once;
@@ -143,9 +151,7 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
     # sharing a container (a list of links in one block) reuse them, so a
     # page costs linear time in its size.
     fields_of: dict[int, tuple] = {}
-    for a in builder.root.elements():
-        if a.tag != "a":
-            continue
+    for a in builder.links:
         href = a.attrs.get("href")
         if href is None or not href.startswith(href_prefix):
             continue
