@@ -89,10 +89,10 @@ def write_gold(gold: DataFrame, path: str) -> None:
 
 
 def read_gold(spark: SparkSession, path: str, required: bool = True) -> DataFrame:
-    """Every Gold snapshot under ``path``; no snapshot at all is an
-    error unless ``required`` is False (then an empty table)."""
+    """Every Gold snapshot under ``path``; no snapshot (no row) at all is
+    an error unless ``required`` is False (then an empty table)."""
     df = _read_or_empty(spark, GOLD, lambda: spark.read.schema(GOLD).parquet(path))
-    if required and not df.inputFiles():
+    if required and df.isEmpty():                 # one-row job, no file list on the driver
         raise FileNotFoundError(f"no Gold snapshot under {path}")
     return df
 
@@ -102,8 +102,13 @@ def read_text_dated_gold_files(spark: SparkSession, pattern: str = "*_clean.parq
     text (``yyyy-MM-dd`` or ``dd-MM-yyyy``); no file at all is an error."""
     schema = T.StructType([f if f.name != "date_scraping" else T.StructField(f.name, T.StringType())
                            for f in GOLD.fields])
-    df = spark.read.schema(schema).parquet(pattern)
-    if not df.inputFiles():
+    try:
+        df = spark.read.schema(schema).parquet(pattern)
+    except Exception as exc:
+        if _missing(exc):
+            raise FileNotFoundError(f"no Gold file matches {pattern}") from exc
+        raise
+    if df.isEmpty():
         raise FileNotFoundError(f"no Gold file matches {pattern}")
     return df.withColumn("date_scraping", tolerant_date("date_scraping"))
 
