@@ -35,3 +35,21 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["date_scraping", "avg_price_m2", "avg_price", "nb_annonces"]
     assert df.count() > 0
+
+
+PLANNER_SENSITIVE = ["best_deals_20", "price_cut_p20", "persistence_top20", "dedupe_in_snapshot",
+                     "gold_from_html", "page_cutoff", "typology_labelled", "mean_of_snapshot_means"]
+
+
+def test_results_do_not_depend_on_planner_settings(spark, con):
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        bad = [r[:4] for r in (compare(spark, con, SF, n) for n in PLANNER_SENSITIVE) if r[3] != "ok"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert not bad, bad
