@@ -46,11 +46,14 @@ def typology_labelled(stg: DataFrame, seed: DataFrame, rooms: str = "nb_pieces",
     The label join runs after the aggregation (one row per room count), so
     its input is tiny whatever the history size. Room counts at or above
     ``open_ended_from`` take that row's label ("5 and more"); null and 0 get
-    no label. The seed is broadcast only when proven small, else shuffled.
+    no label. The seed is broadcast only when proven small (driver-side rows,
+    or a count under ``max_seed_rows``), else shuffled.
     """
     agg = typology(stg, rooms)
     labels = seed.select(F.col("nb_pieces").alias("_seed_rooms"), "label_typologie")
-    if labels.limit(max_seed_rows + 1).count() <= max_seed_rows:
+    # A table built from driver-side rows is bounded by construction; a
+    # table read from files is counted (at most max_seed_rows + 1 rows).
+    if labels.isLocal() or labels.limit(max_seed_rows + 1).count() <= max_seed_rows:
         labels = F.broadcast(labels)
     key = typology_label_key(F.col(rooms), open_ended_from)
     return (
