@@ -93,11 +93,14 @@ MART_BUILDERS = {
 
 
 def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool = False,
-                percentile_method: str = "exact") -> RefreshResult:
+                percentile_method: str = "exact", cache_staging: bool = True) -> RefreshResult:
     """History -> freshness gate -> staging -> marts -> checks.
 
     ``percentile_method="approx"`` takes the best-deals cut from the sketch
-    (``percentile_approx``) instead of the exact distributed percentile."""
+    (``percentile_approx``) instead of the exact distributed percentile.
+    ``cache_staging=False`` lets every table re-read only the Parquet
+    columns it needs instead of caching all staging columns once; on a very
+    large history that can be the cheaper choice."""
     history = read_history(spark, layout.history)
     fresh = freshness(history, snapshot_loaded_at(), as_of).first().asDict()
     if fresh["status"] == "error":
@@ -105,7 +108,9 @@ def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool
 
     # The staging rows feed seven tables: keep them once instead of
     # re-reading and re-casting the history for each (spills to disk).
-    stg = to_staging(history).persist(StorageLevel.MEMORY_AND_DISK)
+    stg = to_staging(history)
+    if cache_staging:
+        stg = stg.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         seed = typology_seed(spark)
         written = {}
@@ -117,7 +122,8 @@ def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool
                   .unionByName(run_checks(history, "listing_history", SOURCE_CHECKS)))
         report = [r.asDict() for r in checks.collect()]          # at most a few rows
     finally:
-        stg.unpersist()
+        if cache_staging:
+            stg.unpersist()
     failed = [r for r in report if r["status"] != "pass"]
     if failed and fail_on_checks:
         raise CheckError(f"{len(failed)} data checks failed: {failed}")
@@ -126,14 +132,15 @@ def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool
 
 def refresh(spark: SparkSession, layout: Layout, snapshot_date: str | dt.date | None,
             origin: str, as_of=None, number_style: str = "plain",
-            fail_on_checks: bool = False, percentile_method: str = "exact") -> RefreshResult:
+            fail_on_checks: bool = False, percentile_method: str = "exact",
+            cache_staging: bool = True) -> RefreshResult:
     """R1 (one date) and R2 (backfill: any past date, or None for all)."""
     if isinstance(snapshot_date, dt.date):
         snapshot_date = snapshot_date.isoformat()
     ingest(spark, layout, snapshot_date, origin, number_style)
     if as_of is None:
         as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return build_marts(spark, layout, as_of, fail_on_checks, percentile_method)
+    return build_marts(spark, layout, as_of, fail_on_checks, percentile_method, cache_staging)
 
 
 def backfill(spark: SparkSession, layout: Layout, origin: str, as_of=None,
@@ -164,6 +171,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--number-style", default="plain", choices=["plain", "fr"])
     parser.add_argument("--fail-on-checks", action="store_true")
     parser.add_argument("--percentile", default="exact", choices=["exact", "approx"])
+    parser.add_argument("--no-cache", action="store_true", help="do not cache the staging rows")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("immolens-refresh").getOrCreate()
@@ -171,7 +179,7 @@ def main(argv: list[str] | None = None) -> None:
     layout = Layout(raw=f"{root}/raw", silver=f"{root}/silver", gold=f"{root}/gold",
                     history=f"{root}/history", marts=f"{root}/marts")
     result = refresh(spark, layout, args.date, args.origin, args.as_of, args.number_style,
-                     args.fail_on_checks, args.percentile)
+                     args.fail_on_checks, args.percentile, not args.no_cache)
     print(json.dumps({"freshness": result.freshness, "checks": result.checks,
                       "marts": result.marts}, default=str))
 

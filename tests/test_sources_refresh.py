@@ -212,7 +212,8 @@ def test_command_line_entry(spark, tmp_dir, capsys):
     import json as _json
     from immolens.plans.refresh import main
     build_raw(f"{tmp_dir}/raw")
-    main(["--root", tmp_dir, "--origin", ORIGIN, "--as-of", "2025-02-10 00:00:00", "--percentile", "approx"])
+    main(["--root", tmp_dir, "--origin", ORIGIN, "--as-of", "2025-02-10 00:00:00", "--percentile", "approx",
+          "--no-cache"])
     out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["freshness"]["status"] == "pass"
     assert set(out["marts"]) >= {"mart_prix_moyen", "kpi_marche", "mart_top_annonces"}
