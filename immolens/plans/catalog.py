@@ -413,35 +413,29 @@ FROM stg""",
     "price_cut_p20": f"""WITH {STAGING_SQL}
 SELECT quantile_disc(price_m2, 0.2) AS p20 FROM stg""",
 
-    "best_deals_20": f"""WITH {STAGING_SQL},
-stats AS (SELECT quantile_disc(price_m2, 0.2) AS p20 FROM stg)
-SELECT s.id_annonce, s.title, s.city, s.price_eur, s.surface_m2, s.price_m2, s.date_scraping, s.description
-FROM stg s CROSS JOIN stats WHERE s.price_m2 <= stats.p20
-ORDER BY s.price_m2, s.id_annonce, s.date_scraping, s.price_eur, s.surface_m2, s.title, s.city, s.description
+    "best_deals_20": f"""WITH {STAGING_SQL}
+SELECT id_annonce, title, city, price_eur, surface_m2, price_m2, date_scraping, description
+FROM stg
+WHERE price_m2 <= (SELECT quantile_disc(price_m2, 0.2) FROM stg)
+ORDER BY price_m2, id_annonce, date_scraping, price_eur, surface_m2, title, city, description
 LIMIT 20""",
 
-    "best_deals_all": f"""WITH {STAGING_SQL},
-stats AS (SELECT quantile_disc(price_m2, 0.2) AS p20 FROM stg)
-SELECT s.id_annonce, s.title, s.city, s.price_eur, s.surface_m2, s.price_m2, s.date_scraping, s.description
-FROM stg s CROSS JOIN stats WHERE s.price_m2 <= stats.p20""",
-
-    "persistence": f"""WITH {STAGING_SQL},
-presence AS (SELECT id_annonce, min(date_scraping) AS first_seen, max(date_scraping) AS last_seen,
-                    count(DISTINCT date_scraping) AS nb_weeks_visible, avg(price_m2) AS p,
-                    avg(price_eur) AS r, avg(surface_m2) AS s
-             FROM stg GROUP BY id_annonce)
-SELECT id_annonce, first_seen, last_seen, nb_weeks_visible, {_r2('p')} AS avg_price_m2,
-       {_r2('r')} AS avg_rent, {_r2('s')} AS avg_surface
-FROM presence""",
-
-    "persistence_top20": f"""WITH {STAGING_SQL},
-presence AS (SELECT id_annonce, min(date_scraping) AS first_seen, max(date_scraping) AS last_seen,
-                    count(DISTINCT date_scraping) AS nb_weeks_visible, avg(price_m2) AS p,
-                    avg(price_eur) AS r, avg(surface_m2) AS s
-             FROM stg GROUP BY id_annonce)
-SELECT id_annonce, first_seen, last_seen, nb_weeks_visible, {_r2('p')} AS avg_price_m2,
-       {_r2('r')} AS avg_rent, {_r2('s')} AS avg_surface
-FROM presence ORDER BY nb_weeks_visible DESC, id_annonce LIMIT 20""",
+    "best_deals_all": f"""WITH {STAGING_SQL}
+SELECT id_annonce, title, city, price_eur, surface_m2, price_m2, date_scraping, description
+FROM stg
+WHERE price_m2 <= (SELECT quantile_disc(price_m2, 0.2) FROM stg)""",
+
+    "persistence": f"""WITH {STAGING_SQL}
+SELECT id_annonce, min(date_scraping) AS first_seen, max(date_scraping) AS last_seen,
+       count(DISTINCT date_scraping) AS nb_weeks_visible, {_r2('avg(price_m2)')} AS avg_price_m2,
+       {_r2('avg(price_eur)')} AS avg_rent, {_r2('avg(surface_m2)')} AS avg_surface
+FROM stg GROUP BY id_annonce""",
+
+    "persistence_top20": f"""WITH {STAGING_SQL}
+SELECT id_annonce, min(date_scraping) AS first_seen, max(date_scraping) AS last_seen,
+       count(DISTINCT date_scraping) AS nb_weeks_visible, {_r2('avg(price_m2)')} AS avg_price_m2,
+       {_r2('avg(price_eur)')} AS avg_rent, {_r2('avg(surface_m2)')} AS avg_surface
+FROM stg GROUP BY id_annonce ORDER BY nb_weeks_visible DESC, id_annonce LIMIT 20""",
 
     "history_stats": f"""WITH {HISTORY_SQL}
 SELECT count(*) AS total_rows,

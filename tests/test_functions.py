@@ -20,11 +20,9 @@ def test_clean_text(spark):
     assert got == [None, None, "a b", "45 m²", "45 m²", "a b c", ""]
 
 
-def test_clean_text_matches_python_split(spark):
-    samples = ["x y　z", "\x1cq\x85r", " lead and trail ", "m2m 2\nm2"]
-    expected = [" ".join(s.replace("\n", " ").replace("\r", " ").strip()
-                         .replace("m 2", "m²").replace("m2", "m²").split()) for s in samples]
-    assert one_col(spark, samples, clean_text) == expected
+def test_clean_text_square_metres_and_unicode_blanks(spark):
+    samples = ["x\u00a0y\u3000z", "\x1cq\x85r", " lead and trail ", "m2m 2\nm2", "m\n2", "45\tm2"]
+    assert one_col(spark, samples, clean_text) == ["x y z", "q r", "lead and trail", "m²m² m²", "m²", "45 m²"]
 
 
 def test_collapse_newlines_and_capitalize(spark):
