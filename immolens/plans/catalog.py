@@ -35,7 +35,8 @@ from immolens.plans.adapters import (
 from immolens.schema import GOLD_COLUMNS
 from immolens.session import ensure_checkpoint_dir
 from immolens.sources.files import (
-    read_gold, read_silver, register_history, write_gold, write_history, write_silver,
+    read_gold, read_silver, register_history, register_view, write_gold, write_history,
+    write_silver,
 )
 from immolens.sources.pages import take_until_end
 from immolens.sources.seed import TYPOLOGY_ROWS, typology_seed
@@ -63,6 +64,12 @@ def staging(spark, sf_dir):
     return _stg(spark, sf_dir)
 
 
+def staging_view(spark, sf_dir):
+    """The staging rows bound to the view name and read back by name."""
+    register_view(_stg(spark, sf_dir), "stg_listings")
+    return spark.table("stg_listings")
+
+
 def typology(spark, sf_dir):
     return marts.typology(_stg(spark, sf_dir))
 
@@ -243,6 +250,7 @@ def page_slug(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "price_evolution": price_evolution,
     "staging": staging,
+    "staging_view": staging_view,
     "typology": typology,
     "typology_labelled": typology_labelled,
     "mean_of_snapshot_means": mean_of_snapshot_means,
@@ -567,3 +575,4 @@ FROM pages WHERE regexp_matches(url, '^https?://')""",
 
 ORACLE_SQL["silver_csv_roundtrip"] = ORACLE_SQL["gold_from_text"]
 ORACLE_SQL["history_files_roundtrip"] = ORACLE_SQL["price_evolution"]
+ORACLE_SQL["staging_view"] = ORACLE_SQL["staging"]
