@@ -71,18 +71,26 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return current
 
 
+MAX_SPREAD_PARTITIONS = 256
+
+
 def spread(df: DataFrame, key: list[str], min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition an input that arrives in fewer splits than the cluster
-    has cores (a small single-file table) on its unique ``key``, so
-    CPU-heavy steps after the scan use every core. A unique key cannot be
-    skewed and hashing needs no sort. Large inputs already have many splits
-    and are returned unchanged: no shuffle is added at scale.
+    """Spread an input that arrives in fewer splits than the cluster has
+    cores (a small single-file table) over the cores, so CPU-heavy steps
+    after the scan run in parallel.
+
+    The rows are hash-partitioned on the input's unique ``key``: a unique
+    key cannot be skewed and hashing needs no sort. At most 256 partitions
+    are made, so a mid-size single-file input on a large cluster does not
+    turn into thousands of tiny tasks. Inputs that already have enough
+    splits are returned unchanged: no shuffle is added at scale.
     """
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # e.g. a Spark Connect session: leave the plan as it is
         return df
+    target = min_partitions or min(cores, MAX_SPREAD_PARTITIONS)
     if splits >= target:
         return df
     return df.repartition(target, *key)
