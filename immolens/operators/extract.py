@@ -129,6 +129,11 @@ class _TreeBuilder(HTMLParser):
     def handle_comment(self, data):
         self.open[-1].children.append(_Comment(data))
 
+    def unknown_decl(self, data):
+        # <![CDATA[...]]> content counts as text
+        if data.upper().startswith("CDATA["):
+            self.open[-1].children.append(data[6:])
+
 
 def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX,
                         require_title: bool = True) -> list[dict]:

@@ -152,3 +152,9 @@ def test_unclosed_and_unmatched_tags_stay_linear():
     out = parse_listing_links(html)
     assert time.perf_counter() - t0 < 10
     assert len(out) == 2000 and out[0]["details"] == "t d"
+
+
+def test_cdata_is_text():
+    html = '<article><a href="/immobilier/1" title="t">t</a><p><![CDATA[45 m2]]> calme</p></article>'
+    (link,) = parse_listing_links(html)
+    assert link["description"] == "45 m2 calme"
