@@ -245,3 +245,15 @@ def test_seed_csv_source(spark, tmp_dir):
         for n, label, desc in TYPOLOGY_ROWS:
             fh.write(f'{n},{label},"{desc}"\n')
     assert sorted(tuple(r) for r in read_seed(spark, path).collect()) == sorted(TYPOLOGY_ROWS)
+
+
+def test_single_file_history_export(spark, tmp_dir):
+    from immolens.operators.gold import to_gold
+    from immolens.sources.files import write_history
+    s = spark.createDataFrame([("A", "30 m²", "600 €", "d", "https://x/a/1/", "p", 1),
+                               ("B", "40 m²", "700 €", "d", "https://x/a/2/", "p", 2)], SILVER)
+    out = os.path.join(tmp_dir, "history_export")
+    write_history(to_gold(s, "2025-02-01").unionByName(to_gold(s, "2025-02-08")), out, single_file=True)
+    parts = [f for f in os.listdir(out) if f.endswith(".parquet")]
+    assert len(parts) == 1
+    assert spark.read.parquet(out).count() == 4
