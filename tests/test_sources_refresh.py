@@ -257,3 +257,14 @@ def test_single_file_history_export(spark, tmp_dir):
     parts = [f for f in os.listdir(out) if f.endswith(".parquet")]
     assert len(parts) == 1
     assert spark.read.parquet(out).count() == 4
+
+
+def test_failing_checks_are_reported_and_can_stop_the_job(spark, tmp_dir):
+    from immolens.plans.refresh import CheckError
+    write_page(f"{tmp_dir}/raw", "2025-02-02", 1, listing(1, 650, 40, 2) + listing(2, 300, 4, 1))
+    res = refresh(spark, layout(tmp_dir), "2025-02-02", ORIGIN, as_of=dt.datetime(2025, 2, 3))
+    failed = [(r["column"], r["check"], r["failures"]) for r in res.checks if r["status"] == "fail"]
+    assert failed == [("surface_m2", "between[5,]", 1)]
+    with pytest.raises(CheckError):
+        refresh(spark, layout(tmp_dir), "2025-02-02", ORIGIN, as_of=dt.datetime(2025, 2, 3),
+                fail_on_checks=True)
