@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from immolens.llm.packing import pack, packed_digest
 from immolens.llm.tables import ship_package, table
 from immolens.llm.topk import top_k
+from immolens.llm.urls import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -53,3 +54,8 @@ r AS (
          vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op6_ngram_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
