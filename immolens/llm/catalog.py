@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from immolens.llm.neardup import near_duplicates
 from immolens.llm.packing import pack, packed_digest
+from immolens.llm.reshard import reshard
 from immolens.llm.tables import ship_package, table
 from immolens.llm.topk import top_k
 from immolens.llm.urls import judge
@@ -86,3 +87,8 @@ c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.node = d.doc_id
 """
+
+
+@query
+def op5_min_cost_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshard(table(spark, sf_dir, "documents"))
