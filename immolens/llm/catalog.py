@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from immolens.llm.neardup import near_duplicates
 from immolens.llm.packing import pack, packed_digest
+from immolens.llm.quality import quality_scores
 from immolens.llm.reshard import reshard
 from immolens.llm.tables import ship_package, table
 from immolens.llm.topk import top_k
@@ -92,3 +93,8 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.node = d.doc_id
 @query
 def op5_min_cost_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
