@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from immolens.llm.neardup import near_duplicates
 from immolens.llm.packing import pack, packed_digest
+from immolens.llm.pii import find_pii
 from immolens.llm.quality import quality_scores
 from immolens.llm.reshard import reshard
 from immolens.llm.tables import ship_package, table
@@ -98,3 +99,8 @@ def op5_min_cost_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
