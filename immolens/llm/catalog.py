@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from immolens.llm.decontaminate import contaminations
 from immolens.llm.neardup import near_duplicates
 from immolens.llm.packing import pack, packed_digest
 from immolens.llm.pii import find_pii
@@ -104,3 +105,8 @@ def op8_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
