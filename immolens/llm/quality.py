@@ -267,3 +267,21 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     model = fit(stats.where(id_remainder(4) != 2), labels, id_remainder(4) == 3)
     return (scored(stats, model).withColumn("held_out", id_remainder(4) == 2)
             .select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
+
+
+def accepted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose score reaches the
+    threshold. Only the statistics of labelled rows are stored for the fit;
+    the others' are computed where the rows are, and no text is shuffled."""
+    named = labels.where("quality in (0, 1)").select(F.col(id_col).alias("doc_id")).distinct()
+    stats = with_stats(docs, id_col, text_col)
+    model = fit(stats.where(id_remainder(4) != 2).join(named, "doc_id", "left_semi"), labels, id_remainder(4) == 3)
+    at = docs.columns.index(text_col)
+
+    def keep(batches):
+        for batch in batches:
+            if batch.num_rows:
+                score = np.clip(model(document_stats(batch.column(at)).astype(np.float64)), 0, 1)
+                yield batch.filter(pa.array(score >= THRESHOLD))
+
+    return docs.mapInArrow(keep, docs.schema)
