@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from immolens.llm.decontaminate import contaminations
 from immolens.llm.neardup import near_duplicates
 from immolens.llm.packing import pack, packed_digest
+from immolens.llm.passages import repeated_passages
 from immolens.llm.pii import find_pii
 from immolens.llm.quality import quality_scores
 from immolens.llm.reshard import reshard
@@ -110,3 +111,8 @@ def op3_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
