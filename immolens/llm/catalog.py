@@ -13,6 +13,7 @@ from immolens.llm.neardup import near_duplicates
 from immolens.llm.packing import pack, packed_digest
 from immolens.llm.passages import repeated_passages
 from immolens.llm.pii import find_pii
+from immolens.llm.ppm import ppm_scores
 from immolens.llm.quality import quality_scores
 from immolens.llm.reshard import reshard
 from immolens.llm.tables import ship_package, table
@@ -116,3 +117,8 @@ def op7_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_scores(table(spark, sf_dir, "documents"))
