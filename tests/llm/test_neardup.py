@@ -1,0 +1,78 @@
+import random
+
+import numpy as np
+import pytest
+
+from immolens.llm import graph
+from immolens.llm.neardup import REGISTERS, near_duplicates, plausible, registers
+
+from llm_helpers import AWKWARD, components, documents, shingles, words_text
+
+
+def brute(rows):
+    sets = {}
+    for i, t in rows:
+        if i is not None:
+            sets.setdefault(i, []).append(shingles(t))
+    links = []
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1:]:
+            for s in sets[a]:
+                for t in sets[b]:
+                    both = len(s & t)
+                    if both and 100 * both >= 75 * len(s | t):
+                        links.append((a, b))
+    found = components(ids, links)
+    out = []
+    for i, t in rows:
+        c = found.get(i)
+        out.append((i, len(shingles(t)), c, c == i if i is not None else True))
+    return sorted(out, key=str)
+
+
+def run(spark, rows):
+    return sorted((tuple(r) for r in near_duplicates(documents(spark, rows)).collect()), key=str)
+
+
+def test_awkward_texts(spark):
+    assert run(spark, AWKWARD) == brute(AWKWARD)
+
+
+def test_edited_copies_and_chains(spark):
+    rng = random.Random(3)
+    rows, n = [], 0
+    for base in range(8):
+        text = words_text(120, 50 + base).split()
+        for _ in range(12):
+            rows.append((n, " ".join(text)))
+            n += 1
+            text = list(text)                      # a chain: each copy edits the one before
+            for _ in range(rng.randint(0, 3)):
+                text[rng.randrange(len(text))] = f"new{rng.random():.6f}"
+    rng.shuffle(rows)
+    assert run(spark, rows) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+def test_registers_merge_and_estimate():
+    rng = np.random.default_rng(0)
+    pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    a, b = pool[:2000], pool[500:2500]              # Jaccard 0.6
+    assert (np.maximum(registers(a), registers(b)) == registers(np.union1d(a, b))).all()
+    ra, rb = registers(a)[None], registers(b)[None]
+    assert (ra == rb).mean() == pytest.approx(0.6, abs=0.15) and ra.shape[1] == REGISTERS
+    size = np.array([2000])
+    assert plausible(ra, ra, size, size)[0]
+    far = registers(pool[1900:2900])[None]
+    assert not plausible(ra, far, size, np.array([1000]))[0]
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3)]
+    found = dict(graph.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert found == {**{i: 0 for i in range(61)}, **{k: 100 for k in range(100, 160)}}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -1,0 +1,66 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from immolens.llm.topk import SlicedBlock, slice_block, top_k
+
+SCHEMA = "vec_id long, embedding array<float>, id long, v string, block int, score double"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, x, 5, "z", 1, None) for i, x in rows], SCHEMA)
+
+
+def brute(rows, is_query, k):
+    vectors = {}
+    for i, x in rows:
+        if i is None or x is None or any(c is None or not math.isfinite(c) for c in x):
+            continue
+        q = [math.floor(256 * float(np.float32(c))) for c in x]
+        vectors[i] = min(q, vectors.get(i, q))
+    out = []
+    for i in filter(is_query, vectors):
+        scores = sorted((-sum(a * b for a, b in zip(vectors[i], vectors[j])), j) for j in vectors if j != i)
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(scores[:k], 1)]
+    return sorted(out)
+
+
+def run(spark, rows, divisor, k, block_rows=64):
+    found = top_k(table(spark, rows), F.col("id") % divisor == 0, k, block_rows=block_rows)
+    return sorted(tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect())
+
+
+def test_random_vectors_with_many_ties(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(c) for c in rng.integers(-3, 4, 6) / 8]) for i in range(300)]
+    rows += [(1000 + i, rows[7][1]) for i in range(40)]
+    assert run(spark, rows, 10, 5) == brute(rows, lambda i: i % 10 == 0, 5)
+
+
+def test_awkward_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.5, -0.25]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [inf, 0.0]), (5, [-0.1, 0.3]), (None, [1.0, 1.0]),
+            (6, [0.5, -0.25]), (6, [0.5, -0.25]), (7, [100.5, -3000.25]), (8, []), (10, [0.0, 0.0]), (11, [0.125])]
+    assert run(spark, rows, 2, 3) == brute(rows, lambda i: i % 2 == 0, 3)
+    assert run(spark, rows, 1, 50) == brute(rows, lambda i: True, 50)
+
+
+def test_no_rows_and_one_row(spark):
+    assert run(spark, [], 1, 5) == []
+    assert run(spark, [(0, [1.0])], 1, 5) == []
+
+
+def test_scores_of_a_block():
+    rng = np.random.default_rng(2)
+    matrix = rng.integers(-700, 700, (130, 9))
+    ids = np.arange(130, dtype=np.int64)
+    block = SlicedBlock(slice_block(ids, matrix))
+    for q in matrix[:5]:
+        assert block.best(-1, q, 130) and sorted(block.best(-1, q, 130)) == sorted(zip(ids.tolist(), (matrix @ q).tolist()))
+
+
+def test_too_large_components_are_refused(spark):
+    with pytest.raises(Exception, match="exceeds"):
+        run(spark, [(0, [1e9]), (1, [1.0])], 1, 1)
