@@ -18,9 +18,12 @@ links connect.
    the full sets.
 5. Components of the links found so far; then, in buckets that still hold more
    than one component, the members outside the bucket's largest component are
-   paired with all members of other components, and step 4 decides again. So
-   every pair of a bucket is either tested or known to be connected; large
-   groups of copies cost one pair per member, not all pairs.
+   compared with all others by their registers, block by block, and only
+   (document, component) is noted where some pair is plausible. Each noted
+   document is compared on the full sets with that component, again in blocks,
+   and at most one link a block is returned. So every pair of a bucket is
+   either tested or known to be connected, and the rows that are shuffled
+   follow the documents, not their pairs.
 
 Only ids, sizes, registers and pairs are shuffled, plus the texts of documents
 in a pair. Cases: a null or empty text, or one of white space, has an empty
@@ -38,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from immolens.llm.graph import components
-from immolens.llm.hashing import mix64
+from immolens.llm.hashing import gather_runs, mix64
 from immolens.llm.tables import stored
 from immolens.llm.words import shingle_sets
 
@@ -49,7 +52,10 @@ RATE = 20.0               # scale of the exponential hashes
 LIMIT = (1 << 16) - 2     # registers lie in 0 .. LIMIT + 1
 NUM, DEN = 75, 100        # the similarity is NUM / DEN
 MARGIN = 12.5
+FLOOR = 0.4               # share of equal registers below which no likelihood is computed
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 200_000
 BROADCAST_IDS = 500_000
+_OPEN = ["bucket", "block", "doc_id", "component", "largest", "n_shingles", "registers"]
 
 _RNG = mix64(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _MULTIPLY, _ADD = _RNG[:REGISTERS] | np.uint64(1), _RNG[REGISTERS:]
@@ -158,6 +164,78 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(check, "a long, b long").distinct()
 
 
+def _open_pairs(placed: DataFrame, reps: DataFrame) -> DataFrame:
+    """(x, target): documents and other components of a common bucket of
+    which some pair is plausible by its registers. ``placed``: (bucket,
+    doc_id, component)."""
+    sizes = placed.groupBy("bucket", "component").count()
+    buckets = (sizes.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("parts"), F.sum("count").alias("size"))
+               .where("parts > 1").select("bucket", F.col("top.component").alias("largest"), F.ceil(F.col("size") / BLOCK_DOCS).cast("int").alias("blocks")))
+    rows = stored(placed.join(buckets, "bucket").join(reps.select("doc_id", "n_shingles", "registers").dropDuplicates(["doc_id"]), "doc_id"), "open")
+    members = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).select(*_OPEN)
+    asking = rows.where("component != largest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*_OPEN)
+
+    def regs(table):
+        return np.frombuffer(b"".join(table.column("registers").to_pylist()), dtype="<u2").reshape(table.num_rows, -1)
+
+    def compare(offered, asked):
+        found = set()
+        if offered.num_rows and asked.num_rows:
+            ry, rx = regs(offered), regs(asked)
+            (dy, cy, ny), (dx, cx, nx) = ([t.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles")] for t in (offered, asked))
+            top = offered.column("largest")[0].as_py()
+            for k in range(len(dx)):
+                ok = (cy != cx[k]) & ((cy == top) | (dx[k] < dy)) & (DEN * np.minimum(ny, nx[k]) >= NUM * np.maximum(ny, nx[k]))
+                at = np.flatnonzero(ok)
+                at = at[(ry[at] == rx[k]).mean(axis=1) >= FLOOR]        # far below what MARGIN admits
+                if len(at):
+                    at = at[plausible(np.broadcast_to(rx[k], (len(at), rx.shape[1])), ry[at], np.full(len(at), nx[k]), ny[at])]
+                    found.update((int(dx[k]), int(c)) for c in np.unique(cy[at]))
+        return pa.table({"x": pa.array([f[0] for f in found], pa.int64()), "target": pa.array([f[1] for f in found], pa.int64())})
+
+    return (members.groupBy("bucket", "block").cogroup(asking.groupBy("bucket", "block"))
+            .applyInArrow(compare, "x long, target long").distinct())
+
+
+def _links_to_components(pairs: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links (a, b) between documents x and members of components:
+    for each x and block of a target, one if there is any."""
+    pairs = stored(pairs, "open-pairs")
+    sizes = reps.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
+    asked = pairs.groupBy("target").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("groups"))
+    in_target = (sizes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                 .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("target")).join(asked, "target"))
+    blocks = in_target.groupBy("target").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    offers = (in_target.join(blocks, "target").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+              .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("target", "block", "group", "doc_id"))
+    asks = (pairs.join(asked, "target").join(blocks, "target").withColumn("group", F.pmod(F.xxhash64("x"), F.col("groups")).cast("int"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("target", "block", "group", F.col("x").alias("doc_id")))
+    ids = stored(offers.select("doc_id").unionByName(asks.select("doc_id")).distinct(), "ids")
+    texts = stored(texts_of(docs, ids, ids.count()), "texts")
+    key = ["target", "block", "group"]
+
+    def verify(offered, asked):
+        out = []
+        if offered.num_rows and asked.num_rows:
+            sets = list(shingle_sets(offered.column("text")))
+            size = np.array([len(s) for s in sets])
+            flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+            order = np.argsort(flat)
+            flat, owner = flat[order], owner[order]
+            y, x = offered.column("doc_id").to_pylist(), asked.column("doc_id").to_pylist()
+            for k, s in enumerate(shingle_sets(asked.column("text"))):
+                low, high = np.searchsorted(flat, s), np.searchsorted(flat, s, side="right")
+                both = np.bincount(owner[gather_runs(np.arange(len(flat)), low, high - low)], minlength=len(sets))
+                hit = np.flatnonzero((both > 0) & (DEN * both >= NUM * (size + len(s) - both)) & (np.array(y) != x[k]))
+                if len(hit):
+                    other = y[int(hit[0])]
+                    out.append((min(other, x[k]), max(other, x[k])))
+        return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
+
+    return (offers.join(texts, "doc_id").groupBy(*key).cogroup(asks.join(texts.toDF("doc_id", "text"), "doc_id").groupBy(*key))
+            .applyInArrow(verify, "a long, b long").distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -176,20 +254,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = crowded.where(F.col("doc_id") != F.col("a")).select("a", F.col("doc_id").alias("b")).distinct()
     links = stored(verified(_filter_by_likelihood(first, reps), docs), "links")
 
-    # equal sets under several ids are linked with their representative
     found = components(links)
     placed = stored(crowded.select("bucket", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                     .select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")), "placed")
-    sizes = placed.groupBy("bucket", "component").count()
-    largest = (sizes.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("parts"))
-               .where(F.col("parts") > 1).select("bucket", F.col("top.component").alias("largest")))
-    open_rows = placed.join(largest, "bucket")
-    outside = open_rows.where(F.col("component") != F.col("largest")).select("bucket", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    second = (outside.join(open_rows.select("bucket", F.col("doc_id").alias("y"), F.col("component").alias("cy"), "largest"), "bucket")
-              .where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("largest")) | (F.col("x") < F.col("y"))))
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    more = stored(verified(_filter_by_likelihood(second, reps), docs), "links")
+    more = stored(_links_to_components(_open_pairs(placed, reps), found, reps, docs), "links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
