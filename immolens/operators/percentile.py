@@ -3,23 +3,22 @@
 ``percentile_disc`` and ``percentile`` in Spark keep every distinct value of
 a group in one buffer and merge them in one task, so an exact global
 percentile over the whole history would land in a single task. The exact
-method here stays distributed instead:
+method here narrows the value down instead:
 
 1. count rows per distinct value (partial aggregation, so a value that
    holds a third of all rows collapses on the map side);
-2. range-partition the distinct values into ``buckets`` contiguous ranges;
-3. a running count inside each range (one window task per range) plus the
-   running count of the range totals (``buckets`` rows) gives every distinct
-   value its global cumulative count;
-4. the answer is the smallest value whose cumulative count reaches the
-   target rank.
-
-Both branches (range totals and running counts) read the same range
-exchange, which Spark plans once and reuses, so a value's range is the
-same in both (``tests/test_plans.py`` checks the ``ReusedExchange``); a
-retried task keeps the range bounds of its shuffle. Everything stays lazy:
-the result is a one-row DataFrame, nothing is collected. The approximate method is Spark's ``percentile_approx`` (a
-mergeable sketch, rank error at most ``n / accuracy``).
+2. take the least and the largest value and the wanted rank;
+3. ``LEVELS`` times: cut the interval into ``BINS`` bins of equal width, add
+   up the counts per bin, and go on with the bin that holds the rank;
+4. a running count over the distinct values left gives the answer.
+
+A value's bin depends on the value and the interval's ends alone, so the
+answer does not depend on partitioning, adaptive planning or exchange reuse.
+No task sees more than ``BINS`` bins or the values of one bin of the last
+level (the interval's width divided by ``BINS ** LEVELS``). Everything stays
+lazy: the result is a one-row DataFrame, nothing is collected. The approximate
+method is Spark's ``percentile_approx`` (a mergeable sketch, rank error at
+most ``n / accuracy``).
 """
 
 from __future__ import annotations
@@ -29,19 +28,10 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+BINS, LEVELS = 4096, 3
 
-MIN_BUCKETS, MAX_BUCKETS = 64, 4096
 
-
-def default_buckets(df: DataFrame) -> int:
-    """One range per shuffle partition, kept within [64, 4096]: the ranges
-    grow with the cluster while the offset table stays a few thousand rows."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, n))
-
-
-def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p",
-                     buckets: int | None = None) -> DataFrame:
+def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p") -> DataFrame:
     """Discrete percentile (SQL percentile_disc): the smallest value whose
     cumulative count reaches ceil(n * p).
 
@@ -49,33 +39,34 @@ def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p",
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
-    buckets = buckets or default_buckets(df)
     x = F.col(column)
     counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    ranged = counts.repartitionByRange(buckets, "v").withColumn("g", F.spark_partition_id())
-
-    totals = ranged.groupBy("g").agg(F.sum("c").alias("bucket_rows"))
-    # One row per range: bounded by ``buckets`` whatever the data size.
-    before = Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "g",
-        F.coalesce(F.sum("bucket_rows").over(before), F.lit(0)).alias("offset"),
-        F.sum("bucket_rows").over(Window.partitionBy(F.lit(1))).alias("n"),
-    )
-
-    within = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cumulative = (
-        ranged.withColumn("cum", F.sum("c").over(within))
-        .join(F.broadcast(offsets), "g")
-        .select("v", (F.col("offset") + F.col("cum")).alias("cum"), "n")
-    )
     # 1-based rank of the wanted row: ceil(n * p), at least 1, computed in
     # decimal so 0.2 * n is not off by one ulp.
     p_dec = F.lit(Decimal(repr(p))).cast("decimal(20,18)")
-    target = F.greatest(F.ceil(F.col("n").cast("decimal(38,0)") * p_dec), F.lit(1))
-    hit = cumulative.where(F.col("cum") >= target).agg(F.min("v").alias(alias))
-    # Empty input: the aggregate still returns one row with null.
-    return hit
+    rank = F.greatest(F.ceil(F.sum("c").cast("decimal(38,0)") * p_dec), F.lit(1)).cast("long")
+    state = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), rank.alias("rank"))
+    running = Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, 0)
+
+    def inside() -> DataFrame:                                   # the state is one row
+        return counts.join(F.broadcast(state), F.col("v").between(F.col("lo"), F.col("hi")))
+
+    def first_to_reach(rows: DataFrame) -> DataFrame:
+        """The first of a few ordered rows at which the rank is reached."""
+        below = F.sum("rows").over(running)
+        return (rows.withColumn("upto", below).where(F.col("upto") >= F.col("rank"))
+                .agg(F.min(F.struct("lo", "hi", (F.col("rank") - F.col("upto") + F.col("rows")).alias("rank"))).alias("s"))
+                .select("s.*"))
+
+    for _ in range(LEVELS):
+        half = F.col("hi").cast("double") / 2 - F.col("lo").cast("double") / 2   # the full width may overflow
+        share = F.when(half > 0, (F.col("v").cast("double") / 2 - F.col("lo").cast("double") / 2) / half).otherwise(0.0)
+        bins = (inside().withColumn("bin", F.least(F.floor(F.coalesce(F.nanvl(share, F.lit(1.0)), F.lit(0.0)) * BINS), F.lit(BINS - 1)))
+                .groupBy("bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("rows"), F.first("rank").alias("rank")))
+        state = first_to_reach(bins)
+    last = inside().select(F.col("v").alias("lo"), F.col("v").alias("hi"), F.col("c").alias("rows"), "rank")
+    hit = first_to_reach(last).select(F.col("lo").alias("v"))
+    return hit.agg(F.min("v").alias(alias))
 
 
 def percentile_approx(df: DataFrame, column: str, p: float, alias: str = "p",
