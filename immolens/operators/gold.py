@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from immolens.functions import (
@@ -16,22 +16,18 @@ from immolens.functions import (
 from immolens.schema import GOLD_COLUMNS
 
 
-def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Keep, per ``keys``, the row that sorts first on ``order``.
 
-    Written as ``min_by`` aggregation rather than a ``row_number`` window:
-    the aggregation combines duplicates on the map side, so a key holding a
-    third of all rows is reduced before the shuffle instead of being sorted
-    in one task. ``order`` must be a total order inside a key for a
-    deterministic winner (nulls sort first, as in ``ORDER BY ... ASC``).
+    ``row_number() = 1`` is planned with a WindowGroupLimit on both sides of
+    the shuffle: each task sends on one row per key, so a key holding a third
+    of all rows is cut before the shuffle, and every column travels once.
+    ``order`` must be a total order inside a key for a deterministic winner
+    (nulls sort first, as in ``ORDER BY ... ASC``).
     """
-    columns = list(columns or df.columns)
-    row = F.struct(*[F.col(c) for c in columns])
-    ordering = F.struct(*[F.col(c) for c in order])
-    return (df.groupBy(*keys)
-              .agg(F.min_by(row, ordering).alias("_first"))
-              .select(*[F.col("_first")[c].alias(c) for c in columns]))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", first).where("_place = 1").select(*(columns or df.columns))
 
 
 def _date_value(snapshot_date) -> Column:
@@ -86,5 +82,7 @@ def to_gold(silver: DataFrame, snapshot_date, number_style: str = "plain",
     projected = staged.select(*GOLD_COLUMNS, *extra)                       # G11
     if not dedupe:
         return projected.select(*GOLD_COLUMNS)
-    return dedupe_first(projected, ["date_scraping", "id_annonce"], list(order) + GOLD_COLUMNS,
+    # rows without a position are told apart by their values (a hash first: cheap to compare)
+    tie_break = [F.xxhash64(*GOLD_COLUMNS), "title", "price_eur", "url"]
+    return dedupe_first(projected, ["date_scraping", "id_annonce"], [*order, *tie_break],
                         GOLD_COLUMNS)                                      # G12
