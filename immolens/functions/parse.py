@@ -72,11 +72,19 @@ def epoch_day_to_date(c: Column | str) -> Column:
 
 
 def round2(c: Column | str) -> Column:
-    """ROUND(x, 2) through a decimal, half away from zero on the decimal value.
+    """ROUND(x, 2): one rounding, half away from zero."""
+    return F.round(_col(c).cast("double"), 2)
 
-    The same form is used in the oracle SQL so both engines round ties alike.
-    """
-    return F.round(_col(c).cast("decimal(18,6)"), 2).cast("double")
+
+def mean2(c: Column | str) -> Column:
+    """ROUND(AVG(x), 2) of an amount, as an aggregate.
+
+    The sum is taken over decimals, so it is exact and the same whatever the
+    order in which partitions arrive; a mean that lies half way between two
+    cents is then rounded up on every run. Amounts have at most six decimals
+    and 18 digits before the point; the mean is rounded once."""
+    total = F.sum(_col(c).cast("decimal(24,6)"))
+    return F.round(total / F.count(_col(c)).cast("decimal(12,0)"), 2).cast("double")
 
 
 def price_per_m2(price: Column | str, surface: Column | str) -> Column:

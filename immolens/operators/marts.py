@@ -2,7 +2,7 @@
 
 Every function takes the staging DataFrame and returns a DataFrame; column
 names are arguments with the contract names as defaults. Means are rounded
-with ``round2`` after aggregation; inner means of A3 stay unrounded.
+once, after aggregation (``mean2``); inner means of A3 stay unrounded.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from immolens.functions import round2
+from immolens.functions import mean2, round2
 from immolens.operators.percentile import percentile
 from immolens.sources.seed import typology_label_key
 
@@ -20,8 +20,8 @@ def price_evolution(stg: DataFrame, date_col: str = "date_scraping",
     """A1 + O1: per snapshot mean price per m², mean price and row count."""
     return (
         stg.groupBy(date_col)
-        .agg(round2(F.avg(price_m2)).alias("avg_price_m2"),
-             round2(F.avg(price)).alias("avg_price"),
+        .agg(mean2(price_m2).alias("avg_price_m2"),
+             mean2(price).alias("avg_price"),
              F.count(F.lit(1)).alias("nb_annonces"))
         .orderBy(F.col(date_col).asc_nulls_last())
     )
@@ -32,9 +32,9 @@ def typology(stg: DataFrame, rooms: str = "nb_pieces") -> DataFrame:
     return (
         stg.groupBy(rooms)
         .agg(F.count(F.lit(1)).alias("nb_annonces"),
-             round2(F.avg("price_m2")).alias("avg_price_m2"),
-             round2(F.avg("price_eur")).alias("avg_rent"),
-             round2(F.avg("surface_m2")).alias("avg_surface"))
+             mean2("price_m2").alias("avg_price_m2"),
+             mean2("price_eur").alias("avg_rent"),
+             mean2("surface_m2").alias("avg_surface"))
         .orderBy(F.col(rooms).asc_nulls_last())
     )
 
@@ -70,12 +70,15 @@ def mean_of_snapshot_means(stg: DataFrame, city: str = "city",
     Two aggregations; the first one is combined on the map side so a city
     holding most rows never reaches one task as raw rows.
     """
+    def mean(c: str, kind: str):                       # exact sums, as in mean2
+        return F.sum(F.col(c).cast(kind)) / F.count(c).cast("decimal(12,0)")
+
     daily = stg.groupBy(city, date_col).agg(
-        F.avg("price_m2").alias("_p"), F.avg("surface_m2").alias("_s"))
+        mean("price_m2", "decimal(24,6)").alias("_p"), mean("surface_m2", "decimal(24,6)").alias("_s"))
     return (
         daily.groupBy(city)
-        .agg(round2(F.avg("_p")).alias("avg_price_m2"),
-             round2(F.avg("_s")).alias("avg_surface_m2"),
+        .agg(round2(mean("_p", "decimal(24,10)")).alias("avg_price_m2"),
+             round2(mean("_s", "decimal(24,10)")).alias("avg_surface_m2"),
              F.count(F.lit(1)).alias("nb_weeks"))
         .orderBy(F.col("avg_price_m2").desc_nulls_last(), F.col(city).asc_nulls_last())
     )
@@ -86,11 +89,11 @@ def market_kpi(stg: DataFrame, date_col: str = "date_scraping") -> DataFrame:
     return stg.agg(
         F.max(date_col).alias("last_scraping"),
         F.count(F.lit(1)).alias("total_annonces"),
-        round2(F.avg("price_m2")).alias("avg_price_m2"),
+        mean2("price_m2").alias("avg_price_m2"),
         round2(F.min("price_m2")).alias("min_price_m2"),
         round2(F.max("price_m2")).alias("max_price_m2"),
-        round2(F.avg("surface_m2")).alias("avg_surface"),
-        round2(F.avg("price_eur")).alias("avg_rent"),
+        mean2("surface_m2").alias("avg_surface"),
+        mean2("price_eur").alias("avg_rent"),
     )
 
 
@@ -129,18 +132,13 @@ def persistence(stg: DataFrame, limit: int | None = None,
     number of distinct snapshots and rounded means; most persistent first,
     ties by id.
     """
-    presence = stg.groupBy(id_col).agg(
+    listings = stg.groupBy(id_col).agg(
         F.min(date_col).alias("first_seen"),
         F.max(date_col).alias("last_seen"),
         F.countDistinct(date_col).alias("nb_weeks_visible"),
-        F.avg("price_m2").alias("_p"),
-        F.avg("price_eur").alias("_r"),
-        F.avg("surface_m2").alias("_s"),
+        mean2("price_m2").alias("avg_price_m2"),
+        mean2("price_eur").alias("avg_rent"),
+        mean2("surface_m2").alias("avg_surface"),
     )
-    out = presence.select(
-        id_col, "first_seen", "last_seen", "nb_weeks_visible",
-        round2("_p").alias("avg_price_m2"),
-        round2("_r").alias("avg_rent"),
-        round2("_s").alias("avg_surface"),
-    ).orderBy(F.col("nb_weeks_visible").desc(), F.col(id_col).asc_nulls_last())
+    out = listings.orderBy(F.col("nb_weeks_visible").desc(), F.col(id_col).asc_nulls_last())
     return out.limit(limit) if limit is not None else out

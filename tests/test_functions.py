@@ -75,3 +75,13 @@ def test_dates(spark):
         [dt.date(2025, 2, 1), dt.date(2025, 2, 1), None, None]
     assert one_col(spark, [20000, 0], epoch_day_to_date, "int") == \
         [dt.date(2024, 10, 4), dt.date(1970, 1, 1)]
+
+
+def test_rounding_happens_once(spark):
+    from immolens.functions import mean2, round2
+    df = spark.createDataFrame([(1.0049999997, 1.0), (1e13, 2.0), (1.005, 3.0), (None, 4.0)], "x double, k double")
+    assert [r[0] for r in df.orderBy("k").select(round2("x")).collect()] == [1.0, 1e13, 1.01, None]
+    means = spark.createDataFrame([(1.0,), (1.01,), (None,), (1e13,)], "x double")
+    assert means.where("x < 2").agg(mean2("x")).first()[0] == 1.01            # half a cent goes up
+    assert means.agg(mean2("x")).first()[0] == round((1.0 + 1.01 + 1e13) / 3, 2)
+    assert means.where("x < 0").agg(mean2("x")).first()[0] is None
