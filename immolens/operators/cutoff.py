@@ -19,11 +19,11 @@ def cut_at_first(df: DataFrame, group: Sequence[str], order: Sequence[str],
     """Rows of each group sorted by ``order`` (a total order), kept up to and
     including the first row where ``stop_after`` holds, and strictly before
     the first row where ``stop_before`` holds. Groups with no stop keep all.
+    A null in an order column sorts first, as in ``ORDER BY ... ASC``: such a
+    row is kept unless a stop sorts first too.
     """
     group, order = list(group), list(order)
-    # A single fixed-width order column is compared as is (hash aggregation);
-    # several columns are compared as a struct.
-    key = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+    key = F.struct(*[F.col(c) for c in order])          # never null itself; null fields sort first
     stops = {name: cond for name, cond in (("_after", stop_after), ("_before", stop_before))
              if cond is not None}
     if not stops:

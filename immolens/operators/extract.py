@@ -17,13 +17,14 @@ looks at every string node in document order, comments included.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -93,8 +94,15 @@ class _TreeBuilder(HTMLParser):
         self.open = [self.root]
         self.open_count: dict[str, int] = {}   # open elements per tag name
         self.links: list[_Node] = []           # <a> elements in document order
+        self.text: list[str] = []              # a run of text arrives in parts
+
+    def _end_text(self):
+        if self.text:
+            self.open[-1].children.append("".join(self.text))
+            self.text = []
 
     def _add(self, tag, attrs) -> _Node:
+        self._end_text()
         # attributes are only read on links
         node = _Node(tag, dict(attrs) if tag == "a" else None, self.open[-1])
         self.open[-1].children.append(node)
@@ -115,6 +123,7 @@ class _TreeBuilder(HTMLParser):
         # An end tag with no open element of its name is ignored at once;
         # otherwise the scan stops at that element and everything it passes
         # is closed, so the total work stays linear in the page size.
+        self._end_text()
         if not self.open_count.get(tag):
             return
         while True:
@@ -124,12 +133,24 @@ class _TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        self.text.append(data)
 
     def handle_comment(self, data):
+        self._end_text()
         self.open[-1].children.append(_Comment(data))
 
+    def handle_decl(self, decl):
+        self._end_text()
+
+    def handle_pi(self, data):
+        self._end_text()
+
+    def close(self):
+        super().close()
+        self._end_text()
+
     def unknown_decl(self, data):
+        self._end_text()
         # <![CDATA[...]]> content counts as text
         if data.upper().startswith("CDATA["):
             self.open[-1].children.append(data[6:])
@@ -143,13 +164,17 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
     ``href`` and (unless ``require_title`` is False) ``title`` are non-empty.
     Its container is the nearest ``<article>`` ancestor, else its parent.
     A link whose fields cannot be read gets an ``error`` text instead (X8)
-    and the page goes on.
+    and the page goes on; markup that the parser rejects gives one row with
+    position 0 and the error.
     """
     if not html:
         return []
     builder = _TreeBuilder()
-    builder.feed(html)
-    builder.close()
+    try:
+        builder.feed(html)
+        builder.close()
+    except Exception as exc:
+        return [_failed(0, None, exc)]
     rows = []
     position = 0
     # price, description and details depend on the container only: links
@@ -185,11 +210,15 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
                 "error": None,
             })
         except Exception as exc:  # X8: a bad link is skipped, the page goes on
-            rows.append({"position": position, "href": href, "title": None, "price": None,
-                         "description": None, "details": None, "error": repr(exc)[:200]})
+            rows.append(_failed(position, href, exc))
     return rows
 
 
+def _failed(position: int, href: str | None, exc: Exception) -> dict:
+    return {"position": position, "href": href, "title": None, "price": None,
+            "description": None, "details": None, "error": repr(exc)}
+
+
 LINK_FIELDS = [
     T.StructField("position", T.IntegerType()),
     T.StructField("href", T.StringType()),
@@ -202,29 +231,37 @@ LINK_FIELDS = [
 
 
 def page_links(pages: DataFrame, html_col: str = "html", keep: Sequence[str] = (),
-               href_prefix: str = DEFAULT_HREF_PREFIX, require_title: bool = True) -> DataFrame:
+               href_prefix: str = DEFAULT_HREF_PREFIX, require_title: bool = True,
+               end_pattern: str | None = None) -> DataFrame:
     """One row per listing link with raw text fields (not cleaned).
 
-    ``keep`` columns of the page row are carried to each of its links.
+    ``keep`` columns of the page row are carried to each of its links. With
+    ``end_pattern`` there is one more row per page, and a column ``ends``:
+    null on a link's row, else whether the page shows the pattern. So the
+    cut-off needs no second look at the pages.
     """
     keep = list(keep)
     in_schema = pages.select(*keep, html_col).schema
-    out_schema = T.StructType([in_schema[c] for c in keep] + LINK_FIELDS)
+    fields = LINK_FIELDS + ([T.StructField("ends", T.BooleanType())] if end_pattern else [])
+    out_schema = T.StructType([in_schema[c] for c in keep] + fields)
     arrow_schema = to_arrow_schema(out_schema)
-    arrow_fields = [arrow_schema.field(f.name) for f in LINK_FIELDS]
+    arrow_fields = [arrow_schema.field(f.name) for f in fields]
+    shows_end = re.compile(end_pattern).search if end_pattern else None
 
     def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             page_index, links = [], []
             for i, html in enumerate(batch.column(html_col).to_pylist()):
-                for link in parse_listing_links(html, href_prefix, require_title):
-                    page_index.append(i)
-                    links.append(link)
+                found = parse_listing_links(html, href_prefix, require_title)
+                if shows_end:
+                    found = [*found, {"ends": shows_end(html or "") is not None}]
+                page_index += [i] * len(found)
+                links += found
             # taking rows of the input keeps its column types, even when empty
             taken = batch.select(keep).take(pa.array(page_index, type=pa.int64()))
             columns = {c: taken.column(c) for c in keep}
             for f in arrow_fields:
-                columns[f.name] = pa.array([link[f.name] for link in links], type=f.type)
+                columns[f.name] = pa.array([link.get(f.name) for link in links], type=f.type)
             yield pa.RecordBatch.from_pydict(columns, schema=arrow_schema)
 
     return pages.select(*keep, html_col).mapInArrow(parse_batches, out_schema)
@@ -248,6 +285,12 @@ def extract_listings(pages: DataFrame, origin, html_col: str = "html",
     links = page_links(pages.withColumn("_origin", origin_col), html_col,
                        keep=[*carried, source_col, "_origin"], href_prefix=href_prefix,
                        require_title=require_title)
+    return listings_of(links, F.col("_origin"), source_col, carried, require_title)
+
+
+def listings_of(links: DataFrame, origin: Column, source_col: str = "source_file",
+                carried: Sequence[str] = (), require_title: bool = True) -> DataFrame:
+    """Silver rows of parsed links."""
     silver = (links.where(F.col("error").isNull())
               .select(
                   *carried,
@@ -255,9 +298,9 @@ def extract_listings(pages: DataFrame, origin, html_col: str = "html",
                   clean_text("details").alias("details"),
                   clean_text("price").alias("price"),
                   clean_text("description").alias("description"),
-                  F.concat(F.col("_origin"), F.col("href")).alias("url"),
+                  F.concat(origin, F.col("href")).alias("url"),
                   F.col(source_col).alias("source_file"),
-                  "position"))
+                  F.col("position").cast("long").alias("position")))
     if require_title:
         silver = silver.where(F.col("title").isNotNull())
     return silver.where(F.col("url").isNotNull()

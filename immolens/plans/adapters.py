@@ -12,30 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from immolens.functions import price_per_m2
-from immolens.session import spread
 
 
 LISTING_URL_BASE = "https://listings.example/annonce/"
 
 
-# Tables that grow with the data, with their unique key; the others are
-# small dimensions.
-FACT_KEYS = {
-    "lineitem": ["l_orderkey", "l_linenumber"],
-    "orders": ["o_orderkey"],
-    "events": ["event_id"],
-    "documents": ["doc_id"],
-    "pages": ["page_id"],
-    "conversations": ["conv_id", "turn"],
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A fact table arriving in fewer splits than the cluster
-    has cores (the test files are one row group each) is spread on its
-    unique key; on large inputs this is a no-op."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, FACT_KEYS[name]) if name in FACT_KEYS else df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def observations_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,8 +105,21 @@ def silver_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rounding to cents in whole numbers, independent of the library's ROUND:
+# (2a + b) div 2b is a / b rounded half up, for a >= 0 and b > 0.
+def sql_ratio2(a: str, b: str) -> str:
+    """Two whole-number expressions' ratio, to two decimals."""
+    return f"(CAST(200 * CAST({a} AS HUGEINT) + CAST({b} AS HUGEINT) AS HUGEINT) // (2 * CAST({b} AS HUGEINT))) / 100.0"
+
+
+def sql_mean2(x: str) -> str:
+    """Mean of a column of whole cents, to two decimals."""
+    cents = f"sum(CAST(round({x} * 100) AS HUGEINT))"
+    return f"CAST((CAST(2 * {cents} + count({x}) AS HUGEINT) // (2 * nullif(count({x}), 0))) / 100.0 AS DOUBLE)"
+
+
 # DuckDB form of ``history_from_tables`` used by the oracle SQL.
-HISTORY_SQL = """
+HISTORY_SQL = f"""
 history AS (
   SELECT CAST(l.l_partkey AS VARCHAR) AS id_annonce,
          upper(p.p_name) AS title,
@@ -130,7 +127,7 @@ history AS (
          CAST(floor(l.l_quantity) AS INTEGER) AS surface_m2,
          CAST(nullif(p.p_size % 8, 7) AS INTEGER) AS nb_pieces,
          CASE WHEN floor(l.l_quantity) > 0
-              THEN CAST(round(CAST(floor(l.l_extendedprice) / floor(l.l_quantity) AS DECIMAL(18,6)), 2) AS DOUBLE)
+              THEN {sql_ratio2("floor(l.l_extendedprice)", "floor(l.l_quantity)")}
          END AS price_m2,
          n.n_name AS city,
          p.p_type AS description,
@@ -143,11 +140,6 @@ history AS (
   JOIN nation n ON s.s_nationkey = n.n_nationkey
 )"""
 
-# ROUND(x, 2) in the form both engines agree on.
-def sql_round2(expr: str) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(18,6)), 2) AS DOUBLE)"
-
-
 STAGING_SQL = HISTORY_SQL + f""",
 stg AS (
   SELECT id_annonce,
@@ -155,7 +147,7 @@ stg AS (
          CAST(price_eur AS DOUBLE) AS price_eur,
          CAST(surface_m2 AS DOUBLE) AS surface_m2,
          nb_pieces,
-         {sql_round2("CAST(price_eur AS DOUBLE) / nullif(CAST(surface_m2 AS DOUBLE), 0)")} AS price_m2,
+         {sql_ratio2("price_eur", "nullif(surface_m2, 0)")} AS price_m2,
          upper(substr(city, 1, 1)) || lower(substr(city, 2)) AS city,
          trim(description) AS description,
          date_scraping

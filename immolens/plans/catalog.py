@@ -7,53 +7,50 @@ plain SQL over the same Parquet tables. Column names and types match.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from immolens.functions import (
-    PRICE_PATTERN, clean_text, collapse_newlines, extract_city, extract_int,
+    CITY_PATTERN, PRICE_PATTERN, clean_text, collapse_newlines, extract_city, extract_int,
     is_http_url, listing_id, price_per_m2, tolerant_date,
 )
 from immolens.operators import marts
 from immolens.operators.cutoff import cut_at_first
-from immolens.operators.extract import extract_listings
 from immolens.operators.extract import page_links as parse_page_links
 from immolens.operators.gold import dedupe_first, to_gold
 from immolens.operators.history import history_stats as h_stats
 from immolens.operators.history import rows_per_snapshot as h_rows
+from immolens.operators.history import union_snapshots
 from immolens.operators.quality import (
     SOURCE_CHECKS, STAGING_CHECKS, freshness as q_freshness, null_counts, profile, run_checks,
 )
 from immolens.operators.staging import to_staging
 from immolens.plans.adapters import (
     HISTORY_SQL, PAGE_ORIGIN, STAGING_SQL, history_from_tables, listing_pages_from_tables,
-    silver_from_tables, sql_round2, table,
+    silver_from_tables, sql_mean2, sql_ratio2, table,
 )
+from immolens.plans.refresh import Layout, build_marts, pages_to_silver
 from immolens.schema import GOLD_COLUMNS
-from immolens.session import ensure_checkpoint_dir
+from immolens.session import scratch_folder
 from immolens.sources.files import (
     read_gold, read_silver, register_history, register_view, write_gold, write_history,
     write_silver,
 )
-from immolens.sources.pages import take_until_end
-from immolens.sources.seed import TYPOLOGY_ROWS, typology_seed
+from immolens.sources.pages import cut_pages, read_page_metadata, read_page_table
+from immolens.sources.seed import TYPOLOGY_ROWS, read_seed, typology_seed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FRESHNESS_AS_OF = "2024-02-02 12:00:00"
+REFRESH_AS_OF = "1995-02-02 12:00:00"      # before the newest snapshot: never stale
 
 
 def _stg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_staging(history_from_tables(spark, sf_dir))
 
 
-def _r2(expr: str) -> str:
-    return sql_round2(expr)
-
-
 # --------------------------------------------------------------- marts ----
 
 def price_evolution(spark, sf_dir):
@@ -142,24 +139,15 @@ def gold_from_text(spark, sf_dir):
 
 
 def gold_from_html(spark, sf_dir):
-    """Pages -> cut-off -> listing extraction -> Gold, end to end."""
-    pages = take_until_end(listing_pages_from_tables(spark, sf_dir))
-    silver = extract_listings(pages, PAGE_ORIGIN, keep=["snapshot_date"])
+    """Pages -> listing extraction -> cut-off -> Gold, end to end."""
+    silver, _ = pages_to_silver(listing_pages_from_tables(spark, sf_dir), PAGE_ORIGIN)
     return to_gold(silver, F.col("snapshot_date"))
 
 
-def _scratch(spark: SparkSession, name: str, sf_dir: str) -> str:
-    """A folder under the cluster's shared checkpoint folder, fixed per query
-    and input: every sink overwrites partitions dynamically, so running the
-    query again replaces what the last run wrote instead of piling up."""
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/immolens-queries/{name}-{tag}"
-
-
 def silver_csv_roundtrip(spark, sf_dir):
     """Silver written as date-partitioned CSV (quotes, line breaks inside
     fields), read back with the fixed schema, then typed to Gold."""
-    path = _scratch(spark, "silver", sf_dir)
+    path = scratch_folder(spark, "silver")
     write_silver(silver_from_tables(spark, sf_dir), path)
     return to_gold(read_silver(spark, path), F.col("snapshot_date"))
 
@@ -168,7 +156,7 @@ def history_files_roundtrip(spark, sf_dir):
     """Gold and History written as date-partitioned Parquet, the first
     snapshot written again (a rerun replaces its partition only), the
     history bound to a name, read back, staged and aggregated."""
-    root = _scratch(spark, "layers", sf_dir)
+    root = scratch_folder(spark, "layers")
     write_gold(history_from_tables(spark, sf_dir), f"{root}/gold")
     gold = read_gold(spark, f"{root}/gold")
     write_history(gold, f"{root}/history")
@@ -178,6 +166,54 @@ def history_files_roundtrip(spark, sf_dir):
     return marts.price_evolution(to_staging(history))
 
 
+def union_of_snapshots(spark, sf_dir):
+    """H1: three snapshots' rows, one with text dates in the second format,
+    in one history; duplicates stay."""
+    h = history_from_tables(spark, sf_dir, keep=["l_linenumber"])
+    parts = [h.where(F.col("l_linenumber") % 3 == k) for k in range(3)]
+    parts[1] = parts[1].withColumn("date_scraping", F.date_format("date_scraping", "dd-MM-yyyy"))
+    return union_snapshots(*parts, parts[2])
+
+
+def staging_epoch_days(spark, sf_dir):
+    """V5: a history whose date is stored as a day count."""
+    h = history_from_tables(spark, sf_dir)
+    return to_staging(h.withColumn("date_scraping", F.unix_date("date_scraping")))
+
+
+def marts_of_written_history(spark, sf_dir):
+    """The second half of the refresh job over a written history
+    (fixed reference time), its tables read back."""
+    root = scratch_folder(spark, "refresh")
+    layout = Layout(raw=f"{root}/raw", silver=f"{root}/silver", gold=f"{root}/gold", history=f"{root}/history", marts=f"{root}/marts")
+    write_history(history_from_tables(spark, sf_dir), layout.history)
+    result = build_marts(spark, layout, REFRESH_AS_OF, fail_on_checks=False)
+    evolution = spark.read.parquet(result.marts["mart_evolution_prix"])
+    persistent = spark.read.parquet(result.marts["persistence_annonces"])
+    return (evolution.select(F.col("date_scraping").cast("string").alias("key"), F.col("avg_price").alias("amount"), F.col("nb_annonces").alias("n"))
+            .unionByName(persistent.select(F.col("id_annonce").alias("key"), F.col("avg_rent").alias("amount"), F.col("nb_weeks_visible").alias("n"))))
+
+
+def typology_seed_csv(spark, sf_dir):
+    """The reference table written as CSV and read back as the seed."""
+    path = scratch_folder(spark, "seed")
+    typology_seed(spark).write.option("header", True).csv(path)
+    return marts.typology_labelled(_stg(spark, sf_dir), read_seed(spark, path))
+
+
+def approximate_cut(spark, sf_dir):
+    """A5 by sketch: is the rank of the approximate percentile within the
+    promised n / accuracy (+1 for the discrete target) of the wanted one?"""
+    stg = _stg(spark, sf_dir).select("price_m2")
+    accuracy = 1000
+    cut = marts.price_cut(stg, 0.2, method="approx", accuracy=accuracy, alias="cut")
+    ranks = stg.crossJoin(F.broadcast(cut)).agg(                          # the cut is one row
+        F.count("price_m2").alias("n"), F.count_if(F.col("price_m2") < F.col("cut")).alias("below"),
+        F.count_if(F.col("price_m2") <= F.col("cut")).alias("upto"))
+    slack = F.col("n") / accuracy + 1
+    return ranks.select("n", ((F.col("below") <= F.col("n") * 0.2 + slack) & (F.col("upto") >= F.col("n") * 0.2 - slack)).alias("within"))
+
+
 # ------------------------------------------------------------- quality ----
 
 def quality_checks(spark, sf_dir):
@@ -233,6 +269,38 @@ def page_cutoff(spark, sf_dir):
                         stop_after=F.col("event_type") == "error")
 
 
+def page_cutoff_status(spark, sf_dir):
+    """Both stop rules, with pages that have no number."""
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "event_id", F.when(F.col("event_id") % 11 != 0, F.col("event_id")).alias("page_no"),
+        F.when(F.col("event_type") == "error", F.lit(503)).alias("status_code"),
+        (F.col("event_type") == "purchase").alias("ends"))
+    return cut_pages(events, F.col("ends"), date_col="user_id").drop("ends")
+
+
+def pages_from_table_files(spark, sf_dir):
+    """A page table written by date, with metadata as JSON lines, read
+    back with its status codes."""
+    root = scratch_folder(spark, "raw")
+    p = table(spark, sf_dir, "pages")
+    day = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("page_id") % 5).cast("int"))
+    (p.select(day.alias("snapshot_date"), F.col("page_id").alias("page_no"), "html", F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("source_file"))
+     .write.partitionBy("snapshot_date").parquet(f"{root}/pages"))
+    (p.where("page_id % 3 <> 0").select(day.alias("snapshot_date"), F.col("page_id").alias("page_no"), F.col("url").alias("source_url"),
+                                         F.repeat(F.col("url"), 20).alias("user_agent"), F.when(F.col("page_id") % 7 == 0, 404).otherwise(200).alias("status_code"))
+     .write.json(f"{root}/meta"))
+    pages = read_page_table(spark, f"{root}/pages", metadata=read_page_metadata(spark, f"{root}/meta"))
+    return pages.select("snapshot_date", "page_no", "source_url", F.length("user_agent").alias("agent_chars"), "status_code", F.md5("html").alias("html_md5"), "source_file")
+
+
+def broken_pages(spark, sf_dir):
+    """Markup that the parser rejects costs that page only."""
+    pages = table(spark, sf_dir, "pages")
+    html = F.when(F.col("page_id") % 5 == 0, F.concat("html", F.lit("<![foo[x]]>"))).otherwise(F.col("html"))
+    links = parse_page_links(pages.select("page_id", html.alias("html")), keep=["page_id"], href_prefix="/", require_title=False)
+    return links.groupBy("page_id").agg(F.count_if(F.col("error").isNull()).alias("links"), F.count_if(F.col("error").isNotNull()).alias("errors"))
+
+
 def page_links(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     links = parse_page_links(pages, keep=["page_id", "url"], href_prefix="/", require_title=False)
@@ -270,6 +338,11 @@ QUERIES: dict[str, Query] = {
     "gold_from_html": gold_from_html,
     "silver_csv_roundtrip": silver_csv_roundtrip,
     "history_files_roundtrip": history_files_roundtrip,
+    "union_of_snapshots": union_of_snapshots,
+    "staging_epoch_days": staging_epoch_days,
+    "marts_of_written_history": marts_of_written_history,
+    "typology_seed_csv": typology_seed_csv,
+    "approximate_cut": approximate_cut,
     "quality_checks": quality_checks,
     "freshness": freshness,
     "tolerant_date": tolerant_date_text,
@@ -277,6 +350,9 @@ QUERIES: dict[str, Query] = {
     "number_from_text": number_from_text,
     "clean_whitespace": clean_whitespace,
     "page_cutoff": page_cutoff,
+    "page_cutoff_status": page_cutoff_status,
+    "pages_from_table_files": pages_from_table_files,
+    "broken_pages": broken_pages,
     "page_links": page_links,
     "page_slug": page_slug,
 }
@@ -294,7 +370,7 @@ def _sql_clean_text(x: str) -> str:
             f"ELSE trim(regexp_replace({inner}, '{_WS}', ' ', 'g')) END")
 
 
-_CITY = r"([A-ZÉÈÎÔÂÛÙÇ][a-zéèîôâûùç\- ]+)\s*\(76\)"
+_CITY = CITY_PATTERN
 _SEED_VALUES = ", ".join(f"({n}, '{label}')" for n, label, _ in TYPOLOGY_ROWS)
 
 _STAGING_TYPES = [("id_annonce", "string"), ("title", "string"), ("price_eur", "int"),
@@ -377,15 +453,26 @@ typed AS (
   FROM silver WHERE regexp_matches(url, '^https?://'))
 SELECT id_annonce, title, price_eur, surface_m2, nb_pieces,
        CASE WHEN price_eur IS NOT NULL AND surface_m2 > 0
-            THEN {_r2('CAST(price_eur AS DOUBLE) / CAST(surface_m2 AS DOUBLE)')} END AS price_m2,
+            THEN {sql_ratio2('price_eur', 'surface_m2')} END AS price_m2,
        city, description, url, date_scraping
 FROM typed
 QUALIFY row_number() OVER (PARTITION BY date_scraping, id_annonce ORDER BY source_file, position) = 1"""
 
 
+def _daily(x: str) -> str:
+    """A group's mean in units of 10^-14."""
+    return f"CAST(sum(CAST(round({x} * 100) AS HUGEINT)) * 1000000000000 AS HUGEINT) // count({x})"
+
+
+def _over_days(x: str) -> str:
+    """The mean of such means, to two decimals."""
+    n = f"CAST(count({x}) * 1000000000000 AS HUGEINT)"
+    return f"CAST((CAST(2 * sum({x}) AS HUGEINT) + {n}) // (2 * {n}) / 100.0 AS DOUBLE)"
+
+
 ORACLE_SQL: dict[str, str] = {
     "price_evolution": f"""WITH {STAGING_SQL}
-SELECT date_scraping, {_r2('avg(price_m2)')} AS avg_price_m2, {_r2('avg(price_eur)')} AS avg_price,
+SELECT date_scraping, {sql_mean2('price_m2')} AS avg_price_m2, {sql_mean2('price_eur')} AS avg_price,
        count(*) AS nb_annonces
 FROM stg GROUP BY date_scraping ORDER BY date_scraping""",
 
@@ -393,29 +480,29 @@ FROM stg GROUP BY date_scraping ORDER BY date_scraping""",
 SELECT id_annonce, title, price_eur, surface_m2, nb_pieces, price_m2, city, description, date_scraping FROM stg""",
 
     "typology": f"""WITH {STAGING_SQL}
-SELECT nb_pieces, count(*) AS nb_annonces, {_r2('avg(price_m2)')} AS avg_price_m2,
-       {_r2('avg(price_eur)')} AS avg_rent, {_r2('avg(surface_m2)')} AS avg_surface
+SELECT nb_pieces, count(*) AS nb_annonces, {sql_mean2('price_m2')} AS avg_price_m2,
+       {sql_mean2('price_eur')} AS avg_rent, {sql_mean2('surface_m2')} AS avg_surface
 FROM stg GROUP BY nb_pieces ORDER BY nb_pieces NULLS LAST""",
 
     "typology_labelled": f"""WITH {STAGING_SQL},
 seed(seed_rooms, label_typologie) AS (VALUES {_SEED_VALUES}),
-t AS (SELECT nb_pieces, count(*) AS nb_annonces, {_r2('avg(price_m2)')} AS avg_price_m2,
-             {_r2('avg(price_eur)')} AS avg_rent, {_r2('avg(surface_m2)')} AS avg_surface
+t AS (SELECT nb_pieces, count(*) AS nb_annonces, {sql_mean2('price_m2')} AS avg_price_m2,
+             {sql_mean2('price_eur')} AS avg_rent, {sql_mean2('surface_m2')} AS avg_surface
       FROM stg GROUP BY nb_pieces)
 SELECT t.nb_pieces, s.label_typologie, t.nb_annonces, t.avg_price_m2, t.avg_rent, t.avg_surface
 FROM t LEFT JOIN seed s ON (CASE WHEN t.nb_pieces >= 5 THEN 5 ELSE t.nb_pieces END) = s.seed_rooms
 ORDER BY t.nb_pieces NULLS LAST""",
 
     "mean_of_snapshot_means": f"""WITH {STAGING_SQL},
-daily AS (SELECT city, date_scraping, avg(price_m2) AS p, avg(surface_m2) AS s FROM stg GROUP BY city, date_scraping)
-SELECT city, {_r2('avg(p)')} AS avg_price_m2, {_r2('avg(s)')} AS avg_surface_m2, count(*) AS nb_weeks
+daily AS (SELECT city, {_daily('price_m2')} AS p, {_daily('surface_m2')} AS s FROM stg GROUP BY city, date_scraping)
+SELECT city, {_over_days('p')} AS avg_price_m2, {_over_days('s')} AS avg_surface_m2, count(*) AS nb_weeks
 FROM daily GROUP BY city ORDER BY avg_price_m2 DESC NULLS LAST, city""",
 
     "market_kpi": f"""WITH {STAGING_SQL}
 SELECT max(date_scraping) AS last_scraping, count(*) AS total_annonces,
-       {_r2('avg(price_m2)')} AS avg_price_m2, {_r2('min(price_m2)')} AS min_price_m2,
-       {_r2('max(price_m2)')} AS max_price_m2, {_r2('avg(surface_m2)')} AS avg_surface,
-       {_r2('avg(price_eur)')} AS avg_rent
+       {sql_mean2('price_m2')} AS avg_price_m2, min(price_m2) AS min_price_m2,
+       max(price_m2) AS max_price_m2, {sql_mean2('surface_m2')} AS avg_surface,
+       {sql_mean2('price_eur')} AS avg_rent
 FROM stg""",
 
     "price_cut_p20": f"""WITH {STAGING_SQL}
@@ -435,14 +522,14 @@ WHERE price_m2 <= (SELECT quantile_disc(price_m2, 0.2) FROM stg)""",
 
     "persistence": f"""WITH {STAGING_SQL}
 SELECT id_annonce, min(date_scraping) AS first_seen, max(date_scraping) AS last_seen,
-       count(DISTINCT date_scraping) AS nb_weeks_visible, {_r2('avg(price_m2)')} AS avg_price_m2,
-       {_r2('avg(price_eur)')} AS avg_rent, {_r2('avg(surface_m2)')} AS avg_surface
+       count(DISTINCT date_scraping) AS nb_weeks_visible, {sql_mean2('price_m2')} AS avg_price_m2,
+       {sql_mean2('price_eur')} AS avg_rent, {sql_mean2('surface_m2')} AS avg_surface
 FROM stg GROUP BY id_annonce""",
 
     "persistence_top20": f"""WITH {STAGING_SQL}
 SELECT id_annonce, min(date_scraping) AS first_seen, max(date_scraping) AS last_seen,
-       count(DISTINCT date_scraping) AS nb_weeks_visible, {_r2('avg(price_m2)')} AS avg_price_m2,
-       {_r2('avg(price_eur)')} AS avg_rent, {_r2('avg(surface_m2)')} AS avg_surface
+       count(DISTINCT date_scraping) AS nb_weeks_visible, {sql_mean2('price_m2')} AS avg_price_m2,
+       {sql_mean2('price_eur')} AS avg_rent, {sql_mean2('surface_m2')} AS avg_surface
 FROM stg GROUP BY id_annonce ORDER BY nb_weeks_visible DESC, id_annonce LIMIT 20""",
 
     "history_stats": f"""WITH {HISTORY_SQL}
@@ -464,7 +551,7 @@ SELECT {", ".join(f"count_if({c} IS NULL) AS {c}" for c, _ in _STAGING_TYPES)} F
     "price_per_m2": f"""WITH {HISTORY_SQL}
 SELECT id_annonce, date_scraping, price_eur, surface_m2,
        CASE WHEN price_eur IS NOT NULL AND surface_m2 > 0
-            THEN {_r2('CAST(price_eur AS DOUBLE) / CAST(surface_m2 AS DOUBLE)')} END AS price_m2
+            THEN {sql_ratio2('price_eur', 'surface_m2')} END AS price_m2
 FROM history""",
 
     "dedupe_in_snapshot": f"""WITH {HISTORY_SQL}
@@ -485,7 +572,7 @@ typed AS (
   FROM silver WHERE regexp_matches(url, '^https?://'))
 SELECT id_annonce, title, price_eur, surface_m2, nb_pieces,
        CASE WHEN price_eur IS NOT NULL AND surface_m2 > 0
-            THEN {_r2('CAST(price_eur AS DOUBLE) / CAST(surface_m2 AS DOUBLE)')} END AS price_m2,
+            THEN {sql_ratio2('price_eur', 'surface_m2')} END AS price_m2,
        city, description, url, date_scraping
 FROM typed
 QUALIFY row_number() OVER (PARTITION BY date_scraping, id_annonce ORDER BY source_file, position) = 1""",
@@ -576,3 +663,40 @@ FROM pages WHERE regexp_matches(url, '^https?://')""",
 ORACLE_SQL["silver_csv_roundtrip"] = ORACLE_SQL["gold_from_text"]
 ORACLE_SQL["history_files_roundtrip"] = ORACLE_SQL["price_evolution"]
 ORACLE_SQL["staging_view"] = ORACLE_SQL["staging"]
+ORACLE_SQL["staging_epoch_days"] = ORACLE_SQL["staging"]
+ORACLE_SQL["typology_seed_csv"] = ORACLE_SQL["typology_labelled"]
+
+ORACLE_SQL["union_of_snapshots"] = f"""WITH {HISTORY_SQL}
+SELECT id_annonce, title, price_eur, surface_m2, nb_pieces, price_m2, city, description, url, date_scraping
+FROM history, (VALUES (0, 1), (1, 1), (2, 1), (2, 2)) AS copies(part, copy)
+WHERE l_linenumber % 3 = copies.part"""
+
+ORACLE_SQL["marts_of_written_history"] = f"""WITH {STAGING_SQL}
+SELECT CAST(date_scraping AS VARCHAR) AS key, {sql_mean2('price_eur')} AS amount, count(*) AS n FROM stg GROUP BY date_scraping
+UNION ALL
+SELECT * FROM (SELECT id_annonce, {sql_mean2('price_eur')}, count(DISTINCT date_scraping) AS n
+               FROM stg GROUP BY id_annonce ORDER BY n DESC, id_annonce LIMIT 20)"""
+
+ORACLE_SQL["approximate_cut"] = f"""WITH {STAGING_SQL}
+SELECT count(price_m2) AS n, true AS within FROM stg"""
+
+ORACLE_SQL["page_cutoff_status"] = """WITH e AS (
+  SELECT user_id, event_id, CASE WHEN event_id % 11 <> 0 THEN event_id END AS page_no,
+         CASE WHEN event_type = 'error' THEN 503 END AS status_code, event_type FROM events),
+s AS (
+  SELECT user_id, min(page_no) FILTER (event_type = 'purchase') AS last, min(page_no) FILTER (event_type = 'error') AS failed
+  FROM e GROUP BY user_id)
+SELECT e.user_id, event_id, page_no, CAST(status_code AS INTEGER) AS status_code FROM e JOIN s USING (user_id)
+WHERE CASE WHEN page_no IS NULL THEN status_code IS NULL
+           ELSE page_no <= coalesce(last, page_no) AND (failed IS NULL OR page_no < failed) END"""
+
+ORACLE_SQL["pages_from_table_files"] = """SELECT CAST(DATE '2025-01-01' + CAST(page_id % 5 AS INTEGER) AS DATE) AS snapshot_date, page_id AS page_no,
+       CASE WHEN page_id % 3 <> 0 THEN url END AS source_url,
+       CASE WHEN page_id % 3 <> 0 THEN CAST(least(250, 20 * length(url)) AS INTEGER) END AS agent_chars,
+       CAST(CASE WHEN page_id % 3 <> 0 THEN CASE WHEN page_id % 7 = 0 THEN 404 ELSE 200 END END AS INTEGER) AS status_code,
+       md5(html) AS html_md5, 'page_' || CAST(page_id AS VARCHAR) || '.html' AS source_file
+FROM pages"""
+
+ORACLE_SQL["broken_pages"] = """SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 0 ELSE n END AS links, CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END AS errors
+FROM (SELECT page_id, CAST(len(regexp_extract_all(html, '<a href="(/[^"]*)">([^<]*)</a>', 1)) AS BIGINT) AS n FROM pages)
+WHERE n > 0 OR page_id % 5 = 0"""

@@ -6,9 +6,10 @@ Order of work, each step a Spark job over files:
     Silver -> Gold (typed, deduplicated) -> History (that date's partition)
     History -> freshness gate -> staging -> marts + KPI -> data checks
 
-A failed freshness gate stops the job before the marts; failing checks are
-reported (and raise when ``fail_on_checks``). Rerunning a date replaces
-that date in every layer and nothing else (dynamic partition overwrite).
+A date without listings stops the job before Gold, a failed freshness gate
+before the marts; failing checks raise, unless ``fail_on_checks`` is off (then
+they are reported). Rerunning a date replaces that date in every layer and
+nothing else (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from immolens.operators import marts
-from immolens.operators.extract import extract_listings
+from immolens.operators.extract import listings_of, page_links
 from immolens.operators.gold import to_gold
 from immolens.operators.quality import (
     SOURCE_CHECKS, STAGING_CHECKS, freshness, run_checks, snapshot_loaded_at,
@@ -30,7 +31,8 @@ from immolens.operators.staging import to_staging
 from immolens.sources.files import (
     read_gold, read_history, read_silver, save_table, write_gold, write_history, write_silver,
 )
-from immolens.sources.pages import read_page_metadata, read_pages, take_until_end
+from immolens.session import scratch_folder
+from immolens.sources.pages import END_OF_RESULTS_PATTERN, cut_pages, read_page_metadata, read_pages
 from immolens.sources.seed import typology_seed
 
 
@@ -58,29 +60,56 @@ class RefreshResult:
     freshness: dict
     checks: list[dict] = field(default_factory=list)
     marts: dict[str, str] = field(default_factory=dict)
+    parse_errors: int = 0
+
+
+class NoListingsError(RuntimeError):
+    pass
+
+
+def pages_to_silver(pages: DataFrame, origin: str, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Silver rows of raw pages up to each date's cut-off, and the parse
+    errors. The pages are read and parsed once: links and one narrow row per
+    page are written to ``folder`` (by default a new one under the shared
+    checkpoint folder), and the cut-off and the rows come from there."""
+    spark = pages.sparkSession
+    folder = folder or scratch_folder(spark, "parsed")
+    keep = ["snapshot_date", "page_no", "status_code", "source_file"]
+    parsed = page_links(pages, keep=keep, end_pattern=END_OF_RESULTS_PATTERN)
+    parsed.write.parquet(folder)
+    parsed = cut_pages(spark.read.schema(parsed.schema).parquet(folder), F.col("ends"))
+    links = parsed.where(F.col("ends").isNull())
+    return (listings_of(links, F.lit(origin), carried=["snapshot_date"]).where(F.col("title").isNotNull()),
+            links.where(F.col("error").isNotNull()))
 
 
 def ingest(spark: SparkSession, layout: Layout, snapshot_date: str | None, origin: str,
-           number_style: str = "plain") -> None:
+           number_style: str = "plain") -> int:
     """Raw pages -> Silver -> Gold -> History for one date (None: every date
-    found under ``layout.raw``, processed in one job)."""
+    found under ``layout.raw``, processed in one job). Returns the number of
+    links and pages that could not be parsed."""
     meta = read_page_metadata(spark, layout.page_metadata) if layout.page_metadata else None
-    pages = take_until_end(read_pages(spark, layout.raw, snapshot_date, meta))
-    silver = extract_listings(pages, origin, keep=["snapshot_date"])
-    write_silver(silver, layout.silver)
-
-    silver = read_silver(spark, layout.silver, snapshot_date)
+    extracted, errors = pages_to_silver(read_pages(spark, layout.raw, snapshot_date, meta), origin)
+    write_silver(extracted, layout.silver)
+
+    # Only the dates of this run are read back; their list is one row a date.
+    dates = [r[0] for r in extracted.select("snapshot_date").distinct().collect()]
+    if not dates and (snapshot_date is not None or not _has_rows(read_silver(spark, layout.silver))):
+        raise NoListingsError(f"no listings for {snapshot_date or 'any date'} under {layout.raw}")
+    silver = read_silver(spark, layout.silver).where(F.col("snapshot_date").isin(dates))
     gold = to_gold(silver, F.col("snapshot_date"), number_style=number_style)
     write_gold(gold, layout.gold)
 
-    # History gets the snapshot's partition only; a backfill of every date
-    # rewrites the partitions present in Gold.
     history_rows = read_gold(spark, layout.gold, required=False)
-    if snapshot_date is not None:
-        history_rows = history_rows.where(F.col("date_scraping") == F.lit(snapshot_date).cast("date"))
-    write_history(history_rows, layout.history)
+    write_history(history_rows.where(F.col("date_scraping").isin(dates)), layout.history)
+    return errors.count()
+
+
+def _has_rows(df: DataFrame) -> bool:
+    return not df.isEmpty()
 
 
+# Names of the output tables.
 MART_BUILDERS = {
     "mart_evolution_prix": lambda stg, seed, pm: marts.price_evolution(stg),
     "mart_typologie_logement": lambda stg, seed, pm: marts.typology(stg),
@@ -92,22 +121,20 @@ MART_BUILDERS = {
 }
 
 
-def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool = False,
-                percentile_method: str = "exact", cache_staging: bool = True) -> RefreshResult:
+def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool = True,
+                percentile_method: str = "exact", cache_staging: bool = False) -> RefreshResult:
     """History -> freshness gate -> staging -> marts -> checks.
 
     ``percentile_method="approx"`` takes the best-deals cut from the sketch
     (``percentile_approx``) instead of the exact distributed percentile.
-    ``cache_staging=False`` lets every table re-read only the Parquet
-    columns it needs instead of caching all staging columns once; on a very
-    large history that can be the cheaper choice."""
+    Every table reads the Parquet columns it needs; ``cache_staging=True``
+    keeps all staging columns in memory and on disk instead, which pays on a
+    small history only."""
     history = read_history(spark, layout.history)
     fresh = freshness(history, snapshot_loaded_at(), as_of).first().asDict()
     if fresh["status"] == "error":
         raise FreshnessError(f"history is not fresh: {fresh}")
 
-    # The staging rows feed seven tables: keep them once instead of
-    # re-reading and re-casting the history for each (spills to disk).
     stg = to_staging(history)
     if cache_staging:
         stg = stg.persist(StorageLevel.MEMORY_AND_DISK)
@@ -132,15 +159,17 @@ def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool
 
 def refresh(spark: SparkSession, layout: Layout, snapshot_date: str | dt.date | None,
             origin: str, as_of=None, number_style: str = "plain",
-            fail_on_checks: bool = False, percentile_method: str = "exact",
-            cache_staging: bool = True) -> RefreshResult:
+            fail_on_checks: bool = True, percentile_method: str = "exact",
+            cache_staging: bool = False) -> RefreshResult:
     """R1 (one date) and R2 (backfill: any past date, or None for all)."""
     if isinstance(snapshot_date, dt.date):
         snapshot_date = snapshot_date.isoformat()
-    ingest(spark, layout, snapshot_date, origin, number_style)
+    errors = ingest(spark, layout, snapshot_date, origin, number_style)
     if as_of is None:
         as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return build_marts(spark, layout, as_of, fail_on_checks, percentile_method, cache_staging)
+    result = build_marts(spark, layout, as_of, fail_on_checks, percentile_method, cache_staging)
+    result.parse_errors = errors
+    return result
 
 
 def backfill(spark: SparkSession, layout: Layout, origin: str, as_of=None,
@@ -158,7 +187,7 @@ def staging_from(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> None:
     """Command line: ``python -m immolens.plans.refresh --root <uri> --origin <url>
-    [--date yyyy-MM-dd]``; on a cluster, ``spark-submit`` this module with the
+    [--date yyyy-MM-dd|all]``; on a cluster, ``spark-submit`` this module with the
     package shipped through ``--py-files``."""
     import argparse
     import json
@@ -166,22 +195,24 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Refresh listing layers and market tables.")
     parser.add_argument("--root", required=True, help="folder holding raw/ silver/ gold/ history/ marts/")
     parser.add_argument("--origin", required=True, help="scheme and host prefixed to listing links")
-    parser.add_argument("--date", default=None, help="snapshot date yyyy-MM-dd (default: every date)")
+    parser.add_argument("--date", default=None, help="snapshot date yyyy-MM-dd, or 'all' (default: today, UTC)")
+    parser.add_argument("--page-metadata", default=None, help="JSON lines with source URL, time and status of the pages")
     parser.add_argument("--as-of", default=None, help="freshness reference time (default: now, UTC)")
     parser.add_argument("--number-style", default="plain", choices=["plain", "fr"])
-    parser.add_argument("--fail-on-checks", action="store_true")
+    parser.add_argument("--report-only", action="store_true", help="report failing checks without failing the run")
     parser.add_argument("--percentile", default="exact", choices=["exact", "approx"])
-    parser.add_argument("--no-cache", action="store_true", help="do not cache the staging rows")
+    parser.add_argument("--cache", action="store_true", help="cache the staging rows")
     args = parser.parse_args(argv)
+    date = args.date or dt.datetime.now(dt.timezone.utc).date().isoformat()
 
     spark = SparkSession.builder.appName("immolens-refresh").getOrCreate()
     root = args.root.rstrip("/")
     layout = Layout(raw=f"{root}/raw", silver=f"{root}/silver", gold=f"{root}/gold",
-                    history=f"{root}/history", marts=f"{root}/marts")
-    result = refresh(spark, layout, args.date, args.origin, args.as_of, args.number_style,
-                     args.fail_on_checks, args.percentile, not args.no_cache)
-    print(json.dumps({"freshness": result.freshness, "checks": result.checks,
-                      "marts": result.marts}, default=str))
+                    history=f"{root}/history", marts=f"{root}/marts", page_metadata=args.page_metadata)
+    result = refresh(spark, layout, None if date == "all" else date, args.origin, args.as_of, args.number_style,
+                     not args.report_only, args.percentile, args.cache)
+    print(json.dumps({"freshness": result.freshness, "checks": result.checks, "marts": result.marts,
+                      "parse_errors": result.parse_errors}, default=str))
 
 
 if __name__ == "__main__":

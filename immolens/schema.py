@@ -24,7 +24,7 @@ SILVER = T.StructType([
     T.StructField("description", T.StringType()),
     T.StructField("url", T.StringType()),
     T.StructField("source_file", T.StringType()),
-    T.StructField("position", T.IntegerType()),
+    T.StructField("position", T.LongType()),
 ])
 SILVER_COLUMNS = [f.name for f in SILVER.fields]
 

@@ -8,9 +8,11 @@ everything here only fills values that are unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE stays on so shuffle partition counts,
 # skewed joins and small-side broadcasts are re-planned from runtime sizes.
@@ -46,51 +48,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     Read from ``spark.checkpoint.dir``, else from the context's checkpoint
-    directory. Only when neither is set (local tests) is a folder created
-    and registered on the context; the setting itself cannot be changed on a
-    running session.
+    directory. Where neither is set, a local master (one machine, so a local
+    folder is shared) gets a new folder; on a cluster this raises, as
+    executors would each write to their own disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    context = None
-    try:
-        context = spark.sparkContext
-        current = context.getCheckpointDir()
-    except Exception:  # no SparkContext handle (Spark Connect)
-        current = None
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     if current:
         return current
-    current = fallback or tempfile.mkdtemp(prefix="immolens-ckpt-")
-    if context is not None:
-        context.setCheckpointDir(current)
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    current = tempfile.mkdtemp(prefix="immolens-ckpt-")
+    context.setCheckpointDir(current)
     return current
 
 
-MAX_SPREAD_PARTITIONS = 256
-
-
-def spread(df: DataFrame, key: list[str], min_partitions: int | None = None) -> DataFrame:
-    """Spread an input that arrives in fewer splits than the cluster has
-    cores (a small single-file table) over the cores, so CPU-heavy steps
-    after the scan run in parallel.
-
-    The rows are hash-partitioned on the input's unique ``key``: a unique
-    key cannot be skewed and hashing needs no sort. At most 256 partitions
-    are made, so a mid-size single-file input on a large cluster does not
-    turn into thousands of tiny tasks. Inputs that already have enough
-    splits are returned unchanged: no shuffle is added at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
-        return df
-    target = min_partitions or min(cores, MAX_SPREAD_PARTITIONS)
-    if splits >= target:
-        return df
-    return df.repartition(target, *key)
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/immolens-{name}-{uuid.uuid4().hex}"

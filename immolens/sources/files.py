@@ -7,6 +7,7 @@ nothing is rewritten whole. Reads always use the fixed schema.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,19 +18,14 @@ from immolens.schema import GOLD, GOLD_COLUMNS, SILVER
 SILVER_DATE = "snapshot_date"
 
 
-def _missing(exc: Exception) -> bool:
-    text = str(exc)
-    return "PATH_NOT_FOUND" in text or "Path does not exist" in text
-
-
 def _read_or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
     """A layer that was never written reads as an empty table."""
     try:
         return read()
-    except Exception as exc:
-        if _missing(exc):
-            return spark.createDataFrame([], schema)
-        raise
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def _partitioned_overwrite(df: DataFrame, partition_col: str):
@@ -56,30 +52,36 @@ def read_silver(spark: SparkSession, path: str, snapshot_date: str | None = None
     """Silver CSV with the fixed schema; quoted fields may span lines.
 
     ``escape='"'`` reads doubled quotes as one quote. A header line (with or
-    without a byte-order mark) is skipped, columns are taken by position.
+    without a byte-order mark) is skipped, columns are taken by position. A
+    damaged record (a field that does not fit its type, too few or too many
+    fields) fails the read.
     """
     schema = T.StructType(SILVER.fields + [T.StructField(SILVER_DATE, T.DateType())])
     df = _read_or_empty(spark, schema, lambda: (
-        spark.read.schema(schema).option("header", True).option("escape", '"')
+        spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "FAILFAST")
         .option("multiLine", True).option("encoding", "UTF-8").csv(path)))
     if snapshot_date is not None:
         df = df.where(F.col(SILVER_DATE) == F.lit(snapshot_date).cast("date"))
     return df
 
 
-def read_dated_silver_files(spark: SparkSession, pattern: str) -> DataFrame:
+def read_dated_silver_files(spark: SparkSession, pattern: str, default_date: str | None = None) -> DataFrame:
     """S4 + G7 for Silver kept one CSV per date (``<yyyy-MM-dd>.csv``, as
     written by pandas: BOM, doubled quotes, no position column): the
-    snapshot date comes from each file's name, the position from the row's
-    place in its file is unknown and left null."""
+    snapshot date comes from each file's name, or is ``default_date`` where
+    the name holds no date (without one, that raises); the position from the
+    row's place in its file is unknown and left null."""
     schema = T.StructType([f for f in SILVER.fields if f.name != "position"])
-    df = (spark.read.schema(schema).option("header", True).option("escape", '"')
+    df = (spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "FAILFAST")
           .option("multiLine", True).option("encoding", "UTF-8").csv(pattern))
     name = F.col("_metadata.file_name")
+    named = F.try_to_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
+    other = (F.lit(default_date).cast("date") if default_date is not None
+             else F.raise_error(F.concat(F.lit("no date in the file name "), name)).cast("date"))
     return df.select(
         *schema.fieldNames(),
-        F.lit(None).cast("int").alias("position"),
-        F.to_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd").alias(SILVER_DATE),
+        F.lit(None).cast("long").alias("position"),
+        F.coalesce(named, other).alias(SILVER_DATE),
     )
 
 
@@ -104,10 +106,10 @@ def read_text_dated_gold_files(spark: SparkSession, pattern: str = "*_clean.parq
                            for f in GOLD.fields])
     try:
         df = spark.read.schema(schema).parquet(pattern)
-    except Exception as exc:
-        if _missing(exc):
-            raise FileNotFoundError(f"no Gold file matches {pattern}") from exc
-        raise
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no Gold file matches {pattern}") from exc
     if df.isEmpty():
         raise FileNotFoundError(f"no Gold file matches {pattern}")
     return df.withColumn("date_scraping", tolerant_date("date_scraping"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,22 +36,39 @@ def read_pages(spark: SparkSession, root: str, snapshot_date: str | None = None,
 
     Date and page number come from the path; the metadata table, when
     given, is joined on (snapshot_date, page_no). No page -> empty result.
+    A folder whose name is not a date of the calendar is left out.
     """
     date_glob = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"   # only yyyy-MM-dd folders
     pattern = f"{root.rstrip('/')}/{snapshot_date or date_glob}"
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.html")
                  .load(pattern).select("path", "content"))
-    except Exception as exc:  # nothing written for that date yet
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return spark.createDataFrame([], RAW_PAGE)
-        raise
+    except AnalysisException as exc:  # nothing written for that date yet
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RAW_PAGE)
     pages = files.select(
-        F.to_date(F.regexp_extract("path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)).alias("snapshot_date"),
+        F.try_to_date(F.regexp_extract("path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)).alias("snapshot_date"),
         F.regexp_extract("path", r"page_(\d+)\.html$", 1).try_cast("bigint").alias("page_no"),
         decode_utf8(F.col("content")).alias("html"),
         F.col("path").alias("source_file"),
-    )
+    ).where(F.col("snapshot_date").isNotNull())
+    return _with_metadata(pages, metadata)
+
+
+def read_page_table(spark: SparkSession, path: str, snapshot_date: str | None = None,
+                    metadata: DataFrame | None = None) -> DataFrame:
+    """S1 for pages kept as a Parquet table partitioned by ``snapshot_date``
+    (page_no, html, source_file): for large backfills, as no task or driver
+    has to list one file per page."""
+    schema = T.StructType([f for f in RAW_PAGE.fields if f.name in ("snapshot_date", "page_no", "html", "source_file")])
+    pages = spark.read.schema(schema).parquet(path)
+    if snapshot_date is not None:
+        pages = pages.where(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
+    return _with_metadata(pages, metadata)
+
+
+def _with_metadata(pages: DataFrame, metadata: DataFrame | None) -> DataFrame:
     if metadata is None:
         return pages.select(
             "snapshot_date", "page_no", "html",
@@ -75,9 +93,20 @@ def take_until_end(pages: DataFrame, end_pattern: str = END_OF_RESULTS_PATTERN,
                    html_col: str = "html", status_col: str = "status_code") -> DataFrame:
     """Per date, pages in page-number order up to and including the
     first page showing the end-of-results text, and strictly before the
-    first page with an HTTP status of 400 or more."""
+    first page with an HTTP status of 400 or more. A page without a number
+    (a file not named ``page_<n>.html``) has no place in that order: it is
+    kept, unless its status is 400 or more, and ends nothing."""
+    return cut_pages(
+        pages, F.col(html_col).rlike(end_pattern), date_col, page_col, status_col)
+
+
+def cut_pages(pages: DataFrame, ends: F.Column, date_col: str = "snapshot_date",
+              page_col: str = "page_no", status_col: str = "status_code") -> DataFrame:
+    """S12 with the end-of-results condition given as a column."""
+    numbered = F.col(page_col).isNotNull()
+    failed = F.coalesce(F.col(status_col) >= 400, F.lit(False))
     return cut_at_first(
         pages, [date_col], [page_col],
-        stop_after=F.coalesce(F.col(html_col).rlike(end_pattern), F.lit(False)),
-        stop_before=F.coalesce(F.col(status_col) >= 400, F.lit(False)),
-    )
+        stop_after=numbered & F.coalesce(ends, F.lit(False)),
+        stop_before=numbered & failed,
+    ).where(numbered | ~failed)

@@ -23,7 +23,6 @@ loses the rows of the earlier batches.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from immolens.schema import GOLD, GOLD_COLUMNS
@@ -49,7 +48,7 @@ def start_history_stream(spark: SparkSession, gold_root: str, history_root: str,
     def replace_dates(batch: DataFrame, _batch_id: int) -> None:
         changed = batch.select("date_scraping").distinct()      # a few dates
         whole = read_gold(batch.sparkSession, gold_root, required=False) \
-            .join(F.broadcast(changed), "date_scraping", "left_semi")
+            .join(changed, "date_scraping", "left_semi")
         write_history(whole.select(*GOLD_COLUMNS), history_root)
 
     writer = (gold_stream(spark, gold_root, max_files_per_trigger).writeStream

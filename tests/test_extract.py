@@ -158,3 +158,15 @@ def test_cdata_is_text():
     html = '<article><a href="/immobilier/1" title="t">t</a><p><![CDATA[45 m2]]> calme</p></article>'
     (link,) = parse_listing_links(html)
     assert link["description"] == "45 m2 calme"
+
+
+def test_text_is_one_string_up_to_the_next_tag():
+    from immolens.operators.extract import parse_listing_links
+    row, = parse_listing_links('<article><a href="/immobilier/1" title="t">t</a><div>prix<500 €</div></article>')
+    assert row["price"] == "prix<500 €" and row["details"] == "t prix<500 €"
+
+
+def test_rejected_markup_is_one_error_row():
+    from immolens.operators.extract import parse_listing_links
+    row, = parse_listing_links('<a href="/immobilier/1" title="t">t</a><![foo[x]]>')
+    assert row["position"] == 0 and row["href"] is None and row["error"]
