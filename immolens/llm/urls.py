@@ -85,11 +85,12 @@ def ngrams(text: Column, tag: str, sizes=NGRAMS) -> Column:
     """Character n-grams of a text with its ends marked, each with a tag."""
     chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
     chars = F.filter(chars, lambda c: c != "")
-    grams = []
-    for n in sizes:
+
+    def of_size(n: int) -> Column:
         starts = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - n + 1)).otherwise(F.array().cast("array<int>"))
-        grams.append(F.transform(starts, lambda i, n=n: F.concat(F.lit(tag), F.array_join(F.slice(chars, i, n), ""))))
-    return F.concat(*grams)
+        return F.transform(starts, lambda i: F.concat(F.lit(tag), F.array_join(F.slice(chars, i, n), "")))
+
+    return F.concat(*map(of_size, sizes))
 
 
 def judge(pages: DataFrame, rules=DEFAULT_RULES, id_col: str = "page_id", url_col: str = "url",
