@@ -194,17 +194,18 @@ def normal_equations(rows: DataFrame, features: FourierFeatures) -> tuple[np.nda
     return matrix[:, :-1], matrix[:, -1]
 
 
-def isotonic(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool-adjacent-violators: block centres (ascending) and their means."""
+def isotonic(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pool-adjacent-violators: block centres (ascending), the blocks' means
+    and their least values."""
     order = np.argsort(values, kind="stable")
-    blocks: list[list[float]] = []                       # [sum of labels, weight, sum of values]
+    blocks: list[list[float]] = []                       # [sum of labels, weight, sum of values, least value]
     for v, y in zip(values[order], labels[order]):
-        blocks.append([y, 1.0, v])
+        blocks.append([y, 1.0, v, v])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
-            y1, w1, v1 = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + y1, blocks[-1][1] + w1, blocks[-1][2] + v1]
+            y1, w1, v1, _ = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + y1, blocks[-1][1] + w1, blocks[-1][2] + v1, blocks[-1][3]]
     at = np.array([b[2] / b[1] for b in blocks])
-    return at, np.array([b[0] / b[1] for b in blocks])
+    return at, np.array([b[0] / b[1] for b in blocks]), np.array([b[3] for b in blocks])
 
 
 class QualityModel:
@@ -241,7 +242,7 @@ def fit(stats: DataFrame, labels: DataFrame, calibrates: Column, id_col: str = "
     share = min(1.0, MAX_CALIBRATION / (held if separate else n))
     sample = pool.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20))).select("stats", "label").toArrow()
     values, y = model.raw(_rows_of(sample.column(0).combine_chunks())), sample.column(1).to_numpy().astype(float)
-    model.at, model.means = isotonic(values, y) if len(y) else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    model.at, model.means = isotonic(values, y)[:2] if len(y) else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     return model
 
 
