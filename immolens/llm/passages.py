@@ -288,12 +288,12 @@ def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id",
     cuts = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "n_words")).alias("_cuts"))
     cuts = cuts.withColumnRenamed("doc_id", "_cut_id")
     rows = docs.join(cuts, F.col(id_col) == F.col("_cut_id"), "left").drop("_cut_id")
-    at = docs.columns.index(text_col)
+    names, at = docs.columns, docs.columns.index(text_col)
 
     def cut(batches):
         for batch in batches:
             new = batch.column(at).to_pylist()
-            spans = batch.column(len(docs.columns)).to_pylist()
+            spans = batch.column(len(names)).to_pylist()
             touched = [k for k, s in enumerate(spans) if s and new[k]]
             column = pa.array([new[k] for k in touched], pa.string())
             for chunk in word_chunks(column):
@@ -306,8 +306,8 @@ def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id",
                         keep.append(raw[done:max(done, int(chunk.starts[first]))])
                         done = max(done, int(chunk.ends[last]))
                     new[k] = (b"".join(keep) + raw[done:]).decode()
-            columns = list(batch.columns[:len(docs.columns)])
+            columns = list(batch.columns[:len(names)])
             columns[at] = pa.array(new, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(cut, docs.schema)
