@@ -33,7 +33,6 @@ from immolens.llm.tables import stored
 from immolens.llm.words import CHUNK_BYTES, _chunk, shingle_hashes, text_buffer
 
 FEATURES = 256
-BANDWIDTH = 3.0             # of the Gaussian kernel, in standard deviations
 RIDGE = 1e-3
 THRESHOLD = 0.7
 MAX_CALIBRATION = 20_000
@@ -47,6 +46,7 @@ for _k, _members in enumerate(_CLASSES):
     _CLASS[list(_members)] = _k
 N_CLASSES = len(_CLASSES) + 1
 STATS = N_CLASSES + 18
+BANDWIDTH = (2 * STATS) ** 0.5  # of the Gaussian kernel: the usual distance of two rows of standardised statistics
 
 
 def _distinct(keys: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
