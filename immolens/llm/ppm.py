@@ -1,8 +1,8 @@
 """Language-model scores by prediction by partial matching (PPM).
 
-The model is a trie of byte contexts of up to ``ORDER`` = 3 bytes, with the
+The model is a trie of byte contexts of up to ``ORDER`` = 4 bytes, with the
 counts of the byte that follows, pretrained on the training documents. A text
-is its UTF-8 bytes, behind three start symbols and before an end symbol. A byte
+is its UTF-8 bytes, behind four start symbols and before an end symbol. A byte
 is coded in its longest context that was seen; if it never followed there, the
 escape is coded (method C: as often as the context has distinct followers) and
 the next shorter context is tried, without the symbols that were already ruled
@@ -12,10 +12,10 @@ score is the log10 probability of its bytes and the end.
 The base score beside it is a word unigram model with add-one smoothing.
 
 How it runs:
-1. Every task counts the 4-byte runs and the words of its rows; sums by key
+1. Every task counts the 5-byte runs and the words of its rows; sums by key
    give the trie (one row per context and follower) and the word counts.
-2. Runs that share their two middle bytes hold all that the code lengths in
-   question need, but for the contexts of at most one byte: those have at most
+2. Runs with the same two bytes before the last hold all that the code lengths
+   in question need, but for the contexts of at most one byte: those have at most
    256 x 256 counts, which are sent to all tasks. So one grouping gives the
    code length of every run that occurs.
 3. Documents are dealt into chunks of about ``CHUNK_BYTES``. Each chunk asks
@@ -41,16 +41,18 @@ from immolens.llm.tables import stored
 from immolens.llm.words import CHUNK_BYTES as TEXT_STEP
 from immolens.llm.words import _chunk, text_buffer
 
-ORDER = 3
+ORDER = 4
 START, END = 0xFE, 0xFF       # bytes that UTF-8 never uses
 SYMBOLS = 255                 # all bytes but START
 CHUNK_BYTES = 8 << 20
+MAX_PARTITIONS = 20_000
 _FLUSH = 1 << 21
 
 
 def _pieces(column: pa.Array):
     """(first row, word chunk, runs, row of each run) for bounded parts of a
-    text column. Runs are four bytes, the last one being the coded symbol."""
+    text column. Runs are ``ORDER`` + 1 bytes, the last one being the coded
+    symbol, as one integer."""
     data, offsets = text_buffer(column)
     a, rows = 0, len(offsets) - 1
     while a < rows:
@@ -59,19 +61,21 @@ def _pieces(column: pa.Array):
         part, at = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
         n = b - a
         row = np.repeat(np.arange(n), np.diff(at))
-        framed = np.full(len(part) + 4 * n, START, dtype=np.uint8)
-        framed[np.arange(len(part)) + 4 * row + 3] = part
-        framed[at[1:] + 4 * np.arange(1, n + 1) - 1] = END
-        wide = framed.astype(np.uint32)
-        runs = (wide[:-3] << np.uint32(24)) | (wide[1:-2] << np.uint32(16)) | (wide[2:-1] << np.uint32(8)) | wide[3:]
-        coded = framed[3:] != START
+        extra = ORDER + 1
+        framed = np.full(len(part) + extra * n, START, dtype=np.uint8)
+        framed[np.arange(len(part)) + extra * row + ORDER] = part
+        framed[at[1:] + extra * np.arange(1, n + 1) - 1] = END
+        runs = np.zeros(len(framed) - ORDER, dtype=np.int64)
+        for k in range(extra):
+            runs = (runs << 8) | framed[k:len(framed) - ORDER + k]
+        coded = framed[ORDER:] != START
         run_row = np.repeat(np.arange(n), np.diff(at) + 1)
         yield a, _chunk(part, at, a), runs[coded], run_row
         a = b
 
 
 def _word_keys(hashes: np.ndarray) -> np.ndarray:
-    """Words have negative keys, runs have keys from 0 to 2^32 - 1."""
+    """Words have negative keys, runs have keys of ``ORDER`` + 1 bytes."""
     return (hashes | np.uint64(1 << 63)).astype(np.int64)
 
 
@@ -99,7 +103,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 known = teaches[first:first + words.rows]
                 word_row = np.repeat(np.arange(words.rows), np.diff(words.bounds))
                 taught = _word_keys(words.hashes[known[word_row]])
-                for k, n in ((taught, np.ones(len(taught))), (runs.astype(np.int64), known[run_row].astype(float))):
+                for k, n in ((taught, np.ones(len(taught))), (runs, known[run_row].astype(float))):
                     k, n = _summed([k], [n])
                     keys.append(k)
                     counts.append(n)
@@ -158,13 +162,22 @@ def run_costs(runs: DataFrame) -> DataFrame:
 
     def cost(key, table):
         keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-        first, symbol, last = keys >> 24, keys & 255, int(keys[0] >> 8) & 255
-        two = np.bincount(symbol, weights=n, minlength=256)
+        symbol, last, older = keys & 255, int(keys[0] >> 8) & 255, keys >> 24
+        shared = [np.bincount(symbol, weights=n, minlength=256), low[last], zero]
         value = np.zeros(len(keys))
-        order = np.argsort(first, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(first[order])) + 1):
-            three = np.bincount(symbol[rows], weights=n[rows], minlength=256)
-            value[rows] = context_costs([three, two, low[last], zero])[symbol[rows]]
+
+        def descend(rows, size, longer):
+            """Codes the rows, which agree in ``size`` of the older bytes;
+            ``longer`` holds the counts of the contexts met on the way."""
+            if size == ORDER - 2:
+                value[rows] = context_costs([*longer, *shared])[symbol[rows]]
+                return
+            byte = (older[rows] >> (8 * size)) & 255
+            order = np.argsort(byte, kind="stable")
+            for part in np.split(rows[order], np.flatnonzero(np.diff(byte[order])) + 1):
+                descend(part, size + 1, [np.bincount(symbol[part], weights=n[part], minlength=256), *longer])
+
+        descend(np.arange(len(keys)), 0, [])
         return pa.table({"key": pa.array(keys), "value": pa.array(value)})
 
     return (runs.withColumn("middle", F.expr("(key >> 8) & 65535")).groupBy("middle")
@@ -187,8 +200,9 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
     values = stored(words.select("key", F.log10(F.col("n") + 1.0).alias("value")).unionByName(run_costs(runs)), "values")
 
     chunks = max(1, math.ceil((size or 0) / chunk_bytes))
+    parts = min(chunks, MAX_PARTITIONS)                      # a partition may hold several chunks
     dealt = (docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
-             .select("chunk", "doc_id", "text", "held_out").repartition(chunks, "chunk"))
+             .select("chunk", "doc_id", "text", "held_out").repartition(parts, "chunk"))
 
     def ask(batches):
         now, keys, size = None, [], 0
@@ -211,14 +225,14 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
                     size = 0
                 now = int(own[a])
                 for _, words_, runs_, _ in _pieces(batch.column(2).slice(a, b - a)):
-                    keys += [np.unique(_word_keys(words_.hashes)), np.unique(runs_).astype(np.int64)]
+                    keys += [np.unique(_word_keys(words_.hashes)), np.unique(runs_)]
                     size += len(keys[-1]) + len(keys[-2])
         if keys:
             yield from out()
 
     asked = dealt.sortWithinPartitions("chunk").mapInArrow(ask, "chunk int, key long")
     answers = (asked.join(values, "key", "left").select("chunk", "key", F.coalesce("value", F.lit(0.0)).cast("float").alias("value"))
-               .repartition(chunks, "chunk"))
+               .repartition(parts, "chunk"))
     log_total = math.log10(n_tokens + n_kinds + 1)
     log_end = math.log10(n_train + 1)
     exact = pa.float64()
@@ -240,7 +254,7 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
             tokens[own] += np.diff(words_.bounds)
             known[own] += np.bincount(word_row[v > 0], minlength=words_.rows)
             base[own] += np.bincount(word_row, weights=v, minlength=words_.rows)
-            total[own] += np.bincount(run_row, weights=value[np.searchsorted(keys, runs_.astype(np.int64))], minlength=words_.rows)
+            total[own] += np.bincount(run_row, weights=value[np.searchsorted(keys, runs_)], minlength=words_.rows)
         return pa.table({"doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(tokens),
                          "n_known": pa.array(known.astype(np.int64)), "train_tokens": pa.array(np.full(n, n_tokens, dtype=np.int64)),
                          "base_score": pa.array(base - tokens * log_total, exact), "score": pa.array(total, exact)})
