@@ -31,9 +31,7 @@ def main():
     out = ["# PLANS", "",
            f"Final physical plans (after AQE) at `{sf_dir}`, local[8], generated by",
            "`tools/show_plans.py`. Attribute ids and file paths are stripped; lines are cut at",
-           "220 characters. The leading `Exchange hashpartitioning(l_orderkey, l_linenumber, 8)`",
-           "is the spread of the single-row-group test file over the cores; it is not planned",
-           "on inputs that already have enough splits.", ""]
+           "220 characters.", ""]
     for name in NAMES:
         out += [f"## {name}", "", "```", final_plan(QUERIES[name](spark, sf_dir)), "```", ""]
     with open("PLANS.md", "w") as fh:
