@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from immolens.llm.hashing import mix64
+from immolens.llm.memory import thrifty
 from immolens.llm.words import SHINGLE_WORDS, shingle_hashes, word_chunks
 
 SIMILARITY = 0.75
@@ -203,6 +204,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     names = ["doc_id", "item_id", "start_word", "n_words", "similarity", "distance"]
 
     def finder(index: ItemIndex):
+        @thrifty
         def find(batches):
             for batch in batches:
                 ids = batch.column(0).to_pylist()
@@ -225,6 +227,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     at = docs.columns.index(text_col)
 
     def keeper(index: ItemIndex):
+        @thrifty
         def keep(batches):
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from immolens.llm.graph import components
 from immolens.llm.hashing import gather_runs, mix64
+from immolens.llm.memory import thrifty
 from immolens.llm.tables import stored
 from immolens.llm.words import shingle_sets
 
@@ -105,6 +106,7 @@ _SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, registers binary"
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Set size, set hash and registers of every row."""
+    @thrifty
     def sketch(batches):
         for batch in batches:
             n, h1, h2, regs = [], [], [], []
@@ -129,6 +131,7 @@ def _filter_by_likelihood(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     rows = (pairs.join(side.toDF("a", "na", "ra"), "a").join(side.toDF("b", "nb", "rb"), "b")
             .where(_similar_sizes(F.col("na"), F.col("nb"))).select("a", "b", "na", "nb", "ra", "rb"))
 
+    @thrifty
     def keep(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -153,6 +156,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     texts = stored(texts_of(docs, ids, 2 * pairs.count()), "texts")
     rows = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
 
+    @thrifty
     def check(batches):
         for batch in batches:
             ok = []
@@ -178,6 +182,7 @@ def _open_pairs(placed: DataFrame, reps: DataFrame) -> DataFrame:
     def regs(table):
         return np.frombuffer(b"".join(table.column("registers").to_pylist()), dtype="<u2").reshape(table.num_rows, -1)
 
+    @thrifty
     def compare(offered, asked):
         found = set()
         if offered.num_rows and asked.num_rows:
@@ -214,6 +219,7 @@ def _links_to_components(pairs: DataFrame, found: DataFrame, reps: DataFrame, do
     texts = stored(texts_of(docs, ids, ids.count()), "texts")
     key = ["target", "block", "group"]
 
+    @thrifty
     def verify(offered, asked):
         out = []
         if offered.num_rows and asked.num_rows:

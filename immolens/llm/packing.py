@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from immolens.llm.memory import thrifty
 from immolens.llm.tokens import encoder, tokenizer_path
 
 SEQ_LEN = 2048
@@ -115,6 +116,7 @@ def pack(docs: DataFrame, seq_len: int = SEQ_LEN, end_id: int = END_ID, tokenize
     unsigned 32-bit), the sequence it lies in and its offset there."""
     path = tokenizer or tokenizer_path()
 
+    @thrifty
     def pack_partition(batches):
         bins = HarmonicBins(seq_len)
         enc = encoder(path)

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from immolens.llm.hashing import mix64
+from immolens.llm.memory import thrifty
 from immolens.llm.neardup import BROADCAST_IDS
 from immolens.llm.tables import stored
 from immolens.llm.words import SHINGLE_WORDS, shingle_hashes, word_chunks
@@ -138,6 +139,7 @@ def window_rows(docs: DataFrame) -> DataFrame:
     """Keyed windows (doc, packed position and reach). Windows that repeat a
     key within a task's chunk carry their mate, the chunk's first window of the
     key, and get a key of their own."""
+    @thrifty
     def emit(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -261,6 +263,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = (pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
             .select("a", "b", "diagonals", "ta", "tb"))
 
+    @thrifty
     def verify(batches):
         for batch in batches:
             out = []
@@ -290,6 +293,7 @@ def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id",
     rows = docs.join(cuts, F.col(id_col) == F.col("_cut_id"), "left").drop("_cut_id")
     names, at = docs.columns, docs.columns.index(text_col)
 
+    @thrifty
     def cut(batches):
         for batch in batches:
             new = batch.column(at).to_pylist()

@@ -1,8 +1,8 @@
 """Language-model scores by prediction by partial matching (PPM).
 
-The model is a trie of byte contexts of up to ``ORDER`` = 4 bytes, with the
+The model is a trie of byte contexts of up to ``ORDER`` = 3 bytes, with the
 counts of the byte that follows, pretrained on the training documents. A text
-is its UTF-8 bytes, behind four start symbols and before an end symbol. A byte
+is its UTF-8 bytes, behind three start symbols and before an end symbol. A byte
 is coded in its longest context that was seen; if it never followed there, the
 escape is coded (method C: as often as the context has distinct followers) and
 the next shorter context is tried, without the symbols that were already ruled
@@ -12,7 +12,7 @@ score is the log10 probability of its bytes and the end.
 The base score beside it is a word unigram model with add-one smoothing.
 
 How it runs:
-1. Every task counts the 5-byte runs and the words of its rows; sums by key
+1. Every task counts the 4-byte runs and the words of its rows; sums by key
    give the trie (one row per context and follower) and the word counts.
 2. Runs with the same two bytes before the last hold all that the code lengths
    in question need, but for the contexts of at most one byte: those have at most
@@ -37,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from immolens.llm.memory import thrifty
 from immolens.llm.tables import stored
 from immolens.llm.words import CHUNK_BYTES as TEXT_STEP
 from immolens.llm.words import _chunk, text_buffer
 
-ORDER = 4
+ORDER = 3
 START, END = 0xFE, 0xFF       # bytes that UTF-8 never uses
 SYMBOLS = 255                 # all bytes but START
 CHUNK_BYTES = 8 << 20
@@ -87,6 +88,7 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 def corpus_counts(docs: DataFrame) -> DataFrame:
     """(key, n): training counts of words and runs; runs of held-out rows
     alone have the count 0. ``docs``: (doc_id, text, held_out)."""
+    @thrifty
     def count(batches):
         keys, counts, size = [], [], 0
 
@@ -204,6 +206,7 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
     dealt = (docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
              .select("chunk", "doc_id", "text", "held_out").repartition(parts, "chunk"))
 
+    @thrifty
     def ask(batches):
         now, keys, size = None, [], 0
 
@@ -237,6 +240,7 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
     log_end = math.log10(n_train + 1)
     exact = pa.float64()
 
+    @thrifty
     def score(texts, found):
         keys = found.column("key").to_numpy()
         order = np.argsort(keys)

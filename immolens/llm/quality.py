@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from immolens.llm.hashing import run_hashes
+from immolens.llm.memory import thrifty
 from immolens.llm.tables import stored
 from immolens.llm.words import CHUNK_BYTES, _chunk, shingle_hashes, text_buffer
 
@@ -138,6 +139,7 @@ def _stats(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def with_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, stats array<float>) of every row."""
+    @thrifty
     def compute(batches):
         for batch in batches:
             stats = document_stats(batch.column(1))
@@ -171,6 +173,7 @@ def normal_equations(rows: DataFrame, features: FourierFeatures) -> tuple[np.nda
     then per row of the matrix."""
     size = len(features.b) + 1
 
+    @thrifty
     def partial(batches):
         total = np.zeros((size, size + 1))
         for batch in batches:
@@ -248,6 +251,7 @@ def fit(stats: DataFrame, labels: DataFrame, calibrates: Column, id_col: str = "
 
 def scored(stats: DataFrame, model: QualityModel) -> DataFrame:
     """(doc_id, score) of every row of ``stats``."""
+    @thrifty
     def score(batches):
         for batch in batches:
             values = model(_rows_of(batch.column(1))) if batch.num_rows else np.zeros(0)
@@ -279,6 +283,7 @@ def accepted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
     model = fit(stats.where(id_remainder(4) != 2).join(named, "doc_id", "left_semi"), labels, id_remainder(4) == 3)
     at = docs.columns.index(text_col)
 
+    @thrifty
     def keep(batches):
         for batch in batches:
             if batch.num_rows:

@@ -11,6 +11,8 @@ Texts with symbols beyond Latin, or with a special token's string, go to
 
 from __future__ import annotations
 
+import functools
+import json
 import os
 import re
 
@@ -19,7 +21,7 @@ import numpy as np
 from immolens.llm.hashing import gather_runs, run_hashes
 
 CHUNK_CHARS = 1 << 18
-CACHE_PIECES = 1 << 20
+CACHE_PIECES = 1 << 19
 
 # Symbol classes of the split pattern below U+0250 and its contractions.
 _LATIN_END = 0x250
@@ -53,24 +55,27 @@ class PieceEncoder:
     """Encodes batches of texts; one per Python worker."""
 
     def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.path = path
+        self.special = [t["content"] for t in file["added_tokens"]]
+        self.merge = self._piece_merger(file["model"]["vocab"])
+        self.kinds = _classes()
+        self._forget()
+
+    @functools.cached_property
+    def full(self):
+        """The library's own encoder, loaded when a text needs it."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
-        self.merge = self._piece_merger(path)
-        self.kinds = _classes()
-        self._forget()
+        return Tokenizer.from_file(self.path)
 
-    def _piece_merger(self, path: str):
+    def _piece_merger(self, vocab: dict[str, int]):
         """Ids of one piece, from the vocabulary's ranks (the same merges,
         without the cost of the library's result objects)."""
-        import json
-
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
         # the vocabulary file writes each byte as one printable symbol
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in shown}
