@@ -96,3 +96,14 @@ def test_repeated_texts_are_easier(spark):
     rows = [(k, words_text(100, 1)) for k in range(40)] + [(1000, "zzzz qqqq " * 60)]
     got = {r["doc_id"]: r["score"] / len(dict(rows)[r["doc_id"]]) for r in ppm.ppm_scores(documents(spark, rows)).collect()}
     assert got[0] > got[1000] or held(1000) is False
+
+
+def test_the_fourth_byte_back_counts(spark):
+    """After a common three bytes the byte before them decides the next one."""
+    train = [i for i in range(400) if not held(i)][:200]
+    rows = [(i, "abcdX" if k % 2 else "zbcdY") for k, i in enumerate(train)] + [(i, "zbcdX") for i in range(400, 440) if held(i)]
+    got = defaultdict(list)
+    for r in ppm.ppm_scores(documents(spark, rows)).collect():
+        got[r["held_out"]].append(r["score"])
+    assert min(got[False]) > math.log10(0.4)               # the first byte is even, the rest nearly certain
+    assert max(got[True]) < min(got[False]) - 1
