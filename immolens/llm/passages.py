@@ -12,11 +12,14 @@ tree is built on a few centres per document, with array operations.
 Two passages that share a signature lie in windows with equal centre
 shingles. A window is joined under two keys: its centre with the minimum, by
 another function, of the ``_SIDE`` shingles to the left, and likewise to the
-right; a passage of full width covers one of the sides. Under each key the
-windows meet the one of the smallest document id, if the intervals around
-both centres are wide enough together. A task links equal keys of its own rows
-first and sends one of them on, so a passage that very many documents share
-does not pile up under its key.
+right; a passage of full width covers one of the sides. Windows meet if the
+intervals around both centres are wide enough together:
+1. Under each key all meet the one of the smallest document id. A task links
+   equal keys of its own rows first and sends one of them on, so a passage that
+   very many documents share does not pile up under its key.
+2. Windows whose centre lies in no passage verified so far meet all earlier
+   windows of their key, in salted blocks of at most about ``BLOCK_WINDOWS``
+   on both sides.
 
 Each pair of documents is then verified on the texts: shingles shared near
 the pair's diagonals are gathered into passages, and a passage counts if both
@@ -51,6 +54,7 @@ _SEEDS = mix64(np.arange(1, HASHES + 2, dtype=np.uint64) * np.uint64(0xA0761D647
 _CHUNK = 2 << 20
 _SHIFT = 8                                      # words that may be inserted or lost along a passage
 _GAP = 16
+BLOCK_WINDOWS = 1024
 
 
 def _sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
@@ -132,13 +136,13 @@ def _pack(position, left, right):
     return (position << 32) | (np.minimum(left, 0xFFFF) << 16) | np.minimum(right, 0xFFFF)
 
 
-_ROWS = "key long, doc long, at long, mate long, mate_at long"
+_ROWS = "met long, key long, doc long, at long, mate long, mate_at long, shared boolean"
 
 
 def window_rows(docs: DataFrame) -> DataFrame:
     """Keyed windows (doc, packed position and reach). Windows that repeat a
     key within a task's chunk carry their mate, the chunk's first window of the
-    key, and get a key of their own."""
+    key, and ``met``, the key of the first round, is one of their own."""
     @thrifty
     def emit(batches):
         for batch in batches:
@@ -163,28 +167,32 @@ def window_rows(docs: DataFrame) -> DataFrame:
                 first = np.ones(len(key), dtype=bool)
                 first[1:] = key[1:] != key[:-1]
                 head = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-                other = ~first & (owner != owner[head])
-                sent = first | other                                 # a document's further windows of a key add nothing
                 spread = mix64(key + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64))
-                key = np.where(first, key, spread).astype(np.int64)
-                null = first[sent]
+                met = np.where(first, key, spread).astype(np.int64)
+                last = np.append(first[1:], True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[sent]), pa.array(owner[sent]), pa.array(at[sent]),
-                     pa.array(owner[head][sent], mask=null), pa.array(at[head][sent], mask=null)],
-                    names=["key", "doc", "at", "mate", "mate_at"])
+                    [pa.array(met), pa.array(key.astype(np.int64)), pa.array(owner), pa.array(at),
+                     pa.array(owner[head], mask=first), pa.array(at[head], mask=first), pa.array(~(first & last))],
+                    names=["met", "key", "doc", "at", "mate", "mate_at", "shared"])
 
     return docs.mapInArrow(emit, _ROWS)
 
 
-def candidate_pairs(docs: DataFrame) -> DataFrame:
-    """(a, b, diagonals): documents a < b with windows that may hold a common
-    passage, and the positions of b relative to a, in steps of ``_SHIFT``."""
+def crowded_windows(docs: DataFrame) -> DataFrame:
+    """(key, doc, at, a, a_at): the windows of keys with company, each with the
+    one it meets in the first round."""
+    group = Window.partitionBy("met")
     rows = window_rows(docs)
-    by_key = Window.partitionBy("key").orderBy("doc", "at")
-    met = rows.select("doc", "at", "mate", "mate_at", F.first(F.struct("doc", "at")).over(by_key).alias("least"))
-    met = met.select(F.coalesce("mate", "least.doc").alias("a"), F.coalesce("mate_at", "least.at").alias("a_at"),
-                     F.col("doc").alias("b"), F.col("at").alias("b_at")).where("a < b")
+    met = rows.select("key", "doc", "at", "mate", "mate_at", "shared",
+                      F.first(F.struct("doc", "at")).over(group.orderBy("doc", "at")).alias("least"),
+                      F.max(F.struct("doc", "at")).over(group.orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("most"))
+    return (met.where("shared or least != most")
+            .select("key", "doc", "at", F.coalesce("mate", "least.doc").alias("a"), F.coalesce("mate_at", "least.at").alias("a_at")))
 
+
+def _wide_pairs(met: DataFrame) -> DataFrame:
+    """(a, b, diagonal), distinct, of the pairs (a, a_at, b, b_at) that are
+    wide enough together."""
     def left(c):
         return F.shiftright(c, 16).bitwiseAND(0xFFFF)
 
@@ -193,8 +201,42 @@ def candidate_pairs(docs: DataFrame) -> DataFrame:
 
     wide = F.least(left("a_at"), left("b_at")) + F.least(right("a_at"), right("b_at")) + 1 >= _WIDTH
     diagonal = F.floor((F.shiftright("b_at", 32) - F.shiftright("a_at", 32)) / _SHIFT).cast("int")
-    return (met.where(wide).select("a", "b", diagonal.alias("diagonal")).distinct()
-            .groupBy("a", "b").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals")))
+    return met.where("a < b").where(wide).select("a", "b", diagonal.alias("diagonal")).distinct()
+
+
+def _by_pair(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals"))
+
+
+def candidate_pairs(crowded: DataFrame) -> DataFrame:
+    """(a, b, diagonals) of the first round: documents a < b with windows that
+    may hold a common passage, and the positions of b relative to a, in steps
+    of ``_SHIFT``."""
+    return _by_pair(_wide_pairs(crowded.select("a", "a_at", F.col("doc").alias("b"), F.col("at").alias("b_at"))))
+
+
+def open_pairs(crowded: DataFrame, pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b, diagonals) of the second round: the windows that no passage in
+    ``found`` covers with all earlier ones of their key, without ``pairs``."""
+    centre = F.shiftright("at", 32)
+    covered = found.select(F.col("doc_id").alias("_doc"), F.col("start_word").alias("_from"),
+                           (F.col("start_word") + F.col("n_words") - SHINGLE_WORDS).alias("_to"))
+    sizes = crowded.groupBy("key").agg(F.count("*").alias("size"), F.min("doc").alias("least"))
+    asking = (crowded.select("key", "doc", "at").join(sizes, "key").where("doc > least")
+              .join(covered, (F.col("doc") == F.col("_doc")) & (centre >= F.col("_from")) & (centre <= F.col("_to")), "left_anti"))
+    asking = stored(asking.select("key", "doc", "at"), "open")
+    asked = (asking.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_WINDOWS).cast("int").alias("groups")).join(sizes, "key")
+             .select("key", "groups", F.ceil(F.col("size") / BLOCK_WINDOWS).cast("int").alias("blocks")))
+    asked = stored(asked, "open-keys")
+    salt = F.xxhash64("doc", "at")
+    offers = (crowded.join(asked, "key").withColumn("block", F.pmod(salt, F.col("blocks")).cast("int"))
+              .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+              .select("key", "block", "group", F.col("doc").alias("a"), F.col("at").alias("a_at")))
+    asks = (asking.join(asked, "key").withColumn("group", F.pmod(salt, F.col("groups")).cast("int"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("key", "block", "group", F.col("doc").alias("b"), F.col("at").alias("b_at")))
+    done = pairs.select("a", "b", F.explode("diagonals").alias("diagonal"))
+    return _by_pair(_wide_pairs(offers.join(asks, ["key", "block", "group"])).join(done, ["a", "b", "diagonal"], "left_anti"))
 
 
 def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int]) -> list[tuple[int, int, int, int, float]]:
@@ -255,7 +297,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     too: doc_id, start_word, n_words, source_id, source_start, source_words,
     similarity."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    pairs = stored(candidate_pairs(docs), "pairs")
+    crowded = stored(crowded_windows(docs), "windows")
+    pairs = stored(candidate_pairs(crowded), "pairs")
+    found = stored(_verified(pairs, docs), "found")
+    more = _verified(stored(open_pairs(crowded, pairs, found), "pairs"), docs)
+    old = found.select(F.col("doc_id").alias("_doc"), F.col("source_id").alias("_source"), F.col("start_word").alias("_start"), F.col("n_words").alias("_n"),
+                       F.col("source_start").alias("_at"), F.col("source_words").alias("_words"))
+    within = ((F.col("doc_id") == F.col("_doc")) & (F.col("source_id") == F.col("_source"))
+              & (F.col("start_word") >= F.col("_start")) & (F.col("start_word") + F.col("n_words") <= F.col("_start") + F.col("_n"))
+              & (F.col("source_start") >= F.col("_at")) & (F.col("source_start") + F.col("source_words") <= F.col("_at") + F.col("_words")))
+    return found.unionByName(more.join(old, within, "left_anti"))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The passages of the pairs (a, b, diagonals), verified on the texts."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     ids = F.broadcast(ids) if 2 * pairs.count() <= BROADCAST_IDS else ids
     texts = stored(docs.join(ids, "doc_id", "left_semi"), "texts")

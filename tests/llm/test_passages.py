@@ -93,3 +93,30 @@ def test_cut_out(spark):
 def test_empty_table(spark):
     assert repeated_passages(documents(spark, [])).count() == 0
     assert repeated_passages(documents(spark, [(1, None), (2, "a b")])).count() == 0
+
+
+def test_holders_behind_fragments_and_variants(spark):
+    """Many earlier documents hold too little of a passage, or too unlike a
+    copy; the two that hold it whole are still found."""
+    rng = random.Random(11)
+
+    def fresh(n):
+        return [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    rows, full = [], {}
+    n = 10
+    for k in range(6):
+        p = fresh(52)
+        for copy in range(60):
+            at = copy % 5 * 3
+            w = p[at:at + 40]                                              # a fragment
+            if copy % 4 == 0:                                              # a variant: the rest, shuffled
+                w = rng.sample(p[:at], at) + w + rng.sample(p[at + 40:], 12 - at)
+            rows.append((n, " ".join([*fresh(60), *w, *fresh(60)])))
+            n += 1
+        for _ in range(2):
+            rows.append((n, " ".join([*fresh(60), *p, *fresh(60)])))
+            full.setdefault(k, []).append(n)
+            n += 1
+    found = {(r["source_id"], r["doc_id"]) for r in repeated_passages(documents(spark, rows)).collect()}
+    assert set(map(tuple, full.values())) <= found
