@@ -14,9 +14,12 @@ within the radius. Each is verified: the weighted Jaccard similarity of the
 window's and the item's shingles must reach 0.75. The expected distance at
 that similarity is 11 bits, with a deviation of 3.
 
-Benchmark items are handled ``ITEMS_PER_PASS`` at a time, so a task's index is
-bounded; a larger benchmark takes more passes over the documents. There is no
-shuffle.
+Benchmark items are handled about ``ITEMS_PER_PASS`` at a time; a larger
+benchmark takes more passes over the documents. The weights are those of the
+whole benchmark in every pass: one aggregation gives the shingles that several
+items hold (12 bytes each, sent with every pass); all others weigh alike.
+Indexes are built one at a time and broadcast. ``decontaminated`` writes the
+remaining rows between passes. Documents are not shuffled.
 
 Cases: a null or empty text matches nothing, and an item without words is
 matched by nothing. An item of fewer than five words matches where its words
@@ -38,6 +41,7 @@ from pyspark.sql import functions as F
 
 from immolens.llm.hashing import mix64
 from immolens.llm.memory import thrifty
+from immolens.llm.tables import stored
 from immolens.llm.words import SHINGLE_WORDS, shingle_hashes, word_chunks
 
 SIMILARITY = 0.75
@@ -60,19 +64,30 @@ def _pack(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1)
 
 
+def _item_words(texts: pa.Array) -> list[np.ndarray]:
+    texts = pa.array([t or "" for t in texts.to_pylist()], pa.string())
+    return [c.hashes[a:b] for c in word_chunks(texts) for a, b in zip(c.bounds[:-1], c.bounds[1:])]
+
+
+def _item_shingles(words: np.ndarray) -> np.ndarray:
+    return shingle_hashes(words, min(len(words), SHINGLE_WORDS)) if len(words) else np.zeros(0, dtype=np.uint64)
+
+
 class ItemIndex:
-    """The multi-index of some benchmark items."""
+    """The multi-index of some of the benchmark's ``n_items`` items.
+    ``repeated``: the shingles that several of all items hold, sorted, and by
+    how many."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        texts = pa.array([t or "" for _, t in items], pa.string())
-        words = [c.hashes[a:b] for c in word_chunks(texts) for a, b in zip(c.bounds[:-1], c.bounds[1:])]
+    def __init__(self, items: list[tuple[int, str]], n_items: int, repeated: tuple[np.ndarray, np.ndarray]):
+        words = _item_words(pa.array([t for _, t in items], pa.string()))
         self.ids = [i for i, _ in items]
         self.words = [len(w) for w in words]
-        sequences = [shingle_hashes(w, min(len(w), SHINGLE_WORDS)) if len(w) else np.zeros(0, dtype=np.uint64) for w in words]
+        sequences = [_item_shingles(w) for w in words]
         self.sets = [np.unique(s) for s in sequences]
-        known, df = np.unique(np.concatenate([*self.sets, np.zeros(0, dtype=np.uint64)]), return_counts=True)
-        self.known, self.weights = known, np.log1p(len(items) / np.maximum(df, 1)).astype(np.float32)
-        self.rare = math.log1p(len(items))
+        self.known = np.unique(np.concatenate([*self.sets, np.zeros(0, dtype=np.uint64)]))
+        self.repeated, df = repeated
+        self.weights = np.log1p(n_items / df).astype(np.float32)
+        self.rare = math.log1p(n_items)
         self.totals = [float(self.weight(s).sum()) for s in self.sets]
         # items of one word count share windows: word count -> (items, fingerprints, block neighbourhoods, shingles)
         groups: dict[int, list[int]] = defaultdict(list)
@@ -86,10 +101,10 @@ class ItemIndex:
             self.groups[n] = (members, prints, near, np.unique(np.concatenate([self.sets[k] for k in members])))
 
     def weight(self, shingles: np.ndarray) -> np.ndarray:
-        if not len(self.known):
+        if not len(self.repeated):
             return np.full(len(shingles), self.rare, dtype=np.float32)
-        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
-        return np.where(self.known[at] == shingles, self.weights[at], np.float32(self.rare))
+        at = np.minimum(np.searchsorted(self.repeated, shingles), len(self.repeated) - 1)
+        return np.where(self.repeated[at] == shingles, self.weights[at], np.float32(self.rare))
 
     def similarity(self, k: int, window: np.ndarray) -> float:
         window = np.unique(window)
@@ -188,11 +203,30 @@ def _members(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return maybe[known[at] == values[maybe]]
 
 
-def _indexes(benchmark: DataFrame, item_col: str, text_col: str) -> list[ItemIndex]:
+def _repeated_shingles(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several items hold, sorted, and by how many."""
+    @thrifty
+    def distinct(batches):
+        for batch in batches:
+            for w in _item_words(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(_item_shingles(w)).view(np.int64))], names=["shingle"])
+
+    found = items.select("text").mapInArrow(distinct, "shingle long").groupBy("shingle").count().where("count > 1").toArrow()
+    shingles = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], found.column("count").to_numpy()[order]
+
+
+def _indexes(benchmark: DataFrame, item_col: str, text_col: str):
+    """A broadcast index per pass, and whether it is the last one."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
-    passes = max(1, math.ceil(items.count() / ITEMS_PER_PASS))
+    n_items = items.count()
+    repeated = _repeated_shingles(items)
+    passes = max(1, math.ceil(n_items / ITEMS_PER_PASS))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    return [ItemIndex([tuple(r) for r in items.where(part == p).orderBy("item_id", "text").collect()]) for p in range(passes)]
+    for p in range(passes):
+        own = [tuple(r) for r in items.where(part == p).orderBy("item_id", "text").collect()]
+        yield benchmark.sparkSession.sparkContext.broadcast(ItemIndex(own, n_items, repeated)), p == passes - 1
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -203,9 +237,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32()]
     names = ["doc_id", "item_id", "start_word", "n_words", "similarity", "distance"]
 
-    def finder(index: ItemIndex):
+    def finder(sent):
         @thrifty
         def find(batches):
+            index = sent.value
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 rows = [(ids[r], index.ids[k], start, n, s, d) for r, k, start, n, s, d in batch_matches(index, batch.column(1))]
@@ -214,7 +249,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
         return find
 
     schema = "doc_id long, item_id long, start_word long, n_words long, similarity double, distance int"
-    found = [docs.mapInArrow(finder(index), schema) for index in _indexes(benchmark, item_col, item_text_col)]
+    found = [docs.mapInArrow(finder(sent), schema) for sent, _ in _indexes(benchmark, item_col, item_text_col)]
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -226,15 +261,17 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     """The rows of ``docs``, with all columns, that hold no benchmark item."""
     at = docs.columns.index(text_col)
 
-    def keeper(index: ItemIndex):
+    def keeper(sent):
         @thrifty
         def keep(batches):
+            index = sent.value
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)
                 clean[[m[0] for m in batch_matches(index, batch.column(at))]] = False
                 yield batch.filter(pa.array(clean))
         return keep
 
-    for index in _indexes(benchmark, item_col, item_text_col):
-        docs = docs.mapInArrow(keeper(index), docs.schema)
+    for sent, last in _indexes(benchmark, item_col, item_text_col):
+        docs = docs.mapInArrow(keeper(sent), docs.schema)
+        docs = docs if last else stored(docs, "clean")             # a task holds one index
     return docs

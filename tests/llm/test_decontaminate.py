@@ -85,6 +85,19 @@ def test_several_passes_give_the_same(spark, monkeypatch):
     assert {p[0] for p in parts} == {w[0] for w in whole}
 
 
+def test_several_passes_weigh_alike(spark, monkeypatch):
+    docs, items = cases()
+
+    def found():
+        return {(r["doc_id"], r["item_id"]): r["similarity"] for r in dc.contaminations(documents(spark, docs), items_table(spark, items)).collect()}
+
+    whole = found()
+    monkeypatch.setattr(dc, "ITEMS_PER_PASS", 7)
+    assert found() == whole
+    kept = dc.decontaminated(documents(spark, docs), items_table(spark, items))
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in docs} - {d for d, _ in whole}
+
+
 def test_clean_documents_stay_with_all_columns(spark):
     docs, items = cases()
     table = documents(spark, docs)
