@@ -218,14 +218,27 @@ def reshard(docs: DataFrame, shards: int = NEW_SHARDS, old_shard: Column | None
                     F.lit(None).cast("int").alias("grown_shard"), "old_shard"))
 
 
-def rewrite_affected(docs: DataFrame, places: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
+def rewrite_affected(docs: DataFrame, places: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                     old_shard: Column | None = None) -> list[int]:
     """Writes the shards that gained or lost rows as Parquet under
-    ``path/shard=<n>``, in slot order; returns their numbers. ``docs`` must
-    hold each id once. Other shards' files need no change."""
+    ``path/shard=<n>``, in slot order; returns their numbers. Rows find their
+    places by id (also null), size, checksum and occurrence number, so every
+    row is written once. An ``old_shard`` that does not follow from id and text
+    must be given here as to ``reshard``. Other shards' files need no change."""
     moved = places.where(F.col("shard") != F.col("old_shard"))
     affected = sorted({r[0] for r in moved.select(F.explode(F.array("shard", "old_shard"))).distinct().collect()})
-    keep = places.where(F.col("shard").isin(affected)).select(F.col("doc_id").alias(id_col), "shard", "slot")
     names = [c for c in docs.columns if c not in ("shard", "slot")]
-    (docs.select(*names).join(keep, id_col).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.select("*", F.col(id_col).cast("long").alias("_id"), (F.octet_length(text).cast("long") + ROW_BYTES).alias("_size"),
+                      F.crc32(text).alias("_crc"), (old_shard if old_shard is not None else F.lit(0)).cast("int").alias("_old"))
+    own = own.withColumn("_copy", F.row_number().over(Window.partitionBy("_id", "_size", "_crc", "_old").orderBy(F.xxhash64(*names))))
+    keep = places.select("doc_id", "size", "text_crc32", F.col("old_shard") if old_shard is not None else F.lit(0).alias("old_shard"),
+                         F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    copies = Window.partitionBy("doc_id", "size", "text_crc32", "old_shard").orderBy("_shard", "_slot")
+    keep = (keep.withColumn("copy", F.row_number().over(copies)).where(F.col("_shard").isin(affected))
+            .toDF("_p_id", "_p_size", "_p_crc", "_p_old", "_shard", "_slot", "_p_copy"))
+    same = [F.col(f"_{c}").eqNullSafe(F.col(f"_p_{c}")) for c in ("id", "size", "crc", "old", "copy")]
+    (own.join(keep, same).select(*names, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+     .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
     return affected

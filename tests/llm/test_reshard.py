@@ -56,6 +56,28 @@ def test_rewritten_files_hold_the_new_shards(spark, tmp_dir):
     assert back == {(r["doc_id"], text[r["doc_id"]], r["shard"]) for r in places.collect() if r["shard"] in affected}
 
 
+def test_rewritten_files_hold_null_and_repeated_ids(spark, tmp_dir):
+    texts = AWKWARD + [(None, "a text without an id")] * 3 + [(3, "other text"), (3, None)] + [(50, "same")] * 7
+    docs = documents(spark, texts)
+    places = reshard(docs, 5).cache()
+    affected = rewrite_affected(docs, places, f"{tmp_dir}/awkward")
+    back = spark.read.parquet(f"{tmp_dir}/awkward").collect()
+    moved = [r for r in places.collect() if r["shard"] in affected]
+    assert Counter((r["shard"], r["slot"], r["doc_id"], zlib.crc32((r["text"] or "").encode())) for r in back) == Counter(
+        (r["shard"], r["slot"], r["doc_id"], r["text_crc32"]) for r in moved)
+    assert len(affected) < 5 or Counter((r["doc_id"], r["text"]) for r in back) == Counter(texts)
+
+
+def test_rewritten_rows_keep_their_old_shard(spark, tmp_dir):
+    """Copies of one row that differ in another column alone."""
+    docs = documents(spark, [(1, "same")] * 12).withColumn("n_chars", F.monotonically_increasing_id() % 3).cache()
+    old = F.col("n_chars") % 3
+    places = reshard(docs, 4, old_shard=old).cache()
+    affected = rewrite_affected(docs, places, f"{tmp_dir}/copies", old_shard=old)
+    back = Counter(r["n_chars"] for r in spark.read.parquet(f"{tmp_dir}/copies").collect())
+    assert back == Counter(r["old_shard"] for r in places.collect() if r["shard"] in affected)
+
+
 def test_empty_table(spark):
     assert reshard(documents(spark, []), 4).count() == 0
 
