@@ -50,12 +50,15 @@ PLANNER_SENSITIVE = ["best_deals_20", "price_cut_p20", "persistence_top20", "ded
      ["price_cut_p20", "best_deals_20"]),
 ], ids=["plain", "no-reuse", "no-reuse-no-aqe"])
 def test_results_do_not_depend_on_planner_settings(spark, con, keys, names):
-    before = {k: spark.conf.get(k, "true") for k in keys}
+    before = {k: spark.conf.getAll.get(k) for k in keys}
     try:
         for k, v in keys.items():
             spark.conf.set(k, v)
         bad = [r[:4] for r in (compare(spark, con, SF, n) for n in names) if r[3] != "ok"]
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     assert not bad, bad
