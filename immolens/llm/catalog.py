@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from immolens.llm.decontaminate import contaminations
+from immolens.llm.maintext import with_main_text
 from immolens.llm.neardup import near_duplicates
 from immolens.llm.packing import pack, packed_digest
 from immolens.llm.passages import repeated_passages
@@ -122,3 +123,9 @@ def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_tag_ratio_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return with_main_text(pages).select("page_id", "url", "text", "n_chars")
