@@ -16,6 +16,7 @@ from immolens.llm.passages import repeated_passages
 from immolens.llm.pii import find_pii
 from immolens.llm.ppm import ppm_scores
 from immolens.llm.quality import quality_scores
+from immolens.llm.resample import importance_resample
 from immolens.llm.reshard import reshard
 from immolens.llm.tables import ship_package, table
 from immolens.llm.topk import top_k
@@ -129,3 +130,8 @@ def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_tag_ratio_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return with_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
