@@ -18,6 +18,7 @@ from immolens.llm.ppm import ppm_scores
 from immolens.llm.quality import quality_scores
 from immolens.llm.resample import importance_resample
 from immolens.llm.reshard import reshard
+from immolens.llm.runs import planted_periods, runs_digest, with_periodic_runs
 from immolens.llm.tables import ship_package, table
 from immolens.llm.topk import top_k
 from immolens.llm.urls import judge
@@ -126,6 +127,12 @@ def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_scores(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_periods(F.col("doc_id"), F.col("text")).alias("text"))
+    return runs_digest(with_periodic_runs(docs))
+
+
 @query
 def op12_tag_ratio_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
