@@ -3,32 +3,84 @@
 ``percentile_disc`` and ``percentile`` in Spark keep every distinct value of
 a group in one buffer and merge them in one task, so an exact global
 percentile over the whole history would land in a single task. The exact
-method here narrows the value down instead:
-
-1. count rows per distinct value (partial aggregation, so a value that
-   holds a third of all rows collapses on the map side);
-2. take the least and the largest value and the wanted rank;
-3. ``LEVELS`` times: cut the interval into ``BINS`` bins of equal width, add
-   up the counts per bin, and go on with the bin that holds the rank;
-4. a running count over the distinct values left gives the answer.
-
-A value's bin depends on the value and the interval's ends alone, so the
-answer does not depend on partitioning, adaptive planning or exchange reuse.
-No task sees more than ``BINS`` bins or the values of one bin of the last
-level (the interval's width divided by ``BINS ** LEVELS``). Everything stays
-lazy: the result is a one-row DataFrame, nothing is collected. The approximate
-method is Spark's ``percentile_approx`` (a mergeable sketch, rank error at
-most ``n / accuracy``).
+method here brackets the value by a sketch and resolves it by counting:
+
+1. a mergeable quantile sketch of the rows gives two values around the wanted
+   rank (its rank error is at most ``n / ACCURACY``, whatever the values are);
+2. one pass counts the rows below and above the bracket, and inside it the
+   rows per distinct value (partial aggregation: a value that holds a third of
+   all rows collapses on the map side);
+3. a running count over the bracket's values gives the answer.
+
+Ranks come from counting, so the answer is exact whatever the sketch says: if
+the wanted rank lies outside the bracket, the search goes on there. A bracket
+of more than ``LAST_ROWS`` rows is only counted and bracketed again, so the
+running count sees a bounded number of values at any size and any skew (bins of
+equal width would keep nearly all values beside one outlier). Only scalars
+reach the driver; the jobs run when the function is called, and the result is a
+one-row DataFrame. The approximate method is Spark's ``percentile_approx``.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
+from dataclasses import dataclass
+from decimal import ROUND_CEILING, Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS, LEVELS = 4096, 3
+ACCURACY = 10_000               # of the sketch
+MARGIN = 1.5                    # sketch errors between the wanted rank and the ends of the bracket
+LAST_ROWS = 1_000_000           # rows of a bracket whose values are counted one by one
+
+
+@dataclass
+class Found:
+    """The value at a rank and how it was found."""
+
+    value: object
+    passes: int                 # over the rows
+    last_values: int            # distinct values that the running count saw
+
+
+BELOW, FIRST, INSIDE, LAST, ABOVE = range(5)      # where a row lies: the bracket's ends by themselves
+
+
+def _ends(values: DataFrame, share: float) -> tuple[float, float, int]:
+    """The sketch's values around a share of the rows, and the rows; one pass."""
+    v, slack = F.col(values.columns[0]), MARGIN / ACCURACY
+    shares = [min(max(share - slack, 0.0), 1.0), min(share + slack, 1.0)]
+    at = values.agg(F.percentile_approx(v.cast("double"), shares, ACCURACY).alias("ends"), F.count(F.lit(1)).alias("rows")).first()
+    return (*(at["ends"] or (None, None)), at["rows"])
+
+
+def find_percentile(df: DataFrame, column: str, p: float) -> Found:
+    """The smallest value whose cumulative count reaches ceil(n * p), at least
+    1; nulls are ignored, without values it is None."""
+    if not 0.0 <= p <= 1.0:
+        raise ValueError("p must be within [0, 1]")
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v"))
+    a, b, rows = _ends(values, p)
+    if not rows:
+        return Found(None, 1, 0)
+    rank = max(int((Decimal(rows) * Decimal(repr(p))).to_integral_value(ROUND_CEILING)), 1)
+    passes, v, d = 1, F.col("v"), F.col("v").cast("double")
+    ordered = Window.orderBy("side", "v").rowsBetween(Window.unboundedPreceding, 0)
+    while True:
+        side = (F.when(d < F.lit(a), BELOW).when(d == F.lit(a), FIRST).when(d < F.lit(b), INSIDE)
+                .when(d == F.lit(b), LAST).otherwise(ABOVE))
+        single = [FIRST, LAST] + ([INSIDE] if 2 * MARGIN / ACCURACY * rows <= LAST_ROWS else [])
+        cells = (values.groupBy(side.alias("side"), F.when(side.isin(single), v).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+                 .withColumn("upto", F.sum("c").over(ordered)))
+        hit = cells.agg(F.min(F.when(F.col("upto") >= rank, F.struct("side", "v", "upto", "c"))).alias("s"),
+                        F.count(F.lit(1)).alias("cells")).first()
+        passes += 1
+        if hit["s"]["side"] in single:
+            return Found(hit["s"]["v"], passes, hit["cells"])
+        rank -= hit["s"]["upto"] - hit["s"]["c"]
+        values = values.where(side == hit["s"]["side"])
+        a, b, rows = _ends(values, rank / hit["s"]["c"])
+        passes += 1
 
 
 def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p") -> DataFrame:
@@ -37,36 +89,8 @@ def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p") ->
 
     Nulls are ignored; empty input gives one row holding null.
     """
-    if not 0.0 <= p <= 1.0:
-        raise ValueError("p must be within [0, 1]")
-    x = F.col(column)
-    counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    # 1-based rank of the wanted row: ceil(n * p), at least 1, computed in
-    # decimal so 0.2 * n is not off by one ulp.
-    p_dec = F.lit(Decimal(repr(p))).cast("decimal(20,18)")
-    rank = F.greatest(F.ceil(F.sum("c").cast("decimal(38,0)") * p_dec), F.lit(1)).cast("long")
-    state = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), rank.alias("rank"))
-    running = Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, 0)
-
-    def inside() -> DataFrame:                                   # the state is one row
-        return counts.join(F.broadcast(state), F.col("v").between(F.col("lo"), F.col("hi")))
-
-    def first_to_reach(rows: DataFrame) -> DataFrame:
-        """The first of a few ordered rows at which the rank is reached."""
-        below = F.sum("rows").over(running)
-        return (rows.withColumn("upto", below).where(F.col("upto") >= F.col("rank"))
-                .agg(F.min(F.struct("lo", "hi", (F.col("rank") - F.col("upto") + F.col("rows")).alias("rank"))).alias("s"))
-                .select("s.*"))
-
-    for _ in range(LEVELS):
-        half = F.col("hi").cast("double") / 2 - F.col("lo").cast("double") / 2   # the full width may overflow
-        share = F.when(half > 0, (F.col("v").cast("double") / 2 - F.col("lo").cast("double") / 2) / half).otherwise(0.0)
-        bins = (inside().withColumn("bin", F.least(F.floor(F.coalesce(F.nanvl(share, F.lit(1.0)), F.lit(0.0)) * BINS), F.lit(BINS - 1)))
-                .groupBy("bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("rows"), F.first("rank").alias("rank")))
-        state = first_to_reach(bins)
-    last = inside().select(F.col("v").alias("lo"), F.col("v").alias("hi"), F.col("c").alias("rows"), "rank")
-    hit = first_to_reach(last).select(F.col("lo").alias("v"))
-    return hit.agg(F.min("v").alias(alias))
+    value = F.lit(find_percentile(df, column, p).value).cast(df.schema[column].dataType)
+    return df.sparkSession.range(1).select(value.alias(alias))
 
 
 def percentile_approx(df: DataFrame, column: str, p: float, alias: str = "p",
