@@ -76,15 +76,35 @@ def round2(c: Column | str) -> Column:
     return F.round(_col(c).cast("double"), 2)
 
 
+def amount_parts(c: Column | str) -> dict[str, Column]:
+    """Aggregates that add up an amount and can be added up again: ``cents``
+    (whole cents, as a long), ``rest`` (null, or the sum of the amounts that are
+    no whole number of cents or too large for one) and ``n`` (non-null rows)."""
+    x = _col(c).cast("double")
+    cents = F.rint(x * 100)
+    whole = (cents / 100 == x) & (F.abs(cents) <= F.lit(float(1 << 53)))
+    return {"cents": F.sum(F.when(whole, cents.cast("long"))), "rest": F.sum(F.when(~whole, x)), "n": F.count(x)}
+
+
+def mean_of_parts(cents: Column, rest: Column, n: Column) -> Column:
+    """ROUND(sum / n, 2) of added-up parts (``cents`` a long or decimal)."""
+    total = F.coalesce(cents.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    rows = n.cast("decimal(20,0)")
+    rounded = F.call_function("div", F.abs(total) * 2 + rows, rows * 2)           # half a cent goes up
+    exact = F.signum(total) * rounded / F.lit(100.0)
+    return F.when(n > 0, F.when(rest.isNull(), exact)
+                  .otherwise(F.round((total.cast("double") / 100 + rest) / n, 2)))
+
+
 def mean2(c: Column | str) -> Column:
     """ROUND(AVG(x), 2) of an amount, as an aggregate.
 
-    The sum is taken over decimals, so it is exact and the same whatever the
-    order in which partitions arrive; a mean that lies half way between two
-    cents is then rounded up on every run. Amounts have at most six decimals
-    and 18 digits before the point; the mean is rounded once."""
-    total = F.sum(_col(c).cast("decimal(24,6)"))
-    return F.round(total / F.count(_col(c)).cast("decimal(12,0)"), 2).cast("double")
+    Whole cents are added up as longs, so their sum is exact and the same
+    whatever the order in which partitions arrive; a mean that lies half way
+    between two cents is then rounded away from zero on every run. Amounts with
+    a finer fraction, or of more than 2^53 cents, are added up as doubles (as
+    a plain average does). The mean is rounded once."""
+    return mean_of_parts(**amount_parts(c))
 
 
 def price_per_m2(price: Column | str, surface: Column | str) -> Column:

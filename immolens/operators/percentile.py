@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 ACCURACY = 10_000               # of the sketch
 MARGIN = 1.5                    # sketch errors between the wanted rank and the ends of the bracket
 LAST_ROWS = 1_000_000           # rows of a bracket whose values are counted one by one
+PARTS = 64                      # even parts of counted values
 
 
 @dataclass
@@ -83,6 +84,29 @@ def find_percentile(df: DataFrame, column: str, p: float) -> Found:
         passes += 1
 
 
+def find_weighted_percentile(counts: DataFrame, column: str, weight: str, p: float):
+    """The same for values that come with their number of rows: a sketch of
+    the distinct values cuts them into even parts until few are left."""
+    v, c = F.col(column), F.col(weight)
+    values = counts.where(v.isNotNull() & (c > 0)).select(v.alias("v"), c.alias("c"))
+    v, d = F.col("v"), F.col("v").cast("double")
+    rows, distinct = values.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    rank = max(int((Decimal(rows) * Decimal(repr(p))).to_integral_value(ROUND_CEILING)), 1)
+    ordered = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    while distinct:
+        few = distinct <= LAST_ROWS
+        cuts = [] if few else values.agg(F.percentile_approx(d, [i / PARTS for i in range(1, PARTS)], ACCURACY)).first()[0]
+        part = sum((F.when(d > F.lit(x), 1).otherwise(0) for x in sorted(set(cuts))), F.lit(0))
+        few = few or len(set(cuts)) < 2
+        at = values.groupBy((v if few else part).alias("at")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("distinct"))
+        hit = at.withColumn("upto", F.sum("c").over(ordered)).agg(
+            F.min(F.when(F.col("upto") >= rank, F.struct("at", "upto", "c", "distinct")))).first()[0]
+        if few:
+            return hit["at"]
+        values, rank, distinct = values.where(part == hit["at"]), rank - (hit["upto"] - hit["c"]), hit["distinct"]
+    return None
+
+
 def percentile_exact(df: DataFrame, column: str, p: float, alias: str = "p") -> DataFrame:
     """Discrete percentile (SQL percentile_disc): the smallest value whose
     cumulative count reaches ceil(n * p).

@@ -50,10 +50,15 @@ class Check:
             return f"between[{lo},{hi}]"
         return self.kind
 
-    def failures(self) -> Column:
+    def failures(self, among: Column | None = None) -> Column:
+        """Number of failing rows (of those that meet ``among``)."""
+        failed = self._failed()
+        return F.count_if(failed if among is None else among & failed)
+
+    def _failed(self) -> Column:
         c = F.col(self.column)
         if self.kind == "not_null":                                           # Q1
-            return F.count_if(c.isNull())
+            return c.isNull()
         if self.kind == "between":                                            # Q2
             cond = F.lit(True)
             if self.min_value is not None:
@@ -61,7 +66,7 @@ class Check:
             if self.max_value is not None:
                 cond = cond & (c <= F.lit(self.max_value))
             # A null value neither passes nor fails a range test.
-            return F.count_if(c.isNotNull() & ~cond)
+            return c.isNotNull() & ~cond
         raise ValueError(f"unknown check kind {self.kind!r}")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +21,27 @@ def _as_date(df: DataFrame, name: str):
     return F.col(name).cast("date")
 
 
+def is_staged() -> Column:
+    """V6: rows with a price and a positive surface (on source columns)."""
+    return F.col("price_eur").isNotNull() & (F.col("surface_m2") > 0)
+
+
+def staging_columns(history: DataFrame, names: Sequence[str] | None = None) -> list[Column]:
+    """The staging columns (all, or some) over the History's columns."""
+    columns = {
+        "id_annonce": F.col("id_annonce").cast("string"),
+        "title": capitalize_first("title"),
+        "price_eur": F.col("price_eur").cast("double"),
+        "surface_m2": F.col("surface_m2").cast("double"),
+        "nb_pieces": F.col("nb_pieces").cast("int"),
+        "price_m2": price_per_m2("price_eur", "surface_m2"),
+        "city": capitalize_first("city"),
+        "description": F.trim("description"),
+        "date_scraping": _as_date(history, "date_scraping"),
+    }
+    return [columns[n].alias(n) for n in names or columns]
+
+
 def to_staging(history: DataFrame) -> DataFrame:
     """Typed staging rows: price and surface as double, capitalised title and
     city, price per m² recomputed from the source columns, trimmed
@@ -26,15 +49,4 @@ def to_staging(history: DataFrame) -> DataFrame:
 
     The filter sits on source columns so it reaches the Parquet scan.
     """
-    src = history.where(F.col("price_eur").isNotNull() & (F.col("surface_m2") > 0))
-    return src.select(
-        F.col("id_annonce").cast("string").alias("id_annonce"),
-        capitalize_first("title").alias("title"),
-        F.col("price_eur").cast("double").alias("price_eur"),
-        F.col("surface_m2").cast("double").alias("surface_m2"),
-        F.col("nb_pieces").cast("int").alias("nb_pieces"),
-        price_per_m2("price_eur", "surface_m2").alias("price_m2"),
-        capitalize_first("city").alias("city"),
-        F.trim("description").alias("description"),
-        _as_date(history, "date_scraping").alias("date_scraping"),
-    )
+    return history.where(is_staged()).select(*staging_columns(history))
