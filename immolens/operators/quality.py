@@ -129,3 +129,30 @@ def freshness(df: DataFrame, loaded_at: Column, as_of, warn_after_hours: float =
 def snapshot_loaded_at(date_col: str = "date_scraping") -> Column:
     """Load time of a snapshot: midnight of its date."""
     return F.col(date_col).cast("timestamp_ntz")
+
+
+def written_metrics(columns: Sequence[str]) -> list[Column]:
+    """A7, A8, H4, Q1, Q2 as metrics to observe while History rows are
+    written: rows, nulls per column, failures per source check and, on the rows
+    that staging keeps, per staging check."""
+    from immolens.operators.staging import is_staged
+    from immolens.functions import price_per_m2
+
+    staged = F.coalesce(is_staged(), F.lit(False))
+    checks = [chk.failures().alias(f"source_{i}") for i, chk in enumerate(SOURCE_CHECKS)]
+    recomputed = price_per_m2("price_eur", "surface_m2")
+    checks += [F.count_if(staged & (recomputed.isNull() if chk.column == "price_m2" else chk._failed())).alias(f"staging_{i}")
+               for i, chk in enumerate(STAGING_CHECKS)]
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(staged).alias("staged_rows"),
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns], *checks]
+
+
+def written_report(metrics: dict, columns: Sequence[str], staging_table: str, source_table: str) -> dict:
+    """Observed metrics as a report: ``rows``, ``staged_rows``, ``nulls`` by
+    column and ``checks`` as ``run_checks`` lists them."""
+    checks = [{"table": table, "column": c.column, "check": c.name, "failures": metrics[f"{kind}_{i}"],
+               "status": "pass" if metrics[f"{kind}_{i}"] == 0 else "fail"}
+              for table, kind, some in ((staging_table, "staging", STAGING_CHECKS), (source_table, "source", SOURCE_CHECKS))
+              for i, c in enumerate(some)]
+    return {"rows": metrics["rows"], "staged_rows": metrics["staged_rows"],
+            "nulls": {c: metrics[f"null_{c}"] for c in columns}, "checks": checks}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from immolens.functions import (
@@ -25,26 +25,29 @@ from immolens.operators.history import rows_per_snapshot as h_rows
 from immolens.operators.history import union_snapshots
 from immolens.operators.quality import (
     SOURCE_CHECKS, STAGING_CHECKS, freshness as q_freshness, null_counts, profile, run_checks,
+    written_metrics, written_report,
 )
 from immolens.operators.staging import to_staging
 from immolens.plans.adapters import (
     HISTORY_SQL, PAGE_ORIGIN, STAGING_SQL, history_from_tables, listing_pages_from_tables,
     silver_from_tables, sql_mean2, sql_ratio2, table,
 )
-from immolens.plans.refresh import Layout, build_marts, pages_to_silver
+from immolens.plans.refresh import Layout, build_marts, ingest, pages_to_silver
 from immolens.schema import GOLD_COLUMNS
 from immolens.session import scratch_folder
 from immolens.sources.files import (
-    read_gold, read_silver, register_history, register_view, write_gold, write_history,
+    read_gold, read_history, read_silver, register_history, register_view, write_gold, write_history,
     write_silver,
 )
-from immolens.sources.pages import cut_pages, read_page_metadata, read_page_table
+from immolens.sources.footers import snapshot_sizes
+from immolens.sources.pages import cut_pages, read_page_metadata, read_page_table, write_page_table
 from immolens.sources.seed import TYPOLOGY_ROWS, read_seed, typology_seed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FRESHNESS_AS_OF = "2024-02-02 12:00:00"
 REFRESH_AS_OF = "1995-02-02 12:00:00"      # before the newest snapshot: never stale
+BACKFILL_RANGE = ("1996-02-01", "1996-06-30")
 
 
 def _stg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +197,77 @@ def marts_of_written_history(spark, sf_dir):
             .unionByName(persistent.select(F.col("id_annonce").alias("key"), F.col("avg_rent").alias("amount"), F.col("nb_weeks_visible").alias("n"))))
 
 
+def _layout(root: str, **more) -> Layout:
+    return Layout(raw=f"{root}/raw", silver=f"{root}/silver", gold=f"{root}/gold", history=f"{root}/history", marts=f"{root}/marts", **more)
+
+
+def _long_form(spark, marts_written: dict[str, str]):
+    """All seven output tables read back as (table, key, a, b, c, n)."""
+    shapes = {                                      # key columns, three amounts, a count
+        "mart_evolution_prix": (["date_scraping"], ["avg_price_m2", "avg_price", None], "nb_annonces"),
+        "mart_typologie_logement": (["nb_pieces"], ["avg_price_m2", "avg_rent", "avg_surface"], "nb_annonces"),
+        "mart_typologie_libelle": (["nb_pieces", "label_typologie"], ["avg_price_m2", "avg_rent", "avg_surface"], "nb_annonces"),
+        "mart_prix_moyen": (["city"], ["avg_price_m2", "avg_surface_m2", None], "nb_weeks"),
+        "mart_top_annonces": (["id_annonce", "date_scraping", "title", "city", "description"], ["price_m2", "price_eur", "surface_m2"], None),
+        "kpi_marche": (["last_scraping", "min_price_m2", "max_price_m2"], ["avg_price_m2", "avg_rent", "avg_surface"], "total_annonces"),
+        "persistence_annonces": (["id_annonce", "first_seen", "last_seen"], ["avg_price_m2", "avg_rent", "avg_surface"], "nb_weeks_visible"),
+    }
+    parts = []
+    for name, (keys, amounts, count) in shapes.items():
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("decimal(18,2)").cast("string") if k.endswith("_m2") else F.col(k).cast("string"),
+                                           F.lit("-")) for k in keys])
+        cells = [(F.lit(None).cast("double") if a is None else F.col(a)).alias(c) for c, a in zip("abc", amounts)]
+        parts.append(spark.read.parquet(marts_written[name]).select(
+            F.lit(name).alias("table"), key.alias("key"), *cells, (F.lit(1) if count is None else F.col(count)).cast("long").alias("n")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def refreshed_tables(spark, sf_dir):
+    """All seven tables after an incremental refresh. The marts are
+    built once without the newest snapshots' last rows; then those snapshots
+    are written again, whole, and only their states are made anew."""
+    layout = _layout(scratch_folder(spark, "incremental"))
+    history = history_from_tables(spark, sf_dir)
+    write_history(history, layout.history)
+    newest = read_history(spark, layout.history).agg(F.max("date_scraping")).first()[0]
+    recent = F.col("date_scraping") > F.lit(newest) - F.expr("INTERVAL 60 DAYS")
+    write_history(history.where(recent & (F.col("nb_pieces") > 2)), layout.history)        # a run that saw part of them
+    build_marts(spark, layout, REFRESH_AS_OF, fail_on_checks=False)
+    write_history(history.where(recent), layout.history)
+    return _long_form(spark, build_marts(spark, layout, REFRESH_AS_OF, fail_on_checks=False).marts)
+
+
+def backfill_of_a_range(spark, sf_dir):
+    """Pages written as a page table, the first half of the job run
+    over a range of dates, its Gold read back."""
+    root = scratch_folder(spark, "backfill")
+    layout = _layout(root, pages_table=f"{root}/pages")
+    write_page_table(listing_pages_from_tables(spark, sf_dir), layout.pages_table)
+    ingest(spark, layout, BACKFILL_RANGE, PAGE_ORIGIN)
+    return read_gold(spark, layout.gold)
+
+
+def observed_history(spark, sf_dir):
+    """What the History write itself observed."""
+    observation = Observation()
+    write_history(history_from_tables(spark, sf_dir), scratch_folder(spark, "observed"),
+                  observation=observation, metrics=written_metrics(GOLD_COLUMNS))
+    report = written_report(observation.get, GOLD_COLUMNS, "stg_listings", "listing_history")
+    rows = ([("rows", report["rows"])] + [(f"null {c}", n) for c, n in report["nulls"].items()]
+            + [(f"{c['table']} {c['column']} {c['check']}", c["failures"]) for c in report["checks"]])
+    return spark.createDataFrame(rows, "metric string, value long")
+
+
+def snapshot_counts_from_footers(spark, sf_dir):
+    """H4, Q3: rows per snapshot of a written history, from its footers."""
+    path = scratch_folder(spark, "footers")
+    write_history(history_from_tables(spark, sf_dir), path)
+    return spark.createDataFrame(list(snapshot_sizes(spark, path).items()), "date_scraping date, count long")
+
+
 def typology_seed_csv(spark, sf_dir):
     """The reference table written as CSV and read back as the seed."""
     path = scratch_folder(spark, "seed")
@@ -341,6 +415,10 @@ QUERIES: dict[str, Query] = {
     "union_of_snapshots": union_of_snapshots,
     "staging_epoch_days": staging_epoch_days,
     "marts_of_written_history": marts_of_written_history,
+    "refreshed_tables": refreshed_tables,
+    "backfill_of_a_range": backfill_of_a_range,
+    "observed_history": observed_history,
+    "snapshot_counts_from_footers": snapshot_counts_from_footers,
     "typology_seed_csv": typology_seed_csv,
     "approximate_cut": approximate_cut,
     "quality_checks": quality_checks,
@@ -700,3 +778,57 @@ FROM pages"""
 ORACLE_SQL["broken_pages"] = """SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 0 ELSE n END AS links, CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END AS errors
 FROM (SELECT page_id, CAST(len(regexp_extract_all(html, '<a href="(/[^"]*)">([^<]*)</a>', 1)) AS BIGINT) AS n FROM pages)
 WHERE n > 0 OR page_id % 5 = 0"""
+
+ORACLE_SQL["snapshot_counts_from_footers"] = ORACLE_SQL["rows_per_snapshot"]
+
+ORACLE_SQL["backfill_of_a_range"] = f"""SELECT * FROM ({ORACLE_SQL["gold_from_html"]})
+WHERE date_scraping BETWEEN DATE '{BACKFILL_RANGE[0]}' AND DATE '{BACKFILL_RANGE[1]}'"""
+
+ORACLE_SQL["observed_history"] = f"""WITH {STAGING_SQL}, h AS (SELECT 'rows' AS metric, count(*) AS value FROM history
+  {" ".join(f"UNION ALL SELECT 'null {c}', count_if({c} IS NULL) FROM history" for c, _ in _STAGING_TYPES)}
+  UNION ALL SELECT 'stg_listings id_annonce not_null', count_if(id_annonce IS NULL) FROM stg
+  UNION ALL SELECT 'stg_listings price_eur not_null', count_if(price_eur IS NULL) FROM stg
+  UNION ALL SELECT 'stg_listings price_eur between[0,]', count_if(price_eur < 0) FROM stg
+  UNION ALL SELECT 'stg_listings surface_m2 not_null', count_if(surface_m2 IS NULL) FROM stg
+  UNION ALL SELECT 'stg_listings surface_m2 between[5,]', count_if(surface_m2 < 5) FROM stg
+  UNION ALL SELECT 'stg_listings price_m2 not_null', count_if(price_m2 IS NULL) FROM stg
+  UNION ALL SELECT 'stg_listings date_scraping not_null', count_if(date_scraping IS NULL) FROM stg
+  UNION ALL SELECT 'listing_history id_annonce not_null', count_if(id_annonce IS NULL) FROM history
+  UNION ALL SELECT 'listing_history date_scraping not_null', count_if(date_scraping IS NULL) FROM history)
+SELECT metric, value FROM h"""
+
+
+def _table_sql(name: str, body: str, key: str, amounts: tuple, count: str) -> str:
+    cells = ", ".join(f"CAST({a or 'NULL'} AS DOUBLE) AS {c}" for c, a in zip("abc", amounts))
+    return f"SELECT '{name}' AS \"table\", {key} AS key, {cells}, CAST({count} AS BIGINT) AS n FROM ({body})"
+
+
+def _text(x: str) -> str:
+    return f"coalesce(CAST({x} AS VARCHAR), '-')"
+
+
+def _body(query: str) -> str:
+    """A mart's SQL without its WITH clause for the staging rows."""
+    return ORACLE_SQL[query].removeprefix(f"WITH {STAGING_SQL}").lstrip(",\n ")
+
+
+_MEANS = ("avg_price_m2", "avg_rent", "avg_surface")
+ORACLE_SQL["refreshed_tables"] = f"""WITH {STAGING_SQL},
+seed(seed_rooms, label_typologie) AS (VALUES {_SEED_VALUES}),
+t AS ({_body("typology").split(" ORDER BY")[0]}),
+daily AS (SELECT city, {_daily('price_m2')} AS p, {_daily('surface_m2')} AS s FROM stg GROUP BY city, date_scraping)
+""" + " UNION ALL ".join([
+    _table_sql("mart_evolution_prix", _body("price_evolution"), _text("date_scraping"), ("avg_price_m2", "avg_price", None), "nb_annonces"),
+    _table_sql("mart_typologie_logement", "SELECT * FROM t", _text("nb_pieces"), _MEANS, "nb_annonces"),
+    _table_sql("mart_typologie_libelle", "SELECT t.*, s.label_typologie FROM t LEFT JOIN seed s ON CASE WHEN t.nb_pieces >= 5 THEN 5 ELSE t.nb_pieces END = s.seed_rooms",
+               f"{_text('nb_pieces')} || '|' || {_text('label_typologie')}", _MEANS, "nb_annonces"),
+    _table_sql("mart_prix_moyen", f"SELECT city, {_over_days('p')} AS avg_price_m2, {_over_days('s')} AS avg_surface_m2, count(*) AS nb_weeks FROM daily GROUP BY city",
+               _text("city"), ("avg_price_m2", "avg_surface_m2", None), "nb_weeks"),
+    _table_sql("mart_top_annonces", _body("best_deals_20"),
+               " || '|' || ".join(_text(c) for c in ("id_annonce", "date_scraping", "title", "city", "description")),
+               ("price_m2", "price_eur", "surface_m2"), "1"),
+    _table_sql("kpi_marche", _body("market_kpi"), " || '|' || ".join(
+        [_text("last_scraping"), _text("CAST(min_price_m2 AS DECIMAL(18,2))"), _text("CAST(max_price_m2 AS DECIMAL(18,2))")]), _MEANS, "total_annonces"),
+    _table_sql("persistence_annonces", _body("persistence_top20"), " || '|' || ".join(_text(c) for c in ("id_annonce", "first_seen", "last_seen")),
+               _MEANS, "nb_weeks_visible"),
+])

@@ -7,6 +7,7 @@ everything here only fills values that are unset.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -73,3 +74,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder's path under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/immolens-{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever file system its path names."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, name: str):
+    """A new folder's path under the shared checkpoint folder, for the length
+    of a ``with`` block: it is deleted at the end, also after an error."""
+    path = scratch_folder(spark, name)
+    try:
+        yield path
+    finally:
+        remove_folder(spark, path)

@@ -7,8 +7,10 @@ nothing is rewritten whole. Reads always use the fixed schema.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +18,9 @@ from immolens.functions import tolerant_date
 from immolens.schema import GOLD, GOLD_COLUMNS, SILVER
 
 SILVER_DATE = "snapshot_date"
+SILVER_ROWS_PER_FILE = 200_000
+# Fixed value: the name of Gold files kept one per date.
+TEXT_DATED_GOLD = "*_clean.parquet"
 
 
 def _read_or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
@@ -28,24 +33,31 @@ def _read_or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame
         return spark.createDataFrame([], schema)
 
 
-def _partitioned_overwrite(df: DataFrame, partition_col: str):
+def _partitioned_overwrite(df: DataFrame, partition_col: str, observation: Observation | None = None,
+                           metrics: Sequence[Column] = ()):
     """Dynamic-overwrite writer partitioned by ``partition_col``.
 
     The rows are first rebalanced on the partition column (AQE's REBALANCE):
     each date lands in a few tasks instead of every task writing a small
     file for every date, a date holding most rows is split into several
-    files, and small dates are merged.
+    files, and small dates are merged. ``metrics`` are observed on the rows
+    as they are written (after the exchange, in the tasks that write).
     """
-    return (df.hint("rebalance", partition_col).write.mode("overwrite")
+    rows = df.hint("rebalance", partition_col)
+    if observation is not None:
+        rows = rows.observe(observation, *metrics)
+    return (rows.write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic")
               .partitionBy(partition_col))
 
 
-def write_silver(silver: DataFrame, path: str, date_col: str = SILVER_DATE) -> None:
+def write_silver(silver: DataFrame, path: str, date_col: str = SILVER_DATE,
+                 rows_per_file: int = SILVER_ROWS_PER_FILE) -> None:
     """S3: CSV with header, quotes escaped by doubling, one folder per date.
-    An empty input touches no date."""
+    An empty input touches no date. A file holds at most ``rows_per_file``
+    rows: fields may span lines, so a file is read by one task (S4)."""
     (_partitioned_overwrite(silver.select(*SILVER.fieldNames(), date_col), date_col)
-        .option("header", True).option("escape", '"').csv(path))
+        .option("maxRecordsPerFile", rows_per_file).option("header", True).option("escape", '"').csv(path))
 
 
 def read_silver(spark: SparkSession, path: str, snapshot_date: str | None = None) -> DataFrame:
@@ -99,7 +111,7 @@ def read_gold(spark: SparkSession, path: str, required: bool = True) -> DataFram
     return df
 
 
-def read_text_dated_gold_files(spark: SparkSession, pattern: str = "*_clean.parquet") -> DataFrame:
+def read_text_dated_gold_files(spark: SparkSession, pattern: str = TEXT_DATED_GOLD) -> DataFrame:
     """S6 + H2 for Gold kept one Parquet file per date with the date stored as
     text (``yyyy-MM-dd`` or ``dd-MM-yyyy``); no file at all is an error."""
     schema = T.StructType([f if f.name != "date_scraping" else T.StructField(f.name, T.StringType())
@@ -115,13 +127,15 @@ def read_text_dated_gold_files(spark: SparkSession, pattern: str = "*_clean.parq
     return df.withColumn("date_scraping", tolerant_date("date_scraping"))
 
 
-def write_history(history: DataFrame, path: str, single_file: bool = False) -> None:
+def write_history(history: DataFrame, path: str, single_file: bool = False,
+                  observation: Observation | None = None, metrics: Sequence[Column] = ()) -> None:
     """History Parquet partitioned by date. ``single_file`` is an opt-in
-    export for small outputs (it funnels the data through one task)."""
+    export for small outputs (it funnels the data through one task). ``metrics``
+    are observed while the rows are written and cost no scan."""
     if single_file:
         history.coalesce(1).write.mode("overwrite").parquet(path)
         return
-    _partitioned_overwrite(history.select(*GOLD_COLUMNS), "date_scraping").parquet(path)
+    _partitioned_overwrite(history.select(*GOLD_COLUMNS), "date_scraping", observation, metrics).parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,16 +32,25 @@ def decode_utf8(content) -> F.Column:
     return F.replace(F.make_valid_utf8(content.cast("string")), F.lit("�"), F.lit(""))
 
 
-def read_pages(spark: SparkSession, root: str, snapshot_date: str | None = None,
+def days_between(first: str | dt.date, last: str | dt.date) -> list[str]:
+    """All days of a range, both ends included, as yyyy-MM-dd."""
+    first, last = (dt.date.fromisoformat(str(d)) for d in (first, last))
+    return [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+
+
+def read_pages(spark: SparkSession, root: str, snapshot_date: str | tuple[str, str] | None = None,
                metadata: DataFrame | None = None) -> DataFrame:
-    """S1 (+ S2): raw pages of one date (or of every date) as a DataFrame.
+    """S1 (+ S2): raw pages of one date, of a range of dates (first, last) or
+    of every date as a DataFrame. Only the folders asked for are listed.
 
     Date and page number come from the path; the metadata table, when
     given, is joined on (snapshot_date, page_no). No page -> empty result.
     A folder whose name is not a date of the calendar is left out.
     """
     date_glob = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"   # only yyyy-MM-dd folders
-    pattern = f"{root.rstrip('/')}/{snapshot_date or date_glob}"
+    if isinstance(snapshot_date, tuple):
+        date_glob = "{" + ",".join(days_between(*snapshot_date)) + "}"
+    pattern = f"{root.rstrip('/')}/{snapshot_date if isinstance(snapshot_date, str) else date_glob}"
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.html")
                  .load(pattern).select("path", "content"))
@@ -56,15 +67,24 @@ def read_pages(spark: SparkSession, root: str, snapshot_date: str | None = None,
     return _with_metadata(pages, metadata)
 
 
-def read_page_table(spark: SparkSession, path: str, snapshot_date: str | None = None,
+def write_page_table(pages: DataFrame, path: str) -> None:
+    """Pages as the table that ``read_page_table`` reads; the dates in
+    ``pages`` are replaced."""
+    (pages.select("page_no", "html", "source_file", "snapshot_date").hint("rebalance", "snapshot_date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path))
+
+
+def read_page_table(spark: SparkSession, path: str, snapshot_date: str | tuple[str, str] | None = None,
                     metadata: DataFrame | None = None) -> DataFrame:
     """S1 for pages kept as a Parquet table partitioned by ``snapshot_date``
     (page_no, html, source_file): for large backfills, as no task or driver
-    has to list one file per page."""
+    has to list one file per page. A date or a range (first, last) prunes
+    folders."""
     schema = T.StructType([f for f in RAW_PAGE.fields if f.name in ("snapshot_date", "page_no", "html", "source_file")])
     pages = spark.read.schema(schema).parquet(path)
     if snapshot_date is not None:
-        pages = pages.where(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
+        first, last = snapshot_date if isinstance(snapshot_date, tuple) else (snapshot_date, snapshot_date)
+        pages = pages.where(F.col("snapshot_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     return _with_metadata(pages, metadata)
 
 
