@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from immolens.operators.lattice import DATE, STATES
+from immolens.schema import HISTORY
 from immolens.sources.files import _read_or_empty, read_history
 from immolens.sources.footers import snapshot_files
 
@@ -75,13 +76,13 @@ def update_states(spark: SparkSession, history: str, root: str) -> States:
          .write.parquet(f"{root}/listed/run={run}"))
         listed.update({(d, current[d]): run for d in stale})
     used = {d: listed[d, s] for d, s in current.items()}
-    return States(**{name: _current(spark, root, name, used, history) for name in STATES},
+    return States(**{name: _current(spark, root, name, used) for name in STATES},
                   snapshots=sorted(d for d in current if d is not None), updated=stale)
 
 
-def _current(spark: SparkSession, root: str, name: str, used: dict[dt.date | None, str], history: str) -> DataFrame:
+def _current(spark: SparkSession, root: str, name: str, used: dict[dt.date | None, str]) -> DataFrame:
     """The rows of one kind of state that the list names: (snapshot, run)."""
-    empty = STATES[name](read_history(spark, history).limit(0))
+    empty = STATES[name](spark.createDataFrame([], HISTORY))
     if not used:
         return empty
     schema = T.StructType([*empty.schema.fields, T.StructField("run", T.StringType())])
