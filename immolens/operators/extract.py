@@ -6,8 +6,8 @@ Arrow batches of pages and emits one row per listing link. There is no
 shuffle; pages stay where the scan put them. Everything after the parse
 (cleaning, filters) is JVM-side column expressions.
 
-The parser is the standard library's ``html.parser`` with an explicit
-open-element stack: void elements are never opened, an end tag closes the
+The events of the standard library's ``html.parser`` are read in one pass
+with a stack of open elements, no tree is built: void elements are never opened, an end tag closes the
 nearest open element of that name (unmatched end tags are ignored) and
 elements still open at the end are closed there. The visible text of an
 element (description, details) leaves out comments and the strings of
@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -31,7 +33,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from immolens.functions import clean_text
 
-# Elements that never have content or an end tag.
+# Elements that never have content or an end tag, elements without
+# visible text, the links' path and the currency sign.
 VOID_ELEMENTS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 NON_TEXT_ELEMENTS = frozenset({"script", "style", "template", "rt", "rp"})
@@ -43,101 +46,75 @@ EURO = "€"
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-class _Comment(str):
-    """A comment's text: a string node, but not visible text."""
-
-
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "article")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.children: list = []          # _Node or str (text)
-        # nearest <article> at or above this node, fixed when it is created
-        self.article = self if tag == "article" else (parent.article if parent is not None else None)
-
-    def strings(self, visible_only: bool = True) -> Iterator[str]:
-        """String nodes of the subtree in document order; ``visible_only``
-        leaves out comments and the content of non-text elements."""
-        stack = [iter(self.children)]
-        while stack:
-            for child in stack[-1]:
-                if isinstance(child, str):
-                    if not (visible_only and isinstance(child, _Comment)):
-                        yield child
-                elif not (visible_only and child.tag in NON_TEXT_ELEMENTS):
-                    stack.append(iter(child.children))
-                    break
-            else:
-                stack.pop()
-
-    def elements(self) -> Iterator["_Node"]:
-        """Descendant elements in document order."""
-        stack = [iter(self.children)]
-        while stack:
-            for child in stack[-1]:
-                if isinstance(child, _Node):
-                    yield child
-                    stack.append(iter(child.children))
-                    break
-            else:
-                stack.pop()
-
-    def joined_text(self) -> str:
-        return " ".join(t.strip() for t in self.strings() if t.strip())
-
-
-class _TreeBuilder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", {}, None)
-        self.open = [self.root]
-        self.open_count: dict[str, int] = {}   # open elements per tag name
-        self.links: list[_Node] = []           # <a> elements in document order
-        self.text: list[str] = []              # a run of text arrives in parts
-
-    def _end_text(self):
-        if self.text:
-            self.open[-1].children.append("".join(self.text))
-            self.text = []
-
-    def _add(self, tag, attrs) -> _Node:
-        self._end_text()
-        # attributes are only read on links
-        node = _Node(tag, dict(attrs) if tag == "a" else None, self.open[-1])
-        self.open[-1].children.append(node)
-        if tag == "a":
-            self.links.append(node)
-        return node
+# Plain start tags (every value in double quotes) and end tags, as the standard parser reads them.
+_PLAIN_TAG = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-a-zA-Z0-9]*="[^"<>]*")*)\s*>')
+_PLAIN_ATTRIBUTE = re.compile(r'([a-zA-Z][-a-zA-Z0-9]*)="([^"]*)"')
+_END_TAG = re.compile(r"</([a-zA-Z][-.a-zA-Z0-9:_]*)\s*>")
 
-    def handle_starttag(self, tag, attrs):
-        node = self._add(tag, attrs)
-        if tag not in VOID_ELEMENTS:
-            self.open.append(node)
-            self.open_count[tag] = self.open_count.get(tag, 0) + 1
 
-    def handle_startendtag(self, tag, attrs):
-        self._add(tag, attrs)
+class _Open:
+    """An open element: where its strings begin. One that holds a listing
+    link's fields keeps them when it ends."""
+    __slots__ = ("tag", "order", "text_at", "string_at", "article", "fields", "wanted")
 
-    def handle_endtag(self, tag):
-        # An end tag with no open element of its name is ignored at once;
-        # otherwise the scan stops at that element and everything it passes
-        # is closed, so the total work stays linear in the page size.
-        self._end_text()
-        if not self.open_count.get(tag):
-            return
-        while True:
-            node = self.open.pop()
-            self.open_count[node.tag] -= 1
-            if node.tag == tag:
-                return
+    def __init__(self, tag, order, text_at, string_at, article):
+        self.tag, self.order, self.text_at, self.string_at = tag, order, text_at, string_at
+        self.article = self if tag == "article" else article
+        self.fields, self.wanted = None, False
+
+
+class _LinkEvents(HTMLParser):
+    """Listing links from parser events, without a tree.
+
+    Strings go to flat lists as they come; an open element is the place where
+    its strings begin. Registers hold what a container is asked for in the end:
+    the strings with a euro sign, the paragraphs, and which strings lie inside
+    an element without visible text."""
+
+    def __init__(self, wanted):
+        super().__init__(convert_charrefs=True)
+        self.wanted = wanted                    # href -> does the link count
+        root = _Open("#root", 0, 0, 0, None)
+        self.open = [root]
+        self.open_count: dict[str, int] = {}    # open elements per tag name
+        self.elements = 0
+        self.run: list[str] = []                # a run of text arrives in parts
+        self.texts: list[str] = []              # stripped strings that may be visible
+        self.inside: list[int] = []             # per text: its innermost element without visible text (0: none)
+        self.silent = [0]                       # open elements without visible text
+        self.hidden = 0                         # texts inside one
+        self.strings = 0
+        self.euro_at: list[int] = []            # numbers of the strings with a euro sign
+        self.euros: list[str] = []
+        self.p_orders: list[int] = []           # paragraphs in order of their start tags
+        self.p_spans: list[list[int]] = []
+        self.p_place: dict[int, int] = {}       # of the open ones
+        self.links: list[tuple] = []            # (attributes, container)
+
+    # ------------------------------------------------------------ strings
+    def _string(self, text: str, visible: bool) -> None:
+        if EURO in text:
+            self.euro_at.append(self.strings)
+            self.euros.append(text)
+        self.strings += 1
+        if visible:
+            text = text.strip()
+            if text:
+                self.texts.append(text)
+                self.inside.append(self.silent[-1])
+                self.hidden += self.silent[-1] > 0
+
+    def _end_text(self) -> None:
+        if self.run:
+            run, self.run = self.run, []
+            self._string(run[0] if len(run) == 1 else "".join(run), True)
 
     def handle_data(self, data):
-        self.text.append(data)
+        self.run.append(data)
 
     def handle_comment(self, data):
         self._end_text()
-        self.open[-1].children.append(_Comment(data))
+        self._string(data, False)
 
     def handle_decl(self, decl):
         self._end_text()
@@ -145,15 +122,104 @@ class _TreeBuilder(HTMLParser):
     def handle_pi(self, data):
         self._end_text()
 
-    def close(self):
-        super().close()
+    def unknown_decl(self, data):
         self._end_text()
+        if data.upper().startswith("CDATA["):   # <![CDATA[...]]> content counts as text
+            self._string(data[6:], True)
+
+    # ----------------------------------------------------------- elements
+    def _begin(self, tag, attrs) -> None:
+        if self.run:
+            self._end_text()
+        self.elements += 1
+        if tag == "a" and self.wanted(attrs):
+            parent = self.open[-1]
+            container = parent.article or parent
+            container.wanted = True
+            self.links.append((attrs, container))
+        elif tag == "p":
+            self.p_place[self.elements] = len(self.p_spans)
+            self.p_orders.append(self.elements)
+            self.p_spans.append([len(self.texts), len(self.texts)])
 
-    def unknown_decl(self, data):
+    def handle_starttag(self, tag, attrs):
+        self._begin(tag, attrs)
+        if tag not in VOID_ELEMENTS:
+            self.open.append(_Open(tag, self.elements, len(self.texts), self.strings, self.open[-1].article))
+            self.open_count[tag] = self.open_count.get(tag, 0) + 1
+            if tag in NON_TEXT_ELEMENTS:
+                self.silent.append(self.elements)
+
+    def handle_startendtag(self, tag, attrs):
+        self._begin(tag, attrs)
+
+    def handle_endtag(self, tag):
+        # An end tag with no open element of its name is ignored at once;
+        # otherwise everything up to that element is closed, so the total work
+        # stays linear in the page size.
+        if self.run:
+            self._end_text()
+        if not self.open_count.get(tag):
+            return
+        while self._end().tag != tag:
+            pass
+
+    def _end(self) -> _Open:
+        e = self.open.pop()
+        if e.order:
+            self.open_count[e.tag] -= 1
+        if e.tag in NON_TEXT_ELEMENTS:
+            self.silent.pop()
+        elif e.tag == "p":
+            self.p_spans[self.p_place.pop(e.order)][1] = len(self.texts)
+        if e.wanted:
+            try:
+                e.fields = self._fields(e)
+            except Exception as exc:                        # X8: its links are skipped, the page goes on
+                e.fields = exc
+        return e
+
+    def _fields(self, e: _Open) -> tuple[str | None, str | None, str]:
+        """Price, description and details of a container that ends here."""
+        i = bisect_left(self.euro_at, e.string_at)
+        price = self.euros[i] if i < len(self.euros) else None
+        k = bisect_right(self.p_orders, e.order)
+        first_p = self._text(self.p_orders[k], *self.p_spans[k]) if k < len(self.p_orders) else None
+        return price, first_p, self._text(e.order, e.text_at, len(self.texts))
+
+    def _text(self, order: int, start: int, end: int) -> str:
+        """The visible strings of an element: not those inside an element
+        without visible text that lies in it."""
+        if not self.hidden:
+            return " ".join(self.texts[start:end])
+        return " ".join(t for t, inner in zip(self.texts[start:end], self.inside[start:end]) if inner <= order)
+
+    def close(self):
+        super().close()
         self._end_text()
-        # <![CDATA[...]]> content counts as text
-        if data.upper().startswith("CDATA["):
-            self.open[-1].children.append(data[6:])
+        while self.open:
+            self._end()
+
+    # ------------------------------------ short ways for the commonest tags
+    def parse_starttag(self, i):
+        plain = _PLAIN_TAG.match(self.rawdata, i)
+        if plain is None:
+            return super().parse_starttag(i)
+        tag, attrs = plain[1].lower(), ()
+        if tag == "a" and plain[2]:             # attributes are only read on links
+            attrs = [(k.lower(), unescape(v) if "&" in v else v) for k, v in _PLAIN_ATTRIBUTE.findall(plain[2])]
+        self.handle_starttag(tag, attrs)
+        if tag in self.CDATA_CONTENT_ELEMENTS:
+            self.set_cdata_mode(tag)
+        return plain.end()
+
+    def parse_endtag(self, i):
+        end = _END_TAG.match(self.rawdata, i) if self.cdata_elem is None else None
+        if end is None:
+            return super().parse_endtag(i)
+        self.handle_endtag(end[1].lower())
+        self.clear_cdata_mode()
+        return end.end()
 
 
 def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX,
@@ -165,52 +231,33 @@ def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX
     Its container is the nearest ``<article>`` ancestor, else its parent.
     A link whose fields cannot be read gets an ``error`` text instead (X8)
     and the page goes on; markup that the parser rejects gives one row with
-    position 0 and the error.
+    position 0 and the error. The page is read once, by parser events; links
+    that share a container share its fields.
     """
     if not html:
         return []
-    builder = _TreeBuilder()
+
+    def listed(attrs) -> bool:
+        href = dict(attrs).get("href")
+        return href is not None and href.startswith(href_prefix)
+
+    page = _LinkEvents(listed)
     try:
-        builder.feed(html)
-        builder.close()
+        page.feed(html)
+        page.close()
     except Exception as exc:
         return [_failed(0, None, exc)]
     rows = []
-    position = 0
-    # price, description and details depend on the container only: links
-    # sharing a container (a list of links in one block) reuse them, so a
-    # page costs linear time in its size.
-    fields_of: dict[int, tuple] = {}
-    for a in builder.links:
-        href = a.attrs.get("href")
-        if href is None or not href.startswith(href_prefix):
-            continue
-        position += 1
-        try:
-            title = a.attrs.get("title")
-            if not href or (require_title and not title):
+    for position, (attrs, container) in enumerate(page.links, 1):
+        attrs = dict(attrs)
+        href, title = attrs["href"], attrs.get("title")
+        if href and (title or not require_title):
+            if isinstance(container.fields, Exception):
+                rows.append(_failed(position, href, container.fields))
                 continue
-            container = a.parent.article or a.parent
-            if id(container) not in fields_of:
-                price = next((t for t in container.strings(visible_only=False) if EURO in t), None)
-                first_p = next((e for e in container.elements() if e.tag == "p"), None)
-                fields_of[id(container)] = (
-                    price,
-                    first_p.joined_text() if first_p is not None else None,
-                    container.joined_text(),
-                )
-            price, description, details = fields_of[id(container)]
-            rows.append({
-                "position": position,
-                "href": href,
-                "title": title,
-                "price": price,
-                "description": description,
-                "details": details,
-                "error": None,
-            })
-        except Exception as exc:  # X8: a bad link is skipped, the page goes on
-            rows.append(_failed(position, href, exc))
+            price, description, details = container.fields
+            rows.append({"position": position, "href": href, "title": title, "price": price,
+                         "description": description, "details": details, "error": None})
     return rows
 
 

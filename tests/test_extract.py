@@ -100,15 +100,15 @@ def test_m2_sup_and_entities():
 def test_bad_link_is_isolated(monkeypatch):
     import immolens.operators.extract as ex
     calls = {"n": 0}
-    real = ex._Node.joined_text
+    real = ex._LinkEvents._fields
 
-    def flaky(self):
+    def flaky(self, container):
         calls["n"] += 1
         if calls["n"] == 1:
             raise ValueError("boom")
-        return real(self)
+        return real(self, container)
 
-    monkeypatch.setattr(ex._Node, "joined_text", flaky)
+    monkeypatch.setattr(ex._LinkEvents, "_fields", flaky)
     html = ('<article><a href="/immobilier/1" title="a">a</a><p>one</p></article>'
             '<article><a href="/immobilier/2" title="b">b</a><p>two</p></article>')
     links = ex.parse_listing_links(html)

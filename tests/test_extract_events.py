@@ -1,0 +1,41 @@
+"""The event-driven extraction gives what walks over a tree give."""
+
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from immolens.operators.extract import parse_listing_links
+from tree_links import parse_listing_links as by_tree
+
+PIECES = ["<article>", "</article>", "<div>", "</div>", "<p>", "</p>", "<p class='x'>", "<p/>", "<br>", "<span>", "</span>", "</b>", "<ul><li>",
+          '<a href="/immobilier/1/" title="T">', "<a href='/immobilier/2/'>", '<a title="x" href="/immobilier/3/" title="y">', '<a href="">', "<a>", "</a>",
+          '<a href="/other" title="z">', "<A HREF='/immobilier/4/' TITLE='&eacute;&nbsp;'/>", "<script>", "</script>", "<style>a{}</style>", "<template>", "</template>",
+          "<rt>", "</rt>", "<rp>", "<!-- 5 € -->", "<!-- x -->", "<![CDATA[7 €]]>", "<!DOCTYPE html>", "<?pi?>", "12 €", "a &euro; b", " text ", "\n", "é", "&amp", "&", "<",
+          "</", "< p>", "</ div>", "</p >", "<P>", "</P>", "<![foo[x]]>", "<!--", "<a href='/immobilier/5/", "<title>t</title>", "<textarea><p></textarea>", "1 €<b>2</b>"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=40), st.booleans())
+def test_events_equal_tree(pieces, titled):
+    html = "".join(pieces)
+    assert parse_listing_links(html, "/immobilier/", titled) == by_tree(html, "/immobilier/", titled)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="<>/ap=\"' !-[]&;€éh\n", max_size=60))
+def test_events_equal_tree_on_noise(noise):
+    html = '<article><a href="/immobilier/1/" title="t">x</a>' + noise
+    assert parse_listing_links(html) == by_tree(html)
+
+
+@pytest.mark.parametrize("titled, prefix", [(True, "/"), (False, "/"), (False, "/a")])
+def test_whole_page_table(titled, prefix):
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+    for html in [*pages, *(h.replace("<ul>", "<article>", 1).replace("</p>", " 10 €</p>") for h in pages[:100]), *(h[:len(h) // 2] for h in pages)]:
+        assert parse_listing_links(html, prefix, titled) == by_tree(html, prefix, titled)
+
+
+def test_deep_and_wide_pages_take_linear_time():
+    for html in ("<div>" * 50_000 + '<a href="/immobilier/1/" title="t">x</a>', '<a href="/immobilier/1/" title="t">x</a>' * 20_000,
+                 "</p>" * 100_000, "<p>" * 50_000 + '<a href="/immobilier/1/" title="t">x</a>'):
+        parse_listing_links(html)

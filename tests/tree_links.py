@@ -1,0 +1,180 @@
+"""Listing links by a tree of the page and repeated walks: the plain version
+that the event-driven extraction is held against."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+from immolens.operators.extract import DEFAULT_HREF_PREFIX, EURO, NON_TEXT_ELEMENTS, VOID_ELEMENTS, _failed
+
+
+class _Comment(str):
+    """A comment's text: a string node, but not visible text."""
+
+
+class _Node:
+    __slots__ = ("tag", "attrs", "children", "parent", "article")
+
+    def __init__(self, tag, attrs, parent):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.children: list = []          # _Node or str (text)
+        # nearest <article> at or above this node, fixed when it is created
+        self.article = self if tag == "article" else (parent.article if parent is not None else None)
+
+    def strings(self, visible_only: bool = True) -> Iterator[str]:
+        """String nodes of the subtree in document order; ``visible_only``
+        leaves out comments and the content of non-text elements."""
+        stack = [iter(self.children)]
+        while stack:
+            for child in stack[-1]:
+                if isinstance(child, str):
+                    if not (visible_only and isinstance(child, _Comment)):
+                        yield child
+                elif not (visible_only and child.tag in NON_TEXT_ELEMENTS):
+                    stack.append(iter(child.children))
+                    break
+            else:
+                stack.pop()
+
+    def elements(self) -> Iterator["_Node"]:
+        """Descendant elements in document order."""
+        stack = [iter(self.children)]
+        while stack:
+            for child in stack[-1]:
+                if isinstance(child, _Node):
+                    yield child
+                    stack.append(iter(child.children))
+                    break
+            else:
+                stack.pop()
+
+    def joined_text(self) -> str:
+        return " ".join(t.strip() for t in self.strings() if t.strip())
+
+
+class _TreeBuilder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = _Node("#root", {}, None)
+        self.open = [self.root]
+        self.open_count: dict[str, int] = {}   # open elements per tag name
+        self.links: list[_Node] = []           # <a> elements in document order
+        self.text: list[str] = []              # a run of text arrives in parts
+
+    def _end_text(self):
+        if self.text:
+            self.open[-1].children.append("".join(self.text))
+            self.text = []
+
+    def _add(self, tag, attrs) -> _Node:
+        self._end_text()
+        # attributes are only read on links
+        node = _Node(tag, dict(attrs) if tag == "a" else None, self.open[-1])
+        self.open[-1].children.append(node)
+        if tag == "a":
+            self.links.append(node)
+        return node
+
+    def handle_starttag(self, tag, attrs):
+        node = self._add(tag, attrs)
+        if tag not in VOID_ELEMENTS:
+            self.open.append(node)
+            self.open_count[tag] = self.open_count.get(tag, 0) + 1
+
+    def handle_startendtag(self, tag, attrs):
+        self._add(tag, attrs)
+
+    def handle_endtag(self, tag):
+        # An end tag with no open element of its name is ignored at once;
+        # otherwise the scan stops at that element and everything it passes
+        # is closed, so the total work stays linear in the page size.
+        self._end_text()
+        if not self.open_count.get(tag):
+            return
+        while True:
+            node = self.open.pop()
+            self.open_count[node.tag] -= 1
+            if node.tag == tag:
+                return
+
+    def handle_data(self, data):
+        self.text.append(data)
+
+    def handle_comment(self, data):
+        self._end_text()
+        self.open[-1].children.append(_Comment(data))
+
+    def handle_decl(self, decl):
+        self._end_text()
+
+    def handle_pi(self, data):
+        self._end_text()
+
+    def close(self):
+        super().close()
+        self._end_text()
+
+    def unknown_decl(self, data):
+        self._end_text()
+        # <![CDATA[...]]> content counts as text
+        if data.upper().startswith("CDATA["):
+            self.open[-1].children.append(data[6:])
+
+
+def parse_listing_links(html: str | None, href_prefix: str = DEFAULT_HREF_PREFIX,
+                        require_title: bool = True) -> list[dict]:
+    """Raw (uncleaned) fields of every listing link of one page, page order.
+
+    A link counts when its ``href`` starts with ``href_prefix`` and both
+    ``href`` and (unless ``require_title`` is False) ``title`` are non-empty.
+    Its container is the nearest ``<article>`` ancestor, else its parent.
+    A link whose fields cannot be read gets an ``error`` text instead (X8)
+    and the page goes on; markup that the parser rejects gives one row with
+    position 0 and the error.
+    """
+    if not html:
+        return []
+    builder = _TreeBuilder()
+    try:
+        builder.feed(html)
+        builder.close()
+    except Exception as exc:
+        return [_failed(0, None, exc)]
+    rows = []
+    position = 0
+    # price, description and details depend on the container only: links
+    # sharing a container (a list of links in one block) reuse them, so a
+    # page costs linear time in its size.
+    fields_of: dict[int, tuple] = {}
+    for a in builder.links:
+        href = a.attrs.get("href")
+        if href is None or not href.startswith(href_prefix):
+            continue
+        position += 1
+        try:
+            title = a.attrs.get("title")
+            if not href or (require_title and not title):
+                continue
+            container = a.parent.article or a.parent
+            if id(container) not in fields_of:
+                price = next((t for t in container.strings(visible_only=False) if EURO in t), None)
+                first_p = next((e for e in container.elements() if e.tag == "p"), None)
+                fields_of[id(container)] = (
+                    price,
+                    first_p.joined_text() if first_p is not None else None,
+                    container.joined_text(),
+                )
+            price, description, details = fields_of[id(container)]
+            rows.append({
+                "position": position,
+                "href": href,
+                "title": title,
+                "price": price,
+                "description": description,
+                "details": details,
+                "error": None,
+            })
+        except Exception as exc:  # X8: a bad link is skipped, the page goes on
+            rows.append(_failed(position, href, exc))
+    return rows
