@@ -32,11 +32,12 @@ from immolens.plans.adapters import (
     HISTORY_SQL, PAGE_ORIGIN, STAGING_SQL, history_from_tables, listing_pages_from_tables,
     silver_from_tables, sql_mean2, sql_ratio2, table,
 )
+from immolens.plans.publish import Store, publish_refresh
 from immolens.plans.refresh import Layout, build_marts, ingest, pages_to_silver
 from immolens.schema import GOLD_COLUMNS
 from immolens.session import scratch_folder
 from immolens.sources.files import (
-    read_gold, read_history, read_silver, register_history, register_view, write_gold, write_history,
+    bind_history_by_listing, read_gold, read_history, read_silver, register_history, register_view, write_gold, write_history,
     write_silver,
 )
 from immolens.sources.footers import snapshot_sizes
@@ -48,6 +49,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FRESHNESS_AS_OF = "2024-02-02 12:00:00"
 REFRESH_AS_OF = "1995-02-02 12:00:00"      # before the newest snapshot: never stale
 BACKFILL_RANGE = ("1996-02-01", "1996-06-30")
+PUBLISHED_RANGE = ("1997-02-01", "1997-04-30")
 
 
 def _stg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +270,24 @@ def snapshot_counts_from_footers(spark, sf_dir):
     return spark.createDataFrame(list(snapshot_sizes(spark, path).items()), "date_scraping date, count long")
 
 
+def persistence_by_listing_table(spark, sf_dir):
+    """Persistence over the history bound as a table bucketed and
+    sorted by listing: no exchange before the final order."""
+    path = scratch_folder(spark, "by-listing")
+    history = bind_history_by_listing(spark, history_from_tables(spark, sf_dir), path, f"history_{path.rsplit('-', 1)[1]}")
+    return marts.persistence(to_staging(history))
+
+
+def published_history(spark, sf_dir):
+    """Two published refreshes of generated pages (the second
+    replaces some snapshots by the same pages), the Gold layer read as published."""
+    root = scratch_folder(spark, "published")
+    pages = listing_pages_from_tables(spark, sf_dir).where(F.col("snapshot_date").between(*[F.lit(d).cast("date") for d in PUBLISHED_RANGE]))
+    publish_refresh(spark, root, pages, PAGE_ORIGIN, REFRESH_AS_OF, fail_on_checks=False)
+    publish_refresh(spark, root, pages.where(F.month("snapshot_date") == 3), PAGE_ORIGIN, REFRESH_AS_OF, fail_on_checks=False)
+    return Store(spark, root).read("history")
+
+
 def typology_seed_csv(spark, sf_dir):
     """The reference table written as CSV and read back as the seed."""
     path = scratch_folder(spark, "seed")
@@ -415,6 +435,8 @@ QUERIES: dict[str, Query] = {
     "union_of_snapshots": union_of_snapshots,
     "staging_epoch_days": staging_epoch_days,
     "marts_of_written_history": marts_of_written_history,
+    "persistence_by_listing_table": persistence_by_listing_table,
+    "published_history": published_history,
     "refreshed_tables": refreshed_tables,
     "backfill_of_a_range": backfill_of_a_range,
     "observed_history": observed_history,
@@ -832,3 +854,7 @@ daily AS (SELECT city, {_daily('price_m2')} AS p, {_daily('surface_m2')} AS s FR
     _table_sql("persistence_annonces", _body("persistence_top20"), " || '|' || ".join(_text(c) for c in ("id_annonce", "first_seen", "last_seen")),
                _MEANS, "nb_weeks_visible"),
 ])
+
+ORACLE_SQL["persistence_by_listing_table"] = ORACLE_SQL["persistence"]
+ORACLE_SQL["published_history"] = f"""SELECT * FROM ({ORACLE_SQL["gold_from_html"]})
+WHERE date_scraping BETWEEN DATE '{PUBLISHED_RANGE[0]}' AND DATE '{PUBLISHED_RANGE[1]}'"""

@@ -174,17 +174,25 @@ def build_marts(spark: SparkSession, layout: Layout, as_of, fail_on_checks: bool
     best-deals cut from the sketch (``percentile_approx``), over the whole
     History, instead of the exact percentile."""
     fresh = freshness_of_files(spark, layout.history, as_of).first().asDict()
+    history = read_history(spark, layout.history)
+    return marts_of(spark, history, fresh, layout.states_root, layout.marts, fail_on_checks, percentile_method)
+
+
+def marts_of(spark: SparkSession, history: DataFrame, fresh: dict, states_root: str, marts_root: str,
+             fail_on_checks: bool = True, percentile_method: str = "exact") -> RefreshResult:
+    """``build_marts`` for a history that was read from files and whose
+    freshness is known."""
     result = RefreshResult(freshness=fresh)
     if fresh["status"] == "error":
         raise FreshnessError(f"history is not fresh: {fresh}", result)
 
-    states = update_states(spark, layout.history, layout.states_root)
+    states = update_states(spark, history, states_root)
     result.updated = states.updated
     seed = typology_seed(spark)
     for name, build in MART_BUILDERS.items():
-        path = f"{layout.marts.rstrip('/')}/{name}"
+        path = f"{marts_root.rstrip('/')}/{name}"
         if name == "mart_top_annonces" and percentile_method == "approx":
-            table = marts.best_deals(to_staging(read_history(spark, layout.history)), method="approx")
+            table = marts.best_deals(to_staging(history), method="approx")
         else:
             table = build(states, seed)
         save_table(table, path)

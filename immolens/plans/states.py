@@ -48,9 +48,9 @@ def dated(dates) -> Column:
     return within | F.col(DATE).isNull() if None in dates else within
 
 
-def _signatures(spark: SparkSession, history: str) -> dict[dt.date | None, str]:
+def _signatures(history: DataFrame) -> dict[dt.date | None, str]:
     return {date: hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()
-            for date, files in snapshot_files(spark, history).items()}
+            for date, files in snapshot_files(history).items()}
 
 
 def _listed(spark: SparkSession, root: str) -> dict[tuple[dt.date | None, str], str]:
@@ -61,15 +61,18 @@ def _listed(spark: SparkSession, root: str) -> dict[tuple[dt.date | None, str],
     return {(r[DATE], r["signature"]): r["run"] for r in rows.orderBy("run").collect()}
 
 
-def update_states(spark: SparkSession, history: str, root: str) -> States:
-    """Brings the states under ``root`` up to date with a history and returns
-    them. Of the History only new and rewritten snapshots are read."""
+def update_states(spark: SparkSession, history: str | DataFrame, root: str) -> States:
+    """Brings the states under ``root`` up to date with a history (its folder,
+    or a plain read of its files) and returns them. Of the History only new
+    and rewritten snapshots are read."""
     root = root.rstrip("/")
-    current, listed = _signatures(spark, history), _listed(spark, root)
+    if isinstance(history, str):
+        history = read_history(spark, history)
+    current, listed = _signatures(history), _listed(spark, root)
     stale = [d for d, s in current.items() if (d, s) not in listed]
     if stale:
         run = uuid.uuid4().hex
-        rows = read_history(spark, history).where(dated(stale))
+        rows = history.where(dated(stale))
         for name, build in STATES.items():
             build(rows).write.parquet(f"{root}/{name}/run={run}")
         (spark.createDataFrame([(d, current[d]) for d in stale], f"{DATE} date, signature string").coalesce(1)

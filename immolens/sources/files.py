@@ -160,6 +160,21 @@ def register_history(spark: SparkSession, path: str, name: str = "listing_histor
     return df
 
 
+def bind_history_by_listing(spark: SparkSession, history: DataFrame, path: str, name: str = "listing_history_by_id",
+                            buckets: int | None = None) -> DataFrame:
+    """S8 for work per listing: the history as a table of ``path``, bucketed and
+    sorted by listing id, so that grouping, deduplication and joins by listing
+    need no exchange afterwards. One shuffle writes it (one file a bucket);
+    ``buckets`` is the number of shuffle partitions unless given. All rows of a
+    listing lie in one bucket: a table where one id holds a large share of the
+    rows is better left to ``register_history``."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (history.select(*GOLD_COLUMNS).repartition(buckets, "id_annonce").write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, "id_annonce").sortBy("id_annonce").option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """A model materialised as a view (lazy, recomputed on use)."""
     df.createOrReplaceTempView(name)

@@ -42,11 +42,12 @@ def freshness_of_files(spark: SparkSession, path: str, as_of, warn_after_hours:
     return freshness(dates, snapshot_loaded_at(DATE), as_of, warn_after_hours, error_after_hours)
 
 
-def snapshot_files(spark: SparkSession, path: str) -> dict[dt.date | None, list[str]]:
-    """The data files of every snapshot, by the file listing that Spark keeps
-    for the table. A rewritten snapshot has files of other names."""
+def snapshot_files(history: DataFrame) -> dict[dt.date | None, list[str]]:
+    """The data files of every snapshot of a history that was read from files,
+    by the listing that Spark keeps for it. A rewritten snapshot has files of
+    other names."""
     found: dict[dt.date | None, list[str]] = {}
-    for file in read_history(spark, path).inputFiles():
+    for file in history.inputFiles():
         text = unquote(_PARTITION.search(file).group(1))
         date = None if text == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(text)
         found.setdefault(date, []).append(file.rsplit("/", 1)[1])
