@@ -13,16 +13,19 @@ the score in slices. The best rows are found from the most significant slice
 down: rows surely among the best, and rows still tied; the rows tied at the
 end share one score, and the smallest ids among them fill up the result.
 
-Queries and index rows are both blocked and meet once per pair of blocks;
-each task holds one index block and one query block. The best ``k`` of each
-block are merged per query by a window. Nothing is collected.
+Queries and index rows are both blocked. Index blocks form groups, about as
+many as there are tasks, and the small side, the query blocks, is sent to each
+group once; a task holds one index block and one query block at a time. The
+best ``k`` of each block are merged per query by a window. Nothing is collected.
 
 Cases: a vector that is null or holds a null, NaN or infinite component
-takes no part; neither does a row without id. Rows that repeat an id count
-once (the smallest quantised vector). Ties go to the smaller id. A shorter
-vector counts as padded with zeros; an empty one scores 0 everywhere. Empty
-tables give no rows. Components beyond 2^24 in magnitude after quantising
-raise an error, as scores might not fit 64 bits.
+takes no part; neither does a row without id. Rows that repeat an id all take
+part: each is a candidate for other ids, and queries of one id share its ``k``
+results. Rows are dealt to blocks by place as well as id, so repeated rows
+spread. Ties go to the smaller id. A shorter vector counts as padded with
+zeros; an empty one scores 0 everywhere. Empty tables give no rows. Scores are
+added up exactly at any size; a reported score that does not fit 64 bits, or a
+quantised component beyond 2^61, raises an error.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 SCALE = 256
 BLOCK_ROWS = 16384
 QUERY_BLOCK_ROWS = 128
-MAX_COMPONENT = 1 << 24
+MAX_COMPONENT = 1 << 61
 
 _INDEX = "block int, n int, dims int, ids binary, low binary, bits binary, slices binary"
 _QUERIES = "query_block int, n int, dims int, query_ids binary, matrix binary"
@@ -55,19 +58,15 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCA
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in ascending order, one row each, and their vectors."""
-    best: dict[int, list] = {}
-    for i, v in zip(table.column("id").to_pylist(), table.column("v").to_pylist()):
-        if i not in best or v < best[i]:
-            best[i] = v
-    ids = sorted(best)
-    dims = max((len(v) for v in best.values()), default=0)
-    matrix = np.zeros((len(ids), dims), dtype=np.int64)
-    for k, i in enumerate(ids):
-        matrix[k, :len(best[i])] = best[i]
-    if matrix.size and np.abs(matrix).max() > MAX_COMPONENT:
+    """Ids in ascending order (repeated ones too), and their vectors."""
+    rows = sorted(zip(table.column("id").to_pylist(), table.column("v").to_pylist()))
+    dims = max((len(v) for _, v in rows), default=0)
+    matrix = np.zeros((len(rows), dims), dtype=np.int64)
+    for k, (_, v) in enumerate(rows):
+        matrix[k, :len(v)] = v
+    if matrix.size and (matrix.max() > MAX_COMPONENT or matrix.min() < -MAX_COMPONENT):
         raise ValueError(f"a quantised component exceeds {MAX_COMPONENT}")
-    return np.array(ids, dtype=np.int64), matrix
+    return np.array([i for i, _ in rows], dtype=np.int64), matrix
 
 
 def _one_row(values: dict, schema: str) -> pa.Table:
@@ -150,8 +149,7 @@ class SlicedBlock:
         """(id, score) of the ``k`` best rows other than the query's own."""
         slices, base = self.scores(q)
         tied = self.all.copy()
-        own = np.searchsorted(self.ids, query_id)
-        if own < self.n and self.ids[own] == query_id:
+        for own in range(np.searchsorted(self.ids, query_id), np.searchsorted(self.ids, query_id, side="right")):
             tied[own >> 6] &= ~(np.uint64(1) << np.uint64(own & 63))
         sure = np.zeros_like(tied)
         need = k
@@ -179,15 +177,20 @@ def _positions(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
+def _dealt(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+
+
 def build_index(vectors: DataFrame, n_rows: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The index of ``quantised`` rows, one row per block of about
-    ``block_rows`` vectors; blocks are dealt by a hash of the id."""
+    ``block_rows`` vectors; blocks are dealt by a hash of the id and the row's
+    place."""
     blocks = max(1, math.ceil(n_rows / block_rows))
 
     def build(key, table):
         return _one_row({"block": key[0].as_py(), **slice_block(*_matrix(table))}, _INDEX)
 
-    return (vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    return (vectors.withColumn("block", _dealt(blocks))
             .groupBy("block").applyInArrow(build, _INDEX))
 
 
@@ -215,12 +218,12 @@ def search(index: DataFrame, queries: DataFrame, k: int, n_rows: int, n_queries:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)],
                                                      names=["query_id", "vec_id", "score"])
 
-    asked = (queries.withColumn("query_block", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
-             .groupBy("query_block").applyInArrow(gather, _QUERIES)
+    groups = min(blocks, 2 * index.sparkSession.sparkContext.defaultParallelism)
+    asked = (queries.withColumn("query_block", _dealt(query_blocks)).groupBy("query_block").applyInArrow(gather, _QUERIES)
              .select("query_block", F.col("dims").alias("query_dims"), "query_ids", "matrix",
-                     F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
-    offered = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    found = offered.join(asked, ["block", "query_block"]).mapInArrow(look_up, "query_id long, vec_id long, score long")
+                     F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")))
+    offered = index.withColumn("group", F.pmod("block", F.lit(groups)))
+    found = offered.join(asked, "group").mapInArrow(look_up, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -14,15 +14,12 @@ def table(spark, rows):
 
 
 def brute(rows, is_query, k):
-    vectors = {}
-    for i, x in rows:
-        if i is None or x is None or any(c is None or not math.isfinite(c) for c in x):
-            continue
-        q = [math.floor(256 * float(np.float32(c))) for c in x]
-        vectors[i] = min(q, vectors.get(i, q))
+    """All pairs of rows with different ids; the k best of each query id."""
+    taken = [(i, [math.floor(256 * float(np.float32(c))) for c in x]) for i, x in rows
+             if i is not None and x is not None and all(c is not None and math.isfinite(c) for c in x)]
     out = []
-    for i in filter(is_query, vectors):
-        scores = sorted((-sum(a * b for a, b in zip(vectors[i], vectors[j])), j) for j in vectors if j != i)
+    for i in {i for i, _ in taken if is_query(i)}:
+        scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for n, q in taken if n == i for j, v in taken if j != i)
         out += [(i, r, j, -s) for r, (s, j) in enumerate(scores[:k], 1)]
     return sorted(out)
 
@@ -61,6 +58,25 @@ def test_scores_of_a_block():
         assert block.best(-1, q, 130) and sorted(block.best(-1, q, 130)) == sorted(zip(ids.tolist(), (matrix @ q).tolist()))
 
 
-def test_too_large_components_are_refused(spark):
-    with pytest.raises(Exception, match="exceeds"):
-        run(spark, [(0, [1e9]), (1, [1.0])], 1, 1)
+def test_repeated_ids_with_other_vectors(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1.0, 1.0]), (1, [2.0, 2.0]), (2, [0.5, 0.5]), (2, [0.5, 0.5]), (0, [-3.0, 1.0]), (4, [0.0, 9.0])] * 2
+    assert run(spark, rows, 2, 3) == brute(rows, lambda i: i % 2 == 0, 3)
+    assert run(spark, rows, 1, 40) == brute(rows, lambda i: True, 40)
+    hot = [(7, [float(i % 5), 1.0]) for i in range(500)] + [(8, [1.0, -1.0])]
+    assert run(spark, hot, 8, 5) == brute(hot, lambda i: i == 8, 5)
+
+
+def test_large_components(spark):
+    rows = [(i, [x, 1.0 + i]) for i, x in enumerate([1e5, -1e5, 3e6, 1e7, -7.5e6, 0.25, 2.0 ** 23, -2.0 ** 23])]
+    assert run(spark, rows, 1, 5) == brute(rows, lambda i: True, 5)
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    with pytest.raises(Exception, match="int64|C long|OverflowError|exceeds"):
+        run(spark, [(0, [1e15]), (1, [1e15])], 1, 1)
+
+
+def test_index_blocks_meet_query_blocks_in_few_groups(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(c) for c in rng.integers(-9, 9, 4) / 8]) for i in range(700)]
+    assert run(spark, rows, 3, 4) == run(spark, rows[::-1], 3, 4) == brute(rows, lambda i: i % 3 == 0, 4)
