@@ -26,6 +26,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -240,9 +242,10 @@ def _spans_of(texts: list[str], model: PiiModel) -> list[tuple[list, list]]:
         base = base_spans(text)
         out.append((base, list(base)))
         if model.thresholds:
-            taken = sorted((a, b) for a, _, b in base)
+            starts = sorted(a for a, _, _ in base)
+            reach = list(accumulate((b for _, b in sorted((a, b) for a, _, b in base)), max))
             for a, k, b in candidates(text):
-                if not _overlaps(taken, a, b):
+                if not _overlaps(starts, reach, a, b):
                     features.append(span_features(text, a, k, b))
                     owner.append((i, a, k, b))
     if features:
@@ -258,13 +261,11 @@ def _spans_of(texts: list[str], model: PiiModel) -> list[tuple[list, list]]:
     return out
 
 
-def _overlaps(spans: list[tuple[int, int]], a: int, b: int) -> bool:
-    """Whether [a, b) meets a span of a list sorted by start; base spans are
-    few and short next to a text, so those near ``a`` are looked at."""
-    import bisect
-
-    i = bisect.bisect_left(spans, (b,))
-    return any(y > a for _, y in spans[max(0, i - 8):i])
+def _overlaps(starts: list[int], reach: list[int], a: int, b: int) -> bool:
+    """Whether [a, b) meets one of some spans: their starts in order, and the
+    furthest end up to each of them."""
+    i = bisect_left(starts, b)
+    return i > 0 and reach[i - 1] > a
 
 
 def _joined(spans) -> str:

@@ -136,3 +136,15 @@ def test_boosted_trees_learn_an_interaction():
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.2)).astype(int)
     trees = BoostedTrees().fit(x[:2000], y[:2000])
     assert ((trees.raw(x[2000:]) > 0) == y[2000:]).mean() > 0.95
+
+
+def test_candidates_inside_a_base_span_with_many_others():
+    """An address whose local part holds ten IPs, and a later candidate in it."""
+    from immolens.llm.pii import _overlaps
+    spans = sorted([(0, 200)] + [(10 + 15 * i, 22 + 15 * i) for i in range(10)])
+    starts = [a for a, _ in spans]
+    reach = [max(y for _, y in spans[:i + 1]) for i in range(len(spans))]
+    for a in range(0, 230):
+        for b in (a + 1, a + 3):
+            assert _overlaps(starts, reach, a, b) == any(x < b and a < y for x, y in spans)
+    assert not _overlaps([], [], 0, 5)
