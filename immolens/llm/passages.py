@@ -11,9 +11,11 @@ tree is built on a few centres per document, with array operations.
 
 Two passages that share a signature lie in windows with equal centre
 shingles. A window is joined under two keys: its centre with the minimum, by
-another function, of the ``_SIDE`` shingles to the left, and likewise to the
-right; a passage of full width covers one of the sides. Windows meet if the
-intervals around both centres are wide enough together:
+another function, of the far half of the ``_SIDE`` shingles to the left, and
+likewise to the right; a passage of full width covers one of the sides. (Only
+the far half: a short line that many documents hold would fill the near half,
+and its holders would all meet for nothing.) Windows meet if the intervals
+around both centres are wide enough together:
 1. Under each key all meet the one of the smallest document id. A task links
    equal keys of its own rows first and sends one of them on, so a passage that
    very many documents share does not pile up under its key.
@@ -49,7 +51,8 @@ MIN_WORDS = 50
 HASHES = 4
 SIMILARITY = 0.75
 _WIDTH = MIN_WORDS - SHINGLE_WORDS + 1          # shingles in the shortest passage
-_SIDE = _WIDTH // 2 + 1
+_SIDE = _WIDTH // 2 + 1                         # shingles on the covered side, with the centre
+_FAR = _SIDE // 2                               # of them, those furthest from the centre
 _SEEDS = mix64(np.arange(1, HASHES + 2, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _CHUNK = 2 << 20
 _SHIFT = 8                                      # words that may be inserted or lost along a passage
@@ -116,15 +119,15 @@ def compact_windows(values: np.ndarray, bounds: np.ndarray, width: int = _WIDTH)
 def _window_keys(shingles: np.ndarray, bounds: np.ndarray):
     """Keys, centre positions (in the chunk), left and right reach."""
     side = mix64(shingles ^ _SEEDS[-1])
-    side_at = _sliding_argmin(side, _SIDE) if len(side) >= _SIDE else np.zeros(0, dtype=np.int64)
+    side_at = _sliding_argmin(side, _FAR) if len(side) >= _FAR else np.zeros(0, dtype=np.int64)
     out = []
     for f in range(HASHES):
         l, c, r = compact_windows(mix64(shingles ^ _SEEDS[f]), bounds)
         if not len(c):
             continue
         doc = np.searchsorted(bounds, c, side="right") - 1
-        for tag, first in ((1, c), (2, c - _SIDE + 1)):
-            ok = (first >= bounds[doc]) & (first + _SIDE <= bounds[doc + 1])
+        for tag, first in ((1, c + _SIDE - _FAR), (2, c - _SIDE + 1)):
+            ok = (first >= bounds[doc]) & (first + _FAR <= bounds[doc + 1])
             key = mix64(shingles[c[ok]] * np.uint64(2 * f + 1) + side[side_at[first[ok]]] * np.uint64(3) + np.uint64(tag))
             out.append((key, c[ok], (c - l)[ok], (r - c)[ok]))
     if not out:
@@ -140,9 +143,10 @@ _ROWS = "met long, key long, doc long, at long, mate long, mate_at long, shared
 
 
 def window_rows(docs: DataFrame) -> DataFrame:
-    """Keyed windows (doc, packed position and reach). Windows that repeat a
-    key within a task's chunk carry their mate, the chunk's first window of the
-    key, and ``met``, the key of the first round, is one of their own."""
+    """Keyed windows (doc, packed position and reach). ``met`` is the key of
+    the first round. Windows that repeat a key within a task's chunk carry their
+    mate, the chunk's first window of the key, and the key apart from a ``met``
+    of their own; the others, nearly all, leave those columns null."""
     @thrifty
     def emit(batches):
         for batch in batches:
@@ -171,7 +175,7 @@ def window_rows(docs: DataFrame) -> DataFrame:
                 met = np.where(first, key, spread).astype(np.int64)
                 last = np.append(first[1:], True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(met), pa.array(key.astype(np.int64)), pa.array(owner), pa.array(at),
+                    [pa.array(met), pa.array(key.astype(np.int64), mask=first), pa.array(owner), pa.array(at),
                      pa.array(owner[head], mask=first), pa.array(at[head], mask=first), pa.array(~(first & last))],
                     names=["met", "key", "doc", "at", "mate", "mate_at", "shared"])
 
@@ -183,7 +187,7 @@ def crowded_windows(docs: DataFrame) -> DataFrame:
     one it meets in the first round."""
     group = Window.partitionBy("met")
     rows = window_rows(docs)
-    met = rows.select("key", "doc", "at", "mate", "mate_at", "shared",
+    met = rows.select(F.coalesce("key", "met").alias("key"), "doc", "at", "mate", "mate_at", "shared",
                       F.first(F.struct("doc", "at")).over(group.orderBy("doc", "at")).alias("least"),
                       F.max(F.struct("doc", "at")).over(group.orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("most"))
     return (met.where("shared or least != most")
