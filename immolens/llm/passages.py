@@ -19,9 +19,10 @@ around both centres are wide enough together:
 1. Under each key all meet the one of the smallest document id. A task links
    equal keys of its own rows first and sends one of them on, so a passage that
    very many documents share does not pile up under its key.
-2. Windows whose centre lies in no passage verified so far meet all earlier
-   windows of their key, in salted blocks of at most about ``BLOCK_WINDOWS``
-   on both sides.
+2. Windows whose centre lies in no passage verified so far meet the earlier
+   documents of their key, in salted blocks of at most about ``BLOCK_WINDOWS``
+   on both sides. Of a document's windows under one key, the up to three that
+   reach furthest (left, right, together) stand for all.
 
 Each pair of documents is then verified on the texts: shingles shared near
 the pair's diagonals are gathered into passages, and a passage counts if both
@@ -38,7 +39,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from immolens.llm.hashing import mix64
@@ -171,45 +173,51 @@ def window_rows(docs: DataFrame) -> DataFrame:
                 first = np.ones(len(key), dtype=bool)
                 first[1:] = key[1:] != key[:-1]
                 head = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+                group = np.cumsum(first) - 1
+                company = np.zeros(int(group[-1]) + 1, dtype=bool)          # keys that several documents hold
+                company[group[owner != owner[head]]] = True
                 spread = mix64(key + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64))
                 met = np.where(first, key, spread).astype(np.int64)
-                last = np.append(first[1:], True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(met), pa.array(key.astype(np.int64), mask=first), pa.array(owner), pa.array(at),
-                     pa.array(owner[head], mask=first), pa.array(at[head], mask=first), pa.array(~(first & last))],
+                     pa.array(owner[head], mask=first), pa.array(at[head], mask=first), pa.array(company[group])],
                     names=["met", "key", "doc", "at", "mate", "mate_at", "shared"])
 
     return docs.mapInArrow(emit, _ROWS)
 
 
 def crowded_windows(docs: DataFrame) -> DataFrame:
-    """(key, doc, at, a, a_at): the windows of keys with company, each with the
-    one it meets in the first round."""
+    """(key, doc, at, a, a_at): the windows of keys that several documents
+    hold, each with the one it meets in the first round."""
     group = Window.partitionBy("met")
     rows = window_rows(docs)
     met = rows.select(F.coalesce("key", "met").alias("key"), "doc", "at", "mate", "mate_at", "shared",
                       F.first(F.struct("doc", "at")).over(group.orderBy("doc", "at")).alias("least"),
                       F.max(F.struct("doc", "at")).over(group.orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("most"))
-    return (met.where("shared or least != most")
+    return (met.where("shared or least.doc != most.doc")
             .select("key", "doc", "at", F.coalesce("mate", "least.doc").alias("a"), F.coalesce("mate_at", "least.at").alias("a_at")))
 
 
-def _wide_pairs(met: DataFrame) -> DataFrame:
-    """(a, b, diagonal), distinct, of the pairs (a, a_at, b, b_at) that are
-    wide enough together."""
-    def left(c):
-        return F.shiftright(c, 16).bitwiseAND(0xFFFF)
+def _left(c: str) -> Column:
+    return F.shiftright(F.col(c), 16).bitwiseAND(0xFFFF)
+
 
-    def right(c):
-        return F.col(c).bitwiseAND(0xFFFF)
+def _right(c: str) -> Column:
+    return F.col(c).bitwiseAND(0xFFFF)
 
-    wide = F.least(left("a_at"), left("b_at")) + F.least(right("a_at"), right("b_at")) + 1 >= _WIDTH
-    diagonal = F.floor((F.shiftright("b_at", 32) - F.shiftright("a_at", 32)) / _SHIFT).cast("int")
-    return met.where("a < b").where(wide).select("a", "b", diagonal.alias("diagonal")).distinct()
+
+def _wide_pairs(met: DataFrame) -> DataFrame:
+    """(a, b, diagonal, lo, hi) of the pairs (a, a_at, b, b_at) that are wide
+    enough together, with the first and last position in a on the diagonal."""
+    wide = F.least(_left("a_at"), _left("b_at")) + F.least(_right("a_at"), _right("b_at")) + 1 >= _WIDTH
+    place = F.shiftright("a_at", 32)
+    diagonal = F.floor((F.shiftright("b_at", 32) - place) / _SHIFT).cast("int")
+    return (met.where("a < b").where(wide).groupBy("a", "b", diagonal.alias("diagonal"))
+            .agg(F.min(place).cast("int").alias("lo"), F.max(place).cast("int").alias("hi")))
 
 
 def _by_pair(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("a", "b").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals"))
+    return pairs.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("diagonal", "lo", "hi"))).alias("diagonals"))
 
 
 def candidate_pairs(crowded: DataFrame) -> DataFrame:
@@ -233,31 +241,49 @@ def open_pairs(crowded: DataFrame, pairs: DataFrame, found: DataFrame) -> DataFr
              .select("key", "groups", F.ceil(F.col("size") / BLOCK_WINDOWS).cast("int").alias("blocks")))
     asked = stored(asked, "open-keys")
     salt = F.xxhash64("doc", "at")
-    offers = (crowded.join(asked, "key").withColumn("block", F.pmod(salt, F.col("blocks")).cast("int"))
+    # of a document's windows under one key, the ones that reach furthest stand for all
+    reach = [F.max_by("at", r) for r in (_left("at"), _right("at"), _left("at") + _right("at"))]
+    offering = (crowded.join(asked, "key").groupBy("key", "doc", "groups", "blocks").agg(F.array_distinct(F.array(*reach)).alias("_at"))
+                .select("key", "doc", "groups", "blocks", F.explode("_at").alias("at")))
+    offers = (offering.withColumn("block", F.pmod(salt, F.col("blocks")).cast("int"))
               .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
               .select("key", "block", "group", F.col("doc").alias("a"), F.col("at").alias("a_at")))
     asks = (asking.join(asked, "key").withColumn("group", F.pmod(salt, F.col("groups")).cast("int"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", "block", "group", F.col("doc").alias("b"), F.col("at").alias("b_at")))
-    done = pairs.select("a", "b", F.explode("diagonals").alias("diagonal"))
+    done = pairs.select("a", "b", F.explode("diagonals").alias("_d")).select("a", "b", "_d.diagonal")
     return _by_pair(_wide_pairs(offers.join(asks, ["key", "block", "group"])).join(done, ["a", "b", "diagonal"], "left_anti"))
 
 
-def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int]) -> list[tuple[int, int, int, int, float]]:
+def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, float]]:
     """(start in a, end in a, start in b, end in b, similarity), in shingles,
-    ends exclusive, of the verified passages near the diagonals."""
+    ends exclusive, of the verified passages near the diagonals. A diagonal
+    comes with the first and last position in a where windows met; the texts
+    are compared around them, and further as long as a passage reaches the end
+    of what was compared."""
     found: list[tuple] = []
-    for d in diagonals:
-        for low, high in ((d * _SHIFT, (d + 1) * _SHIFT),):
-            at = np.full(len(a), -1, dtype=np.int64)
-            for shift in sorted(range(low - _SHIFT, high + _SHIFT), key=lambda s: -abs(s - (low + high) // 2)):
-                i0, i1 = max(0, -shift), min(len(a), len(b) - shift)
+    for d, lo, hi in diagonals:
+        low, high = d * _SHIFT, (d + 1) * _SHIFT
+        shifts = sorted(range(low - _SHIFT, high + _SHIFT), key=lambda s: -abs(s - (low + high) // 2))
+        margin = 4 * _WIDTH
+        while True:
+            x, z = max(0, lo - margin), min(len(a), hi + margin + 1)
+            at = np.full(z - x, -1, dtype=np.int64)
+            for shift in shifts:
+                i0, i1 = max(x, -shift), min(z, len(b) - shift)
                 if i1 > i0:
                     same = np.flatnonzero(a[i0:i1] == b[i0 + shift:i1 + shift]) + i0
-                    at[same] = same + shift
+                    at[same - x] = same + shift
             hits = np.flatnonzero(at >= 0)
+            here: list[tuple] = []
             if len(hits):
-                _grow(a, b, hits, at, found)
+                _grow(a, b, hits + x, np.concatenate([np.full(x, -1), at]) if x else at, here)
+            open_left = x > 0 and len(hits) and hits[0] <= _GAP
+            open_right = z < len(a) and len(hits) and hits[-1] >= z - x - 1 - _GAP
+            if not (open_left or open_right):
+                found += here
+                break
+            margin *= 4
     return _apart(found)
 
 
@@ -328,7 +354,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             out = []
             a, b, d = (batch.column(c).to_pylist() for c in ("a", "b", "diagonals"))
             for k, (x, y) in enumerate(zip(_shingle_rows(batch.column("ta")), _shingle_rows(batch.column("tb")))):
-                for i0, i1, j0, j1, s in common_passages(x, y, d[k]):
+                for i0, i1, j0, j1, s in common_passages(x, y, [(q["diagonal"], q["lo"], q["hi"]) for q in d[k]]):
                     out.append((b[k], j0, j1 - j0 + SHINGLE_WORDS - 1, a[k], i0, i1 - i0 + SHINGLE_WORDS - 1, s))
             if out:
                 kinds = [pa.int64()] * 6 + [pa.float64()]
@@ -339,6 +365,21 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _shingle_rows(column: pa.Array):
+    """The shingles of every row's text; of equal texts in a row (a join sorts
+    them) only the first is read."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    new = np.ones(len(column), dtype=bool)
+    if len(column) > 1:
+        new[1:] = pa.compute.fill_null(pa.compute.not_equal(column[1:], column[:-1]), True).to_numpy(zero_copy_only=False)
+    distinct = _distinct_shingle_rows(column.filter(pa.array(new)))
+    now = None
+    for fresh in new.tolist():
+        if fresh:
+            now = next(distinct)
+        yield now
+
+
+def _distinct_shingle_rows(column: pa.Array):
     for chunk in word_chunks(column):
         for p, q in zip(chunk.bounds[:-1].tolist(), chunk.bounds[1:].tolist()):
             yield shingle_hashes(chunk.hashes[p:q])

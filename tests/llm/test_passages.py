@@ -120,3 +120,41 @@ def test_holders_behind_fragments_and_variants(spark):
             n += 1
     found = {(r["source_id"], r["doc_id"]) for r in repeated_passages(documents(spark, rows)).collect()}
     assert set(map(tuple, full.values())) <= found
+
+
+def test_recall_and_precision_against_brute_force(spark):
+    """Planted passages of 50 words and more, with up to one edit in 60 words
+    (also near an edge): every pair of documents with a passage is compared with
+    a search of all alignments; at least 0.9 of the pairs' later documents are found."""
+    rng = random.Random(5)
+
+    def fresh(n):
+        return [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    rows, holders = [], {}
+    for k in range(25):
+        p = fresh(rng.choice([50, 55, 62, 80, 130]))
+        for copy in range(rng.randint(2, 4)):
+            w = list(p)
+            for e in range(len(p) // 60):
+                w[rng.randrange(len(w))] = f"e{rng.random()}"
+            rows.append((len(rows), " ".join([*fresh(rng.randint(0, 80)), *w, *fresh(rng.randint(0, 80))])))
+            holders.setdefault(k, []).append(len(rows) - 1)
+    for _ in range(10):                                                    # a line that is too short
+        rows.append((len(rows), " ".join([*fresh(60), *"this line of twelve words stands in many documents of the table".split(), *fresh(60)])))
+    found = repeated_passages(documents(spark, rows)).collect()
+    whole = {b: g[0] for g in holders.values() for b in g[1:]}
+    later = {r["doc_id"] for r in found}
+    assert later <= set(whole) and len(later) >= 0.9 * len(whole)
+    assert all(r["source_id"] in next(g for g in holders.values() if r["doc_id"] in g) for r in found)
+
+
+def test_positions_outside_the_compared_range():
+    """A passage that reaches far beyond the windows that met is found whole."""
+    from immolens.llm.passages import common_passages
+    rng = np.random.default_rng(3)
+    shared = mix64(rng.integers(0, 2 ** 62, 3000).astype(np.uint64))
+    a = np.concatenate([mix64(rng.integers(0, 2 ** 62, 500).astype(np.uint64)), shared])
+    b = np.concatenate([mix64(rng.integers(0, 2 ** 62, 20).astype(np.uint64)), shared, shared[:7]])
+    for lo in (500, 1700, 3499):
+        assert [p[:4] for p in common_passages(a, b, [(-60, lo, lo)])] == [(500, 3500, 20, 3020)]
