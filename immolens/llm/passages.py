@@ -60,6 +60,7 @@ _CHUNK = 2 << 20
 _SHIFT = 8                                      # words that may be inserted or lost along a passage
 _GAP = 16
 BLOCK_WINDOWS = 1024
+MARGIN = 4 * _WIDTH                             # shingles compared on both sides of the windows at first
 
 
 def _sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
@@ -255,17 +256,20 @@ def open_pairs(crowded: DataFrame, pairs: DataFrame, found: DataFrame) -> DataFr
     return _by_pair(_wide_pairs(offers.join(asks, ["key", "block", "group"])).join(done, ["a", "b", "diagonal"], "left_anti"))
 
 
-def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, float]]:
+def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int, int]], offset: int = 0,
+                    more_before: bool = False, more_after: bool = False) -> list[tuple[int, int, int, int, float]] | None:
     """(start in a, end in a, start in b, end in b, similarity), in shingles,
     ends exclusive, of the verified passages near the diagonals. A diagonal
     comes with the first and last position in a where windows met; the texts
-    are compared around them, and further as long as a passage reaches the end
-    of what was compared."""
+    are compared around them, and further as long as shared shingles reach the
+    end of what was compared. ``a`` may be a part of its text from shingle
+    ``offset`` on; None says that more of it is needed."""
     found: list[tuple] = []
     for d, lo, hi in diagonals:
-        low, high = d * _SHIFT, (d + 1) * _SHIFT
+        low, lo, hi = d * _SHIFT + offset, lo - offset, hi - offset
+        high = low + _SHIFT
         shifts = sorted(range(low - _SHIFT, high + _SHIFT), key=lambda s: -abs(s - (low + high) // 2))
-        margin = 4 * _WIDTH
+        margin = MARGIN
         while True:
             x, z = max(0, lo - margin), min(len(a), hi + margin + 1)
             at = np.full(z - x, -1, dtype=np.int64)
@@ -275,16 +279,16 @@ def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int
                     same = np.flatnonzero(a[i0:i1] == b[i0 + shift:i1 + shift]) + i0
                     at[same - x] = same + shift
             hits = np.flatnonzero(at >= 0)
-            here: list[tuple] = []
-            if len(hits):
-                _grow(a, b, hits + x, np.concatenate([np.full(x, -1), at]) if x else at, here)
-            open_left = x > 0 and len(hits) and hits[0] <= _GAP
-            open_right = z < len(a) and len(hits) and hits[-1] >= z - x - 1 - _GAP
-            if not (open_left or open_right):
-                found += here
+            left = len(hits) > 0 and hits[0] <= _GAP
+            right = len(hits) > 0 and hits[-1] >= z - x - 1 - _GAP
+            if (left and x == 0 and more_before) or (right and z == len(a) and more_after):
+                return None
+            if not (left and x > 0) and not (right and z < len(a)):
+                if len(hits):
+                    _grow(a, b, hits + x, np.concatenate([np.full(x, -1), at]), found)
                 break
             margin *= 4
-    return _apart(found)
+    return _apart([(i0 + offset, i1 + offset, j0, j1, s) for i0, i1, j0, j1, s in found])
 
 
 def _grow(a, b, hits, at, found):
@@ -322,6 +326,9 @@ def _apart(found: list[tuple]) -> list[tuple]:
 _FOUND = "doc_id long, start_word long, n_words long, source_id long, source_start long, source_words long, similarity double"
 
 
+_PARTS = "a long, b long, diagonals array<struct<diagonal:int,lo:int,hi:int>>, offset int, more boolean, part string"
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per passage of a document that an earlier one (by id) holds
     too: doc_id, start_word, n_words, source_id, source_start, source_words,
@@ -340,49 +347,96 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The passages of the pairs (a, b, diagonals), verified on the texts."""
+    """The passages of the pairs (a, b, diagonals), verified on the texts. Of
+    a's text the part around the windows is sent to b's; the few pairs whose
+    passages reach further are verified again with more of it."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     ids = F.broadcast(ids) if 2 * pairs.count() <= BROADCAST_IDS else ids
-    texts = stored(docs.join(ids, "doc_id", "left_semi"), "texts")
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-    rows = (pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-            .select("a", "b", "diagonals", "ta", "tb"))
-
+    texts = stored(docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    found, margin = None, MARGIN
+    while True:
+        parts = pairs.join(texts.toDF("a", "text"), "a").select("a", "b", "diagonals", "text").mapInArrow(_cut_parts(margin), _PARTS)
+        rows = stored(parts.join(texts.toDF("b", "text"), "b").select("a", "b", "diagonals", "offset", "more", "part", "text")
+                      .mapInArrow(_verify_parts, f"{_FOUND}, open boolean"), "verified")
+        done = rows.where("not open").drop("open")
+        found = done if found is None else found.unionByName(done)
+        again = rows.where("open").select(F.col("source_id").alias("a"), F.col("doc_id").alias("b"))
+        if again.isEmpty():
+            return found
+        pairs, margin = stored(pairs.join(again, ["a", "b"], "left_semi"), "again"), 16 * margin
+
+
+def _cut_parts(margin: int):
+    """Replaces a's text by the words around the windows that met."""
     @thrifty
-    def verify(batches):
+    def cut(batches):
         for batch in batches:
-            out = []
-            a, b, d = (batch.column(c).to_pylist() for c in ("a", "b", "diagonals"))
-            for k, (x, y) in enumerate(zip(_shingle_rows(batch.column("ta")), _shingle_rows(batch.column("tb")))):
-                for i0, i1, j0, j1, s in common_passages(x, y, [(q["diagonal"], q["lo"], q["hi"]) for q in d[k]]):
-                    out.append((b[k], j0, j1 - j0 + SHINGLE_WORDS - 1, a[k], i0, i1 - i0 + SHINGLE_WORDS - 1, s))
-            if out:
-                kinds = [pa.int64()] * 6 + [pa.float64()]
-                names = ["doc_id", "start_word", "n_words", "source_id", "source_start", "source_words", "similarity"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
-
-    return rows.mapInArrow(verify, _FOUND)
+            offsets, more, parts = [], [], []
+            texts = batch.column("text")
+            for spans, text, (starts, ends) in zip(batch.column("diagonals").to_pylist(), texts, _word_rows(texts)):
+                x = max(0, min(q["lo"] for q in spans) - margin)
+                z = min(len(starts), max(q["hi"] for q in spans) + margin + SHINGLE_WORDS)
+                offsets.append(x)
+                more.append(z < len(starts))
+                parts.append(text.as_buffer().to_pybytes()[starts[x]:ends[z - 1]] if z > x else b"")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), batch.column("diagonals"), pa.array(offsets, pa.int32()),
+                 pa.array(more, pa.bool_()), pa.array(parts, pa.binary()).cast(pa.string())],
+                names=["a", "b", "diagonals", "offset", "more", "part"])
+
+    return cut
+
+
+@thrifty
+def _verify_parts(batches):
+    names = [f.split()[0] for f in _FOUND.split(", ")] + ["open"]
+    kinds = [pa.int64()] * 6 + [pa.float64(), pa.bool_()]
+    for batch in batches:
+        out = []
+        a, b, d, offset, more = (batch.column(c).to_pylist() for c in ("a", "b", "diagonals", "offset", "more"))
+        for k, (x, y) in enumerate(zip(_shingle_rows(batch.column("part")), _shingle_rows(batch.column("text")))):
+            spans = [(q["diagonal"], q["lo"], q["hi"]) for q in d[k]]
+            passages = common_passages(x, y, spans, offset[k], offset[k] > 0, more[k])
+            if passages is None:
+                out.append((b[k], 0, 0, a[k], 0, 0, 0.0, True))
+                continue
+            for i0, i1, j0, j1, s in passages:
+                out.append((b[k], j0, j1 - j0 + SHINGLE_WORDS - 1, a[k], i0, i1 - i0 + SHINGLE_WORDS - 1, s, False))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
 
-def _shingle_rows(column: pa.Array):
-    """The shingles of every row's text; of equal texts in a row (a join sorts
-    them) only the first is read."""
+def _by_row(column: pa.Array, of_distinct):
+    """What ``of_distinct`` gives for every row of a text column; of equal
+    texts that follow each other (a join sorts them) only the first is read."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     new = np.ones(len(column), dtype=bool)
     if len(column) > 1:
         new[1:] = pa.compute.fill_null(pa.compute.not_equal(column[1:], column[:-1]), True).to_numpy(zero_copy_only=False)
-    distinct = _distinct_shingle_rows(column.filter(pa.array(new)))
-    now = None
+    distinct, now = of_distinct(column.filter(pa.array(new))), None
     for fresh in new.tolist():
         if fresh:
             now = next(distinct)
         yield now
 
 
-def _distinct_shingle_rows(column: pa.Array):
-    for chunk in word_chunks(column):
-        for p, q in zip(chunk.bounds[:-1].tolist(), chunk.bounds[1:].tolist()):
-            yield shingle_hashes(chunk.hashes[p:q])
+def _shingle_rows(column: pa.Array):
+    def read(texts):
+        for chunk in word_chunks(texts):
+            for p, q in zip(chunk.bounds[:-1].tolist(), chunk.bounds[1:].tolist()):
+                yield shingle_hashes(chunk.hashes[p:q])
+
+    return _by_row(column, read)
+
+
+def _word_rows(column: pa.Array):
+    """(starts, ends) of the words of every row, in bytes."""
+    def read(texts):
+        for chunk in word_chunks(texts):
+            for p, q in zip(chunk.bounds[:-1].tolist(), chunk.bounds[1:].tolist()):
+                yield chunk.starts[p:q], chunk.ends[p:q]
+
+    return _by_row(column, read)
 
 
 def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

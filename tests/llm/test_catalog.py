@@ -27,6 +27,9 @@ COLUMNS = {
     "op8_": "doc_id held_out score predicted",
     "op9_": "doc_id start_word n_words source_id source_start",
     "op10_": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op11_": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op12_": "page_id url text n_chars",
+    "op13_": "doc_id n_features weight score rank",
 }
 
 
