@@ -243,7 +243,7 @@ def open_pairs(crowded: DataFrame, pairs: DataFrame, found: DataFrame) -> DataFr
     asked = stored(asked, "open-keys")
     salt = F.xxhash64("doc", "at")
     # of a document's windows under one key, the ones that reach furthest stand for all
-    reach = [F.max_by("at", r) for r in (_left("at"), _right("at"), _left("at") + _right("at"))]
+    reach = [F.max_by("at", F.struct(r.alias("r"), "at")) for r in (_left("at"), _right("at"), _left("at") + _right("at"))]
     offering = (crowded.join(asked, "key").groupBy("key", "doc", "groups", "blocks").agg(F.array_distinct(F.array(*reach)).alias("_at"))
                 .select("key", "doc", "groups", "blocks", F.explode("_at").alias("at")))
     offers = (offering.withColumn("block", F.pmod(salt, F.col("blocks")).cast("int"))
