@@ -12,7 +12,12 @@ fingerprints within ``RADIUS`` = 23 differ in at most two bits in at least one
 block, so the items found through the blocks' neighbourhoods are all items
 within the radius. Each is verified: the weighted Jaccard similarity of the
 window's and the item's shingles must reach 0.75. The expected distance at
-that similarity is 11 bits, with a deviation of 3.
+that similarity is 11 bits, with a deviation of 3, if the item's shingles all
+have the largest weight and the window repeats none. For other items (they
+share shingles with other items, or repeat one) and windows the cosine, and so
+the distance, is not bounded by the similarity: they are looked up by their
+weighted overlap as well, from prefix sums over the item's own shingles, which
+is exact.
 
 Benchmark items are handled about ``ITEMS_PER_PASS`` at a time; a larger
 benchmark takes more passes over the documents. The weights are those of the
@@ -39,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from immolens.llm.hashing import mix64
+from immolens.llm.hashing import gather_runs, mix64
 from immolens.llm.memory import thrifty
 from immolens.llm.tables import stored
 from immolens.llm.words import SHINGLE_WORDS, shingle_hashes, word_chunks
@@ -49,6 +54,7 @@ RADIUS = 23
 BLOCKS, BLOCK_BITS = 8, 8
 ITEMS_PER_PASS = 4096
 _WINDOWS_AT_ONCE = 1 << 14
+_ALMOST = SIMILARITY - 1e-4     # sums of rounded weights
 
 _NEAR_VALUES = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= RADIUS // BLOCKS
 
@@ -89,6 +95,8 @@ class ItemIndex:
         self.weights = np.log1p(n_items / df).astype(np.float32)
         self.rare = math.log1p(n_items)
         self.totals = [float(self.weight(s).sum()) for s in self.sets]
+        # the radius holds for items whose shingles weigh alike, the most possible, and do not repeat
+        self.level = [len(q) == len(s) and bool((self.weight(s) == np.float32(self.rare)).all()) for q, s in zip(sequences, self.sets)]
         # items of one word count share windows: word count -> (items, fingerprints, block neighbourhoods, shingles)
         groups: dict[int, list[int]] = defaultdict(list)
         for k, n in enumerate(self.words):
@@ -99,6 +107,7 @@ class ItemIndex:
             prints = np.concatenate([_pack((_signs(s) * self.weight(s)[:, None]).sum(axis=0)[None]) for s in (sequences[k] for k in members)])
             near = [_NEAR_VALUES[:, prints[:, b]] for b in range(BLOCKS)]
             self.groups[n] = (members, prints, near, np.unique(np.concatenate([self.sets[k] for k in members])))
+        self.holders = {n: _holders([self.sets[k] for k in g[0]], g[3]) for n, g in self.groups.items()}
 
     def weight(self, shingles: np.ndarray) -> np.ndarray:
         if not len(self.repeated):
@@ -136,8 +145,69 @@ class ItemIndex:
                     s = self.similarity(k, shingles[start:start + span])
                     if s >= SIMILARITY and (k not in best or (-s, start) < (-best[k][3], best[k][1])):
                         best[k] = (k, start, min(span + size - 1, len(words)), s, int(d))
+            for m, start in self._by_overlap(n, shingles, at, span):
+                k = members[m]
+                s = self.similarity(k, shingles[start:start + span])
+                if s >= SIMILARITY and (k not in best or (-s, start) < (-best[k][3], best[k][1])):
+                    print_ = _pack(_window_sums(self, shingles, np.array([start]), start, span))[0]
+                    best[k] = (k, start, min(span + size - 1, len(words)), s, int(np.bitwise_count(print_ ^ prints[m]).sum()))
         return [best[k] for k in sorted(best)]
 
+    def _by_overlap(self, n: int, shingles: np.ndarray, at: np.ndarray, span: int):
+        """(member of the group, start) of the windows that may reach the
+        similarity and that the radius is not sure to hold."""
+        members, _, _, shared = self.groups[n]
+        first, holder = self.holders[n]
+        hit = np.unique(shingles[at])
+        slot = np.searchsorted(shared, hit)
+        counts = first[slot + 1] - first[slot]
+        owner = holder[gather_runs(np.arange(len(holder)), first[slot], counts)]
+        held = np.bincount(owner, weights=np.repeat(self.weight(hit), counts), minlength=len(members))
+        likely = [int(m) for m in np.unique(owner) if held[m] >= _ALMOST * self.totals[members[m]]]
+        if not likely:
+            return
+        last = len(shingles) - span
+        repeats = _repeating(shingles, span)
+        any_repeats = bool(repeats.any())
+        for m in likely:
+            k = members[m]
+            if self.level[k] and not any_repeats:
+                continue
+            own = at[np.isin(shingles[at], self.sets[k])]
+            sums = np.concatenate([[0.0], np.cumsum(self.weight(shingles[own]), dtype=np.float64)])
+            for starts, x in _near_starts(own, span, last):
+                both = sums[np.searchsorted(own, starts + span)] - sums[np.searchsorted(own, starts)]
+                all_ = np.concatenate([[0.0], np.cumsum(self.weight(shingles[x:int(starts[-1]) + span]), dtype=np.float64)])
+                weight = all_[span:] - all_[:-span]
+                again = repeats[starts]
+                # what a window repeats counts once: its overlap is at most this
+                ok = np.where(again, both >= _ALMOST * self.totals[k], both >= _ALMOST * (weight + self.totals[k] - both))
+                for start in starts[ok & again if self.level[k] else ok]:
+                    yield m, int(start)
+
+
+def _holders(sets: list[np.ndarray], shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the ``shared`` shingles the sets that hold it: the first
+    place of each shingle, and the sets' numbers in order of the shingles."""
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    first = np.searchsorted(flat[order], shared)
+    return np.append(first, len(flat)), np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
+
+
+def _repeating(shingles: np.ndarray, span: int) -> np.ndarray:
+    """Whether the window at each start holds a shingle more than once."""
+    order = np.argsort(shingles, kind="stable")
+    same = shingles[order[1:]] == shingles[order[:-1]]
+    before, after = order[:-1][same], order[1:][same]
+    close = after - before < span
+    before, after = before[close], after[close]
+    starts = len(shingles) - span + 1
+    change = np.zeros(len(shingles) + 1, dtype=np.int64)
+    np.add.at(change, np.maximum(after - span + 1, 0), 1)
+    np.add.at(change, before + 1, -1)
+    return np.cumsum(change)[:starts] > 0
+
 
 def _near_starts(at: np.ndarray, span: int, last: int):
     """Window starts whose window holds a position of ``at``, in runs of a

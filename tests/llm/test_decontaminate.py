@@ -77,12 +77,31 @@ def test_against_brute_force(spark):
     assert all(got[k] == pytest.approx(expected[k], abs=1e-5) for k in expected)
 
 
-def test_several_passes_give_the_same(spark, monkeypatch):
-    docs, items = cases()
-    whole = {(r["doc_id"], r["item_id"]) for r in dc.contaminations(documents(spark, docs), items_table(spark, items)).collect()}
-    monkeypatch.setattr(dc, "ITEMS_PER_PASS", 7)
-    parts = {(r["doc_id"], r["item_id"]) for r in dc.contaminations(documents(spark, docs), items_table(spark, items)).collect()}
-    assert {p[0] for p in parts} == {w[0] for w in whole}
+@pytest.mark.parametrize("before", [0, 23])
+def test_templated_items(spark, before):
+    """Items that share all words but one: every pair of a document and an
+    item above the similarity is found, whatever the distance."""
+    template = words_text(56, 4).split()
+    items = [(k, " ".join([*template, f"own{k}"])) for k in range(60)]
+    items += [(70, " ".join(["again and", *["again and"] * 8, "once more"])), (71, " ".join(["so it goes"] * 12))]
+    docs = [(100 + k, " ".join([words_text(before, 50 + k), *template, f"{'own' if k % 2 else 'new'}{k}", words_text(20, 90 + k)])) for k in range(24)]
+    docs += [(200, " ".join(["again and"] * 30)), (201, " ".join(["so it goes"] * 11) + " with other words"), (202, items[0][1] + " " + " ".join(["so it goes"] * 12))]
+    rows = dc.contaminations(documents(spark, docs), items_table(spark, items)).collect()
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in rows}
+    expected = brute(docs, items)
+    assert set(got) == set(expected) and len(expected) > 24 * 60 - 1
+    assert any(r["distance"] > dc.RADIUS for r in rows)
+    assert all(got[k] == pytest.approx(expected[k], abs=1e-5) for k in expected)
+
+
+def test_windows_that_repeat_a_shingle():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n, span in ((1, 1), (5, 5), (200, 7), (300, 40)):
+        shingles = rng.integers(0, 90, n).astype(np.uint64)
+        expected = [len(set(shingles[s:s + span].tolist())) < span for s in range(n - span + 1)]
+        assert dc._repeating(shingles, span).tolist() == expected
 
 
 def test_several_passes_weigh_alike(spark, monkeypatch):
