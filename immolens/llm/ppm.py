@@ -23,7 +23,9 @@ How it runs:
    with its own answers. Nothing that grows with the corpus is broadcast.
 
 Cases: a null or empty text is its end alone. A row without id is a training
-row. Repeated rows count and are scored one by one. Texts of any length are
+row. Repeated rows all count; rows that repeat an id and text more than
+``folded`` allows are scored once, as they score alike, and listed as often as
+they occur, so that no chunk holds them all. Texts of any length are
 scored whole. Without training rows every byte is equally likely and
 ``train_tokens`` is 0. An empty table gives no rows. Other columns are ignored.
 """
@@ -37,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from immolens.llm.copies import folded, unfolded
 from immolens.llm.memory import thrifty
 from immolens.llm.tables import stored
 from immolens.llm.words import CHUNK_BYTES as TEXT_STEP
@@ -199,12 +202,15 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
     n_docs, n_train, size = docs.agg(F.count("*"), F.count_if(~F.col("held_out")), F.sum(F.octet_length("text"))).first()
     word_tokens, word_kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_tokens, n_kinds = word_tokens + n_train, word_kinds + (n_train > 0)
-    values = stored(words.select("key", F.log10(F.col("n") + 1.0).alias("value")).unionByName(run_costs(runs)), "values")
+    # words are exact; code lengths are rounded to 24 bits, which halves what the answers take
+    costs = run_costs(runs).withColumn("value", F.col("value").cast("float").cast("double"))
+    values = stored(words.select("key", F.log10(F.col("n") + 1.0).alias("value")).unionByName(costs), "values")
 
     chunks = max(1, math.ceil((size or 0) / chunk_bytes))
     parts = min(chunks, MAX_PARTITIONS)                      # a partition may hold several chunks
-    dealt = (docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
-             .select("chunk", "doc_id", "text", "held_out").repartition(parts, "chunk"))
+    single, repeated = folded(docs)
+    dealt = (single.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+             .select("chunk", "doc_id", "text", "held_out", "copies").repartition(parts, "chunk"))
 
     @thrifty
     def ask(batches):
@@ -234,7 +240,7 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
             yield from out()
 
     asked = dealt.sortWithinPartitions("chunk").mapInArrow(ask, "chunk int, key long")
-    answers = (asked.join(values, "key", "left").select("chunk", "key", F.coalesce("value", F.lit(0.0)).cast("float").alias("value"))
+    answers = (asked.join(values, "key", "left").select("chunk", "key", F.coalesce("value", F.lit(0.0)).alias("value"))
                .repartition(parts, "chunk"))
     log_total = math.log10(n_tokens + n_kinds + 1)
     log_end = math.log10(n_train + 1)
@@ -244,24 +250,22 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
     def score(texts, found):
         keys = found.column("key").to_numpy()
         order = np.argsort(keys)
-        keys, value = keys[order], found.column("value").to_numpy()[order].astype(np.float64)
-        # words: back to the exact logarithm of a whole number
-        is_word = keys < 0
-        value[is_word] = np.log10(np.rint(10.0 ** value[is_word]))
+        keys, value = keys[order], found.column("value").to_numpy()[order]
         column = texts.column("text").combine_chunks() if texts.num_rows else pa.array([], pa.string())
         n = texts.num_rows
-        tokens, known, base, total = np.ones(n, dtype=np.int64), np.full(n, int(n_train > 0)), np.full(n, log_end), np.zeros(n)
+        tokens, known, base, total = np.ones(n, dtype=np.int64), np.full(n, int(n_train > 0)), np.full(n, log_end - log_total), np.zeros(n)
         for first, words_, runs_, run_row in _pieces(column):
             own = slice(first, first + words_.rows)
             word_row = np.repeat(np.arange(words_.rows), np.diff(words_.bounds))
             v = value[np.searchsorted(keys, _word_keys(words_.hashes))] if len(words_.hashes) else np.zeros(0)
             tokens[own] += np.diff(words_.bounds)
             known[own] += np.bincount(word_row[v > 0], minlength=words_.rows)
-            base[own] += np.bincount(word_row, weights=v, minlength=words_.rows)
+            base[own] += np.bincount(word_row, weights=v - log_total, minlength=words_.rows)
             total[own] += np.bincount(run_row, weights=value[np.searchsorted(keys, runs_)], minlength=words_.rows)
-        return pa.table({"doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(tokens),
+        return pa.table({"doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "copies": texts.column("copies"), "n_tokens": pa.array(tokens),
                          "n_known": pa.array(known.astype(np.int64)), "train_tokens": pa.array(np.full(n, n_tokens, dtype=np.int64)),
-                         "base_score": pa.array(base - tokens * log_total, exact), "score": pa.array(total, exact)})
+                         "base_score": pa.array(base, exact), "score": pa.array(total, exact)})
 
-    return (dealt.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-            .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    scored = (dealt.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+              .applyInArrow(score, "doc_id long, held_out boolean, copies long, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    return unfolded(scored, repeated)

@@ -107,3 +107,25 @@ def test_the_fourth_byte_back_counts(spark):
         got[r["held_out"]].append(r["score"])
     assert min(got[False]) > math.log10(0.4)               # the first byte is even, the rest nearly certain
     assert max(got[True]) < min(got[False]) - 1
+
+
+def test_rows_that_repeat_very_often(spark):
+    """Scored once, listed as often as they occur, also without id or text."""
+    often = [(7, "again and again")] * 5000 + [(None, "again and again")] * 1200 + [(8, None)] * 1100
+    rows = often + [(7, "another text")] * 3 + [(i, words_text(20, i)) for i in range(20, 40)]
+    check(spark, rows, 1 << 10)
+
+
+def test_counts_of_very_frequent_words_are_exact(spark):
+    n = 60_001
+    train = [i for i in range(400) if not held(i)][:200]
+    docs = spark.createDataFrame([(i,) for i in [*train, *[k for k in range(400) if held(k)][:1]]], "doc_id long")
+    docs = docs.selectExpr("doc_id", f"case when crc32(cast(doc_id as string)) % 7 = 2 then 'w w v' else repeat('w ', {n}) end as text")
+    count, kinds = n * len(train), 2
+    assert count > 1e7
+    total = math.log10(count + len(train) + kinds + 1)
+    for r in ppm.ppm_scores(docs).collect():
+        ends = math.log10(len(train) + 1) - total
+        words_ = 2 * (math.log10(count + 1) - total) + math.log10(1) - total if r["held_out"] else n * (math.log10(count + 1) - total)
+        assert r["base_score"] == pytest.approx(words_ + ends, rel=1e-10)
+        assert r["train_tokens"] == count + len(train)
