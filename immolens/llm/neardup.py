@@ -56,6 +56,8 @@ MARGIN = 12.5
 FLOOR = 0.4               # share of equal registers below which no likelihood is computed
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 200_000
 BROADCAST_IDS = 500_000
+CLASS_ROWS = 1000         # rows of one class that are shuffled together
+CLASS = ["h1", "h2", "n_shingles"]
 _OPEN = ["bucket", "block", "doc_id", "component", "largest", "n_shingles", "registers"]
 
 _RNG = mix64(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -175,7 +177,7 @@ def _open_pairs(placed: DataFrame, reps: DataFrame) -> DataFrame:
     sizes = placed.groupBy("bucket", "component").count()
     buckets = (sizes.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("parts"), F.sum("count").alias("size"))
                .where("parts > 1").select("bucket", F.col("top.component").alias("largest"), F.ceil(F.col("size") / BLOCK_DOCS).cast("int").alias("blocks")))
-    rows = stored(placed.join(buckets, "bucket").join(reps.select("doc_id", "n_shingles", "registers").dropDuplicates(["doc_id"]), "doc_id"), "open")
+    rows = stored(placed.join(buckets, "bucket").join(reps.select("doc_id", "n_shingles", "registers"), "doc_id"), "open")    # all texts of an id
     members = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).select(*_OPEN)
     asking = rows.where("component != largest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*_OPEN)
 
@@ -242,13 +244,25 @@ def _links_to_components(pairs: DataFrame, found: DataFrame, reps: DataFrame, do
             .applyInArrow(verify, "a long, b long").distinct())
 
 
+def _of_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(doc_id, rep) of the rows. Classes of more than ``CLASS_ROWS`` rows are
+    broadcast, at most ``BROADCAST_IDS`` of them, so that their rows stay where
+    they are; the others are shuffled, and beyond that number all."""
+    large = stored(classes.where(F.col("size") > CLASS_ROWS), "large")
+    if not 0 < large.count() <= BROADCAST_IDS:
+        return rows.join(classes, CLASS).select("doc_id", "rep")
+    near = rows.join(F.broadcast(large), CLASS).select("doc_id", "rep")
+    far = rows.join(F.broadcast(large), CLASS, "left_anti").join(classes.where(F.col("size") <= CLASS_ROWS), CLASS).select("doc_id", "rep")
+    return near.unionByName(far)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     all_rows = stored(sketches(docs), "sketches")
     linkable = all_rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = linkable.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    reps = stored(linkable.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "h1", "h2", "n_shingles"], "left_semi")
+    classes = stored(linkable.groupBy(*CLASS).agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")), "classes")
+    reps = stored(linkable.join(classes.select(*CLASS, F.col("rep").alias("doc_id")), ["doc_id", "h1", "h2", "n_shingles"], "left_semi")
                   .dropDuplicates(["doc_id", "h1", "h2"]), "reps")
 
     bands = REGISTERS // BAND
@@ -267,10 +281,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
-    members = linkable.select("doc_id", "h1", "h2", "n_shingles").join(classes, ["h1", "h2", "n_shingles"])
+    members = _of_classes(linkable.select("doc_id", *CLASS), classes)
     # one id may stand for several texts: all their classes belong together
     placed_docs = (members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
                    .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id")))
     return (all_rows.select("doc_id", "n_shingles").join(placed_docs, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one stays of every
+    component: that of the smallest id. Different texts under one id are documents
+    of their own here; rows equal in id and text are one. Rows without id stay."""
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
+    without, ids = ids.where("doc_id is null"), ids.where("doc_id is not null")
+    often = stored(ids.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    n = often.count()
+    if not n:
+        kept = stored(near_duplicates(ids).where("kept").select("doc_id"), "kept")
+        return texts_of(ids, kept, kept.count()).select("row.*").unionByName(without.select("row.*"))
+    single = ids.join(F.broadcast(often) if n <= BROADCAST_IDS else often, "doc_id", "left_anti")
+    repeated = (texts_of(ids, often, n).groupBy("doc_id", "text").agg(F.min_by("row", F.xxhash64("row")).alias("row")))
+    low = min(0, ids.agg(F.min("doc_id")).first()[0])
+    # numbers below all ids stand for the rows of repeated ids
+    repeated = stored(repeated.withColumn("number", F.lit(low - 1) - F.monotonically_increasing_id()), "repeated")
+    numbered = single.select("doc_id", "text").unionByName(repeated.select(F.col("number").alias("doc_id"), "text"))
+    groups = near_duplicates(numbered).join(repeated.select("number", F.col("doc_id").alias("real")), F.col("doc_id") == F.col("number"), "left")
+    kept = stored(groups.groupBy("component_id").agg(F.min(F.struct(F.coalesce("real", "doc_id").alias("real"), "doc_id")).alias("least"))
+                  .select(F.col("least.doc_id").alias("doc_id")), "kept")
+    m = kept.count()
+    chosen = texts_of(single, kept, m).select("row.*")
+    more = repeated.join(F.broadcast(kept) if m <= BROADCAST_IDS else kept, F.col("number") == kept["doc_id"], "left_semi").select("row.*")
+    return chosen.unionByName(more).unionByName(without.select("row.*"))

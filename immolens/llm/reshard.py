@@ -11,9 +11,12 @@ block counts alone: their number is bounded by shards times size classes and
 does not depend on the rows. Its solution says how many rows of each block
 stay and where the others go; the moves form lanes (block, from rank, to
 rank, new shard). Ranks within a block are the sum of a cell's offset and the
-row's number in its cell; cells split a block by a hash, so that none holds
-more than about ``CELL_ROWS`` rows. Within a cell larger rows come first and
-stay. ``rewrite_affected`` writes the shards that gained or lost rows.
+row's number in its cell. Cells split a block into ``SIZE_STEPS`` steps of size,
+and a step by a hash of id, checksum and a number that every row is given (so
+equal rows part as well), so that none holds more than about ``CELL_ROWS``
+rows. Cells of larger rows come first and stay, as do larger rows within a
+cell: which rows of a block move is decided by size to within a step, 1/64
+of a half octave. ``rewrite_affected`` writes the shards that gained or lost rows.
 
 The law is ``rows``: new shards differ by at most one row.
 
@@ -36,6 +39,7 @@ from immolens.llm.tables import stored
 ROW_BYTES = 16           # added to each text
 OLD_SHARDS, NEW_SHARDS = 32, 40
 CELL_ROWS = 20_000
+SIZE_STEPS = 64          # of a size class
 
 
 class FlowNetwork:
@@ -189,7 +193,9 @@ def reshard(docs: DataFrame, shards: int = NEW_SHARDS, old_shard: Column | None
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("bytes"),
                     F.crc32(text).alias("text_crc32"), old.cast("int").alias("old_shard"))
         .withColumn("size", F.col("bytes") + ROW_BYTES)
-        .withColumn("size_class", F.floor(F.log2("size") * 2).cast("int")), "sizes")
+        .withColumn("size_class", F.floor(F.log2("size") * 2).cast("int"))
+        .withColumn("size_step", F.floor((F.log2("size") * 2 - F.col("size_class")) * SIZE_STEPS).cast("int"))
+        .withColumn("number_given", F.monotonically_increasing_id()), "sizes")        # written, so it does not change
     blocks = [tuple(r) for r in rows.groupBy("old_shard", "size_class").agg(F.count("*"), F.sum("size")).collect()]
     old_rows: dict[int, int] = defaultdict(int)
     for shard, _, n, _ in blocks:
@@ -200,14 +206,15 @@ def reshard(docs: DataFrame, shards: int = NEW_SHARDS, old_shard: Column | None
         raise ValueError("the capacities are smaller than the table")
     lanes, _ = plan_transfers(blocks, capacities)
 
-    largest = max((b[2] for b in blocks), default=0)
-    cells = max(1, math.ceil(largest / CELL_ROWS))
     block = ["old_shard", "size_class"]
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(cells)))
-    before = Window.partitionBy(*block).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy(*block, "cell").count().select(*block, "cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    in_cell = Window.partitionBy(*block, "cell").orderBy(F.desc("size"), "doc_id", "text_crc32")
-    ranked = (rows.withColumn("number", F.row_number().over(in_cell) - 1).join(offsets, [*block, "cell"])
+    largest = rows.groupBy(*block, "size_step").count().agg(F.max("count")).first()[0] or 0
+    cells = max(1, math.ceil(largest / CELL_ROWS))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32", "number_given"), F.lit(cells)))
+    cell = [*block, "size_step", "part"]
+    before = Window.partitionBy(*block).orderBy(F.desc("size_step"), "part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*cell).count().select(*cell, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    in_cell = Window.partitionBy(*cell).orderBy(F.desc("size"), "doc_id", "text_crc32")
+    ranked = (rows.withColumn("number", F.row_number().over(in_cell) - 1).join(offsets, cell)
               .withColumn("rank", F.col("offset") + F.col("number")))
     spark = docs.sparkSession
     lane_rows = spark.createDataFrame(lanes, "old_shard int, size_class int, first long, end long, shard int, first_slot long")

@@ -3,8 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from immolens.llm import graph
-from immolens.llm.neardup import REGISTERS, near_duplicates, plausible, registers
+from immolens.llm import graph, neardup
+from immolens.llm.neardup import REGISTERS, near_duplicates, one_of_each_group, plausible, registers
 
 from llm_helpers import AWKWARD, components, documents, shingles, words_text
 
@@ -54,6 +54,37 @@ def test_edited_copies_and_chains(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_large_classes_stay_where_they_are(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CLASS_ROWS", 5)
+    copies = [(k, words_text(60, k % 3)) for k in range(40)]
+    rows = AWKWARD + [(100 + i, t) for i, t in copies] + [(200, words_text(60, 0) + " and more")]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_every_text_of_an_id_finds_its_links(spark):
+    """In an open bucket too, whichever text of the id comes first."""
+    rows = [(1, words_text(90, 1)), (2, words_text(90, 2)), (3, words_text(90, 3))]
+    rows += [(50, words_text(90, k) + " tail") for k in (3, 1, 2)] + [(60, words_text(90, 9)), (60, words_text(90, 2) + " end")]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_texts_under_one_id_are_documents_of_their_own(spark):
+    rows = [(1, words_text(60, 1)), (5, words_text(60, 2)), (5, words_text(60, 3)), (5, words_text(60, 2)), (6, words_text(60, 3) + " end"),
+            (-4, words_text(60, 4)), (-4, words_text(60, 1) + " end"), (7, ""), (7, None), (None, words_text(60, 1)), (None, None)]
+    docs = documents(spark, rows)
+    kept = one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    expected = [(-4, words_text(60, 4)), (-4, words_text(60, 1) + " end"), (5, words_text(60, 2)), (5, words_text(60, 3)),
+                (7, ""), (7, None), (None, words_text(60, 1)), (None, None)]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_one_of_each_group_of_unique_ids(spark):
+    rows = [(k, words_text(60, k % 4)) for k in range(20)] + [(None, "x"), (30, None)]
+    kept = one_of_each_group(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"] for r in kept), key=str) == sorted([0, 1, 2, 3, None, 30], key=str)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

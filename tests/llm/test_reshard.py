@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from immolens.llm import reshard as resharding
 from immolens.llm.reshard import FlowNetwork, even_capacities, plan_transfers, reshard, rewrite_affected
 
 from llm_helpers import AWKWARD, documents, words_text
@@ -46,6 +47,38 @@ def test_only_the_smallest_rows_move(spark):
         assert moved == sorted(r["size"] for r in rows if r["old_shard"] == old)[:len(moved)]
 
 
+def test_small_cells_move_the_smallest_rows_too(spark, monkeypatch):
+    """Bytes moved with many cells a block: as few as with one."""
+    texts = [(i, "x" * (200 + i * 37 % 211)) for i in range(2000)] + [(5000, "same")] * 1500
+    docs = documents(spark, texts)
+
+    def moved():
+        rows = reshard(docs, 8, old_shard=F.col("doc_id") % 5).collect()
+        check(rows, texts, 8)
+        return sum(r["size"] for r in rows if r["old_shard"] != r["shard"])
+
+    whole = moved()
+    monkeypatch.setattr(resharding, "CELL_ROWS", 10)
+    assert moved() <= whole * (1 + 2 ** (0.5 / resharding.SIZE_STEPS) - 1)
+
+
+def test_equal_rows_part(spark, monkeypatch):
+    """Rows equal in id and text lie in many cells and still get gapless slots."""
+    monkeypatch.setattr(resharding, "CELL_ROWS", 100)
+    texts = [(1, "same")] * 3000
+    seen = []
+    real = resharding.stored
+
+    def keep(df, name):
+        seen.append(real(df, name))
+        return seen[-1]
+
+    monkeypatch.setattr(resharding, "stored", keep)
+    check(reshard(documents(spark, texts), 4).collect(), texts, 4)
+    cells = seen[0].groupBy(F.pmod(F.xxhash64("doc_id", "text_crc32", "number_given"), F.lit(30))).count().collect()
+    assert len(cells) == 30 and max(r["count"] for r in cells) < 300
+
+
 def test_rewritten_files_hold_the_new_shards(spark, tmp_dir):
     texts = [(i, words_text(i % 20, i)) for i in range(90)]
     docs = documents(spark, texts)
