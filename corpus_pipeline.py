@@ -5,8 +5,8 @@ returns a DataFrame that is written as Parquet and read again as the next
 one's ``docs``. All but the last return the columns of ``documents``.
 
 1. quality: documents whose quality score is below the threshold go.
-2. near_duplicates: one document of each component stays (the smallest id; of
-   repeated rows of that id, one).
+2. near_duplicates: one document of each component stays (the smallest id).
+   Different texts under one id are documents of their own, equal ones are one.
 3. decontaminate: documents that hold a benchmark item go.
 4. redact: personal data is replaced by its kind; ``n_chars`` follows.
 5. pack: the texts' token ids in sequences; one row per piece.
@@ -17,11 +17,10 @@ without id is never a duplicate. Other columns pass through unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from immolens.llm.decontaminate import decontaminated
-from immolens.llm.neardup import near_duplicates, texts_of
+from immolens.llm.neardup import one_of_each_group
 from immolens.llm.packing import pack, packed_digest
 from immolens.llm.pii import redacted_documents
 from immolens.llm.quality import accepted_documents
@@ -37,12 +36,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    groups = near_duplicates(docs)
-    kept = stored(groups.where("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    chosen = (texts_of(docs, kept, kept.count()).withColumn("_copy", F.row_number().over(one))
-              .where("_copy = 1").select(*docs.columns))
-    return chosen.unionByName(docs.where("doc_id is null"))
+    return one_of_each_group(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
