@@ -150,10 +150,10 @@ def gold_from_html(spark, sf_dir):
 
 
 def silver_csv_roundtrip(spark, sf_dir):
-    """Silver written as date-partitioned CSV (quotes, line breaks inside
+    """Silver written as date-partitioned, compressed CSV (quotes, line breaks inside
     fields), read back with the fixed schema, then typed to Gold."""
     path = scratch_folder(spark, "silver")
-    write_silver(silver_from_tables(spark, sf_dir), path)
+    write_silver(silver_from_tables(spark, sf_dir), path, compression="gzip")
     return to_gold(read_silver(spark, path), F.col("snapshot_date"))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from immolens.operators.gold import to_gold
 from immolens.operators.quality import freshness, snapshot_loaded_at
-from immolens.plans.refresh import NoListingsError, RefreshResult, marts_of, pages_to_silver
+from immolens.plans.refresh import SILVER_COMPRESSION, NoListingsError, RefreshResult, marts_of, pages_to_silver
 from immolens.schema import GOLD, GOLD_COLUMNS, SILVER
 from immolens.session import remove_folder, scratch
 from immolens.sources.files import SILVER_DATE, write_gold, write_history, write_silver
@@ -146,7 +146,7 @@ def publish_refresh(spark: SparkSession, root: str, pages: DataFrame, origin: st
     new = Manifest(old.number + 1, {layer: dict(v) for layer, v in old.layers.items()}, run)
     with scratch(spark, "parsed") as folder:
         extracted, errors = pages_to_silver(pages, origin, folder)
-        write_silver(extracted, store.folder("silver", run))
+        write_silver(extracted, store.folder("silver", run), compression=SILVER_COMPRESSION)
         dates = sorted(r[0] for r in extracted.select(SILVER_DATE).distinct().collect() if r[0] is not None)
         parse_errors = errors.count()
     if not dates:

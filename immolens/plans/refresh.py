@@ -36,6 +36,7 @@ from immolens.sources.pages import END_OF_RESULTS_PATTERN, cut_pages, read_page_
 from immolens.sources.seed import typology_seed
 
 
+SILVER_COMPRESSION = "gzip"         # of the jobs' Silver files, which take the most space of all layers
 Dates = str | dt.date | tuple[str | dt.date, str | dt.date] | None
 
 
@@ -99,7 +100,7 @@ def pages_to_silver(pages: DataFrame, origin: str, folder: str | None = None) ->
     parsed.write.parquet(folder)
     parsed = cut_pages(spark.read.schema(parsed.schema).parquet(folder), F.col("ends"))
     links = parsed.where(F.col("ends").isNull())
-    return (listings_of(links, F.lit(origin), carried=["snapshot_date"]).where(F.col("title").isNotNull()),
+    return (listings_of(links, F.lit(origin), carried=["snapshot_date"]),
             links.where(F.col("error").isNotNull()))
 
 
@@ -128,7 +129,7 @@ def ingest(spark: SparkSession, layout: Layout, dates: Dates, origin: str,
              else read_pages(spark, layout.raw, wanted, meta))
     with scratch(spark, "parsed") as folder:
         extracted, errors = pages_to_silver(pages, origin, folder)
-        write_silver(extracted, layout.silver)
+        write_silver(extracted, layout.silver, compression=SILVER_COMPRESSION)
         # Only the dates of this run are read back; their list is one row a date.
         found = [r[0] for r in extracted.select("snapshot_date").distinct().collect()]
         parse_errors = errors.count()

@@ -52,12 +52,14 @@ def _partitioned_overwrite(df: DataFrame, partition_col: str, observation: Obser
 
 
 def write_silver(silver: DataFrame, path: str, date_col: str = SILVER_DATE,
-                 rows_per_file: int = SILVER_ROWS_PER_FILE) -> None:
+                 rows_per_file: int = SILVER_ROWS_PER_FILE, compression: str = "none") -> None:
     """S3: CSV with header, quotes escaped by doubling, one folder per date.
     An empty input touches no date. A file holds at most ``rows_per_file``
-    rows: fields may span lines, so a file is read by one task (S4)."""
+    rows: fields may span lines, so a file is read by one task (S4), and
+    ``compression`` ("gzip") costs no parallelism: readers know it by the
+    files' ending."""
     (_partitioned_overwrite(silver.select(*SILVER.fieldNames(), date_col), date_col)
-        .option("maxRecordsPerFile", rows_per_file).option("header", True).option("escape", '"').csv(path))
+        .option("maxRecordsPerFile", rows_per_file).option("compression", compression).option("header", True).option("escape", '"').csv(path))
 
 
 def read_silver(spark: SparkSession, path: str, snapshot_date: str | None = None) -> DataFrame:

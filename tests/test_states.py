@@ -197,3 +197,15 @@ def test_silver_files_have_a_bounded_number_of_rows(spark, tmp_dir):
                                       "'f' AS source_file", "id AS position", "date'2025-01-01' AS snapshot_date")
     write_silver(df.select(*SILVER.fieldNames(), "snapshot_date"), tmp_dir, rows_per_file=300)
     assert len(glob.glob(f"{tmp_dir}/*/*.csv")) >= 4 and read_silver(spark, tmp_dir).count() == 1000
+
+
+def test_compressed_silver_reads_as_written(spark, tmp_dir):
+    from immolens.schema import SILVER
+    from immolens.sources.files import read_silver, write_silver
+    df = spark.range(1000).selectExpr("concat('t \"', id, '\"') AS title", "'a\nb' AS details", "'1 €' AS price", "'d' AS description", "'u' AS url",
+                                      "'f' AS source_file", "id AS position", "date'2025-01-01' AS snapshot_date").select(*SILVER.fieldNames(), "snapshot_date")
+    write_silver(df, f"{tmp_dir}/plain")
+    write_silver(df, f"{tmp_dir}/small", compression="gzip")
+    size = {kind: sum(os.path.getsize(f) for f in glob.glob(f"{tmp_dir}/{kind}/*/*.csv*")) for kind in ("plain", "small")}
+    assert size["small"] < size["plain"] / 3 and glob.glob(f"{tmp_dir}/small/*/*.csv.gz")
+    assert sorted(read_silver(spark, f"{tmp_dir}/small").collect()) == sorted(read_silver(spark, f"{tmp_dir}/plain").collect())
