@@ -52,7 +52,7 @@ def extract_city(c: Column | str, pattern: str = CITY_PATTERN,
 
 def listing_id(url: Column | str) -> Column:
     """Last path segment of the URL after dropping one trailing slash."""
-    return F.regexp_extract(F.regexp_replace(_col(url), r"/$", ""), r"([^/]+)$", 1)
+    return F.substring_index(F.regexp_replace(_col(url), r"/$", ""), "/", -1)
 
 
 def is_http_url(url: Column | str) -> Column:

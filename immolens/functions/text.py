@@ -31,7 +31,7 @@ def clean_text(c: Column | str) -> Column:
     cleaning), as the original Python cleaning did.
     """
     s = _col(c)
-    out = F.translate(s, "\r\n", "  ")
+    out = F.replace(F.replace(s, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     for spelling in SQUARE_METRE_SPELLINGS:
         out = F.replace(out, F.lit(spelling), F.lit(SQUARE_METRE))
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 
 def cut_at_first(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                 stop_after: Column | None = None, stop_before: Column | None = None) -> DataFrame:
+                 stop_after: Column | None = None, stop_before: Column | None = None, few_groups: bool = False) -> DataFrame:
     """Rows of each group sorted by ``order`` (a total order), kept up to and
     including the first row where ``stop_after`` holds, and strictly before
     the first row where ``stop_before`` holds. Groups with no stop keep all.
     A null in an order column sorts first, as in ``ORDER BY ... ASC``: such a
-    row is kept unless a stop sorts first too.
+    row is kept unless a stop sorts first too. With ``few_groups`` (such as
+    dates) the stops, one row a group, are broadcast and no row is shuffled.
     """
     group, order = list(group), list(order)
     key = F.struct(*[F.col(c) for c in order])          # never null itself; null fields sort first
@@ -38,6 +39,8 @@ def cut_at_first(df: DataFrame, group: Sequence[str], order: Sequence[str],
         any_stop = any_stop | F.col(name).isNotNull()
     firsts = firsts.where(any_stop).select(*[F.col(g).alias(f"_g_{g}") for g in group], *stops)
 
+    if few_groups:
+        firsts = F.broadcast(firsts)
     same_group = F.lit(True)
     for g in group:
         same_group = same_group & F.col(g).eqNullSafe(F.col(f"_g_{g}"))

@@ -14,7 +14,8 @@ from immolens.schema import RAW_PAGE
 
 # Text that marks the page after the last result page. A digit
 # before "0 annonce" makes it a count such as "10 annonces", not the marker.
-END_OF_RESULTS_PATTERN = r"Aucune annonce|(^|[^0-9])0 annonce"
+# It begins with a plain text, which a search finds quickly.
+END_OF_RESULTS_PATTERN = r" annonce(?:(?<=Aucune annonce)|(?<=0 annonce)(?<![0-9]0 annonce))"
 MAX_USER_AGENT_CHARS = 250
 
 PAGE_METADATA = T.StructType([
@@ -129,4 +130,5 @@ def cut_pages(pages: DataFrame, ends: F.Column, date_col: str = "snapshot_date",
         pages, [date_col], [page_col],
         stop_after=numbered & F.coalesce(ends, F.lit(False)),
         stop_before=numbered & failed,
+        few_groups=True,
     ).where(numbered | ~failed)

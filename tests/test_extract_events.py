@@ -39,3 +39,28 @@ def test_deep_and_wide_pages_take_linear_time():
     for html in ("<div>" * 50_000 + '<a href="/immobilier/1/" title="t">x</a>', '<a href="/immobilier/1/" title="t">x</a>' * 20_000,
                  "</p>" * 100_000, "<p>" * 50_000 + '<a href="/immobilier/1/" title="t">x</a>'):
         parse_listing_links(html)
+
+
+TAGS = ["<article>", "</article>", "<div>", "</div>", "<p>", "</p>", '<p class="x">', "<br>", "<span>", "</span>", "</b>", "<ul><li>", '<a href="/immobilier/1/" title="T">',
+        '<a title="x" href="/immobilier/3/" title="y">', '<a href="">', "<a>", "</a>", '<a href="/immobilier/2">', '<A HREF="/immobilier/4/" TITLE="&eacute;&nbsp;">',
+        "12 €", "a &euro; b", " text ", "\n", "é", "&amp", "&", ">", '"', "</P >", "<P>", "1 €<b>2</b>"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(TAGS), max_size=40), st.booleans())
+def test_plain_pages_equal_tree_without_events(pieces, titled):
+    from unittest import mock
+
+    from immolens.operators import extract
+    html = "".join(pieces)
+    with mock.patch.object(extract, "_LinkEvents", side_effect=AssertionError("a plain page needs no events")):
+        found = parse_listing_links(html, "/immobilier/", titled)
+    assert found == by_tree(html, "/immobilier/", titled)
+
+
+def test_end_of_results_pattern():
+    import re
+
+    from immolens.sources.pages import END_OF_RESULTS_PATTERN
+    for text in ("", "0 annonce", "10 annonces", "a0 annonce", "00 annonce", "\n0 annonce", "x Aucune annonce", "5 0 annonces", "٠0 annonce"):
+        assert bool(re.search(END_OF_RESULTS_PATTERN, text)) == bool(re.search("Aucune annonce|(^|[^0-9])0 annonce", text))
