@@ -176,6 +176,30 @@ def _page(week, page_no, header, body):
             F.lit(None).cast("int").alias("status_code"))
 
 
+def _article(row):
+    """The markup of a line item (a struct), as ``listing_pages_from_tables`` says."""
+    ln = row["l_linenumber"]
+    city_word = F.concat(F.substring(row["n_name"], 1, 1),
+                         F.lower(F.translate(F.substring(row["n_name"], 2, 2147483647), "0123456789_", "abcdefghij ")))
+    title = (F.when(ln % 3 == 0, F.concat(F.lit("Studio "), row["p_name"]))
+              .otherwise(F.concat(F.lit("Appartement "), (row["p_size"] % 8).cast("string"),
+                                  F.lit(" Pièces "), F.upper(row["p_name"]))))
+    details = F.concat(row["p_type"], F.lit(" "), F.floor(row["l_quantity"]).cast("string"), F.lit(" m² - "),
+                       city_word, F.when(ln % 4 == 0, F.lit("")).otherwise(F.lit(" (76)")))
+    price = F.when(ln % 5 != 0, F.concat(F.floor(row["l_extendedprice"]).cast("string"), F.lit(" €")))
+    desc = F.when(ln % 6 != 0, F.concat(row["p_type"], F.lit("\r\n"), row["p_name"],
+                                        F.lit("\n\nBel appartement")))
+    href = F.concat(F.lit("/immobilier/annonce/"), row["l_partkey"].cast("string"),
+                    F.when(ln % 2 == 0, F.lit("")).otherwise(F.lit("/")))
+    title_attr = F.when(ln != 7, F.concat(F.lit(' title="'), _html_escape(title), F.lit('"')))
+    return F.concat(
+        F.lit('<article><a href="'), href, F.lit('"'), F.coalesce(title_attr, F.lit("")), F.lit(">"),
+        _html_escape(title), F.lit("</a><span>"), _html_escape(details), F.lit("</span>"),
+        F.coalesce(F.concat(F.lit("<p>"), _html_escape(desc), F.lit("</p>")), F.lit("")),
+        F.coalesce(F.concat(F.lit("<div>"), _html_escape(price), F.lit("</div>")), F.lit("")),
+        F.lit("</article>"))
+
+
 def listing_pages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw result pages built from the tables.
 
@@ -192,32 +216,15 @@ def listing_pages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     4), no trailing slash on the link (even).
     """
     obs = observations_from_tables(spark, sf_dir)
-    ln = F.col("l_linenumber")
-    city_word = F.concat(F.substring("n_name", 1, 1),
-                         F.lower(F.translate(F.substring("n_name", 2, 2147483647), "0123456789_", "abcdefghij ")))
-    title = (F.when(ln % 3 == 0, F.concat(F.lit("Studio "), F.col("p_name")))
-              .otherwise(F.concat(F.lit("Appartement "), (F.col("p_size") % 8).cast("string"),
-                                  F.lit(" Pièces "), F.upper("p_name"))))
-    details = F.concat(F.col("p_type"), F.lit(" "), F.floor("l_quantity").cast("string"), F.lit(" m² - "),
-                       city_word, F.when(ln % 4 == 0, F.lit("")).otherwise(F.lit(" (76)")))
-    price = F.when(ln % 5 != 0, F.concat(F.floor("l_extendedprice").cast("string"), F.lit(" €")))
-    desc = F.when(ln % 6 != 0, F.concat(F.col("p_type"), F.lit("\r\n"), F.col("p_name"),
-                                        F.lit("\n\nBel appartement")))
-    href = F.concat(F.lit("/immobilier/annonce/"), F.col("l_partkey").cast("string"),
-                    F.when(ln % 2 == 0, F.lit("")).otherwise(F.lit("/")))
-    title_attr = F.when(ln != 7, F.concat(F.lit(' title="'), _html_escape(title), F.lit('"')))
-    article = F.concat(
-        F.lit('<article><a href="'), href, F.lit('"'), F.coalesce(title_attr, F.lit("")), F.lit(">"),
-        _html_escape(title), F.lit("</a><span>"), _html_escape(details), F.lit("</span>"),
-        F.coalesce(F.concat(F.lit("<p>"), _html_escape(desc), F.lit("</p>")), F.lit("")),
-        F.coalesce(F.concat(F.lit("<div>"), _html_escape(price), F.lit("</div>")), F.lit("")),
-        F.lit("</article>"))
+    # The fields of an article travel, its markup is made where the page is put together.
+    item = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity",
+                    "p_name", "p_type", "p_size", "n_name")
     items = obs.select(
         snapshot_week("l_shipdate").alias("week"),
-        F.floor(F.col("l_orderkey") / ORDERS_PER_PAGE).alias("page_no"),
-        F.struct("l_orderkey", ln.alias("ln"), article.alias("html")).alias("item"))
-    pages = (items.groupBy("week", "page_no")
-             .agg(F.array_sort(F.collect_list("item")).alias("items"))
+        F.floor(F.col("l_orderkey") / ORDERS_PER_PAGE).alias("page_no"), item.alias("item"))
+    pages = (items.groupBy("week", "page_no").agg(F.collect_list("item").alias("items"))
+             .select("week", "page_no", F.array_sort(F.transform("items", lambda x: F.struct(
+                 x["l_orderkey"], x["l_linenumber"], _article(x).alias("html")))).alias("items"))
              .select(*_page(F.col("week"), F.col("page_no"), "10 annonces",
                             F.array_join(F.transform("items", lambda x: x["html"]), ""))))
     # the week list comes from one column of lineitem, not from the joined rows

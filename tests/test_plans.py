@@ -111,3 +111,42 @@ def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
     assert session.scratch_folder(spark, "a") != session.scratch_folder(spark, "a")
+
+
+def test_pages_are_cut_without_moving_their_rows(spark):
+    from immolens.sources.pages import cut_pages
+    pages = spark.range(0, 1000, numPartitions=4).selectExpr("date'2025-01-01' + cast(id % 7 AS int) AS snapshot_date", "id AS page_no",
+                                                             "cast(null AS int) AS status_code", "id > 900 AS ends")
+    cut = cut_pages(pages, F.col("ends"))
+    plan = cut._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(r[0] for r in cut.select("page_no").collect()) == list(range(908))
+
+
+def test_page_table_is_written_small(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from immolens.sources.pages import read_page_table, write_page_table
+    pages = spark.range(20).selectExpr("id AS page_no", "concat('<p>', id) AS html", "'f' AS source_file", "date'2025-01-01' AS snapshot_date")
+    write_page_table(pages, tmp_dir)
+    files = glob.glob(f"{tmp_dir}/*/*.parquet")
+    assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(1).compression == "ZSTD" for f in files)
+    assert sorted(r["html"] for r in read_page_table(spark, tmp_dir).collect()) == sorted(f"<p>{i}" for i in range(20))
+
+
+def test_page_articles_are_grouped_as_fields(spark):
+    from immolens.plans.adapters import listing_pages_from_tables
+    plan = listing_pages_from_tables(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    grouped = [i for i, line in enumerate(lines) if "collect_list" in line]
+    assert grouped and all("<article>" not in lines[i + 1] for i in grouped)      # what is shuffled to the pages
+
+
+def test_listing_id_without_a_second_pattern(spark):
+    from immolens.functions import listing_id
+    urls = ["https://x/a/b/123/", "https://x/?q=1", "a//", "/", "", "a/\n", "a//\n", "a/b\n", "ab", None]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    old = F.regexp_extract(F.regexp_replace("u", r"/$", ""), r"([^/]+)$", 1)
+    assert all(a == b for a, b in df.select(listing_id("u"), old).collect())
