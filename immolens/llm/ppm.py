@@ -48,7 +48,7 @@ from immolens.llm.words import _chunk, text_buffer
 ORDER = 4
 START, END = 0xFE, 0xFF       # bytes that UTF-8 never uses
 SYMBOLS = 255                 # all bytes but START
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20         # a larger chunk asks for fewer keys in all
 MAX_PARTITIONS = 20_000
 _FLUSH = 1 << 21
 
@@ -202,9 +202,10 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
     n_docs, n_train, size = docs.agg(F.count("*"), F.count_if(~F.col("held_out")), F.sum(F.octet_length("text"))).first()
     word_tokens, word_kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_tokens, n_kinds = word_tokens + n_train, word_kinds + (n_train > 0)
-    # words are exact; code lengths are rounded to 24 bits, which halves what the answers take
+    # words answer by their counts: exact, and short once compressed, which logarithms
+    # are not; code lengths are rounded to 24 bits, which halves what the answers take
     costs = run_costs(runs).withColumn("value", F.col("value").cast("float").cast("double"))
-    values = stored(words.select("key", F.log10(F.col("n") + 1.0).alias("value")).unionByName(costs), "values")
+    values = stored(words.select("key", F.col("n").cast("double").alias("value")).unionByName(costs), "values")
 
     chunks = max(1, math.ceil((size or 0) / chunk_bytes))
     parts = min(chunks, MAX_PARTITIONS)                      # a partition may hold several chunks
@@ -257,7 +258,8 @@ def ppm_scores(docs: DataFrame, held_out: Column | None = None, id_col: str = "d
         for first, words_, runs_, run_row in _pieces(column):
             own = slice(first, first + words_.rows)
             word_row = np.repeat(np.arange(words_.rows), np.diff(words_.bounds))
-            v = value[np.searchsorted(keys, _word_keys(words_.hashes))] if len(words_.hashes) else np.zeros(0)
+            count = value[np.searchsorted(keys, _word_keys(words_.hashes))] if len(words_.hashes) else np.zeros(0)
+            v = np.log10(count + 1.0)
             tokens[own] += np.diff(words_.bounds)
             known[own] += np.bincount(word_row[v > 0], minlength=words_.rows)
             base[own] += np.bincount(word_row, weights=v - log_total, minlength=words_.rows)

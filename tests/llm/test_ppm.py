@@ -129,3 +129,15 @@ def test_counts_of_very_frequent_words_are_exact(spark):
         words_ = 2 * (math.log10(count + 1) - total) + math.log10(1) - total if r["held_out"] else n * (math.log10(count + 1) - total)
         assert r["base_score"] == pytest.approx(words_ + ends, rel=1e-10)
         assert r["train_tokens"] == count + len(train)
+
+
+def test_words_are_answered_by_their_counts(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(ppm, "stored", lambda df, name: kept.setdefault(name, df.localCheckpoint()))
+    rows = [(i, "one two two three") for i in range(30)]
+    got = ppm.ppm_scores(documents(spark, rows)).collect()
+    taught = sum(not r["held_out"] for r in got)
+    values = sorted(r["value"] for r in kept["values"].where("key < 0").collect())
+    assert values == [taught, taught, 2 * taught]
+    assert all(abs(r["base_score"] - (2 * math.log10(taught + 1) + 2 * math.log10(2 * taught + 1) + math.log10(taught + 1)
+                                      - 5 * math.log10(5 * taught + 4 + 1))) < 1e-9 and r["n_known"] == 5 for r in got)
