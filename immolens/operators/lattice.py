@@ -40,11 +40,17 @@ def _amounts(condition: Column | None = None) -> list[Column]:
 
 
 def _merged_amounts() -> list[Column]:
-    """The parts of states added up again (decimals: many states may hold
-    more cents than a long)."""
+    """The parts of states added up again (cents as decimals: many states may
+    hold more than a long)."""
     return [c for a in AMOUNTS for c in (
-        F.sum(F.col(f"{a}_cents").cast("decimal(28,0)")).alias(f"{a}_cents"), F.sum(f"{a}_rest").alias(f"{a}_rest"),
-        F.sum(f"{a}_n").alias(f"{a}_n"))]
+        _long_sum(f"{a}_cents").alias(f"{a}_cents"), F.sum(f"{a}_rest").alias(f"{a}_rest"), F.sum(f"{a}_n").alias(f"{a}_n"))]
+
+
+def _long_sum(c: str) -> Column:
+    """The exact sum of longs, as a decimal. The upper and the lower 32 bits
+    are added up apart, as longs: a sum of decimals makes objects for every row."""
+    upper, lower = F.sum(F.shiftright(c, 32)), F.sum(F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return (upper.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + lower.cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def _mean(amount: str) -> Column:
@@ -73,10 +79,19 @@ def price_states(history: DataFrame) -> DataFrame:
 
 def deal_states(history: DataFrame, top: int = TOP_ROWS) -> DataFrame:
     """The ``top`` cheapest staged rows of every snapshot (a group limit on
-    both sides of the shuffle: few rows a task and snapshot travel)."""
+    both sides of the shuffle: few rows a task and snapshot travel).
+
+    Rows above a price that ``top`` rows do not exceed are left out before the
+    sort: a snapshot's prices are dealt into ``8 * top`` buckets, and the
+    ``top``-th lowest of the buckets' minima is such a price. A snapshot with fewer
+    buckets has none, and all its rows are sorted."""
     cheapest = Window.partitionBy(DATE).orderBy(*[F.col(c).asc_nulls_last() for c in DEAL_ORDER])
-    return (to_staging(history).where(F.col("price_m2").isNotNull()).select(*BEST_DEAL_COLUMNS)
-            .withColumn("_place", F.row_number().over(cheapest)).where(F.col("_place") <= top).drop("_place"))
+    staged = to_staging(history).where(F.col("price_m2").isNotNull())
+    lowest = staged.groupBy(DATE, F.pmod(F.xxhash64("price_m2"), F.lit(8 * top)).alias("_bucket")).agg(F.min("price_m2").alias("_low"))
+    bounds = lowest.groupBy(F.col(DATE).alias("_day")).agg(F.get(F.sort_array(F.collect_list("_low")), F.lit(top - 1)).alias("_bound"))
+    kept = (staged.select(*BEST_DEAL_COLUMNS).join(F.broadcast(bounds), F.col(DATE).eqNullSafe(F.col("_day")))     # one row a snapshot
+            .where(F.col("_bound").isNull() | (F.col("price_m2") <= F.col("_bound"))).drop("_day", "_bound"))
+    return kept.withColumn("_place", F.row_number().over(cheapest)).where(F.col("_place") <= top).drop("_place")
 
 
 def listing_states(history: DataFrame) -> DataFrame:
@@ -150,9 +165,12 @@ def best_deals(prices: DataFrame, deals: DataFrame, p: float = 0.2, limit: int =
 
 
 def persistence(listings: DataFrame, snapshots: Sequence, limit: int | None = None) -> DataFrame:
-    """A6 (+ O3) from listing states: one exchange, by listing."""
+    """A6 (+ O3) from listing states: one exchange, by listing. The rows travel
+    before they are merged: a listing has one a snapshot at most, and a task's
+    share of the states holds most listings, so merging there takes the memory
+    of all of them and leaves nearly as many rows."""
     words = snapshot_words(snapshots)
-    merged = with_ordinals(listings, snapshots).groupBy(ID).agg(
+    merged = with_ordinals(listings.repartition(ID), snapshots).groupBy(ID).agg(
         F.min(DATE).alias("first_seen"), F.max(DATE).alias("last_seen"), *seen_bits(F.col("_ordinal"), words), *_merged_amounts())
     out = merged.select(ID, "first_seen", "last_seen", seen_count(words).alias("nb_weeks_visible"), _mean("price_m2").alias("avg_price_m2"),
                         _mean("price_eur").alias("avg_rent"), _mean("surface_m2").alias("avg_surface"))
