@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from immolens.functions import capitalize_first, epoch_day_to_date, price_per_m2
+from immolens.functions import capitalize_first, epoch_day_to_date, price_per_m2, whole_price_per_m2
 
 
 def _as_date(df: DataFrame, name: str):
@@ -28,13 +28,14 @@ def is_staged() -> Column:
 
 def staging_columns(history: DataFrame, names: Sequence[str] | None = None) -> list[Column]:
     """The staging columns (all, or some) over the History's columns."""
+    whole = all(isinstance(history.schema[c].dataType, T.IntegerType) for c in ("price_eur", "surface_m2"))
     columns = {
         "id_annonce": F.col("id_annonce").cast("string"),
         "title": capitalize_first("title"),
         "price_eur": F.col("price_eur").cast("double"),
         "surface_m2": F.col("surface_m2").cast("double"),
         "nb_pieces": F.col("nb_pieces").cast("int"),
-        "price_m2": price_per_m2("price_eur", "surface_m2"),
+        "price_m2": (whole_price_per_m2 if whole else price_per_m2)("price_eur", "surface_m2"),
         "city": capitalize_first("city"),
         "description": F.trim("description"),
         "date_scraping": _as_date(history, "date_scraping"),

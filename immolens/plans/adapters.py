@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from immolens.functions import price_per_m2
+from immolens.functions import whole_price_per_m2
 
 
 LISTING_URL_BASE = "https://listings.example/annonce/"
@@ -61,7 +61,7 @@ def history_columns() -> list:
         price.alias("price_eur"),
         surface.alias("surface_m2"),
         F.nullif(F.col("p_size") % 8, F.lit(7)).cast("int").alias("nb_pieces"),
-        price_per_m2(price, surface).alias("price_m2"),
+        whole_price_per_m2(price, surface).alias("price_m2"),
         F.col("n_name").alias("city"),
         F.col("p_type").alias("description"),
         F.concat(F.lit(LISTING_URL_BASE), F.col("l_partkey").cast("string"),
