@@ -40,7 +40,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, Window
+from numpy.lib.stride_tricks import as_strided
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from immolens.llm.hashing import mix64
@@ -60,6 +61,7 @@ _CHUNK = 2 << 20
 _SHIFT = 8                                      # words that may be inserted or lost along a passage
 _GAP = 16
 BLOCK_WINDOWS = 1024
+MAX_PARTITIONS = 20_000
 MARGIN = 4 * _WIDTH                             # shingles compared on both sides of the windows at first
 
 
@@ -142,14 +144,28 @@ def _pack(position, left, right):
     return (position << 32) | (np.minimum(left, 0xFFFF) << 16) | np.minimum(right, 0xFFFF)
 
 
-_ROWS = "met long, key long, doc long, at long, mate long, mate_at long, shared boolean"
+BUCKET_BYTES = 32 << 20        # of text whose windows make one bucket of keys
+_BLOBS = "bucket int, keys binary, docs binary, ats binary, shared binary, mates binary, mate_ats binary"
+_CROWDED = "key long, doc long, at long, a long, a_at long"
 
 
-def window_rows(docs: DataFrame) -> DataFrame:
-    """Keyed windows (doc, packed position and reach). ``met`` is the key of
-    the first round. Windows that repeat a key within a task's chunk carry their
-    mate, the chunk's first window of the key, and the key apart from a ``met``
-    of their own; the others, nearly all, leave those columns null."""
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers, all first bytes before all second ones: most planes are
+    then nearly constant, and the exchange's compression takes them."""
+    return values.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(blobs: pa.ChunkedArray) -> np.ndarray:
+    parts = [np.frombuffer(b.as_buffer(), dtype=np.uint8).reshape(8, -1).T.copy().view(np.int64)[:, 0] for b in blobs if len(b.as_buffer())]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+
+
+def window_blobs(docs: DataFrame, buckets: int) -> DataFrame:
+    """Keyed windows (key, doc, packed position and reach), many to a row, by
+    bucket of their keys. Of the windows of a key in a task's chunk the first
+    goes to the key's bucket, with the mark whether the chunk has the key in
+    several documents; if so the others have met the first, their mate, and
+    are dealt to any bucket."""
     @thrifty
     def emit(batches):
         for batch in batches:
@@ -177,26 +193,63 @@ def window_rows(docs: DataFrame) -> DataFrame:
                 group = np.cumsum(first) - 1
                 company = np.zeros(int(group[-1]) + 1, dtype=bool)          # keys that several documents hold
                 company[group[owner != owner[head]]] = True
+                shared = company[group]
                 spread = mix64(key + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64))
-                met = np.where(first, key, spread).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(met), pa.array(key.astype(np.int64), mask=first), pa.array(owner), pa.array(at),
-                     pa.array(owner[head], mask=first), pa.array(at[head], mask=first), pa.array(company[group])],
-                    names=["met", "key", "doc", "at", "mate", "mate_at", "shared"])
+                bucket = (np.where(first, key, spread) % np.uint64(buckets)).astype(np.int32)
+                taken = np.flatnonzero(first | shared)
+                taken = taken[np.lexsort((at[taken], owner[taken], ~first[taken], bucket[taken]))]
+                cuts = np.flatnonzero(np.diff(bucket[taken])) + 1
+                out = []
+                for part in np.split(taken, cuts):
+                    own, met = part[first[part]], part[~first[part]]
+                    h = head[met]
+                    out.append((int(bucket[part[0]]), _planes(key[part]), _planes(owner[part]), _planes(at[part]),
+                                np.packbits(shared[own]).tobytes(), _planes(owner[h]), _planes(at[h])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 6)],
+                                                 names=["bucket", "keys", "docs", "ats", "shared", "mates", "mate_ats"])
+
+    return docs.mapInArrow(emit, _BLOBS)
 
-    return docs.mapInArrow(emit, _ROWS)
+
+@thrifty
+def _meet(_, blobs):
+    """The windows of a bucket whose keys several documents hold, with the
+    one of the smallest document id."""
+    key, doc, at = (_numbers(blobs.column(c)) for c in ("keys", "docs", "ats"))
+    mate, mate_at = _numbers(blobs.column("mates")), _numbers(blobs.column("mate_ats"))
+    first, shared = np.ones(len(key), dtype=bool), np.zeros(len(key), dtype=bool)
+    k = 0
+    for n, m, marks in zip(blobs.column("keys"), blobs.column("mates"), blobs.column("shared")):
+        n, m = len(n.as_buffer()) // 8, len(m.as_buffer()) // 8             # the last m of the n windows have a mate
+        shared[k:k + n - m] = np.unpackbits(np.frombuffer(marks.as_buffer(), dtype=np.uint8), count=n - m)
+        first[k + n - m:k + n] = False
+        k += n
+    met = ~first
+    out = [key[met], doc[met], at[met], mate, mate_at]
+    key, doc, at, shared = key[first], doc[first], at[first], shared[first]
+    if len(key):
+        order = np.argsort(key, kind="stable")
+        same = np.append(False, key[order][1:] == key[order][:-1])
+        several = same | np.append(same[1:], False)                         # most keys are alone
+        order = order[several | shared[order]]
+        order = order[np.lexsort((at[order], doc[order], key[order]))]
+        key, doc, at, shared = key[order], doc[order], at[order], shared[order]
+    if len(key):
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        sizes = np.diff(np.append(starts, len(key)))
+        least, most = np.repeat(starts, sizes), np.repeat(starts + sizes - 1, sizes)
+        kept = shared | (doc[least] != doc[most])
+        out = [np.concatenate(p) for p in zip(out, (key[kept], doc[kept], at[kept], doc[least][kept], at[least][kept]))]
+    return pa.table([pa.array(c, pa.int64()) for c in out], names=["key", "doc", "at", "a", "a_at"])
 
 
 def crowded_windows(docs: DataFrame) -> DataFrame:
     """(key, doc, at, a, a_at): the windows of keys that several documents
     hold, each with the one it meets in the first round."""
-    group = Window.partitionBy("met")
-    rows = window_rows(docs)
-    met = rows.select(F.coalesce("key", "met").alias("key"), "doc", "at", "mate", "mate_at", "shared",
-                      F.first(F.struct("doc", "at")).over(group.orderBy("doc", "at")).alias("least"),
-                      F.max(F.struct("doc", "at")).over(group.orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("most"))
-    return (met.where("shared or least.doc != most.doc")
-            .select("key", "doc", "at", F.coalesce("mate", "least.doc").alias("a"), F.coalesce("mate_at", "least.at").alias("a_at")))
+    size = docs.agg(F.sum(F.octet_length(docs.columns[1]).cast("long"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    blobs = window_blobs(docs, buckets).repartition(min(buckets, MAX_PARTITIONS), "bucket")
+    return blobs.groupBy("bucket").applyInArrow(_meet, _CROWDED)
 
 
 def _left(c: str) -> Column:
@@ -268,16 +321,11 @@ def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int
     for d, lo, hi in diagonals:
         low, lo, hi = d * _SHIFT + offset, lo - offset, hi - offset
         high = low + _SHIFT
-        shifts = sorted(range(low - _SHIFT, high + _SHIFT), key=lambda s: -abs(s - (low + high) // 2))
+        shifts = np.array(sorted(range(low - _SHIFT, high + _SHIFT), key=lambda s: (abs(s - (low + high) // 2), -s)))
         margin = MARGIN
         while True:
             x, z = max(0, lo - margin), min(len(a), hi + margin + 1)
-            at = np.full(z - x, -1, dtype=np.int64)
-            for shift in shifts:
-                i0, i1 = max(x, -shift), min(z, len(b) - shift)
-                if i1 > i0:
-                    same = np.flatnonzero(a[i0:i1] == b[i0 + shift:i1 + shift]) + i0
-                    at[same - x] = same + shift
+            at = _nearest(a, b, x, max(x, z), shifts)
             hits = np.flatnonzero(at >= 0)
             left = len(hits) > 0 and hits[0] <= _GAP
             right = len(hits) > 0 and hits[-1] >= z - x - 1 - _GAP
@@ -291,6 +339,25 @@ def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int
     return _apart([(i0 + offset, i1 + offset, j0, j1, s) for i0, i1, j0, j1, s in found])
 
 
+def _nearest(a: np.ndarray, b: np.ndarray, x: int, z: int, shifts: np.ndarray) -> np.ndarray:
+    """Where in b the shingles x to z of a occur at one of the shifts (all
+    numbers of a range, the preferred ones first); -1 if at none."""
+    low, width = int(shifts.min()), len(shifts)
+    begin, need = x + low, z - x + width - 1
+    p, q = max(0, begin), min(len(b), begin + need)
+    if z <= x or q <= p:
+        return np.full(z - x, -1, dtype=np.int64)
+    near, inside = np.zeros(need, dtype=b.dtype), np.zeros(need, dtype=bool)
+    near[p - begin:q - begin], inside[p - begin:q - begin] = b[p:q], True
+    same = as_strided(near, (z - x, width), near.strides * 2) == a[x:z, None]
+    if q - p < need:
+        same &= as_strided(inside, (z - x, width), inside.strides * 2)
+    same = same[:, shifts - low]
+    best = same.argmax(axis=1)
+    rows = np.arange(z - x)
+    return np.where(same[rows, best], rows + x + shifts[best], -1)
+
+
 def _grow(a, b, hits, at, found):
     """Cuts the shared positions where they lie far apart, and a piece that is
     not similar enough at its widest gap."""
