@@ -20,14 +20,24 @@ around both centres are wide enough together:
    equal keys of its own rows first and sends one of them on, so a passage that
    very many documents share does not pile up under its key.
 2. Windows whose centre lies in no passage verified so far meet the earlier
-   documents of their key, in salted blocks of at most about ``BLOCK_WINDOWS``
-   on both sides. Of a document's windows under one key, the up to three that
+   documents of their key, in salted blocks of about ``BLOCK_WINDOWS`` on both
+   sides. Of a document's windows under one key, the up to three that
    reach furthest (left, right, together) stand for all.
 
 Each pair of documents is then verified on the texts: shingles shared near
 the pair's diagonals are gathered into passages, and a passage counts if both
 sides have at least ``MIN_WORDS`` words and a Jaccard similarity of 0.75.
 
+Text that repeats a period of up to ``MIN_WORDS`` words over and over would
+have a window at each repeat, and two such texts would be compared at all
+their shifts. So all this is done on texts whose periodic runs are cut down to
+the length that still holds each of their passages; the passages found are
+given by their places in the whole texts, and a passage that lies in a run is
+the whole run. In a run of one shingle both parts of a key would be that
+shingle: there the second part is the shingle next to the run, which a passage
+covers that is longer than the run, and a run as long as a passage has a key
+of its own. So documents do not meet for a run that is too short.
+
 Cases: null, empty and short texts (fewer than ``MIN_WORDS`` words) have no
 passage. Rows without id take no part. Rows that repeat an id are one
 document, of which one row is compared. Passages that repeat within one
@@ -60,6 +70,7 @@ _SEEDS = mix64(np.arange(1, HASHES + 2, dtype=np.uint64) * np.uint64(0xA0761D647
 _CHUNK = 2 << 20
 _SHIFT = 8                                      # words that may be inserted or lost along a passage
 _GAP = 16
+_PROBE = 12                                     # every how many words a period is looked for at first
 BLOCK_WINDOWS = 1024
 MAX_PARTITIONS = 20_000
 MARGIN = 4 * _WIDTH                             # shingles compared on both sides of the windows at first
@@ -126,20 +137,62 @@ def _window_keys(shingles: np.ndarray, bounds: np.ndarray):
     side = mix64(shingles ^ _SEEDS[-1])
     side_at = _sliding_argmin(side, _FAR) if len(side) >= _FAR else np.zeros(0, dtype=np.int64)
     out = []
+    new = np.ones(len(shingles), dtype=bool)
+    new[1:] = shingles[1:] != shingles[:-1]
+    new[bounds[:-1][bounds[:-1] < len(shingles)]] = True
+    starts = np.flatnonzero(new)
+    run = np.cumsum(new) - 1
+    ends = np.append(starts[1:], len(shingles)) - 1
     for f in range(HASHES):
         l, c, r = compact_windows(mix64(shingles ^ _SEEDS[f]), bounds)
         if not len(c):
             continue
         doc = np.searchsorted(bounds, c, side="right") - 1
+        s, e = starts[run[c]], ends[run[c]]
         for tag, first in ((1, c + _SIDE - _FAR), (2, c - _SIDE + 1)):
             ok = (first >= bounds[doc]) & (first + _FAR <= bounds[doc + 1])
+            at = side_at[first[ok]]
+            ok[ok] = (at < s[ok]) | (at > e[ok])
             key = mix64(shingles[c[ok]] * np.uint64(2 * f + 1) + side[side_at[first[ok]]] * np.uint64(3) + np.uint64(tag))
             out.append((key, c[ok], (c - l)[ok], (r - c)[ok]))
+        long_ = (c == s) & (e - s > _SIDE - _FAR)                           # the run's first window reaches furthest
+        for tag, ok, at, near in ((3, (e + 1 < bounds[doc + 1]) & (r > e), e, e + 1), (4, (s > bounds[doc]) & (l < s), s, s - 1),
+                                  (5, e - s + 1 >= _WIDTH, s, s)):
+            ok = ok & long_
+            key = mix64(shingles[c[ok]] * np.uint64(2 * f + 1) + side[near[ok]] * np.uint64(3) + np.uint64(tag))
+            out.append((key, at[ok], (at - l)[ok], (r - at)[ok]))
     if not out:
         return None
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _without_long_runs(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Indices of the words that stay when each run of a period of up to
+    ``MIN_WORDS`` words is cut down, in its middle and by whole periods, to the
+    shortest length that still holds every passage of ``MIN_WORDS`` words of it."""
+    kept, docs = np.arange(len(words)), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    w, d = words, docs
+    for q in range(1, MIN_WORDS + 1):
+        probes = w[q::_PROBE] == w[:len(w) - q:_PROBE] if len(w) > q else np.zeros(0, dtype=bool)
+        whole = MIN_WORDS // _PROBE                                         # probes that a long run holds at least
+        if len(probes) < whole or not np.logical_and.reduce([probes[k:len(probes) - whole + 1 + k] for k in range(whole)]).any():
+            continue
+        same = np.concatenate([[False], (w[q:] == w[:-q]) & (d[q:] == d[:-q]), [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        first, length = edges[::2], np.diff(edges)[::2] + q
+        excess = np.maximum(length - (MIN_WORDS + q - 1), 0) // q * q
+        first, length, excess = first[excess > 0], length[excess > 0], excess[excess > 0]
+        if not len(first):
+            continue
+        change = np.zeros(len(w) + 1, dtype=np.int64)
+        begin = first + (length - excess) // 2
+        np.add.at(change, begin, 1)
+        np.add.at(change, begin + excess, -1)
+        stay = np.cumsum(change[:-1]) == 0
+        kept, w, d = kept[stay], w[stay], d[stay]
+    return kept
+
+
 def _pack(position, left, right):
     return (position << 32) | (np.minimum(left, 0xFFFF) << 16) | np.minimum(right, 0xFFFF)
 
@@ -171,11 +224,13 @@ def window_blobs(docs: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for chunk in word_chunks(batch.column(1), _CHUNK):
-                shingles = shingle_hashes(chunk.hashes)
-                counts = np.maximum(np.diff(chunk.bounds) - SHINGLE_WORDS + 1, 0)
+                stay = _without_long_runs(chunk.hashes, chunk.bounds)
+                edges = np.searchsorted(stay, chunk.bounds)
+                shingles = shingle_hashes(chunk.hashes[stay])
+                counts = np.maximum(np.diff(edges) - SHINGLE_WORDS + 1, 0)
                 # drop the shingles that reach into the next document
-                doc = np.repeat(np.arange(chunk.rows), np.diff(chunk.bounds))[:len(shingles)]
-                keep = np.arange(len(shingles)) + SHINGLE_WORDS <= chunk.bounds[doc + 1] if len(shingles) else np.zeros(0, dtype=bool)
+                doc = np.repeat(np.arange(chunk.rows), np.diff(edges))[:len(shingles)]
+                keep = np.arange(len(shingles)) + SHINGLE_WORDS <= edges[doc + 1] if len(shingles) else np.zeros(0, dtype=bool)
                 shingles = shingles[keep]
                 bounds = np.concatenate([[0], np.cumsum(counts)])
                 found = _window_keys(shingles, bounds)
@@ -281,32 +336,51 @@ def candidate_pairs(crowded: DataFrame) -> DataFrame:
     return _by_pair(_wide_pairs(crowded.select("a", "a_at", F.col("doc").alias("b"), F.col("at").alias("b_at"))))
 
 
-def open_pairs(crowded: DataFrame, pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b, diagonals) of the second round: the windows that no passage in
-    ``found`` covers with all earlier ones of their key, without ``pairs``."""
+def _covered(found: DataFrame) -> DataFrame:
+    return found.select(F.col("doc_id").alias("_doc"), F.col("start_word").alias("_from"),
+                        (F.col("start_word") + F.col("n_words") - SHINGLE_WORDS).alias("_to"))
+
+
+def uncovered(windows: DataFrame, found: DataFrame) -> DataFrame:
+    """The windows whose centre lies in no passage of ``found``."""
     centre = F.shiftright("at", 32)
-    covered = found.select(F.col("doc_id").alias("_doc"), F.col("start_word").alias("_from"),
-                           (F.col("start_word") + F.col("n_words") - SHINGLE_WORDS).alias("_to"))
-    sizes = crowded.groupBy("key").agg(F.count("*").alias("size"), F.min("doc").alias("least"))
-    asking = (crowded.select("key", "doc", "at").join(sizes, "key").where("doc > least")
-              .join(covered, (F.col("doc") == F.col("_doc")) & (centre >= F.col("_from")) & (centre <= F.col("_to")), "left_anti"))
-    asking = stored(asking.select("key", "doc", "at"), "open")
-    asked = (asking.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_WINDOWS).cast("int").alias("groups")).join(sizes, "key")
-             .select("key", "groups", F.ceil(F.col("size") / BLOCK_WINDOWS).cast("int").alias("blocks")))
-    asked = stored(asked, "open-keys")
-    salt = F.xxhash64("doc", "at")
-    # of a document's windows under one key, the ones that reach furthest stand for all
+    return windows.join(_covered(found), (F.col("doc") == F.col("_doc")) & (centre >= F.col("_from")) & (centre <= F.col("_to")), "left_anti")
+
+
+def open_windows(crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, doc, at) of the windows that no passage in ``found`` covers,
+    without those of the smallest document of their key."""
+    least = crowded.groupBy("key").agg(F.min("doc").alias("least"))
+    return uncovered(crowded, found).join(least, "key").where("doc > least").select("key", "doc", "at")
+
+
+# of a document's windows under one key, the ones that reach furthest stand for all
+def _furthest() -> Column:
     reach = [F.max_by("at", F.struct(r.alias("r"), "at")) for r in (_left("at"), _right("at"), _left("at") + _right("at"))]
-    offering = (crowded.join(asked, "key").groupBy("key", "doc", "groups", "blocks").agg(F.array_distinct(F.array(*reach)).alias("_at"))
-                .select("key", "doc", "groups", "blocks", F.explode("_at").alias("at")))
-    offers = (offering.withColumn("block", F.pmod(salt, F.col("blocks")).cast("int"))
+    return F.array_distinct(F.array(*reach)).alias("_at")
+
+
+def _without(met: DataFrame, done: DataFrame) -> DataFrame:
+    """The wide pairs among the windows that met, without the diagonals of
+    ``done`` (a, b, diagonal)."""
+    return _wide_pairs(met).join(done, ["a", "b", "diagonal"], "left_anti")
+
+
+def open_pairs(crowded: DataFrame, asking: DataFrame, done: DataFrame) -> DataFrame:
+    """(a, b, diagonals) of the last round: the windows ``asking`` with all
+    earlier ones of their key, without ``done``."""
+    asked = asking.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_WINDOWS).cast("int").alias("groups"))
+    offering = stored(crowded.join(asked, "key").groupBy("key", "doc", "groups").agg(_furthest())
+                      .select("key", "doc", "groups", F.explode("_at").alias("at")), "offers")
+    asked = stored(offering.groupBy("key", "groups").agg(F.ceil(F.count("*") / BLOCK_WINDOWS).cast("int").alias("blocks")), "open-keys")
+    salt = F.xxhash64("doc", "at")
+    offers = (offering.join(asked.drop("groups"), "key").withColumn("block", F.pmod(salt, F.col("blocks")).cast("int"))
               .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
               .select("key", "block", "group", F.col("doc").alias("a"), F.col("at").alias("a_at")))
     asks = (asking.join(asked, "key").withColumn("group", F.pmod(salt, F.col("groups")).cast("int"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", "block", "group", F.col("doc").alias("b"), F.col("at").alias("b_at")))
-    done = pairs.select("a", "b", F.explode("diagonals").alias("_d")).select("a", "b", "_d.diagonal")
-    return _by_pair(_wide_pairs(offers.join(asks, ["key", "block", "group"])).join(done, ["a", "b", "diagonal"], "left_anti"))
+    return _by_pair(_without(offers.join(asks, ["key", "block", "group"]), done))
 
 
 def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int, int]], offset: int = 0,
@@ -325,7 +399,7 @@ def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int
         margin = MARGIN
         while True:
             x, z = max(0, lo - margin), min(len(a), hi + margin + 1)
-            at = _nearest(a, b, x, max(x, z), shifts)
+            at, first, last = _nearest(a, b, x, max(x, z), shifts)
             hits = np.flatnonzero(at >= 0)
             left = len(hits) > 0 and hits[0] <= _GAP
             right = len(hits) > 0 and hits[-1] >= z - x - 1 - _GAP
@@ -333,52 +407,57 @@ def common_passages(a: np.ndarray, b: np.ndarray, diagonals: list[tuple[int, int
                 return None
             if not (left and x > 0) and not (right and z < len(a)):
                 if len(hits):
-                    _grow(a, b, hits + x, np.concatenate([np.full(x, -1), at]), found)
+                    _grow(a, b, hits + x, *(np.concatenate([np.full(x, -1), p]) for p in (at, first, last)), found)
                 break
             margin *= 4
     return _apart([(i0 + offset, i1 + offset, j0, j1, s) for i0, i1, j0, j1, s in found])
 
 
-def _nearest(a: np.ndarray, b: np.ndarray, x: int, z: int, shifts: np.ndarray) -> np.ndarray:
+def _nearest(a: np.ndarray, b: np.ndarray, x: int, z: int, shifts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where in b the shingles x to z of a occur at one of the shifts (all
-    numbers of a range, the preferred ones first); -1 if at none."""
+    numbers of a range, the preferred ones first); -1 if at none. Then the
+    first and the last such place."""
     low, width = int(shifts.min()), len(shifts)
     begin, need = x + low, z - x + width - 1
     p, q = max(0, begin), min(len(b), begin + need)
     if z <= x or q <= p:
-        return np.full(z - x, -1, dtype=np.int64)
+        return (np.full(z - x, -1, dtype=np.int64),) * 3
     near, inside = np.zeros(need, dtype=b.dtype), np.zeros(need, dtype=bool)
     near[p - begin:q - begin], inside[p - begin:q - begin] = b[p:q], True
     same = as_strided(near, (z - x, width), near.strides * 2) == a[x:z, None]
     if q - p < need:
         same &= as_strided(inside, (z - x, width), inside.strides * 2)
-    same = same[:, shifts - low]
-    best = same.argmax(axis=1)
     rows = np.arange(z - x)
-    return np.where(same[rows, best], rows + x + shifts[best], -1)
+    best = shifts[same[:, shifts - low].argmax(axis=1)]
+    hit = same[rows, best - low]
+    return tuple(np.where(hit, rows + x + shift, -1) for shift in (best, low + same.argmax(axis=1), low + width - 1 - same[:, ::-1].argmax(axis=1)))
 
 
-def _grow(a, b, hits, at, found):
+def _grow(a, b, hits, at, first, last, found):
     """Cuts the shared positions where they lie far apart, and a piece that is
-    not similar enough at its widest gap."""
+    not similar enough at its widest gap. Where a shingle repeats, b's part may
+    begin earlier and end later than the preferred places."""
     stack = [np.asarray(p) for p in np.split(hits, np.flatnonzero(np.diff(hits) > _GAP) + 1)]
     while stack:
         piece = stack.pop()
         i0, i1 = int(piece[0]), int(piece[-1]) + 1
         if i1 - i0 < _WIDTH - 2 * _SHIFT:
             continue
-        j0, j1 = int(at[piece].min()), int(at[piece].max()) + 1
-        if min(i1 - i0, j1 - j0) >= _WIDTH:
-            x, y = np.unique(a[i0:i1]), np.unique(b[j0:j1])
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            s = both / (len(x) + len(y) - both)
-            if s >= SIMILARITY:
-                found.append((i0, i1, j0, j1, s))
-                continue
-        gaps = np.diff(piece)
-        if len(gaps) and gaps.max() > 1:
-            cut = int(gaps.argmax()) + 1
-            stack += [piece[:cut], piece[cut:]]
+        near = int(at[piece].min()), int(at[piece].max()) + 1
+        far = min(near[0], int(first[i0])), max(near[1], int(last[i1 - 1]) + 1)
+        for j0, j1 in (near, far) if far != near else (near,):
+            if min(i1 - i0, j1 - j0) >= _WIDTH:
+                x, y = np.unique(a[i0:i1]), np.unique(b[j0:j1])
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                s = both / (len(x) + len(y) - both)
+                if s >= SIMILARITY:
+                    found.append((i0, i1, j0, j1, s))
+                    break
+        else:
+            gaps = np.diff(piece)
+            if len(gaps) and gaps.max() > 1:
+                cut = int(gaps.argmax()) + 1
+                stack += [piece[:cut], piece[cut:]]
 
 
 def _apart(found: list[tuple]) -> list[tuple]:
@@ -403,14 +482,28 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     crowded = stored(crowded_windows(docs), "windows")
     pairs = stored(candidate_pairs(crowded), "pairs")
-    found = stored(_verified(pairs, docs), "found")
-    more = _verified(stored(open_pairs(crowded, pairs, found), "pairs"), docs)
-    old = found.select(F.col("doc_id").alias("_doc"), F.col("source_id").alias("_source"), F.col("start_word").alias("_start"), F.col("n_words").alias("_n"),
-                       F.col("source_start").alias("_at"), F.col("source_words").alias("_words"))
-    within = ((F.col("doc_id") == F.col("_doc")) & (F.col("source_id") == F.col("_source"))
-              & (F.col("start_word") >= F.col("_start")) & (F.col("start_word") + F.col("n_words") <= F.col("_start") + F.col("_n"))
-              & (F.col("source_start") >= F.col("_at")) & (F.col("source_start") + F.col("source_words") <= F.col("_at") + F.col("_words")))
-    return found.unionByName(more.join(old, within, "left_anti"))
+    found, cuts = _verified(pairs, docs)
+    found, done = stored(found, "found"), _diagonals(pairs)
+    asking = stored(open_windows(crowded, found), "open")
+    pairs = stored(open_pairs(crowded, asking, done), "pairs")
+    more, more_cuts = _verified(pairs, docs)
+    more = more.join(_places(found), _within(), "left_anti")
+    return _in_whole_texts(found.unionByName(more), cuts.unionByName(more_cuts).dropDuplicates(["doc_id"]))
+
+
+def _diagonals(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a", "b", F.explode("diagonals").alias("_d")).select("a", "b", "_d.diagonal")
+
+
+def _places(found: DataFrame) -> DataFrame:
+    return found.select(F.col("doc_id").alias("_doc"), F.col("source_id").alias("_source"), F.col("start_word").alias("_start"), F.col("n_words").alias("_n"),
+                        F.col("source_start").alias("_at"), F.col("source_words").alias("_words"))
+
+
+def _within() -> Column:
+    return ((F.col("doc_id") == F.col("_doc")) & (F.col("source_id") == F.col("_source"))
+            & (F.col("start_word") >= F.col("_start")) & (F.col("start_word") + F.col("n_words") <= F.col("_start") + F.col("_n"))
+            & (F.col("source_start") >= F.col("_at")) & (F.col("source_start") + F.col("source_words") <= F.col("_at") + F.col("_words")))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -419,7 +512,9 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     passages reach further are verified again with more of it."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     ids = F.broadcast(ids) if 2 * pairs.count() <= BROADCAST_IDS else ids
-    texts = stored(docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    whole = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    shortened = stored(whole.mapInArrow(_shorten, _SHORT), "texts")
+    texts, cuts = shortened.select("doc_id", "text"), shortened.where(F.size("cuts") > 0).select("doc_id", "cuts")
     found, margin = None, MARGIN
     while True:
         parts = pairs.join(texts.toDF("a", "text"), "a").select("a", "b", "diagonals", "text").mapInArrow(_cut_parts(margin), _PARTS)
@@ -429,10 +524,51 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         found = done if found is None else found.unionByName(done)
         again = rows.where("open").select(F.col("source_id").alias("a"), F.col("doc_id").alias("b"))
         if again.isEmpty():
-            return found
+            return found, cuts
         pairs, margin = stored(pairs.join(again, ["a", "b"], "left_semi"), "again"), 16 * margin
 
 
+_SHORT = "doc_id long, text string, cuts array<struct<at:int,n:int>>"
+
+
+@thrifty
+def _shorten(batches):
+    """Texts (doc_id, text) without the words that ``_without_long_runs``
+    leaves out; with the number of words left out before the word ``at``."""
+    for batch in batches:
+        texts, cuts = batch.column(1).to_pylist(), [[] for _ in range(batch.num_rows)]
+        for chunk in word_chunks(batch.column(1)):
+            stay = _without_long_runs(chunk.hashes, chunk.bounds)
+            if len(stay) == len(chunk.hashes):
+                continue
+            edges = np.searchsorted(stay, chunk.bounds)
+            for r in np.flatnonzero(np.diff(edges) < np.diff(chunk.bounds)).tolist():
+                words = stay[edges[r]:edges[r + 1]]
+                raw, out, done = texts[chunk.first + r].encode(), [], 0
+                for k in np.flatnonzero(np.diff(words) > 1).tolist():
+                    left_out, after = int(words[k]) + 1, int(words[k + 1])
+                    out.append(raw[done:int(chunk.starts[left_out])])
+                    done = int(chunk.starts[after])
+                    cuts[chunk.first + r].append({"at": k + 1, "n": after - left_out})
+                texts[chunk.first + r] = b"".join([*out, raw[done:]]).decode()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(cuts, pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())])))],
+                                         names=["doc_id", "text", "cuts"])
+
+
+def _in_whole_texts(found: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Passages of shortened texts at their places in the whole ones."""
+    def place(word: Column) -> Column:
+        before = F.filter("_cuts", lambda c: c["at"] <= word)
+        return word + F.coalesce(F.aggregate(before, F.lit(0).cast("long"), lambda n, c: n + c["n"]), F.lit(0).cast("long"))
+
+    columns = found.columns
+    for doc, start, n in (("doc_id", "start_word", "n_words"), ("source_id", "source_start", "source_words")):
+        first, last = place(F.col(start)), place(F.col(start) + F.col(n) - 1)
+        found = (found.join(cuts.select(F.col("doc_id").alias("_doc"), F.col("cuts").alias("_cuts")), F.col(doc) == F.col("_doc"), "left")
+                 .withColumn("_first", first).withColumn(n, last - F.col("_first") + 1).withColumn(start, F.col("_first")).drop("_doc", "_cuts", "_first"))
+    return found.select(*columns)
+
+
 def _cut_parts(margin: int):
     """Replaces a's text by the words around the windows that met."""
     @thrifty
