@@ -54,7 +54,7 @@ from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from immolens.llm.hashing import mix64
+from immolens.llm.hashing import gather_runs, mix64
 from immolens.llm.memory import thrifty
 from immolens.llm.neardup import BROADCAST_IDS
 from immolens.llm.tables import stored
@@ -226,13 +226,7 @@ def window_blobs(docs: DataFrame, buckets: int) -> DataFrame:
             for chunk in word_chunks(batch.column(1), _CHUNK):
                 stay = _without_long_runs(chunk.hashes, chunk.bounds)
                 edges = np.searchsorted(stay, chunk.bounds)
-                shingles = shingle_hashes(chunk.hashes[stay])
-                counts = np.maximum(np.diff(edges) - SHINGLE_WORDS + 1, 0)
-                # drop the shingles that reach into the next document
-                doc = np.repeat(np.arange(chunk.rows), np.diff(edges))[:len(shingles)]
-                keep = np.arange(len(shingles)) + SHINGLE_WORDS <= edges[doc + 1] if len(shingles) else np.zeros(0, dtype=bool)
-                shingles = shingles[keep]
-                bounds = np.concatenate([[0], np.cumsum(counts)])
+                shingles, bounds = _chunk_shingles(chunk.hashes[stay], edges)
                 found = _window_keys(shingles, bounds)
                 if found is None:
                     continue
@@ -510,10 +504,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The passages of the pairs (a, b, diagonals), verified on the texts. Of
     a's text the part around the windows is sent to b's; the few pairs whose
     passages reach further are verified again with more of it."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    ids = F.broadcast(ids) if 2 * pairs.count() <= BROADCAST_IDS else ids
-    whole = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    shortened = stored(whole.mapInArrow(_shorten, _SHORT), "texts")
+    shortened = stored(_one_row(docs, _ids(pairs)).mapInArrow(_shorten, _SHORT), "texts")
     texts, cuts = shortened.select("doc_id", "text"), shortened.where(F.size("cuts") > 0).select("doc_id", "cuts")
     found, margin = None, MARGIN
     while True:
@@ -526,6 +517,27 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         if again.isEmpty():
             return found, cuts
         pairs, margin = stored(pairs.join(again, ["a", "b"], "left_semi"), "again"), 16 * margin
+        texts = texts.join(_ids(pairs), "doc_id", "left_semi")
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """``ids``, sent to all executors if there are few, so that the texts they
+    are looked up for stay where they are."""
+    ids = stored(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return _small(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+
+
+def _one_row(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents ``ids``, the least text of each. Only
+    the texts of ids that repeat are shuffled."""
+    own = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    repeated = _small(own.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    least = own.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return own.join(repeated, "doc_id", "left_anti").unionByName(least)
 
 
 _SHORT = "doc_id long, text string, cuts array<struct<at:int,n:int>>"
@@ -595,18 +607,220 @@ def _verify_parts(batches):
     names = [f.split()[0] for f in _FOUND.split(", ")] + ["open"]
     kinds = [pa.int64()] * 6 + [pa.float64(), pa.bool_()]
     for batch in batches:
-        out = []
-        a, b, d, offset, more = (batch.column(c).to_pylist() for c in ("a", "b", "diagonals", "offset", "more"))
-        for k, (x, y) in enumerate(zip(_shingle_rows(batch.column("part")), _shingle_rows(batch.column("text")))):
-            spans = [(q["diagonal"], q["lo"], q["hi"]) for q in d[k]]
-            passages = common_passages(x, y, spans, offset[k], offset[k] > 0, more[k])
-            if passages is None:
-                out.append((b[k], 0, 0, a[k], 0, 0, 0.0, True))
-                continue
-            for i0, i1, j0, j1, s in passages:
-                out.append((b[k], j0, j1 - j0 + SHINGLE_WORDS - 1, a[k], i0, i1 - i0 + SHINGLE_WORDS - 1, s, False))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+        for columns in _verified_rows(batch):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+
+def _verified_rows(batch):
+    """The columns of ``_FOUND`` and ``open`` for a batch of pairs, a chunk of
+    their parts at a time. Equal texts of b that follow each other are read once."""
+    a, b, offset, more = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "offset", "more"))
+    offset, more = offset.astype(np.int64), more.astype(bool)
+    ends = np.append(0, np.cumsum(pa.compute.list_value_length(batch.column("diagonals")).to_numpy(zero_copy_only=False)))
+    spans = batch.column("diagonals").flatten()
+    spans = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in spans.flatten()]
+    others = _shingle_rows(batch.column("text"))
+    for chunk in word_chunks(batch.column("part")):
+        rows = slice(chunk.first, chunk.first + chunk.rows)
+        parts, bounds = _chunk_shingles(chunk.hashes, chunk.bounds)
+        texts = [next(others) for _ in range(chunk.rows)]
+        used = slice(ends[rows.start], ends[rows.stop])
+        owner = np.repeat(np.arange(chunk.rows), np.diff(ends[rows.start:rows.stop + 1]))
+        found, open_ = passages_of_pairs(parts, bounds, texts, (owner, *(c[used] for c in spans)), offset[rows], more[rows])
+        row, i0, i1, j0, j1, s = found
+        n, k = np.flatnonzero(open_) + rows.start, row + rows.start
+        if len(n) + len(k):
+            none = np.zeros(len(n), dtype=np.int64)
+            yield tuple(np.concatenate(c) for c in (
+                (b[k], b[n]), (j0, none), (j1 - j0 + SHINGLE_WORDS - 1, none), (a[k], a[n]), (i0, none), (i1 - i0 + SHINGLE_WORDS - 1, none),
+                (s, none.astype(float)), (np.zeros(len(k), dtype=bool), np.ones(len(n), dtype=bool))))
+
+
+def _chunk_shingles(words: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, bounds) of several texts laid end to end, without the
+    shingles that reach into the next text."""
+    shingles = shingle_hashes(words)
+    counts = np.maximum(np.diff(edges) - SHINGLE_WORDS + 1, 0)
+    if len(shingles):
+        row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))[:len(shingles)]
+        shingles = shingles[np.arange(len(shingles)) + SHINGLE_WORDS <= edges[row + 1]]
+    return shingles, np.concatenate([[0], np.cumsum(counts)])
+
+
+def _places_in(texts: list[np.ndarray], shingles: np.ndarray, bounds: np.ndarray):
+    """Of the shingles of several parts laid end to end, each with a text:
+    the place in the text (-1 if there is none); whether a part has a shingle
+    that its text holds twice; per row the text's length up to which each place
+    has the latest earlier place of a shingle seen twice (None if none is)."""
+    at, twice, repeats = np.full(len(shingles), -1, dtype=np.int64), np.zeros(len(texts), dtype=bool), [None] * len(texts)
+    k = 0
+    while k < len(texts):
+        e = k + 1
+        while e < len(texts) and texts[e] is texts[k]:
+            e += 1
+        text, own = texts[k], slice(bounds[k], bounds[e])
+        if len(text) and own.stop > own.start:
+            order = np.argsort(text, kind="stable")
+            ranked = text[order]
+            asked = shingles[own]
+            rank = np.minimum(np.searchsorted(ranked, asked), len(ranked) - 1)
+            hit = ranked[rank] == asked
+            at[own] = np.where(hit, order[rank], -1)
+            same = ranked[1:] == ranked[:-1]
+            if same.any():
+                again = np.append(same, False)[rank] & hit
+                twice[k:e] = np.diff(np.append(0, np.cumsum(again))[bounds[k:e + 1] - own.start]) > 0
+                repeats[k:e] = [_repeats(order, same)] * (e - k)
+        k = e
+    return at, twice, repeats
+
+
+def _repeats(order: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Up to each place, the latest place whose value comes again by then; from
+    the stable order of the values and where neighbours in it are equal."""
+    before = np.full(len(order), -1, dtype=np.int64)
+    before[order[1:][same]] = order[:-1][same]
+    return np.maximum.accumulate(before)
+
+
+def _repeats_in_parts(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """``_repeats`` of parts laid end to end, counted from their starts."""
+    out = np.full(len(shingles), -1, dtype=np.int64)
+    rows = len(bounds) - 1
+    bits = np.uint64(max(1, int(rows).bit_length()))
+    row = np.repeat(np.arange(rows, dtype=np.uint64), np.diff(bounds))
+    keys = np.sort((shingles >> bits) | (row << (np.uint64(64) - bits)))
+    for k in np.unique(keys[1:][keys[1:] == keys[:-1]] >> (np.uint64(64) - bits)).tolist():   # few
+        own = slice(bounds[k], bounds[k + 1])
+        order = np.argsort(shingles[own], kind="stable")
+        ranked = shingles[own][order]
+        out[own] = _repeats(order, ranked[1:] == ranked[:-1])
+    return out
+
+
+_ROW = 32                                       # bits of a place, below the number of a row
+
+
+def passages_of_pairs(parts: np.ndarray, bounds: np.ndarray, texts: list[np.ndarray], spans: tuple, offset: np.ndarray,
+                      more: np.ndarray) -> tuple[tuple, np.ndarray]:
+    """What ``common_passages`` gives for several pairs at once: (row, start in
+    a, end in a, start in b, end in b, similarity), and of each row whether more
+    of a is needed. Part k is ``parts[bounds[k]:bounds[k + 1]]``, its text
+    ``texts[k]``, its diagonals (row, diagonal, first, last) stand in ``spans``.
+
+    Where each shared shingle has one place in b, the places near a diagonal
+    rise, and no other shared shingle lies in between, the similarity of a piece
+    follows from its ends. The pieces that ``_grow`` looks at are then the nodes of
+    the Cartesian tree over the gaps, and the passages its topmost similar
+    ones. Rows where this does not hold are left to ``common_passages``."""
+    rows, size = len(texts), np.diff(bounds)
+    at, twice, repeats = _places_in(texts, parts, bounds)
+    row_of, diagonal, lo, hi = spans
+    low, lo, hi = diagonal * _SHIFT + offset[row_of], lo - offset[row_of], hi - offset[row_of]
+
+    shared = np.flatnonzero(at >= 0)
+    begins = np.searchsorted(shared, bounds)
+    n = np.diff(begins)[row_of]
+    span = np.repeat(np.arange(len(row_of)), n)
+    pick = shared[gather_runs(np.arange(len(shared)), begins[row_of], n)] if len(shared) else shared
+    i, j = pick - bounds[row_of[span]], at[pick]
+    near = (j - i >= low[span] - _SHIFT) & (j - i < low[span] + 2 * _SHIFT)
+    other_key, other_j = (span[~near] << _ROW) + i[~near], j[~near]
+    span, i, j = span[near], i[near], j[near]
+    key = (span << _ROW) + i
+
+    open_ = np.zeros(rows, dtype=bool)
+    p, q = np.zeros(len(row_of), dtype=np.int64), np.zeros(len(row_of), dtype=np.int64)
+    active, margin = np.arange(len(row_of)), MARGIN
+    while len(active):
+        length = size[row_of[active]]
+        x, z = np.maximum(lo[active] - margin, 0), np.minimum(hi[active] + margin + 1, length)
+        z = np.maximum(x, z)
+        p[active], q[active] = np.searchsorted(key, (active << _ROW) + x), np.searchsorted(key, (active << _ROW) + z)
+        some = q[active] > p[active]
+        left, right = some.copy(), some.copy()
+        left[some] = i[p[active[some]]] - x[some] <= _GAP
+        right[some] = i[q[active[some]] - 1] >= z[some] - 1 - _GAP
+        needs = (left & (x == 0) & (offset[row_of[active]] > 0)) | (right & (z == length) & more[row_of[active]])
+        open_[row_of[active[needs]]] = True
+        on = ~needs & ((left & (x > 0)) | (right & (z < length)))
+        active, margin = active[on], margin * 4
+
+    kept = gather_runs(np.arange(len(key)), p, np.maximum(q - p, 0)) if len(key) else np.zeros(0, dtype=np.int64)
+    key, i, j, span = key[kept], i[kept], j[kept], span[kept]
+    open_ &= ~twice
+    slow = twice.copy()
+    found = _topmost(key, i, j, row_of[span] if len(span) else span, bounds, other_key, other_j, _repeats_in_parts(parts, bounds), repeats, slow)
+    out = []
+    row = found[0]
+    fine = ~(slow | open_)[row]
+    row, *rest = (c[fine] for c in found)
+    several = np.bincount(row, minlength=rows)[row] > 1
+    out.append((row[~several], *(c[~several] for c in rest)))
+    extra: dict[int, list] = {}
+    for r, *passage in zip(row[several].tolist(), *(c[several].tolist() for c in rest)):
+        extra.setdefault(r, []).append(tuple(passage))
+    by_hand = [(r, passage) for r, passages in extra.items() for passage in _apart(passages)]
+    first = np.searchsorted(row_of, np.arange(rows + 1))
+    for r in np.flatnonzero(slow & ~open_).tolist():
+        own = slice(first[r], first[r + 1])
+        passages = common_passages(parts[bounds[r]:bounds[r + 1]], texts[r], list(zip(diagonal[own].tolist(), (lo[own] + offset[r]).tolist(), (hi[own] + offset[r]).tolist())),
+                                   int(offset[r]), bool(offset[r] > 0), bool(more[r]))
+        if passages is None:
+            open_[r] = True
+        by_hand += [(r, (i0 - int(offset[r]), i1 - int(offset[r]), j0, j1, s)) for i0, i1, j0, j1, s in passages or []]
+    if by_hand:
+        columns = zip(*((r, *passage) for r, passage in by_hand))
+        out.append(tuple(np.array(c, dtype=t) for c, t in zip(columns, [np.int64] * 5 + [np.float64])))
+    row, i0, i1, j0, j1, s = (np.concatenate(c) for c in zip(*out))
+    return (row, i0 + offset[row], i1 + offset[row], j0, j1, s), open_
+
+
+def _topmost(key, i, j, row, bounds, other_key, other_j, part_repeats, repeats, slow):
+    """(row, i0, i1, j0, j1, similarity) of the topmost similar pieces of the
+    shared places (i, j) of the spans, which come in the order of ``key``. Marks
+    in ``slow`` the rows of which the ends of a piece do not say enough."""
+    if not len(key):
+        return (np.zeros(0, dtype=np.int64),) * 5 + (np.zeros(0),)
+    step = np.diff(key)
+    starts = np.append(0, np.flatnonzero(step != 1) + 1)                    # runs of consecutive shingles
+    stops = np.append(starts[1:], len(key)) - 1
+    gap = step[stops[:-1]]
+    apart = gap > _GAP                                                      # another span, too
+    # pieces before the first cut
+    u, v = np.append(0, np.flatnonzero(apart) + 1), np.append(np.flatnonzero(apart), len(starts) - 1)
+    f, t = starts[u], stops[v]
+    wide = i[t] - i[f] + 1 >= _WIDTH
+    falls = np.append(0, np.cumsum(np.append(j[1:] <= j[:-1], False)))
+    bad = falls[t] > falls[f]
+    within = np.searchsorted(key[f], other_key, side="right") - 1
+    strays = (within >= 0) & (other_key <= key[t[within]]) & (other_j >= j[f[within]]) & (other_j <= j[t[within]])
+    bad[within[strays]] = True
+    bad |= part_repeats[bounds[row[f]] + i[t]] >= i[f]
+    for k in np.flatnonzero(wide & ~bad).tolist() if any(r is not None for r in repeats) else []:
+        r = repeats[row[f[k]]]
+        bad[k] = r is not None and r[j[t[k]]] >= j[f[k]]
+    slow[row[f[wide & bad]]] = True
+
+    # nodes of the tree over the gaps: the leftmost widest gap is cut first
+    inner = np.flatnonzero(~apart)
+    height = -np.where(apart, len(key) + _GAP + 1, gap)
+    one = np.zeros(len(gap), dtype=np.int64)
+    before = _smaller_before(height, one, strict=False)
+    after = len(gap) - 1 - _smaller_before(height[::-1], one, strict=True)[::-1]
+    u, v = np.append(before[inner] + 1, np.arange(len(starts))), np.append(after[inner], np.arange(len(starts)))
+    f, t = starts[u], stops[v]
+    x, y, both = i[t] - i[f] + 1, j[t] - j[f] + 1, t - f + 1
+    fits = (x >= _WIDTH) & (y >= _WIDTH)
+    u, v, f, t, x, y, both = (c[fits] for c in (u, v, f, t, x, y, both))
+    s = both / (x + y - both)
+    like = s >= SIMILARITY
+    u, v, f, t, s = (c[like] for c in (u, v, f, t, s))
+    order = np.lexsort((-v, u))
+    u, v, f, t, s = (c[order] for c in (u, v, f, t, s))
+    top = np.append(True, v[1:] > np.maximum.accumulate(v)[:-1]) if len(v) else np.zeros(0, dtype=bool)
+    f, t, s = f[top], t[top], s[top]
+    return row[f], i[f], i[t] + 1, j[f], j[t] + 1, s
 
 
 def _by_row(column: pa.Array, of_distinct):
