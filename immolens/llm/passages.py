@@ -90,6 +90,18 @@ def _sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
+def _sliding(best, values: np.ndarray, width: int) -> np.ndarray:
+    """``best`` (as np.minimum) of every window of ``width``."""
+    if len(values) < width:
+        return values[:0]
+    reach = 1
+    while reach < width:
+        step = min(reach, width - reach)
+        values = best(values[:-step], values[step:])
+        reach += step
+    return values
+
+
 def _smaller_before(values: np.ndarray, docs: np.ndarray, strict: bool) -> np.ndarray:
     """Index of the nearest earlier value of the same document that is smaller
     (or equal, unless ``strict``); -1 if there is none."""
@@ -117,10 +129,12 @@ def compact_windows(values: np.ndarray, bounds: np.ndarray, width: int = _WIDTH)
     none = np.zeros(0, dtype=np.int64)
     if len(values) < width:
         return none, none, none
-    starts = np.arange(len(values) - width + 1)
-    doc = np.searchsorted(bounds, starts, side="right") - 1
-    inside = starts + width <= bounds[doc + 1]
-    c = np.unique(_sliding_argmin(values, width)[inside])
+    least = _sliding(np.minimum, values, width)
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:len(least)]
+    least[np.arange(width, len(least) + width) > bounds[doc + 1]] = 0       # windows that reach into the next document
+    edge = np.zeros(width - 1, dtype=least.dtype)
+    # minima of some window; of equal ones in a window only the leftmost is a centre, the others turn out too narrow
+    c = np.flatnonzero(_sliding(np.maximum, np.concatenate([edge, least, edge]), width) == values)
     if not len(c):
         return none, none, none
     doc = np.searchsorted(bounds, c, side="right") - 1
@@ -129,7 +143,8 @@ def compact_windows(values: np.ndarray, bounds: np.ndarray, width: int = _WIDTH)
     after = len(c) - 1 - _smaller_before(v[::-1], doc[::-1], strict=True)[::-1]
     left = np.where(before >= 0, c[np.maximum(before, 0)] + 1, bounds[doc])
     right = np.where(after < len(c), c[np.minimum(after, len(c) - 1)] - 1, bounds[doc + 1] - 1)
-    return left, c, right
+    wide = right - left + 1 >= width
+    return left[wide], c[wide], right[wide]
 
 
 def _window_keys(shingles: np.ndarray, bounds: np.ndarray):
@@ -171,11 +186,14 @@ def _without_long_runs(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     ``MIN_WORDS`` words is cut down, in its middle and by whole periods, to the
     shortest length that still holds every passage of ``MIN_WORDS`` words of it."""
     kept, docs = np.arange(len(words)), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    w, d = words, docs
+    w, d, probed = words, docs, None
     for q in range(1, MIN_WORDS + 1):
-        probes = w[q::_PROBE] == w[:len(w) - q:_PROBE] if len(w) > q else np.zeros(0, dtype=bool)
+        if probed is None:
+            probed = [np.ascontiguousarray(w[k::_PROBE]) for k in range(_PROBE)]
+        later = probed[q % _PROBE][q // _PROBE:]
+        probes = later == probed[0][:len(later)]
         whole = MIN_WORDS // _PROBE                                         # probes that a long run holds at least
-        if len(probes) < whole or not np.logical_and.reduce([probes[k:len(probes) - whole + 1 + k] for k in range(whole)]).any():
+        if not _sliding(np.logical_and, probes, whole).any():
             continue
         same = np.concatenate([[False], (w[q:] == w[:-q]) & (d[q:] == d[:-q]), [False]])
         edges = np.flatnonzero(same[1:] != same[:-1])
@@ -189,7 +207,7 @@ def _without_long_runs(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         np.add.at(change, begin, 1)
         np.add.at(change, begin + excess, -1)
         stay = np.cumsum(change[:-1]) == 0
-        kept, w, d = kept[stay], w[stay], d[stay]
+        kept, w, d, probed = kept[stay], w[stay], d[stay], None
     return kept
 
 
